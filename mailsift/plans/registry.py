@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-PLAN_MODULES = ["corpus"]
+PLAN_MODULES = ["corpus", "headers"]
 
 
 def _modules():
