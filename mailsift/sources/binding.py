@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsift.sources.tables import table
+from mailsift.sources.tables import materialized, table
 
 SEPARATOR = "From MAILER-DAEMON Thu Jan  1 00:00:00 1970"
 ZONES = ("+0000", "-0500", "+0530", "GMT", "EST")
@@ -152,13 +152,22 @@ def mail_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(raw_sql(SPARK, "_ms_src"))
 
 
-def mail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mail archive as the jobs see it: (source_ord, source_mbox, byte_offset, raw)."""
+def mail_unmaterialized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mail_sources(spark, sf_dir).select(
         "source_ord", "source_mbox", "byte_offset",
         F.encode("raw_text", "UTF-8").alias("raw"))
 
 
+def mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mail archive as the jobs see it: (source_ord, source_mbox, byte_offset, raw).
+
+    Written once as a parquet table in the shared checkpoint folder (the archive ingest)
+    and read back, so every job starts from a plain scan with column pruning instead of
+    re-deriving the messages, and lineage stays short.
+    """
+    return materialized(spark, "mail", sf_dir, lambda: mail_unmaterialized(spark, sf_dir))
+
+
 def duck_mail_cte() -> str:
     """DuckDB CTEs ``ms`` (source columns + expectations) and ``mr`` (+ raw_text)."""
     return (f"ms AS ({source_sql(DUCK, 'documents', 'pages')}),\n"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,3 +11,36 @@ from pyspark.sql import DataFrame, SparkSession
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table; Catalyst prunes columns and pushes filters into the parquet scan."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _fs(spark, path)
+    return fs.exists(jpath)
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Input identity: folder plus size and modification time of each table file."""
+    fs, jpath = _fs(spark, sf_dir)
+    items = sorted((st.getPath().getName(), st.getLen(), st.getModificationTime())
+                   for st in fs.listStatus(jpath))
+    return hashlib.sha256(repr((sf_dir, items)).encode()).hexdigest()[:16]
+
+
+def materialized(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
+    """Read table ``name`` derived from ``sf_dir``, writing it first if absent.
+
+    The table lives in the shared folder named by ``spark.checkpoint.dir`` (never a
+    machine-local folder), keyed by a fingerprint of the inputs; a write counts only once
+    its _SUCCESS marker exists, so a lost executor or an interrupted run rewrites it.
+    """
+    from mailsift.session import shared_dir
+    path = shared_dir(spark, f"tables/{name}-{_fingerprint(spark, sf_dir)}")
+    if not path_exists(spark, path + "/_SUCCESS"):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
