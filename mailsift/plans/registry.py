@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-PLAN_MODULES = ["corpus", "headers", "extract", "mime", "render"]
+PLAN_MODULES = ["corpus", "headers", "extract", "mime", "render", "label"]
 
 
 def _modules():
