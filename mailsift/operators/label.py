@@ -1,6 +1,6 @@
 """Domain labelling over a mailbox snapshot (A7/A8, C4/C25, D7f/D8f, E2-E4, F7).
 
-The snapshot table is (uid, raw) with raw NULL for a message the server would not hand
+The snapshot table is (uid, headers) with headers NULL for a message the server would not hand
 over. Matching is exact membership of a participant domain in the domain set. A domain
 set of bounded size is inlined as an array literal (a projection, no shuffle); a larger
 one takes an explode + join path.
@@ -27,9 +27,8 @@ def domains_dim(spark, value: str) -> DataFrame:
 
 
 def with_domains(snapshot: DataFrame) -> DataFrame:
-    """snapshot(uid, raw) -> uid, fetched, headers, domains (C4)."""
-    hd = H.parse_headers(H.message_text(F.col("raw")))
-    return snapshot.select("uid", F.col("raw").isNotNull().alias("fetched"), hd.alias("headers")) \
+    """snapshot(uid, headers) -> uid, fetched, headers, domains (C4)."""
+    return snapshot.select("uid", F.col("headers").isNotNull().alias("fetched"), "headers") \
         .withColumn("domains", H.message_domains(F.col("headers")))
 
 

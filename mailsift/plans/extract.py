@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mailsift.operators import extract as X
-from mailsift.operators.messages import messages
+from mailsift.sources.ingest import messages_table
 from mailsift.sources.binding import duck_mail_cte, mail
 
 # Parameters of the registered runs: a narrow needle and one every message matches.
@@ -14,7 +14,7 @@ EXTRACT_NEEDLE = "@example.org"
 
 
 def msgs(spark, sf_dir):
-    return messages(mail(spark, sf_dir))
+    return messages_table(spark, sf_dir)
 
 
 def q_extract_address(spark, sf_dir):

@@ -6,14 +6,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mailsift.functions import headers as H
-from mailsift.operators.messages import messages
+from mailsift.sources.ingest import messages_table
 from mailsift.sources.binding import duck_mail_cte, mail
 
 K = ["source_mbox", "byte_offset"]
 
 
 def msgs(spark, sf_dir):
-    return messages(mail(spark, sf_dir))
+    return messages_table(spark, sf_dir)
 
 
 def q_header_scan(spark, sf_dir):

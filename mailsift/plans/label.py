@@ -9,17 +9,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mailsift.operators import label as L
-from mailsift.sources.binding import duck_mail_cte, mail
+from mailsift.sources.binding import duck_mail_cte
+from mailsift.sources.ingest import messages_table
 
 # Parameter of the registered runs, in the form a user types it.
 DOMAINS = " @Partner.TEST , example.com ,src3.example.net,"
 
 
 def snapshot(spark, sf_dir):
-    m = mail(spark, sf_dir)
+    """The mailbox as fetched: (uid, headers); headers NULL when the fetch failed."""
+    m = messages_table(spark, sf_dir)
     return m.select((F.col("byte_offset") + 1).alias("uid"),
-                    F.when(F.col("byte_offset") % 31 == 0, F.lit(None).cast("binary"))
-                    .otherwise(F.col("raw")).alias("raw"))
+                    F.when(F.col("byte_offset") % 31 == 0, F.lit(None))
+                    .otherwise(F.col("headers")).alias("headers"))
 
 
 def processed(spark, sf_dir):
@@ -56,7 +58,7 @@ def q_label_resume(spark, sf_dir):
 
 def q_label_unfetched(spark, sf_dir):
     """The first 20 UIDs that could not be fetched, in numeric order."""
-    s = snapshot(spark, sf_dir).where(F.col("raw").isNull()).select("uid")
+    s = snapshot(spark, sf_dir).where(F.col("headers").isNull()).select("uid")
     return s.orderBy("uid").limit(20)
 
 

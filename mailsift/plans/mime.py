@@ -7,16 +7,14 @@ from pyspark.sql import functions as F
 from mailsift import oracle as O
 from mailsift.functions import headers as H
 from mailsift.operators import parts as P
-from mailsift.sources.binding import duck_mail_cte, mail
+from mailsift.sources.binding import duck_mail_cte
+from mailsift.sources.ingest import mime_table
 
 K = ["source_mbox", "byte_offset"]
 
 
 def mime(spark, sf_dir, with_headers=False):
-    m = mail(spark, sf_dir)
-    if with_headers:
-        m = m.withColumn("headers", H.parse_headers(H.message_text(F.col("raw"))))
-    return P.with_parts(m)
+    return mime_table(spark, sf_dir)
 
 
 def q_parts_explode(spark, sf_dir):

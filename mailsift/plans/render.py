@@ -11,6 +11,7 @@ from mailsift.operators import parts as P
 from mailsift.operators.ordinals import number_rows
 from mailsift.plans.mime import _EP
 from mailsift.sources.binding import duck_mail_cte, mail
+from mailsift.sources.ingest import mime_table
 
 K = ["source_mbox", "byte_offset"]
 INDEX_COLUMNS = ["n", "date_utc", "date_raw", "from", "to", "cc", "subject", "message_id",
@@ -19,12 +20,7 @@ INDEX_COLUMNS = ["n", "date_utc", "date_raw", "from", "to", "cc", "subject", "me
 
 def parsed(spark, sf_dir):
     """One row per record: headers (native) + MIME parts (mapInArrow) + render fields."""
-    m = mail(spark, sf_dir)
-    m = m.select("source_ord", "source_mbox", "byte_offset",
-                 F.sha2(F.col("raw"), 256).alias("raw_sha256"),
-                 F.octet_length("raw").cast("long").alias("raw_size"),
-                 H.parse_headers(H.message_text(F.col("raw"))).alias("headers"), "raw")
-    m = P.with_parts(m)
+    m = mime_table(spark, sf_dir)
     hd = F.col("headers")
     date_raw = H.header_values(hd, "date")
     return m.select(

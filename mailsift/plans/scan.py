@@ -8,13 +8,13 @@ from mailsift import oracle as O
 from mailsift.functions import dates as D
 from mailsift.functions import headers as H
 from mailsift.functions.terms import FIXTURE_TERMS, terms_df, terms_values_sql
-from mailsift.functions.text import clean_text
+from mailsift.functions.text import clean_text, strip_ws
 from mailsift.operators import extract as X
 from mailsift.operators import parts as P
-from mailsift.operators.messages import messages
 from mailsift.operators.scan import scan_hits
 from mailsift.plans.mime import _EP
-from mailsift.sources.binding import duck_mail_cte, mail
+from mailsift.sources.binding import duck_mail_cte
+from mailsift.sources.ingest import mime_table
 
 K = ["source_mbox", "byte_offset"]
 HIT_OUT = ["source_mbox", "byte_offset", "date", "from", "to", "subject", "category",
@@ -45,16 +45,17 @@ def hits_of(frame, terms):
 
 def q_scan_hits(spark, sf_dir):
     """The scan stage: one row per (message, location, category, term, sentence)."""
-    m = mail(spark, sf_dir).withColumn("headers", H.parse_headers(H.message_text(F.col("raw"))))
-    return hits_of(scan_frame(P.with_parts(m)), terms_df(spark, FIXTURE_TERMS))
+    return hits_of(scan_frame(mime_table(spark, sf_dir)), terms_df(spark, FIXTURE_TERMS))
 
 
 def q_pipeline_hits(spark, sf_dir):
     """Extract by address -> first-wins dedup -> strip attachments -> scan -> clean."""
-    msgs = messages(mail(spark, sf_dir)).select("source_ord", "source_mbox", "byte_offset",
-                                                "message_id", "participants", "headers", "raw")
-    extracted = X.extract(msgs, PIPELINE_NEEDLE).drop("participants", "message_id")
-    stripped = P.with_parts(extracted).withColumn("parts", P.strip_keep(F.col("parts")))
+    m = mime_table(spark, sf_dir)
+    m = m.select("source_ord", "source_mbox", "byte_offset", "headers", "parts",
+                 strip_ws(F.coalesce(H.header_first(F.col("headers"), "message-id"), F.lit("")))
+                 .alias("message_id"), H.participants(F.col("headers")).alias("participants"))
+    extracted = X.extract(m, PIPELINE_NEEDLE).drop("participants", "message_id")
+    stripped = extracted.withColumn("parts", P.strip_keep(F.col("parts")))
     hits = hits_of(scan_frame(stripped), terms_df(spark, FIXTURE_TERMS))
     return hits.withColumn("exact_text", clean_text(F.col("exact_text")))
 

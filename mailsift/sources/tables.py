@@ -24,12 +24,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def _code_hash() -> str:
+    """Hash of the package source, so tables written by other code are never reused."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha256()
+    for dirpath, _dirs, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(dirpath, f), "rb") as fh:
+                    h.update(f.encode() + fh.read())
+    return h.hexdigest()[:12]
+
+
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Input identity: folder plus size and modification time of each table file."""
+    """Input identity: folder, size and modification time of each table file, code hash."""
     fs, jpath = _fs(spark, sf_dir)
     items = sorted((st.getPath().getName(), st.getLen(), st.getModificationTime())
                    for st in fs.listStatus(jpath))
-    return hashlib.sha256(repr((sf_dir, items)).encode()).hexdigest()[:16]
+    return hashlib.sha256(repr((sf_dir, items, _code_hash())).encode()).hexdigest()[:16]
 
 
 def materialized(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
