@@ -24,15 +24,17 @@ def address_matches(participants: Column, address: str) -> Column:
 def first_wins(df: DataFrame, id_col: str = "message_id", order=ORDER) -> DataFrame:
     """H1: keep the first copy of each non-blank id in (source_ord, byte_offset) order.
 
-    Skew-safe: the winner per id is a partial+final ``min(struct(order))`` aggregate
-    (a hot id collapses map-side before the shuffle), and the winners are joined back on
-    (id, order...), a key that is unique per row. Blank ids never enter the shuffle.
+    One aggregate, one shuffle, skew-safe: ``min_by(row, order)`` per id combines
+    map-side, so even an id holding a third of all rows reaches the shuffle as one
+    candidate per input partition. A blank id is never de-duplicated: it is keyed by its
+    own position, which is unique.
     """
-    blank = df.where(F.col(id_col) == "")
-    named = df.where(F.col(id_col) != "")
-    winners = named.groupBy(id_col).agg(F.min(F.struct(*order)).alias("_w")) \
-        .select(id_col, *[F.col(f"_w.{o}").alias(o) for o in order])
-    return named.join(winners, [id_col, *order], "left_semi").unionByName(blank)
+    cols = df.columns
+    blank_key = F.concat(F.lit("\u0000"), *[F.col(o).cast("string") for o in order])
+    key = F.when(F.col(id_col) == "", blank_key).otherwise(F.col(id_col))
+    won = df.withColumn("_key", key).groupBy("_key").agg(
+        F.min_by(F.struct(*cols), F.struct(*order)).alias("_w"))
+    return won.select("_w.*")
 
 
 def extract(messages: DataFrame, address: str) -> DataFrame:

@@ -23,7 +23,8 @@ HIT_COLUMNS = ["category", "category_ord", "matched_term", "term_ord", "sentence
 
 
 def _term_count(terms: DataFrame) -> int:
-    return terms.limit(MAX_BROADCAST_TERMS + 1).count()
+    known = getattr(terms, "_mailsift_size", None)
+    return known if known is not None else terms.limit(MAX_BROADCAST_TERMS + 1).count()
 
 
 def sentences(df: DataFrame, keys: list[str], text: Column, split: bool = True) -> DataFrame:
@@ -38,8 +39,9 @@ def sentences(df: DataFrame, keys: list[str], text: Column, split: bool = True)
 def match_terms(sent: DataFrame, terms: DataFrame) -> DataFrame:
     """sent(keys..., sentence_ord, sentence) x terms -> matched pairs (bag semantics)."""
     lowered = sent.withColumn("_lower", F.lower("sentence"))
+    n_terms = _term_count(terms)
     t = terms.select("category", "category_ord", F.lower("term").alias("term"), "term_ord")
-    if _term_count(t) <= MAX_BROADCAST_TERMS:
+    if n_terms <= MAX_BROADCAST_TERMS:
         return lowered.join(F.broadcast(t), F.instr(F.col("_lower"), F.col("term")) > 0) \
             .drop("_lower")
     short = t.where(F.length("term") < GRAM)
@@ -64,3 +66,22 @@ def scan_hits(df: DataFrame, keys: list[str], text: Column, terms: DataFrame,
         *keys, "category", "category_ord", F.col("term").alias("matched_term"), "term_ord",
         "sentence_ord", F.trim(F.col("sentence")).alias("exact_text"),
         F.lit(location).alias("location"))
+
+
+def scan_locations(df: DataFrame, keys: list[str], texts: list[tuple[str, Column, bool]],
+                   terms: DataFrame) -> DataFrame:
+    """Scan several texts of each row in one pass: (location, text, split) triples are
+    exploded, then split into sentences (or quoted whole) and matched; no union, so the
+    input is computed once."""
+    loc = F.explode(F.array(*[F.struct(F.lit(name).alias("location"), text.alias("text"),
+                                       F.lit(split).alias("split")) for name, text, split in texts]))
+    items = df.select(*keys, loc.alias("_t")).select(
+        *keys, "_t.location", "_t.split", normalize_ws(F.col("_t.text")).alias("_flat")) \
+        .where(F.length("_flat") > 0)
+    pieces = F.when(F.col("split"), sentence_array(F.col("_flat"))).otherwise(F.array("_flat"))
+    sent = items.select(*keys, "location", F.posexplode(pieces).alias("_pos", "sentence")) \
+        .select(*keys, "location", (F.col("_pos") + 1).alias("sentence_ord"), "sentence")
+    pairs = match_terms(sent, terms)
+    return pairs.select(
+        *keys, "category", "category_ord", F.col("term").alias("matched_term"), "term_ord",
+        "sentence_ord", F.trim(F.col("sentence")).alias("exact_text"), "location")

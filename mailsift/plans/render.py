@@ -27,7 +27,7 @@ def parsed(spark, sf_dir):
         "source_ord", "source_mbox", "byte_offset", "raw_sha256", "raw_size", "parts",
         "parse_error", date_raw.alias("date_raw"), D.date_utc(date_raw).alias("date_utc"),
         F.coalesce(strip_ws(H.header_first(hd, "message-id")), F.lit("")).alias("message_id"),
-        H.decode_subject(H.header_values(hd, "subject")).alias("subject"),
+        "subject",
         H.display_list(hd, "From").alias("from"), H.display_list(hd, "To").alias("to"),
         H.display_list(hd, "Cc").alias("cc"), H.display_list(hd, "Bcc").alias("bcc"),
         H.display_list(hd, "Reply-To").alias("reply_to"),

@@ -11,7 +11,7 @@ from mailsift.functions.terms import FIXTURE_TERMS, terms_df, terms_values_sql
 from mailsift.functions.text import clean_text, strip_ws
 from mailsift.operators import extract as X
 from mailsift.operators import parts as P
-from mailsift.operators.scan import scan_hits
+from mailsift.operators.scan import scan_locations
 from mailsift.plans.mime import _EP
 from mailsift.sources.binding import duck_mail_cte
 from mailsift.sources.ingest import mime_table
@@ -31,16 +31,15 @@ def scan_frame(with_parts_df):
         *K, F.when(iso != "", iso).otherwise(F.coalesce(date_first, F.lit(""))).alias("date"),
         F.coalesce(H.header_first(hd, "from"), F.lit("")).alias("from"),
         F.coalesce(H.header_first(hd, "to"), F.lit("")).alias("to"),
-        H.decode_subject(H.header_first(hd, "subject")).alias("subject"),
+        "subject",
         P.scan_body(F.col("parts")).alias("body"))
 
 
 def hits_of(frame, terms):
     """K2: subject hits (quoted whole) union body hits (per sentence)."""
     keys = K + ["date", "from", "to", "subject"]
-    subj = scan_hits(frame, keys, F.col("subject"), terms, "subject", split=False)
-    body = scan_hits(frame, keys, F.col("body"), terms, "body")
-    return subj.unionByName(body).select(*HIT_OUT)
+    return scan_locations(frame, keys, [("subject", F.col("subject"), False),
+                                        ("body", F.col("body"), True)], terms).select(*HIT_OUT)
 
 
 def q_scan_hits(spark, sf_dir):
@@ -51,7 +50,7 @@ def q_scan_hits(spark, sf_dir):
 def q_pipeline_hits(spark, sf_dir):
     """Extract by address -> first-wins dedup -> strip attachments -> scan -> clean."""
     m = mime_table(spark, sf_dir)
-    m = m.select("source_ord", "source_mbox", "byte_offset", "headers", "parts",
+    m = m.select("source_ord", "source_mbox", "byte_offset", "headers", "parts", "subject",
                  strip_ws(F.coalesce(H.header_first(F.col("headers"), "message-id"), F.lit("")))
                  .alias("message_id"), H.participants(F.col("headers")).alias("participants"))
     extracted = X.extract(m, PIPELINE_NEEDLE).drop("participants", "message_id")

@@ -24,11 +24,13 @@ def messages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mime_of(m: DataFrame) -> DataFrame:
-    """(keys..., raw) -> keys + raw_sha256, raw_size, headers, parts, parse_error."""
+    """(keys..., raw) -> keys + raw_sha256, raw_size, headers, subject, parts, parse_error."""
+    hd = H.parse_headers(H.message_text(F.col("raw")))
     m = m.select("source_ord", "source_mbox", "byte_offset",
                  F.sha2(F.col("raw"), 256).alias("raw_sha256"),
                  F.octet_length("raw").cast("long").alias("raw_size"),
-                 H.parse_headers(H.message_text(F.col("raw"))).alias("headers"), "raw")
+                 hd.alias("headers"), "raw")
+    m = m.withColumn("subject", H.decode_subject(H.header_first(F.col("headers"), "subject")))
     return P.with_parts(m)
 
 

@@ -10,7 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table; Catalyst prunes columns and pushes filters into the parquet scan."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return ensure_parallelism(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A small single-file table (one parquet row group) reads as one partition, which puts
+    every per-row parse and regex on one core. Only then is it round-robin repartitioned;
+    a large input already has more splits than cores and is left untouched (no shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def _fs(spark: SparkSession, path: str):
@@ -54,5 +67,5 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build) -> DataFram
     from mailsift.session import shared_dir
     path = shared_dir(spark, f"tables/{name}-{_fingerprint(spark, sf_dir)}")
     if not path_exists(spark, path + "/_SUCCESS"):
-        build().write.mode("overwrite").parquet(path)
+        ensure_parallelism(build()).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
