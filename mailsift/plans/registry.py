@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-PLAN_MODULES = ["corpus", "headers", "extract", "mime", "render", "label", "scan", "files"]
+PLAN_MODULES = ["corpus", "headers", "extract", "mime", "render", "label", "scan", "files", "streams"]
 
 
 def _modules():
