@@ -23,13 +23,24 @@ _DATE_RE = (r"^\s*(?:[A-Za-z]+\s*,\s*|[A-Za-z]+\s+)?(\d{1,2})\s+([A-Za-z]+)\s+(\
             r"(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?(?:\s+([A-Za-z]+|[+-]\d{4}))?(?:\s.*)?$")
 
 
+# asctime form: weekday month day hh:mm[:ss] year (no zone: naive).
+_ASCTIME_RE = (r"^\s*[A-Za-z]+\s+([A-Za-z]+)\s+(\d{1,2})\s+(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?"
+               r"\s+(\d{2,4})\s*$")
+
+
 def _g(v: Column, k: int) -> Column:
     return F.regexp_extract(v, _DATE_RE, k)
 
 
+def _to_rfc(v: Column) -> Column:
+    """Rewrite an asctime date into the RFC order (day month year time)."""
+    return F.when(v.rlike(_ASCTIME_RE), F.regexp_replace(
+        v, _ASCTIME_RE, "$2 $1 $6 $3:$4:$5")).otherwise(v)
+
+
 def parse_parts(value: Column) -> Column:
     """STRUCT(local TIMESTAMP, offset_min INT or NULL for naive); NULL if unparseable."""
-    v = F.coalesce(value, F.lit(""))
+    v = _to_rfc(F.coalesce(value, F.lit("")))
     ok = v.rlike(_DATE_RE)
     mon_name = F.lower(_g(v, 2))
     mon = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), mon_name)
