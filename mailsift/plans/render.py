@@ -162,3 +162,135 @@ QUERIES = {
     "parse_errors": parse_errors,
     "message_ordinals": message_ordinals,
 }
+
+
+# ------------------------------------------------------------ document blocks
+
+# The em dash of block titles and the look-alike letters (U+02BC x3) that
+# replace a triple backtick inside a quoted body.
+DASH = "—"
+FENCE_ESCAPE = "ʼʼʼ"
+TABLE_HEAD = "| # | filename | mime | size | sha-256 | saved as |\n|---|---|---|---|---|---|\n"
+
+
+def fmt_size(n):
+    """Bytes as 'N B', 'x.y KB' or 'x.yy MB' (ties to even, as Python formats)."""
+    return F.when(n < 1024, F.format_string("%d B", n)) \
+        .when(n < 1024 * 1024, F.format_string("%.1f KB", F.bround(n / 1024.0, 1))) \
+        .otherwise(F.format_string("%.2f MB", F.bround(n / 1048576.0, 2)))
+
+
+def _field(label: str, value, optional: bool = False):
+    line = F.concat(F.lit(label.ljust(16)), value, F.lit("\n"))
+    return F.when(value != "", line) if optional else line
+
+
+def document_blocks(spark, sf_dir):
+    """The markdown block of each message, in document order (n_all)."""
+    m = numbered(spark, sf_dir).withColumn("rb", P.render_body(F.col("parts")))
+    date_txt = F.when(F.col("dated"), F.concat(
+        F.date_format("date_utc", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))) \
+        .otherwise(F.lit("(no date)"))
+    subject = F.coalesce(F.nullif("subject", F.lit("")), F.lit("(no subject)"))
+    mid = F.coalesce(F.nullif("message_id", F.lit("")), F.lit("(none)"))
+    body = F.col("rb.body")
+    body_txt = F.when(body != "", F.concat(
+        F.lit("```text\n"), F.replace(body, F.lit("```"), F.lit(FENCE_ESCAPE)),
+        F.when(body.endswith("\n"), F.lit("")).otherwise(F.lit("\n")), F.lit("```\n\n"))) \
+        .otherwise(F.lit("_(no decodable text body)_\n\n"))
+    rows = F.array_join(F.transform("attachments", lambda a: F.format_string(
+        "| %d | `%s` | `%s` | %s | `%s` | `attachments/%s__%02d__%s` |\n", a["k"], a["filename"],
+        a["content_type"], fmt_size(a["size"]), a["sha256"], F.col("n"), a["k"],
+        safe_filename(a["filename"]))), "")
+    atts = F.when(F.size("attachments") > 0, F.concat(
+        F.format_string("**Attachments (%d)**\n\n", F.size("attachments")), F.lit(TABLE_HEAD),
+        rows, F.lit("\n"))).otherwise(F.lit(""))
+    block = F.concat_ws(
+        "",
+        F.concat(F.lit("### "), F.col("n"), F.lit(f" {DASH} "), date_txt, F.lit(f" {DASH} "),
+                 subject, F.lit("\n\n```yaml\n")),
+        _field("n:", F.col("n")), _field("date_utc:", date_txt),
+        _field("date_header:", F.col("date_raw")), _field("from:", F.col("from")),
+        _field("to:", F.col("to")), _field("cc:", F.col("cc"), True),
+        _field("bcc:", F.col("bcc"), True), _field("reply_to:", F.col("reply_to"), True),
+        _field("sender:", F.col("sender"), True),
+        _field("delivered_to:", F.col("delivered_to"), True),
+        _field("subject:", subject), _field("message_id:", mid),
+        _field("in_reply_to:", F.col("in_reply_to"), True),
+        _field("references:", F.col("references"), True),
+        _field("mime_version:", F.col("mime_version"), True),
+        _field("source_offset:", F.col("byte_offset").cast("string")),
+        _field("raw_size_bytes:", F.col("raw_size").cast("string")),
+        _field("raw_sha256:", F.col("raw_sha256")), _field("body_source:", F.col("rb.body_source")),
+        F.lit("```\n\n**Body**\n\n"), body_txt, atts, F.lit("---\n\n"))
+    return m.select(F.when(F.col("dated"), F.lit(1)).otherwise(F.lit(2)).alias("section"),
+                    "n", "n_all", block.alias("block"))
+
+
+def _duck_field(label, value, optional=False):
+    line = f"'{label.ljust(16)}' || {value} || chr(10)"
+    return f"CASE WHEN {value} <> '' THEN {line} ELSE '' END" if optional else line
+
+
+def _duck_size(n):
+    return (f"CASE WHEN {n} < 1024 THEN printf('%d B', {n}) WHEN {n} < 1048576 THEN "
+            f"printf('%.1f KB', round_even({n} / 1024.0, 1)) ELSE "
+            f"printf('%.2f MB', round_even({n} / 1048576.0, 2)) END")
+
+
+def _document_sql():
+    from mailsift import oracle as O
+    date_txt = ("CASE WHEN date_utc IS NULL THEN '(no date)' ELSE "
+                "strftime(date_utc, '%Y-%m-%dT%H:%M:%S') || '+00:00' END")
+    subj = "CASE WHEN subject = '' THEN '(no subject)' ELSE subject END"
+    mid = "CASE WHEN message_id = '' THEN '(none)' ELSE message_id END"
+    frm = ("'User ' || CAST(doc_id % 50 AS VARCHAR) || ' <u' || CAST(doc_id % 50 AS VARCHAR) || '@'"
+           " || source || '.example.com>'")
+    to = "'Team <t' || CAST(doc_id % 7 AS VARCHAR) || '@example.org>, x@' || source || '.example.net'"
+    deliv = ("CASE delivered_n WHEN 2 THEN 'd@example.com, d@example.com' WHEN 1 THEN "
+             "'d@example.com' ELSE '' END")
+    body = (f"CASE WHEN html_only THEN {O.html_to_text('html_payload')} "
+            f"ELSE {O.strip_ws('plain_payload')} END")
+    src = "CASE WHEN html_only THEN 'text/html->stripped' ELSE 'text/plain' END"
+    fields = " || ".join([
+        _duck_field("n:", "n"), _duck_field("date_utc:", date_txt),
+        _duck_field("date_header:", "coalesce(date_raw, '')"), _duck_field("from:", frm),
+        _duck_field("to:", to), _duck_field("cc:", "coalesce(cc_h, '')", True),
+        _duck_field("reply_to:", "coalesce(reply_h, '')", True),
+        _duck_field("delivered_to:", deliv, True), _duck_field("subject:", subj),
+        _duck_field("message_id:", mid), _duck_field("mime_version:", "'1.0'", True),
+        _duck_field("source_offset:", "CAST(byte_offset AS VARCHAR)"),
+        _duck_field("raw_size_bytes:", "CAST(raw_size AS VARCHAR)"),
+        _duck_field("raw_sha256:", "raw_sha256"), _duck_field("body_source:", "body_source")])
+    row = (f"'| ' || CAST(a.k AS VARCHAR) || ' | `' || a.fname || '` | `' || a.content_type || '` | '"
+           f" || {_duck_size('a.size')} || ' | `' || a.sha256 || '` | `attachments/' || nd.n || '__' ||"
+           f" printf('%02d', CAST(a.k AS INTEGER)) || '__' || a.fname || '` |' || chr(10)")
+    return W + _NUM + f""",
+b AS (SELECT source_mbox, byte_offset, {body} AS body, {src} AS body_source,
+             CAST(strlen(raw_text) AS BIGINT) AS raw_size
+      FROM ep JOIN (SELECT doc_id, raw_text FROM mr) rt USING (doc_id)),
+a AS (SELECT pl.*, row_number() OVER (PARTITION BY pl.source_mbox, pl.byte_offset ORDER BY ord) AS k,
+             coalesce(pl.filename, printf('part_%03d', CAST(row_number() OVER (PARTITION BY
+               pl.source_mbox, pl.byte_offset ORDER BY ord) - 1 AS INTEGER))) AS fname
+      FROM pl WHERE kind IN ('att', 'img')),
+r AS (SELECT a.source_mbox, a.byte_offset, string_agg({row}, '' ORDER BY a.k) AS rows, count(*) AS c
+      FROM a JOIN nd ON a.source_mbox = nd.source_mbox AND a.byte_offset = nd.byte_offset
+      GROUP BY a.source_mbox, a.byte_offset),
+num AS (SELECT *, row_number() OVER (ORDER BY CASE WHEN date_utc IS NULL THEN 1 ELSE 0 END,
+          date_utc, CASE WHEN date_utc IS NULL THEN '' ELSE message_id END, source_ord, byte_offset)
+          AS n_all FROM nd)
+SELECT CASE WHEN num.date_utc IS NULL THEN 2 ELSE 1 END AS section, num.n, num.n_all,
+  '### ' || num.n || ' {DASH} ' || {date_txt} || ' {DASH} ' || {subj} || chr(10) || chr(10) ||
+  '```yaml' || chr(10) || {fields} || '```' || chr(10) || chr(10) || '**Body**' || chr(10) || chr(10) ||
+  CASE WHEN b.body <> '' THEN '```text' || chr(10) || replace(b.body, '```', '{FENCE_ESCAPE}') ||
+       CASE WHEN suffix(b.body, chr(10)) THEN '' ELSE chr(10) END || '```' || chr(10) || chr(10)
+       ELSE '_(no decodable text body)_' || chr(10) || chr(10) END ||
+  CASE WHEN r.c IS NULL THEN '' ELSE '**Attachments (' || CAST(r.c AS VARCHAR) || ')**' || chr(10) ||
+       chr(10) || {O.sql_str(TABLE_HEAD)} || r.rows || chr(10) END ||
+  '---' || chr(10) || chr(10) AS block
+FROM num JOIN b USING (source_mbox, byte_offset)
+LEFT JOIN r USING (source_mbox, byte_offset)"""
+
+
+SQL["document_blocks"] = _document_sql()
+QUERIES["document_blocks"] = document_blocks
