@@ -21,37 +21,32 @@ INDEX_COLUMNS = ["n", "date_utc", "date_raw", "from", "to", "cc", "subject", "me
 def parsed(spark, sf_dir):
     """One row per record: headers (native) + MIME parts (mapInArrow) + render fields."""
     m = mime_table(spark, sf_dir)
-    hd = F.col("headers")
-    date_raw = H.header_values(hd, "date")
     return m.select(
         "source_ord", "source_mbox", "byte_offset", "raw_sha256", "raw_size", "parts",
-        "parse_error", date_raw.alias("date_raw"), D.date_utc(date_raw).alias("date_utc"),
-        F.coalesce(strip_ws(H.header_first(hd, "message-id")), F.lit("")).alias("message_id"),
-        "subject",
-        H.display_list(hd, "From").alias("from"), H.display_list(hd, "To").alias("to"),
-        H.display_list(hd, "Cc").alias("cc"), H.display_list(hd, "Bcc").alias("bcc"),
-        H.display_list(hd, "Reply-To").alias("reply_to"),
-        H.display_list(hd, "Sender").alias("sender"),
-        H.display_list(hd, "Delivered-To").alias("delivered_to"),
-        H.header_values(hd, "In-Reply-To").alias("in_reply_to"),
-        H.header_values(hd, "References").alias("references"),
-        H.header_values(hd, "MIME-Version").alias("mime_version"),
-        P.render_attachments(F.col("parts")).alias("attachments"))
-
-
-def numbered(spark, sf_dir):
+        "parse_error", "date_raw", "date_utc", "message_id", "subject",
+        F.col("from_d").alias("from"), F.col("to_d").alias("to"), F.col("cc_d").alias("cc"),
+        F.col("bcc_d").alias("bcc"), F.col("reply_to_d").alias("reply_to"),
+        F.col("sender_d").alias("sender"), F.col("delivered_to_d").alias("delivered_to"),
+        "in_reply_to", "references", "mime_version", "attachments")
+
+
+def numbered(spark, sf_dir, with_body: bool = False):
     """Dated messages 0001.. by (date_utc, message_id), stable in source
-    order; undated U0001.. in source order; n continues across both sections."""
+    order; undated U0001.. in source order; n continues across both sections.
+
+    Only the columns the render jobs need are numbered (no MIME payloads); the body is
+    chosen before numbering when a job needs it."""
     ok = parsed(spark, sf_dir).where(F.col("parse_error").isNull()) \
         .withColumn("dated", F.col("date_utc").isNotNull()) \
+        .withColumn("_sec", F.when(F.col("dated"), F.lit(0)).otherwise(F.lit(1))) \
         .withColumn("_k2", F.when(F.col("dated"), F.col("message_id")).otherwise(F.lit("")))
-    ok = ok.withColumn("_sec", F.when(F.col("dated"), F.lit(0)).otherwise(F.lit(1)))
-    allnum = number_rows(ok, ["_sec", "date_utc", "_k2", "source_ord", "byte_offset"], "n_all")
-    und = number_rows(allnum.where(~F.col("dated")), ["source_ord", "byte_offset"], "j")
-    dat = allnum.where(F.col("dated")).withColumn("j", F.lit(None).cast("long"))
-    both = dat.unionByName(und)
-    return both.withColumn("n", F.when(F.col("dated"), F.format_string("%04d", F.col("n_all")))
-                           .otherwise(F.format_string("U%04d", F.col("j"))))
+    if with_body:
+        ok = ok.withColumn("rb", P.render_body(F.col("parts")))
+    ok = ok.drop("parts")
+    num = number_rows(ok, ["_sec", "date_utc", "_k2", "source_ord", "byte_offset"], "n_all",
+                      section="_sec", section_out="j")
+    return num.withColumn("n", F.when(F.col("dated"), F.format_string("%04d", F.col("n_all")))
+                          .otherwise(F.format_string("U%04d", F.col("j"))))
 
 
 def message_index(spark, sf_dir):
@@ -187,7 +182,7 @@ def _field(label: str, value, optional: bool = False):
 
 def document_blocks(spark, sf_dir):
     """The markdown block of each message, in document order (n_all)."""
-    m = numbered(spark, sf_dir).withColumn("rb", P.render_body(F.col("parts")))
+    m = numbered(spark, sf_dir, with_body=True)
     date_txt = F.when(F.col("dated"), F.concat(
         F.date_format("date_utc", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))) \
         .otherwise(F.lit("(no date)"))

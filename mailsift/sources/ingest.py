@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailsift.functions import dates as D
 from mailsift.functions import headers as H
+from mailsift.functions.text import strip_ws
 from mailsift.operators import parts as P
 from mailsift.operators.messages import messages
 from mailsift.sources.binding import mail
@@ -23,15 +25,29 @@ def messages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialized(spark, "messages", sf_dir, lambda: messages(mail(spark, sf_dir)))
 
 
+RENDER_HEADERS = ("From", "To", "Cc", "Bcc", "Reply-To", "Sender", "Delivered-To")
+
+
 def mime_of(m: DataFrame) -> DataFrame:
-    """(keys..., raw) -> keys + raw_sha256, raw_size, headers, subject, parts, parse_error."""
+    """(keys..., raw) -> keys + raw_sha256, raw_size, headers, the decoded subject, the
+    render fields (dates, Message-ID, display lists, thread headers), parts, parse_error
+    and the render attachment list."""
     hd = H.parse_headers(H.message_text(F.col("raw")))
     m = m.select("source_ord", "source_mbox", "byte_offset",
                  F.sha2(F.col("raw"), 256).alias("raw_sha256"),
                  F.octet_length("raw").cast("long").alias("raw_size"),
                  hd.alias("headers"), "raw")
-    m = m.withColumn("subject", H.decode_subject(H.header_first(F.col("headers"), "subject")))
-    return P.with_parts(m)
+    h = F.col("headers")
+    date_raw = H.header_values(h, "date")
+    m = m.select(
+        "*", H.decode_subject(H.header_first(h, "subject")).alias("subject"),
+        date_raw.alias("date_raw"), D.date_utc(date_raw).alias("date_utc"),
+        F.coalesce(strip_ws(H.header_first(h, "message-id")), F.lit("")).alias("message_id"),
+        *[H.display_list(h, n).alias(n.lower().replace("-", "_") + "_d") for n in RENDER_HEADERS],
+        H.header_values(h, "In-Reply-To").alias("in_reply_to"),
+        H.header_values(h, "References").alias("references"),
+        H.header_values(h, "MIME-Version").alias("mime_version"))
+    return P.with_parts(m).withColumn("attachments", P.render_attachments(F.col("parts")))
 
 
 def mime_table(spark: SparkSession, sf_dir: str) -> DataFrame:
