@@ -36,8 +36,12 @@ def normalize_ws(c: Column) -> Column:
 
 
 def sentence_array(flat: Column) -> Column:
-    """Split normalized text after '.', '!' or '?' followed by a space; keeps the empty tail."""
-    return F.split(flat, r"(?<=[.!?]) ", -1)
+    """Split normalized text after '.', '!' or '?' followed by a space; keeps the empty tail.
+
+    Equivalent to splitting on the look-behind ``(?<=[.!?]) ``: normalized text holds no
+    newline, so each split point is marked with one and the split is a single-character
+    split (Java's fast path) instead of a look-behind regex scan."""
+    return F.split(F.regexp_replace(flat, r"([.!?]) ", "$1\n"), "\n", -1)
 
 
 def clean_text(c: Column) -> Column:

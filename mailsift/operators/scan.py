@@ -29,7 +29,10 @@ def _term_count(terms: DataFrame) -> int:
 
 def sentences(df: DataFrame, keys: list[str], text: Column, split: bool = True) -> DataFrame:
     """keys + sentence_ord (1-based) + sentence, for texts whose normalized form is non-empty."""
-    flat = df.select(*keys, normalize_ws(text).alias("_flat")).where(F.length("_flat") > 0)
+    # A text normalizes to '' only when it is '' already: filter on the raw length so the
+    # whitespace regex is not evaluated twice (or below a repartition).
+    flat = df.select(*keys, text.alias("_text")).where(F.length("_text") > 0) \
+        .select(*keys, normalize_ws(F.col("_text")).alias("_flat"))
     if not split:
         return flat.select(*keys, F.lit(1).alias("sentence_ord"), F.col("_flat").alias("sentence"))
     return flat.select(*keys, F.posexplode(sentence_array(F.col("_flat"))).alias("_pos", "sentence")) \
@@ -75,9 +78,8 @@ def scan_locations(df: DataFrame, keys: list[str], texts: list[tuple[str, Column
     input is computed once."""
     loc = F.explode(F.array(*[F.struct(F.lit(name).alias("location"), text.alias("text"),
                                        F.lit(split).alias("split")) for name, text, split in texts]))
-    items = df.select(*keys, loc.alias("_t")).select(
-        *keys, "_t.location", "_t.split", normalize_ws(F.col("_t.text")).alias("_flat")) \
-        .where(F.length("_flat") > 0)
+    items = df.select(*keys, loc.alias("_t")).where(F.length("_t.text") > 0).select(
+        *keys, "_t.location", "_t.split", normalize_ws(F.col("_t.text")).alias("_flat"))
     pieces = F.when(F.col("split"), sentence_array(F.col("_flat"))).otherwise(F.array("_flat"))
     sent = items.select(*keys, "location", F.posexplode(pieces).alias("_pos", "sentence")) \
         .select(*keys, "location", (F.col("_pos") + 1).alias("sentence_ord"), "sentence")
