@@ -23,16 +23,11 @@ PIPELINE_NEEDLE = "@partner.test"
 
 
 def scan_frame(with_parts_df):
-    """Per message: the four prefix fields of a hit row and the scan body."""
-    hd = F.col("headers")
-    date_first = H.header_first(hd, "date")
-    iso = D.date_iso(date_first)
+    """Per message: the four prefix fields of a hit row (C7: ISO date, else the raw first
+    Date header) and the scan body."""
     return with_parts_df.select(
-        *K, F.when(iso != "", iso).otherwise(F.coalesce(date_first, F.lit(""))).alias("date"),
-        F.coalesce(H.header_first(hd, "from"), F.lit("")).alias("from"),
-        F.coalesce(H.header_first(hd, "to"), F.lit("")).alias("to"),
-        "subject",
-        P.scan_body(F.col("parts")).alias("body"))
+        *K, F.col("scan_date").alias("date"), F.col("from_first").alias("from"),
+        F.col("to_first").alias("to"), "subject", P.scan_body(F.col("parts")).alias("body"))
 
 
 def hits_of(frame, terms):
@@ -51,6 +46,7 @@ def q_pipeline_hits(spark, sf_dir):
     """Extract by address -> first-wins dedup -> strip attachments -> scan -> clean."""
     m = mime_table(spark, sf_dir)
     m = m.select("source_ord", "source_mbox", "byte_offset", "headers", "parts", "subject",
+                 "scan_date", "from_first", "to_first",
                  strip_ws(F.coalesce(H.header_first(F.col("headers"), "message-id"), F.lit("")))
                  .alias("message_id"), H.participants(F.col("headers")).alias("participants"))
     extracted = X.extract(m, PIPELINE_NEEDLE).drop("participants", "message_id")

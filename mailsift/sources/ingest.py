@@ -46,7 +46,13 @@ def mime_of(m: DataFrame) -> DataFrame:
         *[H.display_list(h, n).alias(n.lower().replace("-", "_") + "_d") for n in RENDER_HEADERS],
         H.header_values(h, "In-Reply-To").alias("in_reply_to"),
         H.header_values(h, "References").alias("references"),
-        H.header_values(h, "MIME-Version").alias("mime_version"))
+        H.header_values(h, "MIME-Version").alias("mime_version"),
+        H.header_first(h, "date").alias("date_first"),
+        F.coalesce(H.header_first(h, "from"), F.lit("")).alias("from_first"),
+        F.coalesce(H.header_first(h, "to"), F.lit("")).alias("to_first"))
+    iso = D.date_iso(F.col("date_first"))
+    m = m.withColumn("scan_date", F.when(iso != "", iso)
+                     .otherwise(F.coalesce(F.col("date_first"), F.lit(""))))
     return P.with_parts(m).withColumn("attachments", P.render_attachments(F.col("parts")))
 
 
