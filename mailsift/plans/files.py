@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from mailsift import oracle as O
@@ -11,7 +9,7 @@ from mailsift.plans import corpus
 from mailsift.session import shared_dir
 from mailsift.sources.binding import duck_mail_cte, mail
 from mailsift.sources.mbox import read_mbox, write_mbox
-from mailsift.sources.tables import _fingerprint, path_exists, table
+from mailsift.sources.tables import _fingerprint, path_exists, table, touch
 
 ARCHIVES = ("all_mail.mbox", "sent.mbox")
 # Small splits so that records straddle partition boundaries at every scale we test.
@@ -25,9 +23,9 @@ def archives(spark, sf_dir) -> list[str]:
         m = mail(spark, sf_dir)
         for name in ARCHIVES:
             write_mbox(m.where(F.col("source_mbox") == name).sortWithinPartitions("byte_offset"),
-                       os.path.join(base, name))
-        open(os.path.join(base, "_SUCCESS"), "w").close()
-    return [os.path.join(base, name) for name in ARCHIVES]
+                       f"{base}/{name}")
+        touch(spark, base + "/_SUCCESS")
+    return [f"{base}/{name}" for name in ARCHIVES]
 
 
 def q_mbox_scan(spark, sf_dir):

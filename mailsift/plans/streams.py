@@ -3,25 +3,22 @@ each is checked against the same SQL as its batch job (batch = stream)."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from mailsift.plans import extract as EXP
 from mailsift.plans import mime as MIME
 from mailsift.session import shared_dir
 from mailsift.sources.binding import duck_mail_cte, mail
-from mailsift.sources.tables import _fingerprint, path_exists
+from mailsift.sources.tables import _fingerprint, path_exists, touch
 from mailsift.streaming import incremental as INC
 
 CHUNKS_PER_ARCHIVE = 3
 
 
 def stream_input(spark, sf_dir) -> str:
-    """The mail table as parquet files in archive order (one file per chunk, written in
-    order so the file source replays them in archive order)."""
+    """The mail table as parquet chunks in archive order, one folder per chunk written in
+    order, so the file source (oldest first, one file per trigger) replays archive order."""
     base = shared_dir(spark, f"stream/{_fingerprint(spark, sf_dir)}")
-    folder = base + "/in"
     if not path_exists(spark, base + "/_IN_DONE"):
         m = mail(spark, sf_dir)
         top = m.agg(F.max("byte_offset")).first()[0] or 0
@@ -31,14 +28,10 @@ def stream_input(spark, sf_dir) -> str:
             for c in range(CHUNKS_PER_ARCHIVE):
                 part = m.where((F.col("source_ord") == src) &
                                (F.floor(F.col("byte_offset") / width) == c))
-                part.coalesce(1).write.mode("overwrite").parquet(f"{base}/tmp/{k:04d}")
-                for f in sorted(os.listdir(f"{base}/tmp/{k:04d}")):
-                    if f.endswith(".parquet"):
-                        os.makedirs(folder, exist_ok=True)
-                        os.replace(f"{base}/tmp/{k:04d}/{f}", f"{folder}/chunk-{k:04d}.parquet")
+                part.coalesce(1).write.mode("overwrite").parquet(f"{base}/in/chunk={k:04d}")
                 k += 1
-        open(base + "/_IN_DONE", "w").close()
-    return folder
+        touch(spark, base + "/_IN_DONE")
+    return base + "/in/*/*.parquet"
 
 
 def _run_dirs(spark, sf_dir, name):

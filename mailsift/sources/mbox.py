@@ -22,6 +22,8 @@ import os
 import re
 import uuid
 
+from pyarrow import fs as pafs
+
 from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWriter,
                                     InputPartition, WriterCommitMessage)
 
@@ -31,34 +33,53 @@ _LOOKAHEAD = 6          # len(b"From x")
 _CHUNK = 4 * 1024 * 1024
 
 
-def expand_paths(paths: list[str]) -> tuple[list[tuple[int, str]], list[str]]:
-    """(ordinal, file) pairs in argument order, and the paths that do not exist."""
+def filesystem(path: str):
+    """(pyarrow FileSystem, path inside it) for a local path or a URI (hdfs://, s3://, ...)."""
+    if "://" in path:
+        return pafs.FileSystem.from_uri(path)
+    return pafs.LocalFileSystem(), os.path.abspath(path)
+
+
+def _join(base: str, name: str) -> str:
+    return base.rstrip("/") + "/" + name
+
+
+def expand_paths(paths: list[str]) -> tuple[list[tuple[int, str, int]], list[str]]:
+    """(ordinal, file, size) in argument order, and the paths that do not exist."""
     files, missing = [], []
     for ord_, p in enumerate(paths):
-        if os.path.isdir(p):
-            for name in sorted(os.listdir(p)):
-                full = os.path.join(p, name)
-                if os.path.isfile(full) and not name.startswith(("_", ".")):
-                    files.append((ord_, full))
-        elif os.path.isfile(p):
-            files.append((ord_, p))
+        fs, inner = filesystem(p)
+        info = fs.get_file_info(inner)
+        if info.type == pafs.FileType.Directory:
+            found = fs.get_file_info(pafs.FileSelector(inner))
+            for f in sorted(found, key=lambda x: x.base_name):
+                if f.type == pafs.FileType.File and not f.base_name.startswith(("_", ".")):
+                    files.append((ord_, _join(p, f.base_name), f.size))
+        elif info.type == pafs.FileType.File:
+            files.append((ord_, p, info.size))
         else:
             missing.append(p)
     return files, missing
 
 
+def missing_paths(paths: list[str]) -> list[str]:
+    """The given archives that do not exist (skipped by the reader, reported here)."""
+    return expand_paths(paths)[1]
+
+
 class _Range(InputPartition):
     def __init__(self, ord_: int, path: str, archive: str, start: int, end: int):
         self.ord, self.path, self.archive, self.start, self.end = ord_, path, archive, start, end
 
 
 def _archive_name(path: str, given: str) -> str:
-    return os.path.basename(given.rstrip("/")) if os.path.isdir(given) else os.path.basename(path)
+    return given.rstrip("/").rsplit("/", 1)[-1] if path != given else path.rsplit("/", 1)[-1]
 
 
 def read_range(path: str, start: int, end: int):
     """Yield (offset, raw) for records whose separator starts in [start, end)."""
-    with open(path, "rb") as f:
+    fs, inner = filesystem(path)
+    with fs.open_input_file(inner) as f:
         lead = 1 if start > 0 else 0
         f.seek(start - lead)
         window = f.read(end - start + lead + _LOOKAHEAD)
@@ -97,8 +118,7 @@ class MboxReader(DataSourceReader):
     def partitions(self):
         files, _missing = expand_paths(self.paths)
         parts = []
-        for ord_, path in files:
-            size = os.path.getsize(path)
+        for ord_, path, size in files:
             archive = _archive_name(path, self.paths[ord_])
             for start in range(0, max(size, 1), self.split):
                 parts.append(_Range(ord_, path, archive, start, min(start + self.split, size)))
@@ -131,19 +151,21 @@ class MboxWriter(DataSourceWriter):
         from pyspark import TaskContext
         ctx = TaskContext.get()
         pid = ctx.partitionId() if ctx else 0
-        os.makedirs(self.folder, exist_ok=True)
-        final = os.path.join(self.folder, f"part-{pid:05d}-{uuid.uuid4().hex[:8]}.mbox")
-        tmp = os.path.join(self.folder, f"_tmp-{uuid.uuid4().hex}")
-        with open(tmp, "wb") as out:
+        fs, folder = filesystem(self.folder)
+        fs.create_dir(folder, recursive=True)
+        final = _join(folder, f"part-{pid:05d}-{uuid.uuid4().hex[:8]}.mbox")
+        tmp = _join(folder, f"_tmp-{uuid.uuid4().hex}")
+        with fs.open_output_stream(tmp) as out:
             for row in rows:
                 out.write(finish_record(bytes(row["raw"])))
-        os.replace(tmp, final)
+        fs.move(tmp, final)
         return _Written(final)
 
     def abort(self, messages):
+        fs, _folder = filesystem(self.folder)
         for m in messages or []:
-            if m is not None and os.path.exists(m.path):
-                os.remove(m.path)
+            if m is not None and fs.get_file_info(m.path).type == pafs.FileType.File:
+                fs.delete_file(m.path)
 
 
 class MboxDataSource(DataSource):

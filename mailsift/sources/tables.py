@@ -37,6 +37,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file through the cluster file system (any scheme)."""
+    fs, jpath = _fs(spark, path)
+    fs.create(jpath, True).close()
+
+
 def _code_hash() -> str:
     """Hash of the package source, so tables written by other code are never reused."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
