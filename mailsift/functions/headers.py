@@ -70,17 +70,30 @@ def mailboxes(value: Column) -> Column:
 
 
 def header_mailboxes(headers: Column, names, first_only: bool = False) -> Column:
-    """Mailboxes of the given headers, header by header, with the header name attached."""
-    arrays = []
-    for n in names:
-        vals = F.filter(headers, lambda h: h["name"] == F.lit(n))
-        if first_only:
-            vals = F.slice(vals, 1, 1)
-        arrays.append(F.flatten(F.transform(vals, lambda h: F.transform(
-            mailboxes(one_line(h["value"])),
-            lambda b: F.struct(F.lit(n).alias("header"), b["display"].alias("display"),
-                               b["addr"].alias("addr"))))))
-    return F.concat(*arrays) if len(arrays) > 1 else arrays[0]
+    """Mailboxes of the given headers, grouped header by header in the order of ``names``
+    (occurrence order inside a header), each with its header name.
+
+    One pass over the selected headers: every value is unfolded once and parsed once; a
+    stable sort on the header's rank restores the per-header grouping."""
+    names = [n.lower() for n in names]
+    name_arr = F.array(*[F.lit(n) for n in names])
+    sel = F.filter(headers, lambda h: F.array_contains(name_arr, h["name"]))
+    if first_only:
+        sel = F.filter(sel, lambda h, i: ~F.exists(
+            F.slice(sel, 1, F.greatest(i, F.lit(1))),
+            lambda g: (g["name"] == h["name"]) & (i > 0)))
+    lines = F.transform(sel, lambda h: F.struct(
+        h["name"].alias("header"), one_line(h["value"]).alias("v"),
+        F.array_position(name_arr, h["name"]).cast("int").alias("r")))
+    boxes = F.flatten(F.transform(lines, lambda x: F.transform(
+        mailboxes(x["v"]), lambda b: F.struct(x["header"].alias("header"),
+                                              b["display"].alias("display"),
+                                              b["addr"].alias("addr"), x["r"].alias("r")))))
+    if len(names) > 1:
+        boxes = F.array_sort(boxes, lambda a, b: a["r"] - b["r"])
+    return F.transform(boxes, lambda b: F.struct(b["header"].alias("header"),
+                                                 b["display"].alias("display"),
+                                                 b["addr"].alias("addr")))
 
 
 def participants(headers: Column) -> Column:

@@ -78,6 +78,18 @@ def q_attachment_manifest(spark, sf_dir):
         "a.sha256")
 
 
+def q_stripped_messages(spark, sf_dir):
+    """B2/D6f: the attachment-free copy of each message, checked by parsing it again:
+    the MIME node types it holds, in order."""
+    from mailsift.sources.binding import mail
+    s = P.stripped_messages(mail(spark, sf_dir))
+    again = P.with_parts(s.select("source_ord", "source_mbox", "byte_offset",
+                                  F.col("stripped").alias("raw")))
+    return again.select(*K, F.array_join(F.transform("parts", lambda p: p["content_type"]), ",")
+                        .alias("content_types"),
+                        F.col("parse_error").isNull().alias("parses"))
+
+
 # ---------------------------------------------------------------- oracle SQL
 
 _ESC_T = "regexp_replace(text, '(?m)^From ', '>From ', 'g')"
@@ -131,7 +143,12 @@ SQL = {
   content_type, CAST(size AS BIGINT) AS size, sha256 FROM pl WHERE kind IN ('att', 'img')""",
 }
 
+SQL["stripped_messages"] = W + """SELECT source_mbox, byte_offset,
+  string_agg(content_type, ',' ORDER BY ord) AS content_types, true AS parses
+FROM pl WHERE kind <> 'att' GROUP BY source_mbox, byte_offset"""
+
 QUERIES = {
+    "stripped_messages": q_stripped_messages,
     "parts_explode": q_parts_explode,
     "scan_body": q_scan_body,
     "render_body": q_render_body,

@@ -13,6 +13,8 @@ from mailsift.sources.tables import _fingerprint, path_exists, touch
 from mailsift.streaming import incremental as INC
 
 CHUNKS_PER_ARCHIVE = 3
+# One archive per micro-batch in the registered runs (the library default is one file).
+FILES_PER_BATCH = CHUNKS_PER_ARCHIVE
 
 
 def stream_input(spark, sf_dir) -> str:
@@ -43,7 +45,7 @@ def q_extract_incremental(spark, sf_dir):
     """L1/L2/L3/E5: exactly-once incremental extract; equals the batch first-wins result."""
     src = stream_input(spark, sf_dir)
     out, ckpt = _run_dirs(spark, sf_dir, "extract")
-    INC.run_extract_incremental(spark, src, out, ckpt, EXP.EXTRACT_NEEDLE)
+    INC.run_extract_incremental(spark, src, out, ckpt, EXP.EXTRACT_NEEDLE, FILES_PER_BATCH)
     return spark.read.parquet(out).select("source_mbox", "byte_offset", "message_id")
 
 
@@ -51,7 +53,7 @@ def q_stream_dedup(spark, sf_dir):
     """L2: distinct non-blank Message-IDs through streaming state."""
     src = stream_input(spark, sf_dir)
     out, ckpt = _run_dirs(spark, sf_dir, "dedup")
-    INC.run_stream_dedup(spark, src, out, ckpt)
+    INC.run_stream_dedup(spark, src, out, ckpt, FILES_PER_BATCH)
     return spark.read.parquet(out).select("message_id")
 
 
@@ -59,7 +61,7 @@ def q_strip_incremental(spark, sf_dir):
     """L4: incremental strip; its inventory equals the batch inventory."""
     src = stream_input(spark, sf_dir)
     out, ckpt = _run_dirs(spark, sf_dir, "strip")
-    INC.run_strip_incremental(spark, src, out, ckpt)
+    INC.run_strip_incremental(spark, src, out, ckpt, FILES_PER_BATCH)
     return spark.read.parquet(out + "/inventory").drop("batch_id")
 
 

@@ -28,7 +28,7 @@ def messages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 RENDER_HEADERS = ("From", "To", "Cc", "Bcc", "Reply-To", "Sender", "Delivered-To")
 
 
-def mime_of(m: DataFrame) -> DataFrame:
+def mime_of(m: DataFrame, keep_raw: bool = False) -> DataFrame:
     """(keys..., raw) -> keys + raw_sha256, raw_size, headers, the decoded subject, the
     render fields (dates, Message-ID, display lists, thread headers), parts, parse_error
     and the render attachment list."""
@@ -53,7 +53,9 @@ def mime_of(m: DataFrame) -> DataFrame:
     iso = D.date_iso(F.col("date_first"))
     m = m.withColumn("scan_date", F.when(iso != "", iso)
                      .otherwise(F.coalesce(F.col("date_first"), F.lit(""))))
-    return P.with_parts(m).withColumn("attachments", P.render_attachments(F.col("parts")))
+    keys = [c for c in m.columns if c != "raw"]
+    return P.with_parts(m, keys=keys, keep_raw=keep_raw) \
+        .withColumn("attachments", P.render_attachments(F.col("parts")))
 
 
 def mime_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,29 +53,30 @@ def _committed(spark: SparkSession, out: str, batch_id: int) -> DataFrame | None
 
 
 def run_extract_incremental(spark: SparkSession, source: str, out: str, checkpoint: str,
-                            address: str) -> None:
+                            address: str, files_per_batch: int = 1) -> None:
     """L1/L2/E5: first-wins extract across micro-batches; batch order = archive order."""
     check_fingerprint(checkpoint, {"job": "extract", "source": source, "address": address})
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        ex = X.extract(messages(df), address).select(
-            "source_ord", "source_mbox", "byte_offset", "message_id", "date_iso", "date_raw",
-            "from", "to", "cc", "subject_raw", "raw")
+        cols = ["source_ord", "source_mbox", "byte_offset", "message_id", "date_iso",
+                "date_raw", "from", "to", "cc", "subject_raw", "raw"]
+        ex = X.extract(messages(df).select(*cols, "participants"), address).select(*cols)
         done = _committed(df.sparkSession, out, batch_id)
         if done is not None:
             ids = done.where(F.col("message_id") != "").select("message_id").distinct()
             ex = ex.join(ids, "message_id", "left_anti")
         ex.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    q = mail_stream(spark, source).writeStream.foreachBatch(batch) \
+    q = mail_stream(spark, source, files_per_batch).writeStream.foreachBatch(batch) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 
 
-def run_stream_dedup(spark: SparkSession, source: str, out: str, checkpoint: str) -> None:
+def run_stream_dedup(spark: SparkSession, source: str, out: str, checkpoint: str,
+                     files_per_batch: int = 1) -> None:
     """L2: state-store de-duplication of non-blank Message-IDs (unbounded key state)."""
     check_fingerprint(checkpoint, {"job": "stream_dedup", "source": source})
-    m = messages(mail_stream(spark, source)).where(F.col("message_id") != "") \
+    m = messages(mail_stream(spark, source, files_per_batch)).where(F.col("message_id") != "") \
         .select("message_id").dropDuplicates(["message_id"])
     q = m.writeStream.format("parquet").option("path", out) \
         .option("checkpointLocation", checkpoint).outputMode("append") \
@@ -83,13 +84,15 @@ def run_stream_dedup(spark: SparkSession, source: str, out: str, checkpoint: str
     q.awaitTermination()
 
 
-def run_strip_incremental(spark: SparkSession, source: str, out: str, checkpoint: str) -> None:
-    """L4: stripped parts and inventory rows of a batch are written as one unit (same id)."""
+def run_strip_incremental(spark: SparkSession, source: str, out: str, checkpoint: str,
+                          files_per_batch: int = 1) -> None:
+    """L4: the stripped records, their kept parts and the inventory rows of a batch are
+    written as one unit under the same batch id (a replay overwrites all three)."""
     check_fingerprint(checkpoint, {"job": "strip", "source": source})
 
     def batch(df: DataFrame, batch_id: int) -> None:
         from mailsift.functions import headers as H
-        m = mime_of(df)
+        m = mime_of(df, keep_raw=True).persist()  # one MIME parse per batch, used three times
         hd = F.col("headers")
         inv = m.select(
             H.header_first(hd, "message-id").alias("Message-ID"),
@@ -104,9 +107,12 @@ def run_strip_incremental(spark: SparkSession, source: str, out: str, checkpoint
                         F.explode(P.strip_keep(F.col("parts"))).alias("p")) \
             .select("source_ord", "source_mbox", "byte_offset", F.col("p.ord").alias("ord"),
                     F.col("p.content_type").alias("content_type"))
+        records = P.strip_records(m, ["source_ord", "source_mbox", "byte_offset"])
         inv.write.mode("overwrite").parquet(f"{out}/inventory/batch_id={batch_id}")
-        kept.write.mode("overwrite").parquet(f"{out}/stripped/batch_id={batch_id}")
+        kept.write.mode("overwrite").parquet(f"{out}/stripped_parts/batch_id={batch_id}")
+        records.write.mode("overwrite").parquet(f"{out}/stripped/batch_id={batch_id}")
+        m.unpersist()
 
-    q = mail_stream(spark, source).writeStream.foreachBatch(batch) \
+    q = mail_stream(spark, source, files_per_batch).writeStream.foreachBatch(batch) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()

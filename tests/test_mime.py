@@ -99,3 +99,15 @@ def test_nested_container_without_boundary_is_quarantined(spark):
                     boundary="X")
     row = parsed(spark, [raw]).select("parts", "parse_error").first()
     assert row.parts is None and "without boundary" in row.parse_error
+
+
+def test_stripped_record_reparses_with_nesting(spark):
+    """The re-serialized record keeps mixed[alternative[plain, html]] and drops the
+    attachment; in-body 'From ' lines are escaped; the separator is synthetic."""
+    raw = NESTED.replace("Plain version.", "Plain version.\nFrom the start")
+    out = P.stripped_messages(mail_frame(spark, [raw])).first().stripped
+    assert out.startswith(b"From nobody ")
+    assert b"\n>From the start" in out and b"doc.bin" not in out
+    again = mime_of(mail_frame(spark, [out])).select(
+        F.transform("parts", lambda p: p["content_type"]).alias("t")).first().t
+    assert again == ["multipart/mixed", "multipart/alternative", "text/plain", "text/html"]
