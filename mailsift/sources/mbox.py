@@ -31,6 +31,7 @@ SCHEMA = "source_ord INT, source_path STRING, source_mbox STRING, byte_offset BI
 SEPARATOR = re.compile(rb"(?:^|(?<=\n))From [^\s]")
 _LOOKAHEAD = 6          # len(b"From x")
 _CHUNK = 4 * 1024 * 1024
+_BATCH_BYTES = 32 * 1024 * 1024
 
 
 def filesystem(path: str):
@@ -125,8 +126,28 @@ class MboxReader(DataSourceReader):
         return parts
 
     def read(self, partition: _Range):
+        """Arrow record batches of at most ``_BATCH_BYTES`` of message bytes."""
+        import pyarrow as pa
+        offsets, raws, size = [], [], 0
+
+        def batch():
+            n = len(offsets)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([partition.ord] * n, pa.int32()),
+                 pa.array([partition.path] * n, pa.string()),
+                 pa.array([partition.archive] * n, pa.string()),
+                 pa.array(offsets, pa.int64()), pa.array(raws, pa.binary())],
+                names=["source_ord", "source_path", "source_mbox", "byte_offset", "raw"])
+
         for offset, raw in read_range(partition.path, partition.start, partition.end):
-            yield (partition.ord, partition.path, partition.archive, offset, raw)
+            offsets.append(offset)
+            raws.append(raw)
+            size += len(raw)
+            if size >= _BATCH_BYTES:
+                yield batch()
+                offsets, raws, size = [], [], 0
+        if offsets:
+            yield batch()
 
 
 class _Written(WriterCommitMessage):
