@@ -51,9 +51,14 @@ def clean_text(c: Column) -> Column:
     return strip_ws(s)
 
 
+# The characters of WS_CLASS, for trimming (btrim looks only at the two ends of a string).
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+            + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip_ws(c: Column) -> Column:
     """Python ``str.strip()``: remove Unicode whitespace at both ends."""
-    return F.regexp_replace(c, "^" + WS_CLASS + "+|" + WS_CLASS + r"+\z", "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def html_steps() -> list[tuple[str, str]]:
@@ -90,9 +95,10 @@ def html_steps() -> list[tuple[str, str]]:
 def html_to_text(c: Column) -> Column:
     """Visible text of an HTML fragment with link targets kept as `` <url>``."""
     s = c
-    for pattern, repl in html_steps():
+    steps = html_steps()
+    for pattern, repl in steps[:-1]:
         s = F.regexp_replace(s, pattern, _java_literal(repl))
-    return s
+    return strip_ws(s)  # the last step (strip both ends) as a trim
 
 
 def _java_literal(repl: str) -> str:

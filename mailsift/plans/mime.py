@@ -28,13 +28,12 @@ def q_parts_explode(spark, sf_dir):
 
 def q_scan_body(spark, sf_dir):
     """C10/D3f: the text the keyword scan reads."""
-    return mime(spark, sf_dir).select(*K, P.scan_body(F.col("parts")).alias("body"))
+    return mime(spark, sf_dir).select(*K, F.col("scan_body").alias("body"))
 
 
 def q_render_body(spark, sf_dir):
     """C11: the body the document shows and where it came from."""
-    return mime(spark, sf_dir).select(*K, P.render_body(F.col("parts")).alias("b")) \
-        .select(*K, "b.body", "b.body_source")
+    return mime(spark, sf_dir).select(*K, "render.body", "render.body_source")
 
 
 def q_strip_parts(spark, sf_dir):

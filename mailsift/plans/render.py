@@ -27,7 +27,7 @@ def parsed(spark, sf_dir):
         F.col("from_d").alias("from"), F.col("to_d").alias("to"), F.col("cc_d").alias("cc"),
         F.col("bcc_d").alias("bcc"), F.col("reply_to_d").alias("reply_to"),
         F.col("sender_d").alias("sender"), F.col("delivered_to_d").alias("delivered_to"),
-        "in_reply_to", "references", "mime_version", "attachments")
+        "in_reply_to", "references", "mime_version", "attachments", "render")
 
 
 def numbered(spark, sf_dir, with_body: bool = False):
@@ -40,9 +40,7 @@ def numbered(spark, sf_dir, with_body: bool = False):
         .withColumn("dated", F.col("date_utc").isNotNull()) \
         .withColumn("_sec", F.when(F.col("dated"), F.lit(0)).otherwise(F.lit(1))) \
         .withColumn("_k2", F.when(F.col("dated"), F.col("message_id")).otherwise(F.lit("")))
-    if with_body:
-        ok = ok.withColumn("rb", P.render_body(F.col("parts")))
-    ok = ok.drop("parts")
+    ok = ok.drop("parts") if with_body else ok.drop("parts", "render")
     num = number_rows(ok, ["_sec", "date_utc", "_k2", "source_ord", "byte_offset"], "n_all",
                       section="_sec", section_out="j")
     return num.withColumn("n", F.when(F.col("dated"), F.format_string("%04d", F.col("n_all")))
@@ -182,7 +180,7 @@ def _field(label: str, value, optional: bool = False):
 
 def document_blocks(spark, sf_dir):
     """The markdown block of each message, in document order (n_all)."""
-    m = numbered(spark, sf_dir, with_body=True)
+    m = numbered(spark, sf_dir, with_body=True).withColumnRenamed("render", "rb")
     date_txt = F.when(F.col("dated"), F.concat(
         F.date_format("date_utc", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))) \
         .otherwise(F.lit("(no date)"))

@@ -22,12 +22,12 @@ HIT_OUT = ["source_mbox", "byte_offset", "date", "from", "to", "subject", "categ
 PIPELINE_NEEDLE = "@partner.test"
 
 
-def scan_frame(with_parts_df):
+def scan_frame(with_parts_df, body: str = "scan_body"):
     """Per message: the four prefix fields of a hit row (C7: ISO date, else the raw first
     Date header) and the scan body."""
     return with_parts_df.select(
         *K, F.col("scan_date").alias("date"), F.col("from_first").alias("from"),
-        F.col("to_first").alias("to"), "subject", P.scan_body(F.col("parts")).alias("body"))
+        F.col("to_first").alias("to"), "subject", F.col(body).alias("body"))
 
 
 def hits_of(frame, terms):
@@ -45,13 +45,12 @@ def q_scan_hits(spark, sf_dir):
 def q_pipeline_hits(spark, sf_dir):
     """Extract by address -> first-wins dedup -> strip attachments -> scan -> clean."""
     m = mime_table(spark, sf_dir)
-    m = m.select("source_ord", "source_mbox", "byte_offset", "headers", "parts", "subject",
-                 "scan_date", "from_first", "to_first",
+    m = m.select("source_ord", "source_mbox", "byte_offset", "headers", "subject",
+                 "scan_date", "from_first", "to_first", "scan_body_stripped",
                  strip_ws(F.coalesce(H.header_first(F.col("headers"), "message-id"), F.lit("")))
                  .alias("message_id"), H.participants(F.col("headers")).alias("participants"))
     extracted = X.extract(m, PIPELINE_NEEDLE).drop("participants", "message_id")
-    stripped = extracted.withColumn("parts", P.strip_keep(F.col("parts")))
-    hits = hits_of(scan_frame(stripped), terms_df(spark, FIXTURE_TERMS))
+    hits = hits_of(scan_frame(extracted, "scan_body_stripped"), terms_df(spark, FIXTURE_TERMS))
     return hits.withColumn("exact_text", clean_text(F.col("exact_text")))
 
 

@@ -54,8 +54,11 @@ def mime_of(m: DataFrame, keep_raw: bool = False) -> DataFrame:
     m = m.withColumn("scan_date", F.when(iso != "", iso)
                      .otherwise(F.coalesce(F.col("date_first"), F.lit(""))))
     keys = [c for c in m.columns if c != "raw"]
-    return P.with_parts(m, keys=keys, keep_raw=keep_raw) \
-        .withColumn("attachments", P.render_attachments(F.col("parts")))
+    parts = F.col("parts")
+    return P.with_parts(m, keys=keys, keep_raw=keep_raw).select(
+        "*", P.render_attachments(parts).alias("attachments"),
+        P.render_body(parts).alias("render"), P.scan_body(parts).alias("scan_body"),
+        P.scan_body(P.strip_keep(parts)).alias("scan_body_stripped"))
 
 
 def mime_table(spark: SparkSession, sf_dir: str) -> DataFrame:
