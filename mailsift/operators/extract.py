@@ -37,10 +37,17 @@ def first_wins(df: DataFrame, id_col: str = "message_id", order=ORDER) -> DataFr
     return won.select("_w.*")
 
 
-def extract(messages: DataFrame, address: str) -> DataFrame:
-    """Matched and de-duplicated messages, in any order (sort at the sink)."""
+def extract(messages: DataFrame, address: str, columns: list[str] | None = None) -> DataFrame:
+    """Matched and de-duplicated messages, in any order (sort at the sink).
+
+    Only ``columns`` (default: all but the participant list) travel through the dedup
+    shuffle; Catalyst cannot prune fields inside the aggregated row, so narrow it here."""
     matched = messages.where(address_matches(F.col("participants"), address))
-    return first_wins(matched)
+    keep = list(columns) if columns else [c for c in messages.columns if c != "participants"]
+    for k in ("message_id", *ORDER):
+        if k not in keep:
+            keep.append(k)
+    return first_wins(matched.select(*keep))
 
 
 INDEX_COLUMNS = ["date_iso", "date_raw", "from", "to", "cc", "subject", "message_id",

@@ -26,13 +26,16 @@ def q_extract_address(spark, sf_dir):
 
 def q_extract_dedup(spark, sf_dir):
     """H1: first-wins by Message-ID across archives (argument order, then offset)."""
-    return X.extract(msgs(spark, sf_dir), EXTRACT_NEEDLE) \
+    return X.extract(msgs(spark, sf_dir), EXTRACT_NEEDLE,
+                     ["source_mbox", "byte_offset", "message_id"]) \
         .select("source_mbox", "byte_offset", "message_id")
 
 
 def q_extract_index(spark, sf_dir):
     """The extract index rows."""
-    return X.extract_index(X.extract(msgs(spark, sf_dir), EXTRACT_NEEDLE))
+    cols = ["date_iso", "date_raw", "from", "to", "cc", "subject_raw", "message_id",
+            "source_mbox", "byte_offset"]
+    return X.extract_index(X.extract(msgs(spark, sf_dir), EXTRACT_NEEDLE, cols))
 
 
 def q_extract_summary(spark, sf_dir):

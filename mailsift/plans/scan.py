@@ -49,7 +49,8 @@ def q_pipeline_hits(spark, sf_dir):
                  "scan_date", "from_first", "to_first", "scan_body_stripped",
                  strip_ws(F.coalesce(H.header_first(F.col("headers"), "message-id"), F.lit("")))
                  .alias("message_id"), H.participants(F.col("headers")).alias("participants"))
-    extracted = X.extract(m, PIPELINE_NEEDLE).drop("participants", "message_id")
+    extracted = X.extract(m, PIPELINE_NEEDLE, ["source_mbox", "byte_offset", "subject", "scan_date",
+                                               "from_first", "to_first", "scan_body_stripped"])
     hits = hits_of(scan_frame(extracted, "scan_body_stripped"), terms_df(spark, FIXTURE_TERMS))
     return hits.withColumn("exact_text", clean_text(F.col("exact_text")))
 

@@ -60,7 +60,7 @@ def run_extract_incremental(spark: SparkSession, source: str, out: str, checkpoi
     def batch(df: DataFrame, batch_id: int) -> None:
         cols = ["source_ord", "source_mbox", "byte_offset", "message_id", "date_iso",
                 "date_raw", "from", "to", "cc", "subject_raw", "raw"]
-        ex = X.extract(messages(df).select(*cols, "participants"), address).select(*cols)
+        ex = X.extract(messages(df).select(*cols, "participants"), address, cols).select(*cols)
         done = _committed(df.sparkSession, out, batch_id)
         if done is not None:
             ids = done.where(F.col("message_id") != "").select("message_id").distinct()
