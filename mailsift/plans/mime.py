@@ -89,6 +89,18 @@ def q_stripped_messages(spark, sf_dir):
                         F.col("parse_error").isNull().alias("parses"))
 
 
+def q_mail_parts_sql(spark, sf_dir):
+    """The MIME walk from SQL through the ``mail_parts`` table function."""
+    from mailsift.functions.udtf import register
+    from mailsift.sources.binding import mail
+    register(spark)
+    mail(spark, sf_dir).createOrReplaceTempView("mail")
+    return spark.sql("""
+        SELECT m.source_mbox, m.byte_offset, CAST(p.ord AS BIGINT) AS ord, p.content_type,
+               p.filename, p.size, p.sha256
+        FROM mail m, LATERAL mail_parts(m.raw) p""")
+
+
 # ---------------------------------------------------------------- oracle SQL
 
 _ESC_T = "regexp_replace(text, '(?m)^From ', '>From ', 'g')"
@@ -146,7 +158,10 @@ SQL["stripped_messages"] = W + """SELECT source_mbox, byte_offset,
   string_agg(content_type, ',' ORDER BY ord) AS content_types, true AS parses
 FROM pl WHERE kind <> 'att' GROUP BY source_mbox, byte_offset"""
 
+SQL["mail_parts_sql"] = SQL["parts_explode"]
+
 QUERIES = {
+    "mail_parts_sql": q_mail_parts_sql,
     "stripped_messages": q_stripped_messages,
     "parts_explode": q_parts_explode,
     "scan_body": q_scan_body,
