@@ -30,7 +30,7 @@ def parsed(spark, sf_dir):
         "in_reply_to", "references", "mime_version", "attachments", "render")
 
 
-def numbered(spark, sf_dir, with_body: bool = False):
+def numbered(spark, sf_dir, with_body: bool = False, with_payloads: bool = False):
     """Dated messages 0001.. by (date_utc, message_id), stable in source
     order; undated U0001.. in source order; n continues across both sections.
 
@@ -40,6 +40,9 @@ def numbered(spark, sf_dir, with_body: bool = False):
         .withColumn("dated", F.col("date_utc").isNotNull()) \
         .withColumn("_sec", F.when(F.col("dated"), F.lit(0)).otherwise(F.lit(1))) \
         .withColumn("_k2", F.when(F.col("dated"), F.col("message_id")).otherwise(F.lit("")))
+    if with_payloads:
+        ok = ok.withColumn("payloads", F.transform(
+            F.filter("parts", lambda p: P.is_attachment_render(p)), lambda p: p["payload"]))
     ok = ok.drop("parts") if with_body else ok.drop("parts", "render")
     num = number_rows(ok, ["_sec", "date_utc", "_k2", "source_ord", "byte_offset"], "n_all",
                       section="_sec", section_out="j")
@@ -75,6 +78,23 @@ def attachment_files(spark, sf_dir):
         .alias("saved_as"), F.col("a.size").alias("size"), F.col("a.sha256").alias("sha256"))
 
 
+def attachment_writes(spark, sf_dir):
+    """Attachment files written under ``attachments/<n>__<kk>__<safe name>`` in the
+    shared folder; a failed write is reported in ``status``, never fatal."""
+    from mailsift.operators.files import write_attachments
+    from mailsift.session import shared_dir
+    from mailsift.sources.tables import _fingerprint
+    folder = shared_dir(spark, f"render/{_fingerprint(spark, sf_dir)}/attachments")
+    rows = numbered(spark, sf_dir, with_payloads=True).select(
+        "n", F.arrays_zip(F.col("attachments").alias("a"), F.col("payloads").alias("p")).alias("z")) \
+        .select("n", F.explode("z").alias("z")).select(
+        "n", F.col("z.a.k").cast("long").alias("k"),
+        F.format_string("%s__%02d__%s", F.col("n"), F.col("z.a.k"),
+                        safe_filename(F.col("z.a.filename"))).alias("saved_as"),
+        F.col("z.p").alias("payload"))
+    return write_attachments(rows, folder)
+
+
 def manifest(spark, sf_dir):
     """Run totals and the UTC date range (run time and paths left out)."""
     p = parsed(spark, sf_dir)
@@ -135,6 +155,14 @@ SELECT nd.n, CAST(a.k AS BIGINT) AS k, coalesce(a.filename, printf('part_%03d',
   nd.n || '__' || printf('%02d', CAST(a.k AS INTEGER)) || '__' ||
     coalesce(a.filename, printf('part_%03d', CAST(a.k - 1 AS INTEGER))) AS saved_as,
   CAST(a.size AS BIGINT) AS size, a.sha256
+FROM a JOIN nd ON a.source_mbox = nd.source_mbox AND a.byte_offset = nd.byte_offset""",
+    "attachment_writes": W + _NUM + """,
+a AS (SELECT pl.*, row_number() OVER (PARTITION BY pl.source_mbox, pl.byte_offset ORDER BY ord) AS k
+      FROM pl WHERE kind IN ('att', 'img'))
+SELECT nd.n, CAST(a.k AS BIGINT) AS k,
+  nd.n || '__' || printf('%02d', CAST(a.k AS INTEGER)) || '__' ||
+    coalesce(a.filename, printf('part_%03d', CAST(a.k - 1 AS INTEGER))) AS saved_as,
+  CAST(a.size AS BIGINT) AS size, a.sha256, 'saved' AS status
 FROM a JOIN nd ON a.source_mbox = nd.source_mbox AND a.byte_offset = nd.byte_offset""",
     "manifest": W + _NUM + """
 SELECT count(*) AS messages_total, count(date_utc) AS messages_dated,
@@ -149,6 +177,7 @@ FROM ms""",
 }
 
 QUERIES = {
+    "attachment_writes": attachment_writes,
     "message_index": message_index,
     "attachment_files": attachment_files,
     "manifest": manifest,

@@ -111,3 +111,15 @@ def test_stripped_record_reparses_with_nesting(spark):
     again = mime_of(mail_frame(spark, [out])).select(
         F.transform("parts", lambda p: p["content_type"]).alias("t")).first().t
     assert again == ["multipart/mixed", "multipart/alternative", "text/plain", "text/html"]
+
+
+def test_failed_attachment_write_is_recorded(spark, tmp_path):
+    """A file that cannot be written is reported in its row; the others are saved."""
+    from mailsift.operators.files import write_attachments
+    (tmp_path / "blocked").write_text("a file where a folder is needed")
+    rows = spark.createDataFrame(
+        [("0001", 1, "0001__01__ok.bin", b"abc"), ("0001", 2, "blocked/0001__02__x.bin", b"d")],
+        "n string, k long, saved_as string, payload binary")
+    out = {r.k: r.status for r in write_attachments(rows, str(tmp_path)).collect()}
+    assert out[1] == "saved" and out[2].startswith("[write failed:")
+    assert (tmp_path / "0001__01__ok.bin").read_bytes() == b"abc"
