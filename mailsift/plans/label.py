@@ -24,6 +24,15 @@ def snapshot(spark, sf_dir):
                     .otherwise(F.col("headers")).alias("headers"))
 
 
+def snapshot_raw(spark, sf_dir):
+    """The mailbox as the server holds it: (uid, raw), raw NULL when a fetch fails."""
+    from mailsift.sources.binding import mail
+    m = mail(spark, sf_dir)
+    return m.select((F.col("byte_offset") + 1).alias("uid"),
+                    F.when(F.col("byte_offset") % 31 == 0, F.lit(None).cast("binary"))
+                    .otherwise(F.col("raw")).alias("raw"))
+
+
 def processed(spark, sf_dir):
     return snapshot(spark, sf_dir).where((F.col("uid") - 1) % 4 == 0).select("uid")
 

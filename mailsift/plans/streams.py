@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mailsift.plans import extract as EXP
+from mailsift.plans import label as LABEL
 from mailsift.plans import mime as MIME
 from mailsift.session import shared_dir
 from mailsift.sources.binding import duck_mail_cte, mail
@@ -36,6 +37,21 @@ def stream_input(spark, sf_dir) -> str:
     return base + "/in/*/*.parquet"
 
 
+def snapshot_input(spark, sf_dir) -> str:
+    """The mailbox snapshot (uid, raw NULL when unfetched) as parquet chunks in UID order."""
+    from mailsift.plans.label import snapshot_raw
+    base = shared_dir(spark, f"stream/{_fingerprint(spark, sf_dir)}")
+    if not path_exists(spark, base + "/_SNAP_DONE"):
+        snap = snapshot_raw(spark, sf_dir)
+        top = snap.agg(F.max("uid")).first()[0] or 0
+        width = top // CHUNKS_PER_ARCHIVE + 1
+        for c in range(CHUNKS_PER_ARCHIVE):
+            snap.where(F.floor((F.col("uid") - 1) / width) == c).coalesce(1) \
+                .write.mode("overwrite").parquet(f"{base}/snap/chunk={c:04d}")
+        touch(spark, base + "/_SNAP_DONE")
+    return base + "/snap/*/*.parquet"
+
+
 def _run_dirs(spark, sf_dir, name):
     base = shared_dir(spark, f"stream/{_fingerprint(spark, sf_dir)}/{name}")
     return base + "/out", base + "/checkpoint"
@@ -65,13 +81,25 @@ def q_strip_incremental(spark, sf_dir):
     return spark.read.parquet(out + "/inventory").drop("batch_id")
 
 
+def q_label_incremental(spark, sf_dir):
+    """Incremental labelling over the snapshot; equals the batch label matches."""
+    from mailsift.operators.label import split_domains
+    from mailsift.plans.label import DOMAINS
+    src = snapshot_input(spark, sf_dir)
+    out, ckpt = _run_dirs(spark, sf_dir, "label")
+    INC.run_label_incremental(spark, src, out, ckpt, split_domains(DOMAINS))
+    return spark.read.parquet(out + "/matches").select("uid", "domain")
+
+
 SQL = {
     "extract_incremental": EXP.SQL["extract_dedup"],
+    "label_incremental": LABEL.SQL["label_matches"],
     "stream_dedup": f"WITH {duck_mail_cte()}\nSELECT DISTINCT message_id FROM ms WHERE message_id <> ''",
     "strip_incremental": MIME.SQL["attachment_inventory"],
 }
 
 QUERIES = {
+    "label_incremental": q_label_incremental,
     "extract_incremental": q_extract_incremental,
     "stream_dedup": q_stream_dedup,
     "strip_incremental": q_strip_incremental,

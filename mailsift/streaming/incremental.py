@@ -116,3 +116,33 @@ def run_strip_incremental(spark: SparkSession, source: str, out: str, checkpoint
     q = mail_stream(spark, source, files_per_batch).writeStream.foreachBatch(batch) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
+
+
+SNAPSHOT_SCHEMA = "uid BIGINT, raw BINARY"
+
+
+def run_label_incremental(spark: SparkSession, source: str, out: str, checkpoint: str,
+                          domains: list[str], files_per_batch: int = 1) -> None:
+    """At-least-once labelling. Each batch skips UIDs already in ``processed``,
+    writes its matches, then records the UIDs it examined; a UID that could not be fetched
+    is not recorded, so the next run tries it again."""
+    from mailsift.functions import headers as H
+    from mailsift.operators import label as L
+    check_fingerprint(checkpoint, {"job": "label", "source": source, "domains": domains})
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        snap = df.select("uid", H.parse_headers(H.message_text(F.col("raw"))).alias("headers"))
+        done = _committed(df.sparkSession, f"{out}/processed", batch_id)
+        if done is not None:
+            snap = snap.join(done.select("uid"), "uid", "left_anti")
+        scanned = L.match_domains(L.with_domains(snap), domains).persist()
+        scanned.where("fetched AND matched").select("uid", "domain") \
+            .write.mode("overwrite").parquet(f"{out}/matches/batch_id={batch_id}")
+        scanned.where("fetched").select("uid") \
+            .write.mode("overwrite").parquet(f"{out}/processed/batch_id={batch_id}")
+        scanned.unpersist()
+
+    q = spark.readStream.schema(SNAPSHOT_SCHEMA).option("maxFilesPerTrigger", files_per_batch) \
+        .parquet(source).writeStream.foreachBatch(batch) \
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()

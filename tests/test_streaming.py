@@ -46,3 +46,20 @@ def test_resume_equals_uninterrupted_and_rerun_is_noop(spark):
     assert [m for m, _ in want] == ["<a@example.com>", "<b@example.com>", "<c@example.com>"]
     with pytest.raises(ValueError):
         INC.run_extract_incremental(spark, src, out, ckpt, "@other.test")
+
+
+def test_label_resume_skips_processed_and_retries_unfetched(spark):
+    """UIDs already processed are skipped; an unfetched UID is not recorded as processed,
+    so it is tried again next run."""
+    base = tempfile.mkdtemp(prefix="label-")
+    src, out, ckpt = (os.path.join(base, n) for n in ("in", "out", "ckpt"))
+    raws = [plain(frm="a@target.test").encode(), None, plain(frm="b@target.test").encode(),
+            plain(frm="c@else.test").encode()]
+    snap = spark.createDataFrame([(i + 1, r) for i, r in enumerate(raws)], "uid bigint, raw binary")
+    snap.coalesce(1).write.parquet(os.path.join(src, "chunk=0"))
+    spark.createDataFrame([(1,)], "uid bigint").write.parquet(os.path.join(out, "processed",
+                                                                         "batch_id=-1"))
+    INC.run_label_incremental(spark, os.path.join(src, "*", "*.parquet"), out, ckpt, ["target.test"])
+    matches = sorted(r.uid for r in spark.read.parquet(os.path.join(out, "matches")).collect())
+    done = sorted(r.uid for r in spark.read.parquet(os.path.join(out, "processed")).collect())
+    assert matches == [3] and done == [1, 3, 4]
