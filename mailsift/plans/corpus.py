@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from mailsift import oracle as O
 from mailsift.functions import text as tx
-from mailsift.functions.terms import FIXTURE_TERMS, terms_df, terms_values_sql
+from mailsift.functions.terms import DEFAULT_TERMS, FIXTURE_TERMS, terms_df, terms_values_sql
 from mailsift.operators.scan import scan_hits, sentences
 from mailsift.sources.tables import table
 
@@ -26,6 +26,12 @@ def q_hits(spark: SparkSession, sf_dir: str):
     return scan_hits(docs, ["doc_id"], F.col("text"), terms_df(spark, FIXTURE_TERMS), "body")
 
 
+def q_hits_default(spark, sf_dir):
+    """The shipped 100-term default dictionary over the whole corpus."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return scan_hits(docs, ["doc_id"], F.col("text"), terms_df(spark, DEFAULT_TERMS), "body")
+
+
 def q_hits_summary(spark, sf_dir):
     """hit totals per category and term."""
     return q_hits(spark, sf_dir).groupBy("category", "matched_term") \
@@ -83,6 +89,8 @@ h AS (
 
 SQL = {
     "hits": _HITS + "\nSELECT * FROM h",
+    "hits_default": _HITS.replace(terms_values_sql(FIXTURE_TERMS), terms_values_sql(DEFAULT_TERMS))
+    + "\nSELECT * FROM h",
     "hits_summary": _HITS + "\nSELECT category, matched_term, count(*) AS hits FROM h "
                             "GROUP BY category, matched_term",
     "sentences": f"WITH {_FLAT}, {_SENT}\nSELECT doc_id, sentence_ord, sentence FROM s",
@@ -98,6 +106,7 @@ SELECT doc_id, category, category_ord, matched_term, term_ord, sentence_ord,
 
 QUERIES = {
     "hits": q_hits,
+    "hits_default": q_hits_default,
     "hits_summary": q_hits_summary,
     "sentences": q_sentences,
     "normalize_ws": q_normalize_ws,
