@@ -13,7 +13,8 @@ whose separator starts inside its byte range, and reads past its end only to fin
 last record, so any split of a file yields every record exactly once.
 
 The writer appends each record as given, finished with a newline and a blank line, one
-file per task, written under a temporary name and renamed when the task completes.
+file per task named by job and partition, written under a temporary name and renamed when
+the task completes (a retried attempt replaces it); the driver commit writes a marker.
 """
 
 from __future__ import annotations
@@ -165,8 +166,12 @@ def finish_record(raw: bytes) -> bytes:
 
 
 class MboxWriter(DataSourceWriter):
+    """One file per task, named by job and partition: a retried or speculative attempt
+    replaces its own file instead of adding a second copy of the same records."""
+
     def __init__(self, options, overwrite: bool):
         self.folder = options["path"]
+        self.job = uuid.uuid4().hex[:12]          # fixed on the driver for the whole job
 
     def write(self, rows):
         from pyspark import TaskContext
@@ -174,7 +179,7 @@ class MboxWriter(DataSourceWriter):
         pid = ctx.partitionId() if ctx else 0
         fs, folder = filesystem(self.folder)
         fs.create_dir(folder, recursive=True)
-        final = _join(folder, f"part-{pid:05d}-{uuid.uuid4().hex[:8]}.mbox")
+        final = _join(folder, f"part-{self.job}-{pid:05d}.mbox")
         tmp = _join(folder, f"_tmp-{uuid.uuid4().hex}")
         with fs.open_output_stream(tmp) as out:
             for row in rows:
@@ -182,6 +187,11 @@ class MboxWriter(DataSourceWriter):
         fs.move(tmp, final)
         return _Written(final)
 
+    def commit(self, messages):
+        fs, folder = filesystem(self.folder)
+        with fs.open_output_stream(_join(folder, f"_SUCCESS-{self.job}")):
+            pass
+
     def abort(self, messages):
         fs, _folder = filesystem(self.folder)
         for m in messages or []:
