@@ -5,6 +5,8 @@ Reader options:
               stands for its files in name order; a missing path is skipped and reported
               by ``missing_paths``, not an error
   splitBytes  bytes per input partition (default 64 MiB)
+  maxMessageBytes  larger records come back with raw NULL (a parse error, not a lost row;
+              a Spark cell holds at most 2 GB); default 1 GiB
 
 Record rule: a record starts at a line beginning ``From `` followed by a non-space byte
 (``^From [^\\s]``); bytes before the first separator are dropped; the last record ends at
@@ -78,8 +80,11 @@ def _archive_name(path: str, given: str) -> str:
     return given.rstrip("/").rsplit("/", 1)[-1] if path != given else path.rsplit("/", 1)[-1]
 
 
-def read_range(path: str, start: int, end: int):
-    """Yield (offset, raw) for records whose separator starts in [start, end)."""
+def read_range(path: str, start: int, end: int, max_bytes: int | None = None):
+    """Yield (offset, raw) for records whose separator starts in [start, end).
+
+    A record longer than ``max_bytes`` is yielded with raw None (it is reported as a parse
+    error downstream, never dropped); it is scanned for its end, not buffered whole."""
     fs, inner = filesystem(path)
     with fs.open_input_file(inner) as f:
         lead = 1 if start > 0 else 0
@@ -92,23 +97,34 @@ def read_range(path: str, start: int, end: int):
         for i, s in enumerate(seps):
             if i + 1 < len(seps):
                 nxt = seps[i + 1]
+                if max_bytes is not None and nxt - s > max_bytes:
+                    yield s, None
+                    continue
                 f.seek(s)
                 yield s, f.read(nxt - s)
                 continue
             # Last record of the range: read on until the next separator or EOF.
             f.seek(s)
             buf = bytearray(f.read(max(end - s, 0) + _LOOKAHEAD))
-            searched = 1
+            searched, dropped = 1, False   # dropped: an oversize record is being skipped
             while True:
                 m = SEPARATOR.search(bytes(buf), searched)
                 if m and m.start() > 0:
-                    yield s, bytes(buf[:m.start()])
+                    too_big = dropped or (max_bytes is not None and m.start() > max_bytes)
+                    yield s, None if too_big else bytes(buf[:m.start()])
                     break
                 chunk = f.read(_CHUNK)
                 if not chunk:
-                    yield s, bytes(buf)
+                    too_big = dropped or (max_bytes is not None and len(buf) > max_bytes)
+                    yield s, None if too_big else bytes(buf)
                     break
-                searched = max(len(buf) - _LOOKAHEAD, 1)
+                if max_bytes is not None and len(buf) > max_bytes:
+                    # Searched past the limit without an end: keep only a seam-sized tail.
+                    dropped = True
+                    buf = bytearray(buf[-(_LOOKAHEAD + 1):])
+                    searched = 1
+                else:
+                    searched = max(len(buf) - _LOOKAHEAD, 1)
                 buf.extend(chunk)
 
 
@@ -116,6 +132,7 @@ class MboxReader(DataSourceReader):
     def __init__(self, options):
         self.paths = [p for p in options.get("paths", "").split("\n") if p]
         self.split = int(options.get("splitBytes", str(64 * 1024 * 1024)))
+        self.max_bytes = int(options.get("maxMessageBytes", str(1024 * 1024 * 1024)))
 
     def partitions(self):
         files, _missing = expand_paths(self.paths)
@@ -140,10 +157,11 @@ class MboxReader(DataSourceReader):
                  pa.array(offsets, pa.int64()), pa.array(raws, pa.binary())],
                 names=["source_ord", "source_path", "source_mbox", "byte_offset", "raw"])
 
-        for offset, raw in read_range(partition.path, partition.start, partition.end):
+        for offset, raw in read_range(partition.path, partition.start, partition.end,
+                                      self.max_bytes):
             offsets.append(offset)
             raws.append(raw)
-            size += len(raw)
+            size += len(raw or b"")
             if size >= _BATCH_BYTES:
                 yield batch()
                 offsets, raws, size = [], [], 0
@@ -218,12 +236,15 @@ def register(spark) -> None:
     spark.dataSource.register(MboxDataSource)
 
 
-def read_mbox(spark, paths: list[str], split_bytes: int | None = None):
+def read_mbox(spark, paths: list[str], split_bytes: int | None = None,
+              max_message_bytes: int | None = None):
     """Archives as (source_ord, source_path, source_mbox, byte_offset, raw)."""
     register(spark)
     r = spark.read.format("mbox").option("paths", "\n".join(paths))
     if split_bytes:
         r = r.option("splitBytes", str(split_bytes))
+    if max_message_bytes:
+        r = r.option("maxMessageBytes", str(max_message_bytes))
     return r.load()
 
 

@@ -65,3 +65,19 @@ def test_write_then_read_round_trip(spark):
     write_mbox(mail_frame(spark, raws).coalesce(1), os.path.join(folder, "out.mbox"))
     back = read_mbox(spark, [os.path.join(folder, "out.mbox")], split_bytes=50).collect()
     assert sorted(bytes(r.raw) for r in back) == sorted(finish_record(r.encode()) for r in raws)
+
+
+@pytest.mark.parametrize("split", [7, 64, 1000])
+@pytest.mark.parametrize("chunk", [3, 5, 4096])
+def test_oversize_record_reported_not_dropped(archive_path, split, chunk, monkeypatch):
+    """A record above maxMessageBytes keeps its row (raw None); the others are intact,
+    whatever the read chunk (small chunks exercise skipping past the limit)."""
+    import mailsift.sources.mbox as M
+    monkeypatch.setattr(M, "_CHUNK", chunk)
+    whole = whole_file_records(ARCHIVE)
+    limit = max(len(r) for _, r in whole) - 1
+    got = []
+    for start in range(0, len(ARCHIVE), split):
+        got += list(read_range(archive_path, start, min(start + split, len(ARCHIVE)), limit))
+    assert [o for o, _ in got] == [o for o, _ in whole]
+    assert [r if len(r) <= limit else None for _, r in whole] == [r for _, r in got]
