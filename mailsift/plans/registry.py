@@ -11,10 +11,28 @@ def _modules():
     return [importlib.import_module(f"mailsift.plans.{m}") for m in PLAN_MODULES]
 
 
+def prepare(spark) -> None:
+    """Settings results depend on, for sessions not built by ``mailsift.session``: UTC
+    timestamps and a checkpoint folder (the cluster's, or a scratch one when unset)."""
+    from mailsift.session import ensure_checkpoint_dir
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+
+
+def _prepared(fn):
+    def run(spark, sf_dir):
+        prepare(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict:
     out = {}
     for m in _modules():
-        out.update(m.QUERIES)
+        out.update({k: _prepared(v) for k, v in m.QUERIES.items()})
     return out
 
 
