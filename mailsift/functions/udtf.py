@@ -14,7 +14,8 @@ import hashlib
 from pyspark.sql.functions import udtf
 
 
-@udtf(returnType="ord INT, content_type STRING, filename STRING, size BIGINT, sha256 STRING")
+@udtf(returnType="ord INT, content_type STRING, filename STRING, size BIGINT, sha256 STRING",
+      useArrow=True)
 class MailParts:
     def eval(self, raw):
         from mailsift.operators.parts import parse_mime
