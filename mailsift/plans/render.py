@@ -316,3 +316,41 @@ LEFT JOIN r USING (source_mbox, byte_offset)"""
 
 SQL["document_blocks"] = _document_sql()
 QUERIES["document_blocks"] = document_blocks
+
+
+def provenance_lines(spark, sf_dir, title: str):
+    """The document head: title and provenance figures from the manifest (one row)."""
+    m = manifest(spark, sf_dir)
+    return m.select(F.concat(
+        F.lit(f"# {title}\n\n## Provenance\n\n"),
+        F.format_string("- Total messages: %d\n", "messages_total"),
+        F.format_string("- Dated (in chronological section): %d\n", "messages_dated"),
+        F.format_string("- Undated (appended at end): %d\n", "messages_undated"),
+        F.format_string("- Parse errors: %d\n\n", "parse_errors"),
+        F.when(F.col("date_first").isNotNull(), F.concat(
+            F.lit("- Date range: "), "date_first", F.lit("+00:00  →  "), "date_last",
+            F.lit("+00:00\n\n"))).otherwise(F.lit("")),
+        F.lit("Each message is numbered. Attachments are extracted under "
+              "`attachments/<NNN>__<safe-filename>` and referenced by SHA-256.\n\n---\n\n"
+              "## Messages (chronological)\n\n")).alias("value"))
+
+
+def write_document(spark, sf_dir, path: str, title: str = "mail") -> None:
+    """B7 sink: the whole document as ordered text parts under ``path``.
+
+    Row 0 is the head, then each message block at its document number with the undated
+    section heading before the first undated block. The rows are range-partitioned and
+    sorted on that number, so concatenating the part files in name order gives the
+    document; no task ever holds more than its range."""
+    blocks = document_blocks(spark, sf_dir)
+    first_undated = F.col("section") == 2
+    undated_head = "\n---\n\n## Messages (undated)\n\n"
+    rows = blocks.select(
+        F.col("n_all").alias("pos"),
+        F.concat(F.when(first_undated & (F.col("n") == "U0001"), F.lit(undated_head))
+                 .otherwise(F.lit("")), F.col("block")).alias("value"))
+    head = provenance_lines(spark, sf_dir, title).select(F.lit(0).cast("long").alias("pos"), "value")
+    # Every value ends with a newline; the text sink adds it back as the line separator.
+    head.unionByName(rows).repartitionByRange("pos").sortWithinPartitions("pos") \
+        .select(F.expr("substr(value, 1, length(value) - 1)").alias("value")) \
+        .write.mode("overwrite").text(path)

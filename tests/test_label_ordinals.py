@@ -51,3 +51,20 @@ def test_number_rows_equals_row_number(spark):
     got = number_rows(df, ["k", "id"], "n").select("id", "n")
     want = df.select("id", F.row_number().over(Window.orderBy("k", "id")).alias("n"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_document_parts_concatenate_in_order(spark, tmp_path):
+    """The written document starts with its head and lists 0001.. then U0001.. in order."""
+    import glob
+    import re
+    from mailsift.plans.render import write_document
+    from tests.conftest import SF_SMALL
+    out = str(tmp_path / "doc")
+    write_document(spark, SF_SMALL, out, title="sf0.001")
+    text = "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(out + "/part-*")))
+    assert text.startswith("# sf0.001\n\n## Provenance\n\n")
+    ns = re.findall(r"^### (U?\d{4}) ", text, flags=re.M)
+    dated = [n for n in ns if not n.startswith("U")]
+    undated = [n for n in ns if n.startswith("U")]
+    assert ns == dated + undated and dated == sorted(dated) and undated == sorted(undated)
+    assert len(ns) == 200 and "## Messages (undated)" in text
