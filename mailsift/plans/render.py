@@ -18,9 +18,10 @@ INDEX_COLUMNS = ["n", "date_utc", "date_raw", "from", "to", "cc", "subject", "me
                  "raw_sha256", "attachment_count"]
 
 
-def parsed(spark, sf_dir):
-    """One row per record: headers (native) + MIME parts (mapInArrow) + render fields."""
-    m = mime_table(spark, sf_dir)
+def parsed(spark, sf_dir, mime_df=None):
+    """One row per record: headers (native) + MIME parts (mapInArrow) + render fields.
+    ``mime_df`` replaces the ingested table (any frame shaped by ``ingest.mime_of``)."""
+    m = mime_df if mime_df is not None else mime_table(spark, sf_dir)
     return m.select(
         "source_ord", "source_mbox", "byte_offset", "raw_sha256", "raw_size", "parts",
         "parse_error", "date_raw", "date_utc", "message_id", "subject",
@@ -30,13 +31,13 @@ def parsed(spark, sf_dir):
         "in_reply_to", "references", "mime_version", "attachments", "render")
 
 
-def numbered(spark, sf_dir, with_body: bool = False, with_payloads: bool = False):
+def numbered(spark, sf_dir, with_body: bool = False, with_payloads: bool = False, mime_df=None):
     """Dated messages 0001.. by (date_utc, message_id), stable in source
     order; undated U0001.. in source order; n continues across both sections.
 
     Only the columns the render jobs need are numbered (no MIME payloads); the body is
     chosen before numbering when a job needs it."""
-    ok = parsed(spark, sf_dir).where(F.col("parse_error").isNull()) \
+    ok = parsed(spark, sf_dir, mime_df).where(F.col("parse_error").isNull()) \
         .withColumn("dated", F.col("date_utc").isNotNull()) \
         .withColumn("_sec", F.when(F.col("dated"), F.lit(0)).otherwise(F.lit(1))) \
         .withColumn("_k2", F.when(F.col("dated"), F.col("message_id")).otherwise(F.lit("")))
@@ -50,9 +51,9 @@ def numbered(spark, sf_dir, with_body: bool = False, with_payloads: bool = False
                           .otherwise(F.format_string("U%04d", F.col("j"))))
 
 
-def message_index(spark, sf_dir):
+def message_index(spark, sf_dir, mime_df=None):
     """The message-index table in its published column order."""
-    return numbered(spark, sf_dir).select(
+    return numbered(spark, sf_dir, mime_df=mime_df).select(
         "n",
         F.when(F.col("dated"), F.concat(F.date_format("date_utc", "yyyy-MM-dd'T'HH:mm:ss"),
                                          F.lit("+00:00"))).otherwise(F.lit("(no date)"))
@@ -78,14 +79,14 @@ def attachment_files(spark, sf_dir):
         .alias("saved_as"), F.col("a.size").alias("size"), F.col("a.sha256").alias("sha256"))
 
 
-def attachment_writes(spark, sf_dir):
+def attachment_writes(spark, sf_dir, folder=None, mime_df=None):
     """Attachment files written under ``attachments/<n>__<kk>__<safe name>`` in the
     shared folder; a failed write is reported in ``status``, never fatal."""
     from mailsift.operators.files import write_attachments
     from mailsift.session import shared_dir
     from mailsift.sources.tables import _fingerprint
-    folder = shared_dir(spark, f"render/{_fingerprint(spark, sf_dir)}/attachments")
-    rows = numbered(spark, sf_dir, with_payloads=True).select(
+    folder = folder or shared_dir(spark, f"render/{_fingerprint(spark, sf_dir)}/attachments")
+    rows = numbered(spark, sf_dir, with_payloads=True, mime_df=mime_df).select(
         "n", F.arrays_zip(F.col("attachments").alias("a"), F.col("payloads").alias("p")).alias("z")) \
         .select("n", F.explode("z").alias("z")).select(
         "n", F.col("z.a.k").cast("long").alias("k"),
@@ -95,9 +96,9 @@ def attachment_writes(spark, sf_dir):
     return write_attachments(rows, folder)
 
 
-def manifest(spark, sf_dir):
+def manifest(spark, sf_dir, mime_df=None):
     """Run totals and the UTC date range (run time and paths left out)."""
-    p = parsed(spark, sf_dir)
+    p = parsed(spark, sf_dir, mime_df)
     ok = F.col("parse_error").isNull()
     return p.agg(
         F.count_if(ok).alias("messages_total"),
@@ -207,9 +208,9 @@ def _field(label: str, value, optional: bool = False):
     return F.when(value != "", line) if optional else line
 
 
-def document_blocks(spark, sf_dir):
+def document_blocks(spark, sf_dir, mime_df=None):
     """The markdown block of each message, in document order (n_all)."""
-    m = numbered(spark, sf_dir, with_body=True).withColumnRenamed("render", "rb")
+    m = numbered(spark, sf_dir, with_body=True, mime_df=mime_df).withColumnRenamed("render", "rb")
     date_txt = F.when(F.col("dated"), F.concat(
         F.date_format("date_utc", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))) \
         .otherwise(F.lit("(no date)"))
@@ -318,9 +319,9 @@ SQL["document_blocks"] = _document_sql()
 QUERIES["document_blocks"] = document_blocks
 
 
-def provenance_lines(spark, sf_dir, title: str):
+def provenance_lines(spark, sf_dir, title: str, mime_df=None):
     """The document head: title and provenance figures from the manifest (one row)."""
-    m = manifest(spark, sf_dir)
+    m = manifest(spark, sf_dir, mime_df)
     return m.select(F.concat(
         F.lit(f"# {title}\n\n## Provenance\n\n"),
         F.format_string("- Total messages: %d\n", "messages_total"),
@@ -335,21 +336,21 @@ def provenance_lines(spark, sf_dir, title: str):
               "## Messages (chronological)\n\n")).alias("value"))
 
 
-def write_document(spark, sf_dir, path: str, title: str = "mail") -> None:
+def write_document(spark, sf_dir, path: str, title: str = "mail", mime_df=None) -> None:
     """B7 sink: the whole document as ordered text parts under ``path``.
 
     Row 0 is the head, then each message block at its document number with the undated
     section heading before the first undated block. The rows are range-partitioned and
     sorted on that number, so concatenating the part files in name order gives the
     document; no task ever holds more than its range."""
-    blocks = document_blocks(spark, sf_dir)
+    blocks = document_blocks(spark, sf_dir, mime_df)
     first_undated = F.col("section") == 2
     undated_head = "\n---\n\n## Messages (undated)\n\n"
     rows = blocks.select(
         F.col("n_all").alias("pos"),
         F.concat(F.when(first_undated & (F.col("n") == "U0001"), F.lit(undated_head))
                  .otherwise(F.lit("")), F.col("block")).alias("value"))
-    head = provenance_lines(spark, sf_dir, title).select(F.lit(0).cast("long").alias("pos"), "value")
+    head = provenance_lines(spark, sf_dir, title, mime_df).select(F.lit(0).cast("long").alias("pos"), "value")
     # Every value ends with a newline; the text sink adds it back as the line separator.
     head.unionByName(rows).repartitionByRange("pos").sortWithinPartitions("pos") \
         .select(F.expr("substr(value, 1, length(value) - 1)").alias("value")) \

@@ -30,11 +30,13 @@ def scan_frame(with_parts_df, body: str = "scan_body"):
         F.col("to_first").alias("to"), "subject", F.col(body).alias("body"))
 
 
-def hits_of(frame, terms):
-    """K2: subject hits (quoted whole) union body hits (per sentence)."""
+def hits_of(frame, terms, order_columns: bool = False):
+    """K2: subject hits (quoted whole) and body hits (per sentence), from one pass.
+    ``order_columns`` keeps category_ord and term_ord for sorting at a sink (I3)."""
     keys = K + ["date", "from", "to", "subject"]
-    return scan_locations(frame, keys, [("subject", F.col("subject"), False),
-                                        ("body", F.col("body"), True)], terms).select(*HIT_OUT)
+    hits = scan_locations(frame, keys, [("subject", F.col("subject"), False),
+                                        ("body", F.col("body"), True)], terms)
+    return hits.select(*HIT_OUT, *(["category_ord", "term_ord"] if order_columns else []))
 
 
 def q_scan_hits(spark, sf_dir):
