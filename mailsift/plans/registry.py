@@ -13,11 +13,13 @@ def _modules():
 
 def prepare(spark) -> None:
     """Settings results depend on, for sessions not built by ``mailsift.session``: UTC
-    timestamps and a checkpoint folder (the cluster's, or a scratch one when unset)."""
-    from mailsift.session import ensure_checkpoint_dir
+    timestamps, a checkpoint folder (the cluster's, or a scratch one when unset) and the
+    package shipped to executors."""
+    from mailsift.session import ensure_checkpoint_dir, ship_package
     if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
 
 
 def _prepared(fn):
