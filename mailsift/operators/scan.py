@@ -34,9 +34,10 @@ def sentences(df: DataFrame, keys: list[str], text: Column, split: bool = True)
     flat = df.select(*keys, text.alias("_text")).where(F.length("_text") > 0) \
         .select(*keys, normalize_ws(F.col("_text")).alias("_flat"))
     if not split:
-        return flat.select(*keys, F.lit(1).alias("sentence_ord"), F.col("_flat").alias("sentence"))
+        return flat.select(*keys, F.lit(1).cast("long").alias("sentence_ord"),
+                           F.col("_flat").alias("sentence"))
     return flat.select(*keys, F.posexplode(sentence_array(F.col("_flat"))).alias("_pos", "sentence")) \
-        .select(*keys, (F.col("_pos") + 1).alias("sentence_ord"), "sentence")
+        .select(*keys, (F.col("_pos") + 1).cast("long").alias("sentence_ord"), "sentence")
 
 
 def match_terms(sent: DataFrame, terms: DataFrame) -> DataFrame:
@@ -82,7 +83,8 @@ def scan_locations(df: DataFrame, keys: list[str], texts: list[tuple[str, Column
         *keys, "_t.location", "_t.split", normalize_ws(F.col("_t.text")).alias("_flat"))
     pieces = F.when(F.col("split"), sentence_array(F.col("_flat"))).otherwise(F.array("_flat"))
     sent = items.select(*keys, "location", F.posexplode(pieces).alias("_pos", "sentence")) \
-        .select(*keys, "location", (F.col("_pos") + 1).alias("sentence_ord"), "sentence")
+        .select(*keys, "location", (F.col("_pos") + 1).cast("long").alias("sentence_ord"),
+                "sentence")
     pairs = match_terms(sent, terms)
     return pairs.select(
         *keys, "category", "category_ord", F.col("term").alias("matched_term"), "term_ord",

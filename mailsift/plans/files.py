@@ -64,7 +64,7 @@ def q_mbox_escape(spark, sf_dir):
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
                "maxCharsPerColumn": "-1"}
 HIT_DDL = ("doc_id BIGINT, category STRING, category_ord INT, matched_term STRING, "
-           "term_ord INT, sentence_ord INT, exact_text STRING, location STRING")
+           "term_ord INT, sentence_ord BIGINT, exact_text STRING, location STRING")
 
 
 def q_hits_csv_roundtrip(spark, sf_dir):

@@ -27,10 +27,19 @@ def duck():
     return con
 
 
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+              "double": "DOUBLE", "binary": "BLOB", "timestamp": "TIMESTAMP", "date": "DATE"}
+
+
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, key):
+    """Same column names and types, same row count, same order-insensitive value hash."""
     df = E.queries()[key](spark, SF_SMALL)
     s_rows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(E.oracle_sql()[key])
+    s_types = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
+    assert s_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     cur = duck.execute(E.oracle_sql()[key])
     d_cols = [c[0] for c in cur.description]
     d_rows = cur.fetchall()
