@@ -19,7 +19,7 @@ from mailsift.sources.ingest import mime_table
 K = ["source_mbox", "byte_offset"]
 HIT_OUT = ["source_mbox", "byte_offset", "date", "from", "to", "subject", "category",
            "matched_term", "exact_text", "location", "sentence_ord"]
-PIPELINE_NEEDLE = "@partner.test"
+CASE_NEEDLE = "@partner.test"
 
 
 def scan_frame(with_parts_df, body: str = "scan_body"):
@@ -44,14 +44,14 @@ def q_scan_hits(spark, sf_dir):
     return hits_of(scan_frame(mime_table(spark, sf_dir)), terms_df(spark, FIXTURE_TERMS))
 
 
-def q_pipeline_hits(spark, sf_dir):
+def q_case_hits(spark, sf_dir):
     """Extract by address -> first-wins dedup -> strip attachments -> scan -> clean."""
     m = mime_table(spark, sf_dir)
     m = m.select("source_ord", "source_mbox", "byte_offset", "headers", "subject",
                  "scan_date", "from_first", "to_first", "scan_body_stripped",
                  strip_ws(F.coalesce(H.header_first(F.col("headers"), "message-id"), F.lit("")))
                  .alias("message_id"), H.participants(F.col("headers")).alias("participants"))
-    extracted = X.extract(m, PIPELINE_NEEDLE, ["source_mbox", "byte_offset", "subject", "scan_date",
+    extracted = X.extract(m, CASE_NEEDLE, ["source_mbox", "byte_offset", "subject", "scan_date",
                                                "from_first", "to_first", "scan_body_stripped"])
     hits = hits_of(scan_frame(extracted, "scan_body_stripped"), terms_df(spark, FIXTURE_TERMS))
     return hits.withColumn("exact_text", clean_text(F.col("exact_text")))
@@ -84,10 +84,10 @@ _DEDUP_WHERE = ("reply_h IS NOT NULL AND (message_id = '' OR NOT EXISTS (SELECT
 
 SQL = {
     "scan_hits": _hits_sql("true", clean=False),
-    "pipeline_hits": _hits_sql(_DEDUP_WHERE, clean=True),
+    "case_hits": _hits_sql(_DEDUP_WHERE, clean=True),
 }
 
 QUERIES = {
     "scan_hits": q_scan_hits,
-    "pipeline_hits": q_pipeline_hits,
+    "case_hits": q_case_hits,
 }

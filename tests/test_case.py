@@ -12,7 +12,7 @@ from tests.conftest import SF_SMALL
 def test_case_outputs_agree_with_the_jobs(spark, tmp_path):
     """Index rows = extracted messages; cleaned hits = the composite job; render numbers
     every extracted message; inventory and stripped copy are written."""
-    out = run_case(spark, FL.archives(spark, SF_SMALL), PS.PIPELINE_NEEDLE, str(tmp_path),
+    out = run_case(spark, FL.archives(spark, SF_SMALL), PS.CASE_NEEDLE, str(tmp_path),
                    terms=FIXTURE_TERMS, title="case")
     index = spark.read.options(**CSV).csv(out["index"])
     clean = spark.read.options(**CSV).csv(out["hits_clean"])
@@ -20,7 +20,7 @@ def test_case_outputs_agree_with_the_jobs(spark, tmp_path):
     inv = spark.read.options(**CSV).csv(out["inventory"])
     n = index.count()
     assert n > 0 and msgs.count() == n
-    assert clean.count() == PS.q_pipeline_hits(spark, SF_SMALL).count()
+    assert clean.count() == PS.q_case_hits(spark, SF_SMALL).count()
     assert inv.count() >= 0
     manifest = spark.read.json(out["manifest"]).first()
     assert manifest.messages_total == n and manifest.title == "case"
