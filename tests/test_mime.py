@@ -123,3 +123,34 @@ def test_failed_attachment_write_is_recorded(spark, tmp_path):
     out = {r.k: r.status for r in write_attachments(rows, str(tmp_path)).collect()}
     assert out[1] == "saved" and out[2].startswith("[write failed:")
     assert (tmp_path / "0001__01__ok.bin").read_bytes() == b"abc"
+
+
+def test_attached_text_scanned_unless_stripped(spark):
+    """An attached text file is part of the scan body of the original message but not
+    of the stripped copy, so 'same hits' holds only without text attachments."""
+    raw = multipart("t6", "mixed", [leaf('text/plain; charset="utf-8"', "Body."),
+                                    leaf("text/plain", "urgent payment", "attachment", "note.txt")],
+                    boundary="T6")
+    row = parsed(spark, [raw]).select(P.scan_body(F.col("parts")).alias("full"),
+                                      P.scan_body(P.strip_keep(F.col("parts"))).alias("stripped")) \
+        .first()
+    assert "urgent payment" in row.full and row.stripped == "Body."
+
+
+def test_scan_reads_all_plain_parts_render_shows_one(spark):
+    """The scan joins every plain part; the rendered body is the first one only."""
+    raw = multipart("t7", "mixed", [leaf('text/plain; charset="utf-8"', "First part."),
+                                    leaf('text/plain; charset="utf-8"', "Second part.")],
+                    boundary="T7")
+    row = parsed(spark, [raw]).select(P.scan_body(F.col("parts")).alias("s"),
+                                      P.render_body(F.col("parts")).alias("r")).first()
+    assert row.s == "First part.\n\nSecond part." and row.r.body == "First part."
+
+
+def test_clean_removes_link_targets(spark):
+    """Cleaning strips '<...>', which also deletes the link targets html_to_text added."""
+    from mailsift.functions.text import clean_text, html_to_text
+    df = spark.createDataFrame([('<p>See <a href="https://example.test">here</a></p>',)], "h string")
+    row = df.select(html_to_text(F.col("h")).alias("t")).select(
+        "t", clean_text(F.col("t")).alias("c")).first()
+    assert row.t == "See here <https://example.test>" and row.c == "See here"
