@@ -64,7 +64,11 @@ def parse_parts(value: Column) -> Column:
 
 def date_iso(value: Column) -> Column:
     """ISO-8601 keeping the source offset (no offset when naive); '' on failure."""
-    p = parse_parts(value)
+    return iso_from_parts(parse_parts(value))
+
+
+def iso_from_parts(p: Column) -> Column:
+    """``date_iso`` from an already parsed STRUCT(local, offset_min)."""
     off = p["offset_min"]
     off_txt = F.when(off.isNull(), F.lit("")).otherwise(F.format_string(
         "%s%02d:%02d", F.when(off < 0, "-").otherwise("+"), F.floor(F.abs(off) / 60).cast("int"),
@@ -75,5 +79,9 @@ def date_iso(value: Column) -> Column:
 
 def date_utc(value: Column) -> Column:
     """UTC TIMESTAMP; a naive time is taken as UTC; NULL on failure."""
-    p = parse_parts(value)
+    return utc_from_parts(parse_parts(value))
+
+
+def utc_from_parts(p: Column) -> Column:
+    """``date_utc`` from an already parsed STRUCT(local, offset_min)."""
     return F.timestamp_add("MINUTE", -F.coalesce(p["offset_min"], F.lit(0)), p["local"])

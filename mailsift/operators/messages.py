@@ -20,7 +20,9 @@ def messages(mail: DataFrame) -> DataFrame:
     """mail(source_ord, source_mbox, byte_offset, raw) -> + parsed header columns."""
     m = mail.withColumn("headers", H.parse_headers(H.message_text(F.col("raw"))))
     hd = F.col("headers")
-    date_raw = H.header_values(hd, "date")
+    m = m.withColumn("_date_raw", H.header_values(hd, "date")) \
+        .withColumn("_date", D.parse_parts(F.col("_date_raw")))
+    date_raw = F.col("_date_raw")
     return m.select(
         *mail.columns,
         F.octet_length("raw").cast("long").alias("raw_size"),
@@ -28,8 +30,8 @@ def messages(mail: DataFrame) -> DataFrame:
         "headers",
         strip_ws(F.coalesce(H.header_first(hd, "message-id"), F.lit(""))).alias("message_id"),
         date_raw.alias("date_raw"),
-        D.date_iso(date_raw).alias("date_iso"),
-        D.date_utc(date_raw).alias("date_utc"),
+        D.iso_from_parts(F.col("_date")).alias("date_iso"),
+        D.utc_from_parts(F.col("_date")).alias("date_utc"),
         H.header_values(hd, "subject").alias("subject_raw"),
         H.decode_subject(H.header_first(hd, "subject")).alias("subject"),
         H.header_values(hd, "from").alias("from"),
