@@ -70,8 +70,19 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build) -> DataFram
     machine-local folder), keyed by a fingerprint of the inputs; a write counts only once
     its _SUCCESS marker exists, so a lost executor or an interrupted run rewrites it.
     """
+    import uuid
+
     from mailsift.session import shared_dir
     path = shared_dir(spark, f"tables/{name}-{_fingerprint(spark, sf_dir)}")
     if not path_exists(spark, path + "/_SUCCESS"):
-        ensure_parallelism(build()).write.mode("overwrite").parquet(path)
+        # Written under a unique name and renamed into place: a crashed or concurrent
+        # writer never leaves a partial table where readers look.
+        tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+        ensure_parallelism(build()).write.parquet(tmp)
+        fs, jtmp = _fs(spark, tmp)
+        _fs_dst, jdst = _fs(spark, path)
+        if not fs.exists(jdst):
+            fs.rename(jtmp, jdst)
+        if fs.exists(jtmp):             # another writer finished first: drop our copy
+            fs.delete(jtmp, True)
     return spark.read.parquet(path)
