@@ -17,8 +17,10 @@ from mailsift.functions.text import strip_ws
 PARTICIPANT_HEADERS = ("from", "to", "cc", "bcc", "reply-to", "sender", "delivered-to")
 DOMAIN_HEADERS = ("from", "reply-to", "to", "cc")
 
-# One mailbox of an address list: "quoted name" <addr> | name <addr> | bare addr@dom.
+# One mailbox of an address list: "quoted name" <addr> | name <addr> |
+# bare addr@dom (comment name) | bare addr@dom.
 MAILBOX_RE = (r'(?:"((?:[^"\\]|\\.)*)"\s*|([^",<>;:]*?)\s*)<([^<>]*)>'
+              r'|([^\s",<>;:()]+@[^\s",<>;:()]+)\s*\(([^()]*)\)'
               r'|([^\s",<>;:]+@[^\s",<>;:]+)')
 
 
@@ -61,11 +63,14 @@ def header_first(headers: Column, name: str) -> Column:
 
 def mailboxes(value: Column) -> Column:
     """ARRAY<STRUCT<display, addr>> parsed from an address-list string."""
-    g = [F.regexp_extract_all(value, F.lit(MAILBOX_RE), F.lit(k)) for k in (1, 2, 3, 4)]
-    z = F.arrays_zip(*[x.alias(f"g{k}") for k, x in zip((1, 2, 3, 4), g)])
+    ks = (1, 2, 3, 4, 5, 6)
+    g = [F.regexp_extract_all(value, F.lit(MAILBOX_RE), F.lit(k)) for k in ks]
+    z = F.arrays_zip(*[x.alias(f"g{k}") for k, x in zip(ks, g)])
     boxes = F.transform(z, lambda e: F.struct(
-        F.coalesce(F.nullif(e["g1"], F.lit("")), strip_ws(e["g2"]), F.lit("")).alias("display"),
-        strip_ws(F.coalesce(F.nullif(e["g3"], F.lit("")), e["g4"], F.lit(""))).alias("addr")))
+        F.coalesce(F.nullif(e["g1"], F.lit("")), F.nullif(strip_ws(e["g2"]), F.lit("")),
+                   strip_ws(e["g5"]), F.lit("")).alias("display"),
+        strip_ws(F.coalesce(F.nullif(e["g3"], F.lit("")), F.nullif(e["g4"], F.lit("")),
+                            e["g6"], F.lit(""))).alias("addr")))
     return F.filter(boxes, lambda b: b["addr"] != F.lit(""))
 
 

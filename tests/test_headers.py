@@ -39,12 +39,14 @@ def test_addresses_equal_getaddresses(spark, value):
     assert got == want
 
 
-def test_comment_display_name_is_a_known_difference(spark):
-    """'addr (Name)' keeps the address; the comment is not taken as display name."""
-    df = spark.createDataFrame([("a@x.com (Comment Name)",)], "v string")
+@pytest.mark.parametrize("value", [
+    "a@x.com (Comment Name)", "First Last <a@x.com>, b@y.com (Bee)", '"Q, R" <q@x.com>',
+    "Team <t@x.org>, x@src.example.net"])
+def test_display_names_equal_getaddresses(spark, value):
+    """Display names (quoted, plain, or from a trailing comment) equal getaddresses."""
+    df = spark.createDataFrame([(value,)], "v string")
     boxes = df.select(H.mailboxes(F.col("v")).alias("m")).first().m
-    assert [(b.display, b.addr) for b in boxes] == [("", "a@x.com")]
-    assert getaddresses(["a@x.com (Comment Name)"]) == [("Comment Name", "a@x.com")]
+    assert [(b.display, b.addr) for b in boxes] == [(n, a) for n, a in getaddresses([value]) if a]
 
 
 def test_header_values_equal_stdlib_on_folded_and_repeated(spark):
