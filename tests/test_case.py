@@ -26,3 +26,13 @@ def test_case_outputs_agree_with_the_jobs(spark, tmp_path):
     assert manifest.messages_total == n and manifest.title == "case"
     stripped = spark.read.format("mbox").option("paths", out["stripped_mbox"]).load()
     assert stripped.count() == n
+
+
+def test_case_without_strip_scans_the_extract(spark, tmp_path):
+    """Skipping strip: no stripped folder, the scan reads the extract, and (no text
+    attachments in this archive) the cleaned hits are the same."""
+    out = run_case(spark, FL.archives(spark, SF_SMALL), PS.CASE_NEEDLE, str(tmp_path),
+                   terms=FIXTURE_TERMS, skip=("strip",))
+    assert "stripped_mbox" not in out and "inventory" not in out
+    clean = spark.read.options(**CSV).csv(out["hits_clean"])
+    assert clean.count() == PS.q_case_hits(spark, SF_SMALL).count()
