@@ -32,7 +32,8 @@ def number_rows(df: DataFrame, order_cols: list[str], out: str = "n",
         .withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_mono", F.monotonically_increasing_id()) \
         .withColumn("_sec", sec)
-    path = shared_dir(spark, f"ordinals/{uuid.uuid4().hex}")
+    # Grouped per application, so a finished application's scratch is one folder to drop.
+    path = shared_dir(spark, f"ordinals/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}")
     ranged.write.parquet(path)
     ranged = spark.read.parquet(path)
     counts = ranged.groupBy("_pid", "_sec").agg(F.count(F.lit(1)).alias("_cnt"))
