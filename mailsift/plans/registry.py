@@ -16,7 +16,9 @@ def prepare(spark) -> None:
     timestamps, a checkpoint folder (the cluster's, or a scratch one when unset) and the
     package shipped to executors."""
     from mailsift.session import ensure_checkpoint_dir, ship_package
-    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+    # The effective value (no default argument: with one, an unset key reads as the default
+    # given here even when the session runs in the JVM's own zone).
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
     ship_package(spark)
