@@ -46,3 +46,12 @@ def test_query_matches_oracle(spark, duck, key):
     assert sorted(df.columns) == sorted(d_cols)
     assert len(s_rows) == len(d_rows)
     assert digest(df.columns, s_rows)[0] == digest(d_cols, d_rows)[0]
+
+
+def test_prepare_pins_utc_from_another_zone(spark):
+    """A session running in another zone is pinned to UTC before a query is built
+    (timestamps are parsed and printed in the session zone)."""
+    from mailsift.plans.registry import prepare
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    prepare(spark)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
