@@ -1,0 +1,143 @@
+"""Token ids by the ``tokenizers`` library, once per distinct piece of text.
+
+Both vocabularies split a text into pieces that encode independently, so a worker keeps the ids
+of the pieces it has met (a bounded memo) and asks the library only for new ones:
+
+* the word vocabulary drops white space, so white space always ends a piece;
+* the byte vocabulary attaches a single space to the word after it, so a text may be cut before
+  every space that stands between two characters that are not white space.
+"""
+
+from __future__ import annotations
+
+import os
+import re
+
+MEMO_ENTRIES = 800_000         # a worker's memo is emptied beyond this; bounds its memory
+
+_SEPARATORS = re.compile("[\x1c-\x1f]")   # white space to Python, ordinary characters to the library
+_ANY_WORD = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+
+
+def vocabulary_path(name: str) -> str:
+    """The place of a public vocabulary file (never copied into the repository)."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def library(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"    # one task, one core
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(path)
+    tok.no_truncation()
+    tok.no_padding()
+    return tok
+
+
+def words_of(text: str) -> list[str]:
+    """Runs of characters that are not Unicode white space."""
+    return _ANY_WORD.findall(text) if _SEPARATORS.search(text) else text.split()
+
+
+def spans_of(text: str) -> list[str]:
+    """The text cut at every space between two visible characters (that space is left out)."""
+    # As many words as single spaces and line ends imply: then no space is next to another.
+    if len(text.split()) == text.count(" ") + text.count("\n") + 1:
+        return text.split(" ")
+    return _CUT.split(text)
+
+
+class Memo(dict):
+    """piece -> ids as little-endian unsigned 32-bit bytes, by the library.
+
+    New pieces are encoded many at a time, as one text: its white space (or the space that
+    starts every piece of the byte vocabulary) keeps them apart, and the ids are dealt back by
+    their place in it. Pieces that hold a special token's string, or end loosely, go alone.
+    """
+
+    def __init__(self, path: str, kind: str):
+        super().__init__()
+        self.tok, self.kind = library(path), kind
+        if kind == "byte":      # a character of a byte vocabulary's token stands for one byte
+            import numpy as np
+            size = self.tok.get_vocab_size()
+            self.width = np.array([len(self.tok.id_to_token(i) or "") for i in range(size)])
+
+    def ids(self, text: str) -> bytes:
+        return _bytes(self.tok.encode(text, add_special_tokens=False).ids)
+
+    def fill(self, pieces: set[str]) -> None:
+        new = [p for p in pieces if p not in self]
+        if len(self) + len(new) > MEMO_ENTRIES:
+            self.clear()
+            new = list(pieces)
+        space = "" if self.kind == "word" else " "
+        joined = [p for p in new if "<|" not in p and not (space and p[-1:].isspace())]
+        for p in set(new).difference(joined):
+            self[p] = self.ids(space + p)
+        for i in range(0, len(joined), 2048):
+            self._many(joined[i:i + 2048])
+
+    def _many(self, part: list[str]) -> None:
+        import numpy as np
+        if self.kind == "word":
+            e = self.tok.encode(" ".join(part), add_special_tokens=False)
+            place = np.array([o[0] for o in e.offsets], dtype=np.int64)
+            cut = np.searchsorted(place, np.cumsum([len(p) + 1 for p in part]), side="left")
+        else:
+            e = self.tok.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0]
+            ends = np.cumsum([len(p.encode()) + 1 for p in part])
+            cut = np.searchsorted(np.cumsum(self.width[e.ids]), ends, side="left") + 1
+        raw, start = _bytes(e.ids), 0
+        for p, end in zip(part, cut.tolist()):
+            self[p] = raw[4 * start:4 * end]
+            start = end
+
+
+def _bytes(ids: list[int]) -> bytes:
+    import numpy as np
+    return np.array(ids, dtype="<u4").tobytes()
+
+
+class Encoder:
+    """Texts to id bytes. ``kind`` is "word" or "byte" (how a text may be cut)."""
+
+    def __init__(self, path: str, kind: str):
+        self.memo, self.kind = Memo(path, kind), kind
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text (None: empty) as little-endian unsigned 32-bit bytes."""
+        out = []
+        for text in texts:
+            if not text:
+                out.append(b"")
+            elif self.kind == "word":
+                out.append(self._join(words_of(text)))
+            else:
+                first, *rest = spans_of(text)
+                out.append(self.memo.ids(first) + self._join(rest))
+        return out
+
+    def _join(self, pieces: list[str]) -> bytes:
+        memo = self.memo
+        try:
+            return b"".join(map(memo.__getitem__, pieces))
+        except KeyError:
+            pass
+        whole = []          # a step's new pieces always fit the memo
+        for i in range(0, len(pieces), MEMO_ENTRIES // 2):
+            part = pieces[i:i + MEMO_ENTRIES // 2]
+            memo.fill(set(part))
+            whole.append(b"".join(map(memo.__getitem__, part)))
+        return b"".join(whole)
+
+
+_ENCODERS: dict = {}
+
+
+def encoder(path: str, kind: str) -> Encoder:
+    """One encoder per worker process."""
+    if (path, kind) not in _ENCODERS:
+        _ENCODERS[path, kind] = Encoder(path, kind)
+    return _ENCODERS[path, kind]
