@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsift.llm import bpe, exact, packing, quality, tokenfile
+from mailsift.llm import bpe, exact, fmindex, packing, quality, suffixes, tokenfile
 from mailsift.llm.common import prepare, scratch, table
 from mailsift.llm.tokens import vocabulary_path
 
@@ -17,6 +17,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fmindex.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary_path(WORD_VOCABULARY)
     done = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
@@ -31,6 +36,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.crc32(tokenfile.read_token_files(files, path)).drop("ids")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -39,7 +49,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path(WORD_VOCABULARY))
 
 
-_QUERIES = [op1_quality_rules, op6_bpe, op7_token_files, op9_exact_dedup, op10_packing]
+_QUERIES = [op1_quality_rules, op2_substring_dedup, op6_bpe, op7_token_files, op8_suffix_dedup, op9_exact_dedup, op10_packing]
 
 _SQL = {
     "op1_quality_rules": quality.verdict_sql,
