@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsift.llm import bpe, exact, fmindex, packing, quality, suffixes, tokenfile
+from mailsift.llm import bpe, exact, fmindex, mincut, packing, quality, secrets_scan, suffixes, tokenfile
+from mailsift.llm.bpe import vocabulary_path
 from mailsift.llm.common import prepare, scratch, table
-from mailsift.llm.tokens import vocabulary_path
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -22,6 +22,18 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    S = secrets_scan
+    found = S.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*S.BASE_KINDS))
+    return found.select("doc_id", *[S.count_kind(F.col("spans"), k).alias("n_" + k) for k in S.BASE_KINDS],
+                        F.sha2(S.span_text(base), 256).alias("base_sha256"), S.span_text(F.col("spans")).alias("spans"))
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mincut.with_length(mincut.extract(table(spark, sf_dir, "pages")))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary_path(WORD_VOCABULARY)
     done = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
@@ -49,7 +61,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path(WORD_VOCABULARY))
 
 
-_QUERIES = [op1_quality_rules, op2_substring_dedup, op6_bpe, op7_token_files, op8_suffix_dedup, op9_exact_dedup, op10_packing]
+_QUERIES = [op1_quality_rules, op2_substring_dedup, op3_secret_scan, op5_html_extraction, op6_bpe, op7_token_files, op8_suffix_dedup, op9_exact_dedup, op10_packing]
 
 _SQL = {
     "op1_quality_rules": quality.verdict_sql,

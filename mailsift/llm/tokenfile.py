@@ -21,7 +21,7 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mailsift.llm import tokens
+from mailsift.llm import bpe
 from mailsift.llm.common import written
 
 FRAME_BYTES = 1 << 18
@@ -150,11 +150,11 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
         fs.create_dir(folder, recursive=True)
         name = f"{folder}/part-{part:07d}.tok"
         temp = f"{folder}/.{part:07d}-{uuid.uuid4().hex}.tmp"
-        enc, stop = tokens.encoder(vocabulary, "byte"), struct.pack("<I", end_id)
+        coder, stop = bpe.coder(vocabulary), struct.pack("<I", end_id)
         with fs.open_output_stream(temp) as sink:
             out = FrameWriter(sink)
             for b in batches:
-                for d, ids in zip(b.column("doc_id").to_pylist(), enc.encode(b.column("text").to_pylist())):
+                for d, ids in zip(b.column("doc_id").to_pylist(), coder.encode_all(b.column("text").to_pylist())):
                     out.add(d, ids + stop)
             out.close()
         if not out.doc_ids:

@@ -26,7 +26,7 @@ def _tables():
     space[[9, 10, 11, 12, 13, 32]] = True
     lower = np.arange(256, dtype="u1")
     lower[65:91] += 32
-    return byte, space, lower
+    return byte, space, lower, rng.integers(0, 1 << 64, 256, dtype="u8")
 
 
 FACTOR = 0x9E3779B97F4A7C15
@@ -36,7 +36,7 @@ def _power(n: int) -> int:
     return pow(FACTOR, n, 1 << 64)
 
 
-@lru_cache(1)
+@lru_cache(4)
 def _powers(bits: int):
     """FACTOR^0, FACTOR^1, ... modulo 2^64, 2^bits of them."""
     import numpy as np
@@ -69,7 +69,7 @@ def blocks(raws: list[bytes]) -> Iterator[tuple[int, int]]:
 def word_units(raws: list[bytes], lower: bool = False):
     """(hash of every word, document of every word) of a block of texts."""
     import numpy as np
-    byte, space, low = _tables()
+    byte, space, low, _ = _tables()
     text = np.frombuffer(b"\n".join(raws) + b"\n", "u1")
     if lower:
         text = low[text]
@@ -93,6 +93,93 @@ def byte_units(raws: list[bytes]):
     return _tables()[0][text], np.repeat(np.arange(len(raws)), [len(r) for r in raws])
 
 
+LETTER, SYMBOL, BLANK, LINE, OTHER = range(5)
+
+
+@lru_cache(1)
+def _classes():
+    """Class of each byte value; 0xC3 and what follows it is decided in place."""
+    import numpy as np
+    out = np.full(256, OTHER, "i1")
+    out[0x21:0x7F] = SYMBOL
+    out[[*range(65, 91), *range(97, 123), 0xC3]] = LETTER
+    out[[*range(48, 58), ord("'"), ord("<")]] = OTHER      # digits, contractions, special tokens
+    out[0x20], out[0x0A] = BLANK, LINE
+    return out
+
+
+def text_units(raws: list[bytes], words: bool):
+    """(bytes, first, last, complex, document): the pieces of a block of texts, lower-cased for
+    the word vocabulary. Stretches that hold more than ASCII and Latin-1 letters, symbols and
+    single white space are left whole and as they were, and marked complex.
+
+    A stretch is a word, or, for the byte vocabulary, runs up to the next space that is followed
+    by a visible character (bytes that can begin white space outside ASCII count as not visible);
+    white space ends a piece there in any case.
+    """
+    import numpy as np
+    space = _tables()[1]
+    size = np.array([len(r) for r in raws]) + words
+    text = np.frombuffer(b"\n".join(raws) + b"\n" if words else b"".join(raws), "u1")
+    start = np.cumsum(size) - size
+    if not len(text):
+        return text, start[:0], start[:0], np.zeros(0, bool), start[:0]
+    kind = _classes()[text]
+    after = np.flatnonzero(text[:-1] == 0xC3) + 1
+    follow = text[after]
+    kind[after[(follow != 0x97) & (follow != 0xB7)]] = LETTER
+    flag = np.zeros(len(text) + 1, bool)
+    if words:
+        gap = space[text]
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], gap]).view("i1")))
+        first, last = edge[::2], edge[1::2]
+        odd = kind == OTHER
+        odd[gap] = False
+    else:
+        hidden = space.copy()
+        hidden[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
+        flag[:-2] = (text[:-1] == 32) & ~hidden[text[1:]]
+        flag[start[size > 0]] = True
+        first = np.flatnonzero(flag[:-1])
+        last = np.append(first[1:], len(text))
+        blank = (kind == BLANK) | (kind == LINE)
+        odd = kind == OTHER
+        odd[1:] |= blank[1:] & blank[:-1] & ~flag[1:-1]
+        odd |= (kind == BLANK) & ~flag[:-1]
+    if not len(first):
+        return text, first, last, np.zeros(0, bool), first
+    whole = np.add.reduceat(odd.astype("i4"), first) > 0
+    inside = np.repeat(whole, np.diff(np.append(first, len(text))))
+    inside = np.concatenate([np.ones(first[0], bool), inside])       # bytes that are not divided further
+    # divide where the class changes; the blank at a stretch's start stays with what follows
+    step = np.zeros(len(text), bool)
+    step[1:] = (kind[1:] != kind[:-1]) & (kind[:-1] != BLANK) & ~inside[1:]
+    if words:
+        step &= ~gap
+    step[first] = True
+    begin = np.flatnonzero(step)
+    owner = np.searchsorted(first, begin, side="right") - 1
+    end = np.minimum(np.append(begin[1:], len(text)), last[owner])
+    if words:
+        lower = _tables()[2][text]
+        up = after[(follow >= 0x80) & (follow <= 0x9E) & (follow != 0x97)]
+        lower[up] += 32
+        text = np.where(inside, text, lower)
+    return text, begin, end, whole[owner], np.searchsorted(start + size, begin, side="right")
+
+
+def stretch_hashes(text, first, last):
+    """Two independent hashes of every stretch text[first:last] (ascending, disjoint)."""
+    import numpy as np
+    size = last - first
+    at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    bytes_ = text[at + np.repeat(first, size)]
+    powers = _powers(max(12, int(size.max()).bit_length()))[at]
+    edge = np.cumsum(size) - size
+    byte, other = _tables()[0], _tables()[3]
+    return tuple(mix(np.add.reduceat(t[bytes_] * powers, edge) + size.astype("u8")) for t in (byte, other))
+
+
 def grams(units, k: int):
     """The hash of every k adjacent units (n - k + 1 of them), by doubling."""
     import numpy as np
