@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsift.llm import bpe, exact, fmindex, mincut, packing, quality, secrets_scan, suffixes, tokenfile
+from mailsift.llm import bpe, exact, fmindex, jaccard, mincut, packing, quality, secrets_scan, suffixes, tokenfile
 from mailsift.llm.bpe import vocabulary_path
 from mailsift.llm.common import prepare, scratch, table
 
@@ -30,6 +30,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(S.span_text(base), 256).alias("base_sha256"), S.span_text(F.col("spans")).alias("spans"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(table(spark, sf_dir, "documents"))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mincut.with_length(mincut.extract(table(spark, sf_dir, "pages")))
 
@@ -61,7 +65,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path(WORD_VOCABULARY))
 
 
-_QUERIES = [op1_quality_rules, op2_substring_dedup, op3_secret_scan, op5_html_extraction, op6_bpe, op7_token_files, op8_suffix_dedup, op9_exact_dedup, op10_packing]
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+_QUERIES = [op1_quality_rules, op2_substring_dedup, op3_secret_scan, op4_jaccard_join, op5_html_extraction, op6_bpe, op7_token_files, op8_suffix_dedup, op9_exact_dedup, op10_packing, pipeline]
 
 _SQL = {
     "op1_quality_rules": quality.verdict_sql,
