@@ -23,7 +23,7 @@ import zlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailsift.llm import tokens
+from mailsift.llm import bpe
 from mailsift.llm.common import written
 
 CAPACITY = 2048
@@ -38,11 +38,11 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = CA
 
         import pyarrow as pa
         from pyspark import TaskContext
-        enc, stop, seen = tokens.encoder(vocabulary, "word"), struct.pack("<I", end_id), Counter()
+        coder, stop, seen = bpe.coder(vocabulary), struct.pack("<I", end_id), Counter()
         part, step = TaskContext.get().partitionId(), 4 * capacity
         for b in batches:
             rows = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "part", "rank")}
-            for d, ids in zip(b.column("doc_id").to_pylist(), enc.encode(b.column("text").to_pylist())):
+            for d, ids in zip(b.column("doc_id").to_pylist(), coder.encode_all(b.column("text").to_pylist())):
                 ids += stop
                 for piece, at in enumerate(range(0, len(ids), step)):
                     raw = ids[at:at + step]
