@@ -43,25 +43,25 @@ def chunk_hash(chunk: bytes, powers, prime: int) -> int:
     return int((b * powers[len(powers) - len(b):]).sum() % np.uint64(prime)) if len(b) else 0
 
 
-def combine(left: int, right: int, right_length: int, k: int) -> int:
-    """The fingerprint of two adjacent stretches from theirs (k: which of the two primes)."""
-    return (left * pow(BASES[k], right_length, PRIMES[k]) + right) % PRIMES[k]
+def combine(left: int, right: int, right_length: int, base: int, prime: int) -> int:
+    """The fingerprint of two adjacent stretches from theirs."""
+    return (left * pow(base, right_length, prime) + right) % prime
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, primes: tuple = PRIMES, size: int = CHUNK) -> DataFrame:
     """(doc_id, length, f0, f1, text_sha256), one row per row of ``docs``."""
     def run(batches):
         import pyarrow as pa
-        powers = [_powers(p, b, CHUNK) for p, b in zip(PRIMES, BASES)]
+        powers = [_powers(p, b, size) for p, b in zip(primes, BASES)]
         for batch in batches:
             raws = batch.column("raw").to_pylist()
             out = ([], [])
             for raw in raws:
                 for k in (0, 1):
                     h = 0
-                    for i in range(0, len(raw), CHUNK):
-                        part = raw[i:i + CHUNK]
-                        h = combine(h, chunk_hash(part, powers[k], PRIMES[k]), len(part), k)
+                    for i in range(0, len(raw), size):
+                        part = raw[i:i + size]
+                        h = combine(h, chunk_hash(part, powers[k], primes[k]), len(part), BASES[k], primes[k])
                     out[k].append(h)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(r) for r in raws], pa.int64()),
@@ -77,10 +77,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 KEY = ["length", "f0", "f1"]
 
 
-def exact_groups(docs: DataFrame) -> DataFrame:
+def exact_groups(docs: DataFrame, primes: tuple = PRIMES, size: int = CHUNK) -> DataFrame:
     """One row per document: doc_id, keep_id (the largest doc_id with an equal text),
     group_size, kept, text_sha256."""
-    prints = written(fingerprints(docs.select("doc_id", "text")).dropDuplicates(["doc_id", "text_sha256", *KEY]), "prints")
+    prints = written(fingerprints(docs.select("doc_id", "text"), primes, size).dropDuplicates(["doc_id", "text_sha256", *KEY]), "prints")
     groups = prints.groupBy(KEY).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     groups = written(groups.where("group_size > 1"), "copies")
 
@@ -89,8 +89,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     texts = docs.select(F.col("doc_id").alias("__id"), raw.alias("raw")).join(
         members, F.col("__id").eqNullSafe(F.col("doc_id")))
-    cut = F.transform(F.sequence(F.lit(0), F.greatest(F.octet_length("raw") - 1, F.lit(0)), F.lit(CHUNK)),
-                      lambda o: F.substring(F.col("raw"), o + 1, F.lit(CHUNK)))
+    cut = F.transform(F.sequence(F.lit(0), F.greatest(F.octet_length("raw") - 1, F.lit(0)), F.lit(size)),
+                      lambda o: F.substring(F.col("raw"), o + 1, F.lit(size)))
     # The rows of a shared doc_id can bring in other texts than the candidate: keep equal lengths only.
     chunks = (texts.where(F.octet_length("raw") == F.col("length"))
               .select(*KEY, F.posexplode(cut).alias("chunk_no", "chunk")))

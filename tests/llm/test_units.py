@@ -1,0 +1,224 @@
+"""The parts of the operators, each against its definition."""
+
+from __future__ import annotations
+
+import io
+import itertools
+import math
+import random
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from mailsift.llm import bpe, fmindex, mincut, packing, quality, secrets_scan, suffixes, tokenfile, units
+from mailsift.llm.graph import components
+
+
+def test_binomial_tail(spark):
+    cases = [(n, k, p) for n in (1, 5, 40, 300, 2000) for k in (0, 1, 3, 7, 15) if k <= n for p in (0.01, 0.3)]
+    for p in (0.01, 0.3):
+        mine = [(n, k) for n, k, q in cases if q == p]
+        df = spark.createDataFrame(mine, "n long, k long").withColumn("t", quality.binomial_tail(F.col("n"), F.col("k"), p))
+        for r in df.collect():
+            x = Fraction(p)
+            exact = float(sum(math.comb(r.n, i) * x ** i * (1 - x) ** (r.n - i) for i in range(r.k + 1)))
+            assert r.t == (1.0 if r.k >= r.n * p else pytest.approx(exact, rel=1e-9))
+
+
+def test_certified_cutoffs_hold_the_risk(spark):
+    """A stratum with enough good documents gets a cutoff, a small one none."""
+    rows = [(i, "en" if i < 4000 else "xx", False, 100, 1000, 300 if i % 500 == 0 else 0, 10, 0, 0) for i in range(4020)]
+    feats = spark.createDataFrame(rows, "doc_id long, lang string, base_failed boolean, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long")
+    labels = feats.select("doc_id", F.lit(1).alias("quality"))
+    got = {r.stratum: r for r in quality.fit_cutoffs(feats, labels).collect()}
+    assert got["en"].symbols == 5 and got["xx"].symbols is None and got["xx"].repeats is None
+    more = feats.withColumn("n_symbols", F.when(F.col("doc_id") % 50 == 0, 300).otherwise(0))
+    assert {r.stratum: r.symbols for r in quality.fit_cutoffs(more, labels).collect()}["en"] == 400
+
+
+def test_fm_index_finds_first_values():
+    rng = random.Random(3)
+    for width in (3, 5, 8):
+        texts = [np.array([rng.randint(1, 3) for _ in range(rng.randint(width, 30))]) for _ in range(15)]
+        value = [rng.randrange(100) for _ in texts]
+        index = fmindex.FmIndex(np.concatenate([np.append(t, 0) for t in texts]), np.repeat(value, [len(t) + 1 for t in texts]), width)
+        least: dict = {}
+        for t, v in zip(texts, value):
+            for i in range(len(t) - width + 1):
+                w = tuple(t[i:i + width])
+                least[w] = min(v, least.get(w, v))
+        for t, got in zip(texts, index.first_values(texts)):
+            assert got.tolist() == [least[tuple(t[i:i + width])] for i in range(len(t) - width + 1)]
+
+
+def test_wavelet_matrix_ranks():
+    seq = np.random.default_rng(1).integers(0, 11, 700)
+    w = fmindex.WaveletMatrix(seq, 11)
+    for c in range(11):
+        i = np.arange(0, 701, 37)
+        assert w.rank(np.full(len(i), c), i).tolist() == [int((seq[:x] == c).sum()) for x in i]
+
+
+def test_equal_windows():
+    rng = random.Random(4)
+    text = np.array([rng.choice(b"ab") for _ in range(400)], "u1")
+    for width in (5, 8, 11):
+        places, group = suffixes.equal_windows(text, np.arange(len(text) - width + 1), width)
+        got = {}
+        for p, g in zip(places.tolist(), group.tolist()):
+            got.setdefault(g, set()).add(p)
+        want = {}
+        for i in range(len(text) - width + 1):
+            want.setdefault(text[i:i + width].tobytes(), set()).add(i)
+        assert sorted(map(sorted, got.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
+
+
+def test_minimum_cut_is_minimal():
+    rng = random.Random(6)
+    for _ in range(40):
+        n = rng.randint(1, 7)
+        evidence = [rng.uniform(-3, 3) for _ in range(n)]
+        edges = [(a, b, rng.uniform(0, 2)) for a in range(n) for b in range(a + 1, n) if rng.random() < 0.5]
+
+        def cost(side):
+            return (sum(e for e, s in zip(evidence, side) if e > 0 and not s) - sum(e for e, s in zip(evidence, side) if e < 0 and s)
+                    + sum(w for a, b, w in edges if side[a] != side[b]))
+
+        assert cost(mincut.minimum_cut(evidence, edges)) == pytest.approx(min(map(cost, itertools.product([False, True], repeat=n))))
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="home">
+<header><h2>Site name</h2><ul><li><a href="/a">One</a></li></ul></header>
+<div class="cookie-notice"><p>We use cookies, accept them.</p></div>
+<main><h1>A &amp; B</h1><p>First paragraph with <a href='x>y'>a link</a> and&nbsp;more words, quite long.
+<p>Short.<script>var x = "<p>no</p>";</script><!-- <p>gone</p> -->
+<aside><p>Aside text that is not the article, though long enough to look like it.</p></aside>
+<form><label>Name</label><input name=q></form>
+<p>Second &#8212; &lt;tag&gt; paragraph of the article, with some more words.</p>
+<div id="comments"><p>I do not agree with this article at all, it is too short.</p></div></main>
+<footer><p>Copyright, all rights reserved, and so on.</p></footer></body></html>"""
+
+
+def test_page():
+    assert mincut.main_text(PAGE) == ("A & B\nFirst paragraph with a link and more words, quite long.\nShort.\n"
+                                      "Second — <tag> paragraph of the article, with some more words.")
+
+
+@pytest.mark.parametrize("page", ["<" * 5000, "<p" * 3000, "<a href='x " * 3000, "<div>" * 4000 + "text", "</p>" * 100, "&", "<p>a<b", "<!--"])
+def test_hostile_pages(page):
+    mincut.main_text(page)
+
+
+def test_sweep_packs_best_fit():
+    rng = random.Random(8)
+    counts = {}
+    for _ in range(3000):
+        n = min(100, int(rng.expovariate(1 / 30)) + 1)
+        counts[n] = counts.get(n, 0) + 1
+    taken = packing.sweep(counts, 100)
+    bins, placed = {}, {}
+    for length, rank, n, first, offset in taken:
+        placed.setdefault(length, []).append((rank, n))
+        for i in range(n):
+            bins.setdefault(first + i, []).append((offset, length))
+    for length, parts in placed.items():
+        assert sum(n for _, n in parts) == counts[length]
+    total = sum(k * v for k, v in counts.items())
+    assert -(-total // 100) <= len(bins) <= 1 + 1.01 * total / 100
+    for parts in bins.values():
+        at = 0
+        for o, n in sorted(parts):
+            assert o == at
+            at += n
+        assert at <= 100
+
+
+def frames(docs, size):
+    sink = io.BytesIO()
+    w = tokenfile.FrameWriter(sink, size)
+    for d, ids in docs:
+        w.add(d, ids)
+    w.close()
+    return sink.getvalue()
+
+
+class Source(io.BytesIO):
+    def size(self):
+        return len(self.getvalue())
+
+
+def test_frames_round_trip():
+    rng = random.Random(9)
+    docs = [(i * 3, rng.randbytes(4 * rng.choice([1, 2, 50, 700]))) for i in range(60)]
+    raw = frames(docs, 256)
+    r = tokenfile.FrameReader(Source(raw))
+    assert [(int(d), r.document(k)) for k, d in enumerate(r.doc_ids)] == docs
+    r = tokenfile.FrameReader(Source(raw))
+    seen = []
+    r.frame = lambda i, f=r.frame: (seen.append(i), f(i))[1]
+    assert list(r.find([30])) == [docs[10]]
+    assert len(seen) <= len(docs[10][1]) // 256 + 2           # only the document's frames are read
+    import zstandard
+    plain = b"".join(x for _, x in docs)
+    stream = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(raw), read_across_frames=True)
+    assert stream.read(len(plain)) == plain                   # any zstandard reader can read the file
+
+
+def test_damaged_frame_is_noticed():
+    import zstandard
+    raw = bytearray(frames([(1, bytes(4000))], 1 << 12))
+    r = tokenfile.FrameReader(Source(bytes(raw)))
+    raw[int(r.place[0]) + 8] ^= 0xFF
+    with pytest.raises((ValueError, zstandard.ZstdError)):
+        tokenfile.FrameReader(Source(bytes(raw))).document(0)
+
+
+ALPHABET = ["a", "B", "é", "ü", "́", "'s", "'", "1", "２", "٣", "!", "…", "—", "日", "本", "🙂", "​", "Σ", "İ", "ß", "×", "÷", "ÿ",
+            "<|", "|>", "<|endoftext|>", " ", "  ", "\n", "\t", "\xa0", "\x85", "\x1c", "ﬁ", "한", "'LL", "don't", "\0", "�", "word", "Word."]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_bpe_equals_the_library(name):
+    path = bpe.vocabulary_path(name)
+    coder, library, rng = bpe.Bpe(path), Tokenizer.from_file(path), random.Random(2)
+    texts = ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    texts += ["a" * 900, "ab" * 400, "ß" * 100, "", " ", "\n", "x" * 47, "x" * 48, "x" * 49]
+    for t, raw in zip(texts, coder.encode_all(texts)):
+        want = library.encode(t, add_special_tokens=False).ids
+        got = np.frombuffer(raw, "<u4").tolist()
+        assert got == want, t
+        assert coder.decode(got) == library.decode(want, skip_special_tokens=False)
+
+
+def test_linked_parts():
+    text = "user=robot7 here\ntoken: abcdefgh1234 at https://svc.example.com\n\nuser=alone9 https://x.example.com"
+    kinds = [(k, text[s:e]) for s, e, k in secrets_scan.find_spans(text)]
+    assert kinds == [("ident", "user=robot7"), ("assign", "token: abcdefgh1234"), ("endpoint", "https://svc.example.com")]
+
+
+def test_components(spark):
+    rng = random.Random(1)
+    pairs = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
+    root = {x: x for p in pairs for x in p}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = {r.u: r.root for r in components(spark.createDataFrame(pairs, "u long, v long")).collect()}
+    assert got == {x: find(x) for x in root if find(x) != x}
+
+
+def test_sliding_min_and_grams():
+    x = np.random.default_rng(2).integers(0, 100, 50).astype("u8")
+    for w in (1, 2, 3, 7, 50):
+        assert units.sliding_min(x, w).tolist() == [int(x[i:i + w].min()) for i in range(51 - w)]
+    g = units.grams(np.concatenate([x, x]), 13)
+    assert (g[:38] == g[50:]).all() and len(set(g[:50].tolist())) == 50
