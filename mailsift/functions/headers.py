@@ -19,15 +19,24 @@ DOMAIN_HEADERS = ("from", "reply-to", "to", "cc")
 
 # One mailbox of an address list: "quoted name" <addr> | name <addr> |
 # bare addr@dom (comment name) | bare addr@dom.
-MAILBOX_RE = (r'(?:"((?:[^"\\]|\\.)*)"\s*|([^",<>;:]*?)\s*)<([^<>]*)>'
+# Possessive: a quoted name of any length is matched without recursion per character.
+MAILBOX_RE = (r'(?:"([^"\\]*+(?:\\.[^"\\]*+)*+)"\s*|([^",<>;:]*?)\s*)<([^<>]*)>'
               r'|([^\s",<>;:()]+@[^\s",<>;:()]+)\s*\(([^()]*)\)'
               r'|([^\s",<>;:]+@[^\s",<>;:]+)')
 
 
 def message_text(raw: Column) -> Column:
-    """The record without its separator line (bytes after the first newline), as text."""
-    s = F.decode(raw, "UTF-8")
-    return s.substr(F.instr(s, "\n") + 1, F.lit(2147483647))
+    """The header block of a record (between its separator line and the first blank line), as
+    text. It is cut out of the bytes first, so a body is never decoded; bytes outside ASCII
+    become U+FFFD, one each, as the standard library's header reading has it."""
+    s = raw.cast("string")                       # the bytes as they are; nothing is checked
+    rest = s.substr(F.instr(s, "\n") + 1, F.lit(2147483647))
+    ends = [F.instr(rest, e) for e in ("\n\n", "\n\r\n")]
+    end = F.array_min(F.array(*[F.nullif(e, F.lit(0)) for e in ends]))
+    # A record that starts with a blank line has no headers.
+    block = F.when(rest.startswith("\n") | rest.startswith("\r\n"), F.lit("")) \
+        .when(end.isNull(), rest).otherwise(rest.substr(F.lit(1), end))
+    return F.regexp_replace(F.decode(block.cast("binary"), "ISO-8859-1"), r"[\x80-\xff]", "\ufffd")
 
 
 def header_block(msg: Column) -> Column:
@@ -62,16 +71,20 @@ def header_first(headers: Column, name: str) -> Column:
 
 
 def mailboxes(value: Column) -> Column:
-    """ARRAY<STRUCT<display, addr>> parsed from an address-list string."""
-    ks = (1, 2, 3, 4, 5, 6)
-    g = [F.regexp_extract_all(value, F.lit(MAILBOX_RE), F.lit(k)) for k in ks]
-    z = F.arrays_zip(*[x.alias(f"g{k}") for k, x in zip(ks, g)])
-    boxes = F.transform(z, lambda e: F.struct(
-        F.coalesce(F.nullif(e["g1"], F.lit("")), F.nullif(strip_ws(e["g2"]), F.lit("")),
-                   strip_ws(e["g5"]), F.lit("")).alias("display"),
-        strip_ws(F.coalesce(F.nullif(e["g3"], F.lit("")), F.nullif(e["g4"], F.lit("")),
-                            e["g6"], F.lit(""))).alias("addr")))
-    return F.filter(boxes, lambda b: b["addr"] != F.lit(""))
+    """ARRAY<STRUCT<display, addr>> parsed from an address-list string: one pass finds the
+    mailboxes, each is then taken apart on its own."""
+    found = F.regexp_extract_all(value, F.lit(MAILBOX_RE), F.lit(0))
+
+    def box(m):
+        g = {k: F.regexp_extract(m, MAILBOX_RE, k) for k in (1, 2, 3, 4, 5, 6)}
+        quoted = F.regexp_replace(g[1], r"\\(.)", "$1")       # a quoted pair stands for its character
+        return F.struct(
+            F.coalesce(F.nullif(quoted, F.lit("")), F.nullif(strip_ws(g[2]), F.lit("")),
+                       strip_ws(g[5]), F.lit("")).alias("display"),
+            strip_ws(F.coalesce(F.nullif(g[3], F.lit("")), F.nullif(g[4], F.lit("")),
+                                g[6], F.lit(""))).alias("addr"))
+
+    return F.filter(F.transform(found, box), lambda b: b["addr"] != F.lit(""))
 
 
 def header_mailboxes(headers: Column, names, first_only: bool = False) -> Column:

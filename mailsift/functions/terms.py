@@ -89,9 +89,7 @@ def term_rows(terms: dict[str, list[str]]) -> list[tuple[str, int, str, int]]:
 def terms_df(spark: SparkSession, terms: dict[str, list[str]] | None = None) -> DataFrame:
     """The ``terms`` dimension table (category, category_ord, term, term_ord)."""
     rows = term_rows(terms or DEFAULT_TERMS)
-    df = spark.createDataFrame(rows, TERMS_SCHEMA)
-    df._mailsift_size = len(rows)  # known size: no counting job needed before broadcasting
-    return df
+    return spark.createDataFrame(rows, TERMS_SCHEMA)
 
 
 def terms_values_sql(terms: dict[str, list[str]]) -> str:

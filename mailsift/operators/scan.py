@@ -1,32 +1,28 @@
 """Keyword scan (E1): one row per (text, category, term, sentence) where the sentence contains the term.
 
-Plan: normalize -> posexplode(sentences) -> join with the ``terms`` table on
-``instr(lower(sentence), term) > 0``. A small dictionary is broadcast (a
-BroadcastNestedLoopJoin that streams the sentences, no shuffle). A large dictionary
-takes an exact shuffle path: terms are keyed by their first three characters, each
-sentence emits its distinct 3-grams, an equi-join pairs them and ``instr`` re-checks.
+Plan: the dictionary is one literal array (it is an argument of the job). A text is first tested
+as a whole, ``filter(terms, t -> instr(lower(text), t) > 0)``, in the partition it lies in; only
+texts with a hit are split into sentences, and a sentence is tested against its text's terms
+only. The matched terms meet their categories in an equi-join with the small ``terms`` table. A
+dictionary beyond ``LITERAL_TERMS`` goes through the same plan in several literals.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailsift.functions.text import normalize_ws, sentence_array
 
-# Above this many terms the dictionary is not broadcast.
-MAX_BROADCAST_TERMS = 20_000
-GRAM = 3
+# Terms of one literal; a larger dictionary is scanned in several.
+LITERAL_TERMS = 20_000
 
 HIT_COLUMNS = ["category", "category_ord", "matched_term", "term_ord", "sentence_ord",
                "exact_text", "location"]
 
 
-def _term_count(terms: DataFrame) -> int:
-    known = getattr(terms, "_mailsift_size", None)
-    return known if known is not None else terms.limit(MAX_BROADCAST_TERMS + 1).count()
-
-
 def sentences(df: DataFrame, keys: list[str], text: Column, split: bool = True) -> DataFrame:
     """keys + sentence_ord (1-based) + sentence, for texts whose normalized form is non-empty."""
     # A text normalizes to '' only when it is '' already: filter on the raw length so the
@@ -40,36 +36,36 @@ def sentences(df: DataFrame, keys: list[str], text: Column, split: bool = True)
         .select(*keys, (F.col("_pos") + 1).cast("long").alias("sentence_ord"), "sentence")
 
 
-def match_terms(sent: DataFrame, terms: DataFrame) -> DataFrame:
-    """sent(keys..., sentence_ord, sentence) x terms -> matched pairs (bag semantics)."""
-    lowered = sent.withColumn("_lower", F.lower("sentence"))
-    n_terms = _term_count(terms)
-    t = terms.select("category", "category_ord", F.lower("term").alias("term"), "term_ord")
-    if n_terms <= MAX_BROADCAST_TERMS:
-        return lowered.join(F.broadcast(t), F.instr(F.col("_lower"), F.col("term")) > 0) \
-            .drop("_lower")
-    short = t.where(F.length("term") < GRAM)
-    long_ = t.where(F.length("term") >= GRAM).withColumn("_gram", F.substring("term", 1, GRAM))
-    grams = lowered.withColumn(
-        "_gram", F.explode(F.array_distinct(F.expr(
-            f"transform(sequence(1, greatest(length(_lower) - {GRAM} + 1, 1)), "
-            f"i -> substring(_lower, i, {GRAM}))"))))
-    via_gram = grams.join(long_, "_gram").where(F.instr(F.col("_lower"), F.col("term")) > 0) \
-        .drop("_gram", "_lower")
-    # Terms shorter than a gram are few by construction (bounded alphabet of 1-2 chars).
-    via_short = lowered.join(F.broadcast(short), F.instr(F.col("_lower"), F.col("term")) > 0) \
-        .drop("_lower")
-    return via_gram.unionByName(via_short)
+def _found(text: Column, terms: Column) -> Column:
+    """The terms that the text contains; the text is lowered once."""
+    return F.get(F.transform(F.array(F.lower(text)), lambda low: F.filter(
+        terms, lambda t: F.instr(low, t) > 0)), 0)
+
+
+def _scan(items: DataFrame, keys: list[str], terms: DataFrame) -> DataFrame:
+    """items(keys..., location, _split, _flat) -> keys + HIT_COLUMNS (bag semantics)."""
+    t = terms.select("category", "category_ord", F.lower("term").alias("matched_term"), "term_ord")
+    # A term with a line break is in no normalized text.
+    names = sorted({r[0] for r in t.select("matched_term").collect() if "\n" not in r[0]})
+    out = []
+    for i in range(0, max(len(names), 1), LITERAL_TERMS):
+        literal = F.split(F.lit("\n".join(names[i:i + LITERAL_TERMS])), "\n")
+        hit = items.withColumn("_terms", _found(F.col("_flat"), literal)).where(F.size("_terms") > 0)
+        pieces = F.when(F.col("_split"), sentence_array(F.col("_flat"))).otherwise(F.array("_flat"))
+        sent = hit.select(*keys, "location", "_terms", F.posexplode(pieces).alias("_pos", "_sentence"))
+        out.append(sent.select(*keys, "location", "_pos", "_sentence",
+                               F.explode(_found(F.col("_sentence"), F.col("_terms"))).alias("matched_term")))
+    pairs = reduce(DataFrame.unionByName, out) if names else out[0].where("false")
+    return pairs.join(t, "matched_term").select(
+        *keys, "category", "category_ord", "matched_term", "term_ord",
+        (F.col("_pos") + 1).cast("long").alias("sentence_ord"),
+        F.trim(F.col("_sentence")).alias("exact_text"), "location")
 
 
 def scan_hits(df: DataFrame, keys: list[str], text: Column, terms: DataFrame,
               location: str, split: bool = True) -> DataFrame:
     """keys + HIT_COLUMNS. ``split=False`` quotes the whole text (used for subjects)."""
-    pairs = match_terms(sentences(df, keys, text, split), terms)
-    return pairs.select(
-        *keys, "category", "category_ord", F.col("term").alias("matched_term"), "term_ord",
-        "sentence_ord", F.trim(F.col("sentence")).alias("exact_text"),
-        F.lit(location).alias("location"))
+    return scan_locations(df, keys, [(location, text, split)], terms)
 
 
 def scan_locations(df: DataFrame, keys: list[str], texts: list[tuple[str, Column, bool]],
@@ -80,12 +76,6 @@ def scan_locations(df: DataFrame, keys: list[str], texts: list[tuple[str, Column
     loc = F.explode(F.array(*[F.struct(F.lit(name).alias("location"), text.alias("text"),
                                        F.lit(split).alias("split")) for name, text, split in texts]))
     items = df.select(*keys, loc.alias("_t")).where(F.length("_t.text") > 0).select(
-        *keys, "_t.location", "_t.split", normalize_ws(F.col("_t.text")).alias("_flat"))
-    pieces = F.when(F.col("split"), sentence_array(F.col("_flat"))).otherwise(F.array("_flat"))
-    sent = items.select(*keys, "location", F.posexplode(pieces).alias("_pos", "sentence")) \
-        .select(*keys, "location", (F.col("_pos") + 1).cast("long").alias("sentence_ord"),
-                "sentence")
-    pairs = match_terms(sent, terms)
-    return pairs.select(
-        *keys, "category", "category_ord", F.col("term").alias("matched_term"), "term_ord",
-        "sentence_ord", F.trim(F.col("sentence")).alias("exact_text"), "location")
+        *keys, "_t.location", F.col("_t.split").alias("_split"),
+        normalize_ws(F.col("_t.text")).alias("_flat"))
+    return _scan(items, keys, terms)

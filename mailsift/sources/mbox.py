@@ -6,7 +6,7 @@ Reader options:
               by ``missing_paths``, not an error
   splitBytes  bytes per input partition (default 64 MiB)
   maxMessageBytes  larger records come back with raw NULL (a parse error, not a lost row;
-              a Spark cell holds at most 2 GB); default 1 GiB
+              default: what a Spark cell can hold, just under 2 GiB)
 
 Record rule: a record starts at a line beginning ``From `` followed by a non-space byte
 (``^From [^\\s]``); bytes before the first separator are dropped; the last record ends at
@@ -35,6 +35,7 @@ SEPARATOR = re.compile(rb"(?:^|(?<=\n))From [^\s]")
 _LOOKAHEAD = 6          # len(b"From x")
 _CHUNK = 4 * 1024 * 1024
 _BATCH_BYTES = 32 * 1024 * 1024
+MAX_CELL_BYTES = (1 << 31) - (1 << 16)
 
 
 def filesystem(path: str):
@@ -94,45 +95,40 @@ def read_range(path: str, start: int, end: int, max_bytes: int | None = None):
                 if start <= m.start() + start - lead < end]
         if lead and seps and seps[0] == start and window[:1] != b"\n":
             seps = seps[1:]
+        base = start - lead
         for i, s in enumerate(seps):
             if i + 1 < len(seps):
                 nxt = seps[i + 1]
-                if max_bytes is not None and nxt - s > max_bytes:
-                    yield s, None
-                    continue
-                f.seek(s)
-                yield s, f.read(nxt - s)
+                yield s, None if max_bytes is not None and nxt - s > max_bytes else window[s - base:nxt - base]
                 continue
-            # Last record of the range: read on until the next separator or EOF.
-            f.seek(s)
-            buf = bytearray(f.read(max(end - s, 0) + _LOOKAHEAD))
-            searched, dropped = 1, False   # dropped: an oversize record is being skipped
-            while True:
-                m = SEPARATOR.search(bytes(buf), searched)
-                if m and m.start() > 0:
-                    too_big = dropped or (max_bytes is not None and m.start() > max_bytes)
-                    yield s, None if too_big else bytes(buf[:m.start()])
-                    break
+            # Last record of the range: read on until the next separator or EOF. Only what is
+            # new (and a seam before it) is searched, and an oversize record is not kept.
+            kept, size = [window[s - base:]], len(window) - (s - base)
+            m = SEPARATOR.search(kept[0], 1)
+            end_at = m.start() if m else None
+            seam = kept[0][-_LOOKAHEAD:]
+            f.seek(base + len(window))
+            while end_at is None:
                 chunk = f.read(_CHUNK)
                 if not chunk:
-                    too_big = dropped or (max_bytes is not None and len(buf) > max_bytes)
-                    yield s, None if too_big else bytes(buf)
+                    end_at = size
                     break
-                if max_bytes is not None and len(buf) > max_bytes:
-                    # Searched past the limit without an end: keep only a seam-sized tail.
-                    dropped = True
-                    buf = bytearray(buf[-(_LOOKAHEAD + 1):])
-                    searched = 1
-                else:
-                    searched = max(len(buf) - _LOOKAHEAD, 1)
-                buf.extend(chunk)
+                m = SEPARATOR.search(seam + chunk, 1)
+                if m:
+                    end_at = size - len(seam) + m.start()
+                size += len(chunk)
+                if max_bytes is None or size - len(chunk) <= max_bytes:
+                    kept.append(chunk)
+                seam = (seam + chunk)[-_LOOKAHEAD:]
+            too_big = max_bytes is not None and end_at > max_bytes
+            yield s, None if too_big else b"".join(kept)[:end_at]
 
 
 class MboxReader(DataSourceReader):
     def __init__(self, options):
         self.paths = [p for p in options.get("paths", "").split("\n") if p]
         self.split = int(options.get("splitBytes", str(64 * 1024 * 1024)))
-        self.max_bytes = int(options.get("maxMessageBytes", str(1024 * 1024 * 1024)))
+        self.max_bytes = int(options.get("maxMessageBytes", str(MAX_CELL_BYTES)))
 
     def partitions(self):
         files, _missing = expand_paths(self.paths)
@@ -176,11 +172,8 @@ class _Written(WriterCommitMessage):
 
 def finish_record(raw: bytes) -> bytes:
     """B1: a record always ends with a newline and then a blank line."""
-    if not raw.endswith(b"\n"):
-        raw += b"\n"
-    if not raw.endswith(b"\n\n"):
-        raw += b"\n"
-    return raw
+    tail = raw[-2:]
+    return raw.ljust(len(raw) + 2 - tail.count(b"\n", len(tail.rstrip(b"\n"))), b"\n")
 
 
 class MboxWriter(DataSourceWriter):

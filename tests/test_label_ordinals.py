@@ -32,16 +32,16 @@ def test_domain_match_exact_and_first_header_only(spark):
     assert [r.uid for r in inline if r.matched] == [1, 3, 4]
 
 
-def test_domain_join_path_equals_inline(spark, monkeypatch):
-    """Above the inline limit the explode + join path gives the same decisions."""
+def test_large_domain_set_and_unfetched(spark):
+    """A set of 15,000 domains decides as a small one; an unfetched message is unknown."""
     raws = [plain(frm="a@target.test"), plain(extra={"Cc": "b@other.test"}), plain()]
-    s = L.with_domains(_snapshot(spark, raws))
-    a = sorted(map(tuple, L.match_domains(s, ["other.test", "target.test"])
-                   .select("uid", "matched", "domain").collect()))
-    monkeypatch.setattr(L, "MAX_INLINE_DOMAINS", 0)
-    b = sorted(map(tuple, L.match_domains(s, ["other.test", "target.test"])
-                   .select("uid", "matched", "domain").collect()))
-    assert a == b and [x[0] for x in a if x[1]] == [1, 2]
+    snap = _snapshot(spark, raws).withColumn("headers", F.when(F.col("uid") < 3, F.col("headers")))
+    s = L.with_domains(snap)
+    few = ["other.test", "target.test"]
+    many = few + [f"d{i}.test" for i in range(15_000)]
+    a, b = (sorted(map(tuple, L.match_domains(s, d).select("uid", "matched", "domain").collect()))
+            for d in (few, many))
+    assert a == b == [(1, True, "target.test"), (2, True, "other.test"), (3, None, None)]
 
 
 def test_number_rows_equals_row_number(spark):

@@ -86,11 +86,17 @@ def test_hits_equal_brute_force_on_corpus(spark):
     assert got == _brute([(r.doc_id, r.text) for r in docs.collect()], FIXTURE_TERMS)
 
 
-def test_gram_join_path_equals_broadcast_path(spark, monkeypatch):
-    """Above the broadcast limit the exact 3-gram equi-join gives the same hits."""
+def test_large_dictionary_in_several_literals(spark, monkeypatch):
+    """A dictionary beyond one literal gives the same hits."""
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
-    terms = dict(FIXTURE_TERMS, tiny=["a", "ab"])
+    terms = dict(FIXTURE_TERMS, tiny=["a", "ab"], odd=["line\nbreak"])
     small = S.scan_hits(docs, ["doc_id"], F.col("text"), terms_df(spark, terms), "body").collect()
-    monkeypatch.setattr(S, "MAX_BROADCAST_TERMS", 1)
+    monkeypatch.setattr(S, "LITERAL_TERMS", 3)
     big = S.scan_hits(docs, ["doc_id"], F.col("text"), terms_df(spark, terms), "body").collect()
     assert sorted(map(tuple, small)) == sorted(map(tuple, big))
+
+
+def test_empty_dictionary(spark):
+    docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
+    none = terms_df(spark, FIXTURE_TERMS).where("false")
+    assert S.scan_hits(docs, ["doc_id"], F.col("text"), none, "body").collect() == []
