@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from mailsift.plans.registry import prepare as _prepare
 from mailsift.session import shared_dir
@@ -44,6 +44,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps: it does so once their plans are
+    collected, which a driver with room to spare would put off."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def delete(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete the files behind written tables that nothing reads any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -51,8 +58,4 @@ def delete(spark: SparkSession, *frames: DataFrame) -> None:
         for d in {os.path.dirname(f) for f in df.inputFiles()}:
             path = jvm.org.apache.hadoop.fs.Path(d)
             path.getFileSystem(conf).delete(path, True)
-
-
-def word_array(text: Column) -> Column:
-    """The words of a text (null: no words)."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS + "+"), lambda w: w != "")
+    release(spark)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from mailsift.llm import segments as S
 from mailsift.llm import units as U
-from mailsift.llm.common import delete, written
+from mailsift.llm.common import delete, release, written
 from mailsift.llm.graph import components
 
 SHINGLE = 5
@@ -124,9 +124,12 @@ def similar_classes(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFr
     member = rep.select("u", "n", "prefix_key").join(groups.select("n", "prefix_key", "g", "members"), ["n", "prefix_key"]).select("u", "g", "members")
     member = written(member, "members")
 
-    entries = groups.select("g", "n", "members", F.posexplode("prefix").alias("pos", "token"))
+    entries = groups.select("g", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = entries.groupBy("token").agg(F.min("g").alias("a"), F.max("g").alias("b")).where("a < b").select("token")
-    entries = written(entries.join(shared, "token", "left_semi"), "entries")
+    # Hashed, not sorted: the shared shingles are the small side.
+    entries = entries.join(shared.hint("shuffle_hash"), "token", "left_semi")
+    entries = written(entries.join(groups.select("g", "members"), "g"), "entries")
+    release(docs.sparkSession)
 
     # Whole sets, for the classes that share a shingle or a prefix with another.
     live = entries.select("g").distinct().union(member.where("members > 1").select("g")).distinct()
@@ -144,6 +147,7 @@ def similar_classes(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFr
                 [pa.array([us[i] for i, _ in found], pa.int64()), pa.array([s.view("i8") for _, s in found], pa.list_(pa.int64()))], ["u", "set"])
 
     whole = written(wanted.mapInArrow(run, "u long, set array<long>"), "wholesets")
+    release(docs.sparkSession)
     sketches = ids.select("u", "n", "sketch")
 
     links = None
