@@ -122,10 +122,10 @@ def fit_cutoffs(features: DataFrame, labels: DataFrame, stratum: str = "lang", p
         F.count(F.lit(1)).alias("n"),
         *[F.sum(_exceeds(r, c).cast("long")).alias(f"k_{r}_{c}") for r, c in tests])
     counts = written(counts, "holdout")                        # one row per stratum
-    level = counts.agg((F.lit(DELTA) / (F.greatest(F.count(F.lit(1)), F.lit(1)) * len(tests))).alias("level"))
-    strict = {r: F.least(*[F.when(binomial_tail(F.col("n"), F.col(f"k_{r}_{c}"), RULE_RISK) <= F.col("level"), F.lit(c))
+    level = DELTA / (max(counts.count(), 1) * len(tests))
+    strict = {r: F.least(*[F.when(binomial_tail(F.col("n"), F.col(f"k_{r}_{c}"), RULE_RISK) <= level, F.lit(c))
                            for c in RULES[r][2]], F.lit(None).cast("int")) for r in RULES}
-    return counts.crossJoin(level).select("stratum", *[strict[r].alias(r) for r in RULES])   # one row joined to one row per stratum
+    return counts.select("stratum", *[strict[r].alias(r) for r in RULES])
 
 
 def judge(features: DataFrame, cutoffs: DataFrame, stratum: str = "lang", prefix: str = "") -> DataFrame:
