@@ -32,8 +32,26 @@ def _g(v: Column, k: int) -> Column:
     return F.regexp_extract(v, _DATE_RE, k)
 
 
+# Other orders that mail carries, as (pattern, rewrite into day month year time zone).
+_TIME = r"\d{1,2}:\d{1,2}(?::\d{1,2})?"
+_REWRITES = (
+    # 09.00.00 and a zone without a space before it
+    (r"^(.*\d{2,4}\s+\d{1,2})\.(\d{1,2})(?:\.(\d{1,2}))?((?:\s.*)?)$", r"$1:$2:$3$4"),
+    (r"^(.*\d):(\s.*|)$", r"$1$2"),
+    (r"^(.*:\d{1,2})([+-]\d{4}.*)$", r"$1 $2"),
+    # Monday, 05-Jan-2026 09:00:00 GMT
+    (rf"^\s*(?:[A-Za-z]+,?\s+)?(\d{{1,2}})-([A-Za-z]+)-(\d{{2,4}})\s+({_TIME})\s+(\S+)\s*$", r"$1 $2 $3 $4 $5"),
+    # Mon Jan 5 09:00:00 EST 2026
+    (rf"^\s*[A-Za-z]+\s+([A-Za-z]+)\s+(\d{{1,2}})\s+({_TIME})\s+([A-Za-z]+|[+-]\d{{4}})\s+(\d{{2,4}})\s*$", r"$2 $1 $5 $3 $4"),
+    # Jan 5 2026 09:00, with or without a weekday or a comma
+    (rf"^\s*(?:[A-Za-z]+,?\s+)?([A-Za-z]+)\s+(\d{{1,2}}),?\s+(\d{{4}})\s+({_TIME})((?:\s.*)?)$", r"$2 $1 $3 $4$5"),
+)
+
+
 def _to_rfc(v: Column) -> Column:
-    """Rewrite an asctime date into the RFC order (day month year time)."""
+    """Rewrite an asctime or otherwise ordered date into the RFC order (day month year time)."""
+    for pattern, rewrite in _REWRITES:
+        v = F.regexp_replace(v, pattern, rewrite)
     return F.when(v.rlike(_ASCTIME_RE), F.regexp_replace(
         v, _ASCTIME_RE, "$2 $1 $6 $3:$4:$5")).otherwise(v)
 

@@ -70,6 +70,35 @@ def header_first(headers: Column, name: str) -> Column:
     return F.get(F.filter(headers, lambda h: h["name"] == F.lit(name.lower())), 0)["value"]
 
 
+_ANY_WORD = r"=\?([^?]+)\?([bBqQ])\?([^?]*)\?="
+
+
+def _decode_word(word: Column) -> Column:
+    """One RFC 2047 word in UTF-8, Latin-1 or ASCII; other charsets stay as they are."""
+    charset, kind, body = (F.regexp_extract(word, _ANY_WORD, k) for k in (1, 2, 3))
+    parts = F.split(F.translate(body, "_", " "), "=")
+    quoted = F.aggregate(
+        F.slice(parts, 2, F.size(parts)), F.get(parts, 0).cast("binary"),
+        lambda done, p: F.concat(done, F.coalesce(F.unhex(p.substr(1, 2)), F.lit("").cast("binary")),
+                                 p.substr(3, 1000000).cast("binary")))
+    raw = F.when(F.lower(kind) == "b", F.coalesce(F.try_to_binary(body, F.lit("base64")), F.lit("").cast("binary"))) \
+        .otherwise(quoted)
+    charset = F.lower(charset)
+    latin = F.decode(raw, "ISO-8859-1")
+    return F.when(charset.isin("utf-8", "utf8"), F.make_valid_utf8(raw.cast("string"))) \
+        .when(charset.isin("iso-8859-1", "latin1", "latin-1"), latin) \
+        .when(charset == "us-ascii", F.regexp_replace(latin, r"[\x80-\xff]", "\ufffd")).otherwise(word)
+
+
+def decode_words(value: Column) -> Column:
+    """Text with its RFC 2047 words decoded, natively; white space between words is dropped."""
+    text = F.regexp_replace(value, r"(\?=)\s+(?==\?)", "$1")
+    words = F.transform(F.regexp_extract_all(text, F.lit(_ANY_WORD), F.lit(0)), _decode_word)
+    plain = F.split(text, r"=\?[^?]+\?[bBqQ]\?[^?]*\?=", -1)
+    whole = F.array_join(F.transform(plain, lambda p, i: F.concat(p, F.coalesce(F.get(words, i), F.lit("")))), "")
+    return F.when(F.instr(value, "=?") > 0, whole).otherwise(value)
+
+
 def mailboxes(value: Column) -> Column:
     """ARRAY<STRUCT<display, addr>> parsed from an address-list string: one pass finds the
     mailboxes, each is then taken apart on its own."""
@@ -79,8 +108,8 @@ def mailboxes(value: Column) -> Column:
         g = {k: F.regexp_extract(m, MAILBOX_RE, k) for k in (1, 2, 3, 4, 5, 6)}
         quoted = F.regexp_replace(g[1], r"\\(.)", "$1")       # a quoted pair stands for its character
         return F.struct(
-            F.coalesce(F.nullif(quoted, F.lit("")), F.nullif(strip_ws(g[2]), F.lit("")),
-                       strip_ws(g[5]), F.lit("")).alias("display"),
+            decode_words(F.coalesce(F.nullif(quoted, F.lit("")), F.nullif(strip_ws(g[2]), F.lit("")),
+                       strip_ws(g[5]), F.lit(""))).alias("display"),
             strip_ws(F.coalesce(F.nullif(g[3], F.lit("")), F.nullif(g[4], F.lit("")),
                                 g[6], F.lit(""))).alias("addr"))
 

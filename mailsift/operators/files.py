@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,8 +28,11 @@ def _writer(folder: str):
                 sizes.append(len(data))
                 shas.append(hashlib.sha256(data).hexdigest())
                 try:
-                    with fs.open_output_stream(root.rstrip("/") + "/" + name) as out:
+                    # Under its name only when complete: a second attempt never meets half a file.
+                    temp = f"{root.rstrip('/')}/_tmp-{uuid.uuid4().hex}"
+                    with fs.open_output_stream(temp) as out:
                         out.write(data)
+                    fs.move(temp, root.rstrip("/") + "/" + name)
                     status.append("saved")
                 except Exception as e:  # noqa: BLE001 - recorded, never fatal
                     status.append(f"[write failed: {e!r}]")

@@ -5,9 +5,11 @@
   03_scan/      hits.csv + hits_clean.csv (scan reads the stripped copy unless strip is skipped)
   04_render/    messages.csv, document/ (ordered text parts), manifest.json, attachments/
 
-Each stage reads the archive the previous stage wrote, as the stand-alone tools do; stage
-tables are written once and read back (lineage cut, no recomputation), and every sorted
-output is a distributed range sort.
+Each stage reads the table the previous stage wrote beside its archive: the same records with
+the keys (source_ord, source_mbox, byte_offset) of the input archives, so order and numbering do
+not depend on how many part files an archive was written in. Tables are written once and read
+back (lineage cut, no recomputation), every sorted output is a distributed range sort, and a run
+into the same folder replaces the earlier one.
 """
 
 from __future__ import annotations
@@ -34,10 +36,6 @@ def _stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _records(spark, path: str) -> DataFrame:
-    return read_mbox(spark, [path]).select(*KEYS, "raw")
-
-
 def run_case(spark: SparkSession, archives: list[str], address: str, out_dir: str,
              terms: dict | None = None, title: str = "case", skip: tuple = ()) -> dict:
     """Run extract -> strip -> scan -> clean -> render; returns the output paths."""
@@ -48,39 +46,40 @@ def run_case(spark: SparkSession, archives: list[str], address: str, out_dir: st
     cols = X.INDEX_COLUMNS[:5] + ["subject_raw", "message_id", "source_mbox", "byte_offset",
                                   "source_ord", "raw"]
     ex = _stage(X.extract(messages(src), address, cols), f"{d1}/_table")
-    write_mbox(ex.orderBy("source_ord", "byte_offset").select("raw"), f"{d1}/extract.mbox")
-    X.extract_index(ex.orderBy("source_ord", "byte_offset")).write.mode("overwrite") \
+    write_mbox(ex.orderBy(*KEYS).select("raw"), f"{d1}/extract.mbox", overwrite=True)
+    X.extract_index(ex.orderBy(*KEYS)).write.mode("overwrite") \
         .options(**CSV).csv(f"{d1}/index.csv")
     out.update(extract_mbox=f"{d1}/extract.mbox", index=f"{d1}/index.csv")
-    extracted = _records(spark, out["extract_mbox"])
+    extracted = ex.select(*KEYS, "raw")
 
     # 02 strip: attachment-free copy + inventory, both from one MIME parse.
     scan_source = extracted
     if "strip" not in skip:
         d2 = f"{out_dir}/02_stripped"
         m2 = _stage(mime_of(extracted, keep_raw=True), f"{d2}/_table")
-        write_mbox(P.strip_records(m2, KEYS).orderBy("byte_offset")
-                   .select(F.col("stripped").alias("raw")), f"{d2}/stripped.mbox")
+        stripped = _stage(P.strip_records(m2, KEYS).withColumnRenamed("stripped", "raw"),
+                          f"{d2}/_stripped")
+        write_mbox(stripped.orderBy(*KEYS).select("raw"), f"{d2}/stripped.mbox", overwrite=True)
         hd = F.col("headers")
         from mailsift.functions import headers as H
-        m2.select("byte_offset", H.header_first(hd, "message-id").alias("Message-ID"),
+        m2.select(*KEYS, H.header_first(hd, "message-id").alias("Message-ID"),
                   H.header_first(hd, "date").alias("Date"),
                   H.header_first(hd, "from").alias("From"), H.header_first(hd, "to").alias("To"),
                   F.posexplode(P.strip_removed(F.col("parts"))).alias("i", "p")) \
-            .orderBy("byte_offset", "i").select(
+            .orderBy(*KEYS, "i").select(
                 "Message-ID", "Date", "From", "To", F.col("p.filename").alias("Filename"),
                 F.octet_length(F.coalesce("p.payload", F.lit(b"").cast("binary"))).alias("Size"),
                 F.sha2(F.coalesce("p.payload", F.lit(b"").cast("binary")), 256).alias("SHA256")) \
             .write.mode("overwrite").options(**CSV).csv(f"{d2}/attachments_inventory.csv")
         out.update(stripped_mbox=f"{d2}/stripped.mbox",
                    inventory=f"{d2}/attachments_inventory.csv")
-        scan_source = _records(spark, out["stripped_mbox"])
+        scan_source = stripped.select(*KEYS, "raw")
 
     # 03 scan + clean.
     d3 = f"{out_dir}/03_scan"
     hits = _stage(hits_of(scan_frame(mime_of(scan_source)), terms_df(spark, terms or DEFAULT_TERMS),
                           order_columns=True), f"{d3}/_table")
-    ordered = hits.orderBy("byte_offset", F.col("location").desc(), "category_ord", "term_ord",
+    ordered = hits.orderBy("source_mbox", "byte_offset", F.col("location").desc(), "category_ord", "term_ord",
                            "sentence_ord")
     hit_cols = ["date", "from", "to", "subject", "category", "matched_term", "exact_text",
                 "location"]
@@ -99,8 +98,10 @@ def run_case(spark: SparkSession, archives: list[str], address: str, out_dir: st
     R.write_document(spark, None, f"{d4}/document", title=title, mime_df=m4)
     R.manifest(spark, None, mime_df=m4).withColumn("title", F.lit(title)) \
         .coalesce(1).write.mode("overwrite").json(f"{d4}/manifest.json")
-    R.attachment_writes(spark, None, folder=f"{d4}/attachments", mime_df=m4) \
-        .orderBy("n", "k").write.mode("overwrite").options(**CSV).csv(f"{d4}/attachments.csv")
+    # The writer's rows are kept first and sorted then: nothing may run the writer twice.
+    saved = _stage(R.attachment_writes(spark, None, folder=f"{d4}/attachments", mime_df=m4),
+                   f"{d4}/_attachments")
+    saved.orderBy(F.col("n").startswith("U"), F.length("n"), "n", "k").write.mode("overwrite").options(**CSV).csv(f"{d4}/attachments.csv")
     out.update(messages=f"{d4}/messages.csv", document=f"{d4}/document",
                manifest=f"{d4}/manifest.json", attachments=f"{d4}/attachments")
     return out

@@ -56,7 +56,7 @@ def q_label_fast(spark, sf_dir):
     """D8f/E3/K3/I2: fast mode: header-search candidates, re-checked exactly."""
     doms = L.split_domains(DOMAINS)
     s = scanned(spark, sf_dir).where("fetched")
-    return s.where(L.fast_candidates(s, doms)).select("uid", "matched", "domain")
+    return s.where(L.fast_candidates(s, doms)).select("uid", "matched", "domain").orderBy("uid")
 
 
 def q_label_resume(spark, sf_dir):

@@ -66,11 +66,15 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is. Only when it is
-    unset (local tests) do we create a scratch folder of our own.
+    On a cluster that setting points at shared storage and is used as is. Only a local master
+    may leave it unset (tests): then a scratch folder is made. Elsewhere a machine-local folder
+    would be invisible to other machines, so it is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         current = tempfile.mkdtemp(prefix="mailsift-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -10,7 +10,8 @@ Reader options:
 
 Record rule: a record starts at a line beginning ``From `` followed by a non-space byte
 (``^From [^\\s]``); bytes before the first separator are dropped; the last record ends at
-EOF; ``byte_offset`` is the position of the separator line. A partition owns the records
+EOF; ``byte_offset`` is the position of the separator line (in a folder, of its files put one
+after the other, so it is unique in the archive). A partition owns the records
 whose separator starts inside its byte range, and reads past its end only to finish its
 last record, so any split of a file yields every record exactly once.
 
@@ -73,8 +74,9 @@ def missing_paths(paths: list[str]) -> list[str]:
 
 
 class _Range(InputPartition):
-    def __init__(self, ord_: int, path: str, archive: str, start: int, end: int):
+    def __init__(self, ord_: int, path: str, archive: str, start: int, end: int, base: int = 0):
         self.ord, self.path, self.archive, self.start, self.end = ord_, path, archive, start, end
+        self.base = base                # bytes of the archive's files before this one
 
 
 def _archive_name(path: str, given: str) -> str:
@@ -132,11 +134,13 @@ class MboxReader(DataSourceReader):
 
     def partitions(self):
         files, _missing = expand_paths(self.paths)
-        parts = []
+        parts, before = [], {}
         for ord_, path, size in files:
+            base = before.get(ord_, 0)
+            before[ord_] = base + size
             archive = _archive_name(path, self.paths[ord_])
             for start in range(0, max(size, 1), self.split):
-                parts.append(_Range(ord_, path, archive, start, min(start + self.split, size)))
+                parts.append(_Range(ord_, path, archive, start, min(start + self.split, size), base))
         return parts
 
     def read(self, partition: _Range):
@@ -155,7 +159,7 @@ class MboxReader(DataSourceReader):
 
         for offset, raw in read_range(partition.path, partition.start, partition.end,
                                       self.max_bytes):
-            offsets.append(offset)
+            offsets.append(partition.base + offset)
             raws.append(raw)
             size += len(raw or b"")
             if size >= _BATCH_BYTES:
@@ -181,7 +185,7 @@ class MboxWriter(DataSourceWriter):
     replaces its own file instead of adding a second copy of the same records."""
 
     def __init__(self, options, overwrite: bool):
-        self.folder = options["path"]
+        self.folder, self.overwrite = options["path"], overwrite
         self.job = uuid.uuid4().hex[:12]          # fixed on the driver for the whole job
 
     def write(self, rows):
@@ -200,6 +204,10 @@ class MboxWriter(DataSourceWriter):
 
     def commit(self, messages):
         fs, folder = filesystem(self.folder)
+        if self.overwrite:                        # this job's files replace all earlier ones
+            for f in fs.get_file_info(pafs.FileSelector(folder)):
+                if f.type == pafs.FileType.File and self.job not in f.base_name:
+                    fs.delete_file(f.path)
         with fs.open_output_stream(_join(folder, f"_SUCCESS-{self.job}")):
             pass
 
@@ -241,7 +249,9 @@ def read_mbox(spark, paths: list[str], split_bytes: int | None = None,
     return r.load()
 
 
-def write_mbox(df, folder: str) -> None:
-    """Write ``raw`` records (in the frame's partition order) as mbox files under folder."""
+def write_mbox(df, folder: str, overwrite: bool = False) -> None:
+    """Write ``raw`` records (in the frame's partition order) as mbox files under folder, beside
+    what is there or, with ``overwrite``, in its place."""
     register(df.sparkSession)
-    df.select("raw").write.format("mbox").mode("append").option("path", folder).save()
+    df.select("raw").write.format("mbox").mode("overwrite" if overwrite else "append") \
+        .option("path", folder).save()

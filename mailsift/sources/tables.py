@@ -8,21 +8,23 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 
+# A table of at most this many bytes may be dealt out once for parallelism: a bounded shuffle.
+SMALL_TABLE_BYTES = 1 << 30
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table; Catalyst prunes columns and pushes filters into the parquet scan."""
-    return ensure_parallelism(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
-
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    return spread_small(spark.read.parquet(path), path)
 
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
 
-    A small single-file table (one parquet row group) reads as one partition, which puts
-    every per-row parse and regex on one core. Only then is it round-robin repartitioned;
-    a large input already has more splits than cores and is left untouched (no shuffle).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+def spread_small(df: DataFrame, path: str) -> DataFrame:
+    """A small table often is one parquet row group, which reads as one task and puts every
+    per-row parse on one core: deal it out. Anything larger has splits enough and is left as it
+    is. Only the files' sizes are looked at; no job runs."""
+    fs, jpath = _fs(df.sparkSession, path)
+    if fs.getContentSummary(jpath).getLength() <= SMALL_TABLE_BYTES:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
     return df
 
 
@@ -43,6 +45,25 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(jpath, True).close()
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file through the cluster file system, None if there is none."""
+    fs, jpath = _fs(spark, path)
+    if not fs.exists(jpath):
+        return None
+    stream = fs.open(jpath)
+    try:
+        return str(spark.sparkContext._jvm.java.lang.String(stream.readAllBytes(), "UTF-8"))
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, jpath = _fs(spark, path)
+    stream = fs.create(jpath, True)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+
+
 def _code_hash() -> str:
     """Hash of the package source, so tables written by other code are never reused."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -78,7 +99,7 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build) -> DataFram
         # Written under a unique name and renamed into place: a crashed or concurrent
         # writer never leaves a partial table where readers look.
         tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-        ensure_parallelism(build()).write.parquet(tmp)
+        build().write.parquet(tmp)
         fs, jtmp = _fs(spark, tmp)
         _fs_dst, jdst = _fs(spark, path)
         if not fs.exists(jdst):

@@ -11,7 +11,6 @@ or parameters (L5).
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,24 +19,21 @@ from mailsift.operators import extract as X
 from mailsift.operators import parts as P
 from mailsift.operators.messages import messages
 from mailsift.sources.ingest import mime_of
-from mailsift.sources.tables import path_exists
+from mailsift.sources.tables import path_exists, read_text, write_text
 
 MAIL_SCHEMA = "source_ord INT, source_mbox STRING, byte_offset BIGINT, raw BINARY"
 
 
-def check_fingerprint(checkpoint: str, fingerprint: dict) -> None:
-    """A checkpoint written for other inputs or parameters is never resumed."""
-    os.makedirs(checkpoint, exist_ok=True)
-    path = os.path.join(checkpoint, "_job.json")
-    if os.path.exists(path):
-        with open(path) as fh:
-            stored = json.load(fh)
-        if stored != fingerprint:
-            raise ValueError(f"checkpoint {checkpoint} belongs to another job: {stored}; "
-                             "use a new checkpoint folder to start over")
-    else:
-        with open(path, "w") as fh:
-            json.dump(fingerprint, fh, sort_keys=True)
+def check_fingerprint(spark: SparkSession, checkpoint: str, fingerprint: dict) -> None:
+    """A checkpoint written for other inputs or parameters is never resumed. The marker
+    lies beside the checkpoint, in the file system of that path."""
+    text = json.dumps(fingerprint, sort_keys=True)
+    stored = read_text(spark, f"{checkpoint}/_job.json")
+    if stored is None:
+        write_text(spark, f"{checkpoint}/_job.json", text)
+    elif json.loads(stored) != json.loads(text):
+        raise ValueError(f"checkpoint {checkpoint} belongs to another job: {stored}; "
+                         "use a new checkpoint folder to start over")
 
 
 def mail_stream(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
@@ -55,7 +51,7 @@ def _committed(spark: SparkSession, out: str, batch_id: int) -> DataFrame | None
 def run_extract_incremental(spark: SparkSession, source: str, out: str, checkpoint: str,
                             address: str, files_per_batch: int = 1) -> None:
     """L1/L2/E5: first-wins extract across micro-batches; batch order = archive order."""
-    check_fingerprint(checkpoint, {"job": "extract", "source": source, "address": address})
+    check_fingerprint(spark, checkpoint, {"job": "extract", "source": source, "address": address})
 
     def batch(df: DataFrame, batch_id: int) -> None:
         cols = ["source_ord", "source_mbox", "byte_offset", "message_id", "date_iso",
@@ -63,7 +59,7 @@ def run_extract_incremental(spark: SparkSession, source: str, out: str, checkpoi
         ex = X.extract(messages(df).select(*cols, "participants"), address, cols).select(*cols)
         done = _committed(df.sparkSession, out, batch_id)
         if done is not None:
-            ids = done.where(F.col("message_id") != "").select("message_id").distinct()
+            ids = done.where(F.col("message_id") != "").select("message_id")
             ex = ex.join(ids, "message_id", "left_anti")
         ex.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
@@ -75,7 +71,10 @@ def run_extract_incremental(spark: SparkSession, source: str, out: str, checkpoi
 def run_stream_dedup(spark: SparkSession, source: str, out: str, checkpoint: str,
                      files_per_batch: int = 1) -> None:
     """L2: state-store de-duplication of non-blank Message-IDs (unbounded key state)."""
-    check_fingerprint(checkpoint, {"job": "stream_dedup", "source": source})
+    check_fingerprint(spark, checkpoint, {"job": "stream_dedup", "source": source})
+    # All ids ever seen are state: on disk, not on the executors' heaps.
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     m = messages(mail_stream(spark, source, files_per_batch)).where(F.col("message_id") != "") \
         .select("message_id").dropDuplicates(["message_id"])
     q = m.writeStream.format("parquet").option("path", out) \
@@ -88,7 +87,7 @@ def run_strip_incremental(spark: SparkSession, source: str, out: str, checkpoint
                           files_per_batch: int = 1) -> None:
     """L4: the stripped records, their kept parts and the inventory rows of a batch are
     written as one unit under the same batch id (a replay overwrites all three)."""
-    check_fingerprint(checkpoint, {"job": "strip", "source": source})
+    check_fingerprint(spark, checkpoint, {"job": "strip", "source": source})
 
     def batch(df: DataFrame, batch_id: int) -> None:
         from mailsift.functions import headers as H
@@ -128,7 +127,7 @@ def run_label_incremental(spark: SparkSession, source: str, out: str, checkpoint
     is not recorded, so the next run tries it again."""
     from mailsift.functions import headers as H
     from mailsift.operators import label as L
-    check_fingerprint(checkpoint, {"job": "label", "source": source, "domains": domains})
+    check_fingerprint(spark, checkpoint, {"job": "label", "source": source, "domains": domains})
 
     def batch(df: DataFrame, batch_id: int) -> None:
         snap = df.select("uid", H.parse_headers(H.message_text(F.col("raw"))).alias("headers"))

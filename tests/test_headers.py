@@ -87,7 +87,10 @@ def test_subject_decode_equals_stdlib(spark, value):
     "Mon, 05 Jan 99 09:00:00 EST", "Mon, 05 Jan 2026 09:00:00 -0000", "Mon Jan  5 09:00:00 2026",
     "Mon, 05 Jan 2026 09:00:00 +0100 (CET)", "2026-01-05T09:00:00", "5 Jan 2026", "nonsense",
     "Mon, 05 Jan 2026 09:00:00 XYZ", "Mon, 31 Feb 2026 09:00:00 +0000",
-    "Monday, 05 January 2026 09:00:00 PDT", "Tue,  6 Jan 2026 10:11:12 +0530"])
+    "Monday, 05 January 2026 09:00:00 PDT", "Tue,  6 Jan 2026 10:11:12 +0530",
+    "Monday, 05-Jan-2026 09:00:00 GMT", "Mon, 5 Jan 2026 09.00.00 +0000", "5 Jan 2026 09.30 +0100",
+    "Mon Jan 5 09:00:00 EST 2026", "Jan 5 2026 09:00:00 +0000", "Mon, Jan 5, 2026 09:00:00",
+    "Mon, 05 Jan 2026 09:00:00+0000", "5 Jan 2026 09:00-0500", "Jan 5 2026", "05-Jan-2026"])
 def test_date_iso_equals_parsedate(spark, value):
     """ISO dates equal parsedate_to_datetime(...).isoformat(), '' where it raises."""
     df = spark.createDataFrame([(value,)], "v string")
@@ -97,3 +100,41 @@ def test_date_iso_equals_parsedate(spark, value):
     except Exception:  # noqa: BLE001
         want = ""
     assert got == want
+
+
+@pytest.mark.parametrize("raw", [
+    b"From a@x Mon\nSubject: caf\xe9 \xff\nTo: J\xc3\xb6rg <j@x.test>\n\nbody \xe9\xff\n",
+    b"From a@x Mon\r\nSubject: caf\xe9\r\nTo: b@x.test\r\n\r\nSubject: not this\r\n",
+    b"From a@x Mon\nSubject: no body\nTo: b@x.test",
+    b"From a@x Mon\n\nSubject: in the body\n",
+    b"From a@x Mon\nSubject: one\nTo: c@x.test\n\n\xfe\n\nTo: d@x.test\n\n",
+])
+def test_headers_of_any_bytes_equal_stdlib(spark, raw):
+    """Bytes that are not UTF-8, in headers or body, never fail a job; each header byte outside
+    ASCII reads as U+FFFD, as in the standard library."""
+    msg = BytesParser(policy=policy.compat32).parsebytes(raw.split(b"\n", 1)[1])
+    df = mail_frame(spark, [raw]).select(H.parse_headers(H.message_text(F.col("raw"))).alias("h"))
+    row = df.select(H.header_values(F.col("h"), "Subject").alias("s"), H.header_values(F.col("h"), "To").alias("t")).first()
+    assert (row.s, row.t) == (_py_header_str(msg, "Subject"), _py_header_str(msg, "To"))
+
+
+@pytest.mark.parametrize("value", ['"' + "n" * 1_000_000 + '" <a@x.test>', '"' + "\\\\x" * 400 + '" <a@x.test>',
+                                   ", ".join(f'"Name {i}" <a{i}@x.test>' for i in range(3000))])
+def test_long_names_and_lists(spark, value):
+    """A display name of a megabyte, one full of escapes and a list of thousands are parsed."""
+    df = spark.createDataFrame([(value,)], "v string")
+    got = [(b.display, b.addr) for b in df.select(H.mailboxes(F.col("v")).alias("m")).first().m]
+    assert got == [(n, a) for n, a in getaddresses([value]) if a]
+
+
+def test_quoted_pair_in_a_name(spark):
+    df = spark.createDataFrame([('"a\\"b" <c@x.test>',)], "v string")
+    assert [(b.display, b.addr) for b in df.select(H.mailboxes(F.col("v")).alias("m")).first().m] == [('a"b', "c@x.test")]
+
+
+def test_encoded_display_names_are_decoded(spark):
+    """RFC 2047 words in display names come out decoded, once the list is taken apart."""
+    raw = plain(frm="=?utf-8?Q?J=C3=B6rg?= <j@x.test>", to="=?iso-8859-1?B?QW5k6Q==?= <a@y.test>, b@z.test")
+    df = mail_frame(spark, [raw]).select(H.parse_headers(H.message_text(F.col("raw"))).alias("h"))
+    row = df.select(H.display_list(F.col("h"), "From").alias("f"), H.display_list(F.col("h"), "To").alias("t")).first()
+    assert (row.f, row.t) == ("J\u00f6rg <j@x.test>", "And\u00e9 <a@y.test>, b@z.test")

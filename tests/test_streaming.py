@@ -63,3 +63,13 @@ def test_label_resume_skips_processed_and_retries_unfetched(spark):
     matches = sorted(r.uid for r in spark.read.parquet(os.path.join(out, "matches")).collect())
     done = sorted(r.uid for r in spark.read.parquet(os.path.join(out, "processed")).collect())
     assert matches == [3] and done == [1, 3, 4]
+
+
+def test_fingerprint_lies_in_the_file_system_of_the_path(spark, tmp_path):
+    """A checkpoint URI with a scheme holds its own marker; another job is refused."""
+    path = f"file://{tmp_path}/ckpt"
+    INC.check_fingerprint(spark, path, {"job": "a"})
+    INC.check_fingerprint(spark, path, {"job": "a"})
+    assert (tmp_path / "ckpt" / "_job.json").exists()
+    with pytest.raises(ValueError):
+        INC.check_fingerprint(spark, path, {"job": "b"})
