@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from mailsift.llm import units
 
 SHORT = 48
-MEMO_ENTRIES = 1_000_000       # a worker's memos are emptied beyond this; bounds its memory
-STEP_BYTES = 1 << 22           # texts are encoded together up to this size
+MEMO_ENTRIES = 500_000         # a worker's memo is emptied beyond this; bounds its memory
+STEP_BYTES = 1 << 20           # texts are encoded together up to this size
 NO_RANK = 1 << 30
 
 # White space as Unicode defines it (Python's own class has four separators more).
