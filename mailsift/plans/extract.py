@@ -8,9 +8,10 @@ from mailsift.operators import extract as X
 from mailsift.sources.ingest import messages_table
 from mailsift.sources.binding import duck_mail_cte, mail
 
-# Parameters of the registered runs: a narrow needle and one every message matches.
+# Parameters of the registered runs: one address, and a part of an address that some of the
+# copies of a message have and others have not.
 ADDRESS_NEEDLE = "R1@partner.test "
-EXTRACT_NEEDLE = "@example.org"
+EXTRACT_NEEDLE = "@Src1"
 
 
 def msgs(spark, sf_dir):
@@ -66,9 +67,10 @@ def q_multi_source_scan(spark, sf_dir):
 W = f"WITH {duck_mail_cte()}"
 _DEDUP = """ex AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY message_id
-                 ORDER BY source_ord, byte_offset) AS rn FROM ms WHERE message_id <> '')
+                 ORDER BY source_ord, byte_offset) AS rn FROM ms
+                 WHERE message_id <> '' AND source LIKE 'src1%')
   WHERE rn = 1
-  UNION ALL SELECT *, 1 FROM ms WHERE message_id = '')"""
+  UNION ALL SELECT *, 1 FROM ms WHERE message_id = '' AND source LIKE 'src1%')"""
 
 SQL = {
     "extract_address": W + "\nSELECT source_mbox, byte_offset, message_id FROM ms "
@@ -79,7 +81,7 @@ SELECT coalesce(date_iso, '') AS date_iso, coalesce(date_raw, '') AS date_raw, f
        to_h AS "to", coalesce(cc_h, '') AS cc, subject_raw AS subject, message_id, source_mbox,
        byte_offset FROM ex""",
     "extract_summary": W + f""",\n{_DEDUP},
-r AS (SELECT source_mbox, 1 AS s, 1 AS m, 0 AS e, NULL AS mid FROM ms
+r AS (SELECT source_mbox, 1 AS s, CAST(source LIKE 'src1%' AS INT) AS m, 0 AS e, NULL AS mid FROM ms
       UNION ALL SELECT source_mbox, 0, 0, 1, nullif(message_id, '') FROM ex)
 SELECT source_mbox, CAST(sum(s) AS BIGINT) AS scanned, CAST(sum(m) AS BIGINT) AS matched,
        CAST(sum(e) AS BIGINT) AS extracted, CAST(count(DISTINCT mid) AS BIGINT) AS unique_message_ids

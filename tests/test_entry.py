@@ -55,3 +55,13 @@ def test_prepare_pins_utc_from_another_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     prepare(spark)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_entry_without_the_training_data_subpackage(monkeypatch):
+    """Its queries are added only where it can be imported; the others do not need it."""
+    import sys
+    for name in [n for n in sys.modules if n.startswith("mailsift.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "mailsift.llm", None)
+    assert not [k for k in E.queries() if k.startswith("op") or k == "pipeline"]
+    assert set(E.oracle_sql()) <= set(E.queries()) and "hits" in E.queries()
