@@ -45,18 +45,21 @@ def _found(text: Column, terms: Column) -> Column:
 def _scan(items: DataFrame, keys: list[str], terms: DataFrame) -> DataFrame:
     """items(keys..., location, _split, _flat) -> keys + HIT_COLUMNS (bag semantics)."""
     t = terms.select("category", "category_ord", F.lower("term").alias("matched_term"), "term_ord")
-    # A term with a line break is in no normalized text.
-    names = sorted({r[0] for r in t.select("matched_term").collect() if "\n" not in r[0]})
+    rows = sorted(t.collect(), key=lambda r: r["matched_term"])
+    names = sorted({r["matched_term"] for r in rows if "\n" not in r["matched_term"]})
     out = []
     for i in range(0, max(len(names), 1), LITERAL_TERMS):
-        literal = F.split(F.lit("\n".join(names[i:i + LITERAL_TERMS])), "\n")
-        hit = items.withColumn("_terms", _found(F.col("_flat"), literal)).where(F.size("_terms") > 0)
+        part = names[i:i + LITERAL_TERMS]           # a term with a line break is in no normalized text
+        mine = set(part)
+        # At most LITERAL_TERMS different terms: small enough to go to every task.
+        known = F.broadcast(items.sparkSession.createDataFrame([r for r in rows if r["matched_term"] in mine], t.schema))
+        hit = items.withColumn("_terms", _found(F.col("_flat"), F.split(F.lit("\n".join(part)), "\n"))).where(F.size("_terms") > 0)
         pieces = F.when(F.col("_split"), sentence_array(F.col("_flat"))).otherwise(F.array("_flat"))
         sent = hit.select(*keys, "location", "_terms", F.posexplode(pieces).alias("_pos", "_sentence"))
-        out.append(sent.select(*keys, "location", "_pos", "_sentence",
-                               F.explode(_found(F.col("_sentence"), F.col("_terms"))).alias("matched_term")))
-    pairs = reduce(DataFrame.unionByName, out) if names else out[0].where("false")
-    return pairs.join(t, "matched_term").select(
+        pairs = sent.select(*keys, "location", "_pos", "_sentence",
+                            F.explode(_found(F.col("_sentence"), F.col("_terms"))).alias("matched_term"))
+        out.append(pairs.join(known, "matched_term"))
+    return reduce(DataFrame.unionByName, out).select(
         *keys, "category", "category_ord", "matched_term", "term_ord",
         (F.col("_pos") + 1).cast("long").alias("sentence_ord"),
         F.trim(F.col("_sentence")).alias("exact_text"), "location")

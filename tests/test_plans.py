@@ -20,11 +20,12 @@ def test_dedup_combines_map_side_before_one_shuffle(spark):
     assert p.count("Exchange hashpartitioning") == 1
 
 
-def test_keyword_scan_is_a_broadcast_nested_loop_join(spark):
-    """The bounded dictionary is broadcast; the sentences are streamed, not shuffled."""
+def test_keyword_scan_tests_texts_in_place(spark):
+    """Texts and sentences are tested where they lie: no nested loop over the dictionary, no
+    shuffle; only the matched terms look up their categories."""
     p = plan(spark, "hits")
-    assert "BroadcastNestedLoopJoin" in p and "BroadcastExchange" in p
-    assert "SortMergeJoin" not in p
+    assert "NestedLoop" not in p and "SortMergeJoin" not in p and "hashpartitioning" not in p
+    assert "BroadcastHashJoin" in p
 
 
 @pytest.mark.parametrize("key", ["scan_hits", "label_full", "render_body", "strip_parts",
