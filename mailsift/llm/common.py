@@ -30,9 +30,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+_KEPT: list[str] | None = None
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder."""
-    return shared_dir(spark, f"llm/{name}-{uuid.uuid4().hex}")
+    path = shared_dir(spark, f"llm/{name}-{uuid.uuid4().hex}")
+    if _KEPT is not None:
+        _KEPT.append(path)
+    return path
+
+
+def next_stage(spark: SparkSession) -> None:
+    """For stages whose results are written before the next one begins: delete what the stage
+    before left in the shared folder, and note what is made from here on."""
+    global _KEPT
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _KEPT or []:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    _KEPT = []
+    release(spark)
+
+
+def end_stages(spark: SparkSession) -> None:
+    """After the last stage's result is written: tables made later are nobody's leftovers."""
+    global _KEPT
+    next_stage(spark)
+    _KEPT = None
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -40,7 +65,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     of executors and lets several consumers share one computation."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
