@@ -13,8 +13,8 @@ by hash); linked sets share a shingle among the first n - ceil(0.8 n) + 1 of bot
   pairs of different components under one shingle: all of them are tried, in the final sweep.
   A group of near copies with a third of all rows so costs its size, not its square, and no link
   between components is missed.
-* Pairs are expanded to members, sieved by a bound on their difference from 1024-bit parity
-  sketches, and verified on the whole sets.
+* Pairs are expanded to members, sieved by a bound on their difference from parity sketches (at
+  least two bits a shingle), and verified on the whole sets.
 
 Null or empty text: empty set, linked with nothing, its own component. Fewer than five words are
 one shingle. Rows that share a doc_id stay separate rows.
@@ -27,12 +27,13 @@ from pyspark.sql import functions as F
 
 from mailsift.llm import segments as S
 from mailsift.llm import units as U
-from mailsift.llm.common import delete, release, written
+from mailsift.llm.common import delete, written
 from mailsift.llm.graph import components
 
 SHINGLE = 5
-SKETCH = 1024
-ROUNDS = 3
+SKETCH = 1024                  # bits of the smallest sketch
+ROUNDS = 2
+BROADCAST_IDS = 400_000        # 10 MB
 
 
 def _shingles(raws: list[bytes]):
@@ -71,8 +72,9 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 n[i] = len(s)
                 prefix = np.concatenate([s[~late], s[late]])[:len(s) - (4 * len(s) + 4) // 5 + 1]
                 out["key"][i], out["prefix_key"][i] = xxhash.xxh3_128_digest(s.tobytes()), xxhash.xxh3_128_digest(prefix.tobytes())
-                out["prefix"][i] = prefix.view("i8")
-                parity = np.bincount((s >> np.uint64(40)).astype("i8") % SKETCH, minlength=SKETCH) & 1
+                out["prefix"][i] = (prefix >> np.uint64(24)).view("i8")      # 40 bits are enough to meet
+                width = max(SKETCH, 1 << (2 * len(s) - 1).bit_length())
+                parity = np.bincount((s >> np.uint64(20)).astype("i8") & (width - 1), minlength=width) & 1
                 out["sketch"][i] = np.packbits(parity.astype(bool)).view("i8")
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc"), b.column("tag"), pa.array(n, pa.int32()), pa.array(out["key"], pa.binary()),
@@ -98,46 +100,29 @@ def _places_fit(x: str, y: str) -> Column:
     return _sizes_fit(n, m) & (F.least(n - F.col(f"{x}.pos"), m - F.col(f"{y}.pos")) >= _overlap(n, m))
 
 
-def _verify(pairs: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (u, v) of ``pairs`` that link: sketches (narrow) first, then the whole sets."""
+def _close(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The (u, v) of ``pairs`` that sizes and sketches (narrow) leave possible."""
     for x in ("u", "v"):
-        side = sketches.select(F.col("u").alias(x), F.col("n").alias("n_" + x), F.col("sketch").alias("s_" + x))
+        side = sets.select(F.col("u").alias(x), F.col("n").alias("n_" + x), F.col("sketch").alias("s_" + x))
         pairs = pairs.join(side, x)
-    differ = F.aggregate(F.zip_with("s_u", "s_v", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, x: a + x)
     n, m = F.col("n_u"), F.col("n_v")
-    close = written(pairs.where(_sizes_fit(n, m) & (differ <= n + m - 2 * _overlap(n, m))).select("u", "v"), "close")
-    for x in ("u", "v"):
-        close = close.join(sets.select(F.col("u").alias(x), F.col("set").alias("set_" + x)), x)
-    both = F.size(F.array_intersect("set_u", "set_v"))
-    return close.where(100 * both >= 80 * (F.size("set_u") + F.size("set_v") - both)).select("u", "v")
+    pairs = pairs.where(_sizes_fit(n, m))
 
+    def narrowed(x, y):
+        """Sketch x no wider than y: sizes that fit differ by one doubling at most, and the two
+        halves of a parity sketch combine to the sketch of half its width."""
+        half = (F.size(x) / 2).cast("int")
+        folded = F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+        return F.when(F.size(x) > F.size(y), folded).otherwise(F.col(x))
 
-def similar_classes(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(classes (key, u), roots (u, root)): classes of equal sets, and the component of every
-    class that is not the smallest class of its component."""
-    full = sets.where("n > 0")
-    classes = full.groupBy("key").agg(F.min("u").alias("u"))
-    # the representative's own columns, without moving every copy's
-    rep = written(full.join(classes, ["key", "u"]), "classes")
-    groups = rep.groupBy("n", "prefix_key").agg(F.min("u").alias("g"), F.count(F.lit(1)).alias("members"), F.first("prefix").alias("prefix"))
-    groups = written(groups, "groups")
-    member = rep.select("u", "n", "prefix_key").join(groups.select("n", "prefix_key", "g", "members"), ["n", "prefix_key"]).select("u", "g", "members")
-    member = written(member, "members")
-
-    entries = groups.select("g", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = entries.groupBy("token").agg(F.min("g").alias("a"), F.max("g").alias("b")).where("a < b").select("token")
-    # Hashed, not sorted: the shared shingles are the small side.
-    entries = entries.join(shared.hint("shuffle_hash"), "token", "left_semi")
-    entries = written(entries.join(groups.select("g", "members"), "g"), "entries")
-    release(docs.sparkSession)
+    differ = F.aggregate(F.zip_with(narrowed("s_u", "s_v"), narrowed("s_v", "s_u"), lambda a, b: F.bit_count(a.bitwiseXOR(b))),
+                         F.lit(0), lambda a, x: a + x)
+    return pairs.where(differ <= n + m - 2 * _overlap(n, m)).select("u", "v")
 
-    # Whole sets, for the classes that share a shingle or a prefix with another.
-    live = entries.select("g").distinct().union(member.where("members > 1").select("g")).distinct()
-    ids = member.join(live, "g", "left_semi").select("u")
-    ids = rep.select("u", "doc", "tag", "n", "sketch").join(ids, "u")
-    ids = written(ids, "live")
-    wanted = S.numbered(docs).dropDuplicates(S.ID).join(ids.select("u", "doc", "tag"), S.ID)
 
+def _whole_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(u, set) of the rows ``ids`` (u, doc, tag, written). Up to BROADCAST_IDS of them (24 bytes
+    each) go to the texts; more meet the texts in a shuffle."""
     def run(batches):
         import pyarrow as pa
         for b in batches:
@@ -146,47 +131,80 @@ def similar_classes(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFr
             yield pa.RecordBatch.from_arrays(
                 [pa.array([us[i] for i, _ in found], pa.int64()), pa.array([s.view("i8") for _, s in found], pa.list_(pa.int64()))], ["u", "set"])
 
-    whole = written(wanted.mapInArrow(run, "u long, set array<long>"), "wholesets")
-    release(docs.sparkSession)
-    sketches = ids.select("u", "n", "sketch")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return S.numbered(docs).join(ids, S.ID).mapInArrow(run, "u long, set array<long>")
+
 
-    links = None
-    roots = None
+def _linked(close: DataFrame, whole: DataFrame) -> DataFrame:
+    """The pairs that link, by their whole sets."""
+    for x in ("u", "v"):
+        close = close.join(whole.select(F.col("u").alias(x), F.col("set").alias("set_" + x)), x)
+    both = F.size(F.array_intersect("set_u", "set_v"))
+    linked = close.where(100 * both >= 80 * (F.size("set_u") + F.size("set_v") - both))
+    return linked.select("u", "v").distinct()
+
+
+def similar_classes(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(classes (key, u), roots (u, root)): classes of equal sets, and the component of every
+    class that is not the smallest class of its component (None: no links)."""
+    spark = docs.sparkSession
+    classes = (sets.where("n > 0").groupBy("key")
+               .agg(F.min("u").alias("u"), F.first("n").alias("n"), F.first("prefix_key").alias("prefix_key")))
+    classes = written(classes, "classes")
+    groups = classes.groupBy("n", "prefix_key").agg(F.min("u").alias("g"), F.count(F.lit(1)).alias("members"))
+    member = written(classes.join(groups, ["n", "prefix_key"]).select("u", "g", "members"), "members")
+    groups = member.where("u = g").select("g", "members")
+
+    wide = sets.select(F.col("u").alias("g"), "n", "prefix").join(groups.select("g"), "g")
+    entries = written(wide.select("g", "n", F.posexplode("prefix").alias("pos", "token")), "prefixes")
+    shared = entries.groupBy("token").agg(F.min("g").alias("a"), F.max("g").alias("b")).where("a < b").select("token")
+    # Hashed, not sorted: the shared shingles are the small side.
+    kept = entries.join(shared.hint("shuffle_hash"), "token", "left_semi")
+    # How much of a group's prefix others share: the text that copies were made from leads.
+    kept = written(kept, "shared")
+    central = kept.groupBy("g").agg((F.count(F.lit(1)) / F.max(F.col("n") - F.ceil(0.8 * F.col("n")) + 1)).alias("central"))
+    kept = written(kept.join(groups.join(central, "g"), "g"), "entries")
+    delete(spark, entries)
+    entries = kept
+    # Groups that share a shingle with another, or hold several classes.
+    live = entries.select("g").union(groups.where("members > 1").select("g")).distinct()
+    live = written(member.join(live, "g", "left_semi").select("u", "g"), "live")
+
+    links = roots = whole = None
     for step in range(ROUNDS + 1):
-        # (u, g, comp) of every member of a live group
-        owned = member.join(live, "g", "left_semi").select("u", "g")
-        owned = (owned.withColumn("comp", F.col("u")) if roots is None else
-                 owned.join(roots, "u", "left").select("u", "g", F.coalesce("root", "u").alias("comp")))
+        owned = live.withColumn("comp", F.col("u")) if roots is None else \
+            live.join(roots, "u", "left").select("u", "g", F.coalesce("root", "u").alias("comp"))
         owned = written(owned, "owned")
-        seats = owned.select("g", "comp").distinct()
-        here = entries.join(seats, "g")
+        here = entries.join(owned.select("g", "comp").distinct(), "g")
         mixed = here.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("token")
         here = written(here.join(mixed, "token", "left_semi"), "mixed")
-        if step < ROUNDS:
-            pairs = _hub_pairs(here, owned, step)
-        else:
-            pairs = _all_pairs(here, owned)
-        pairs = written(pairs, "pairs")
-        new = written(_verify(pairs, sketches, whole), "links")
-        if new.isEmpty() and step < ROUNDS:
-            delete(docs.sparkSession, here, owned, pairs)
-            links = new if links is None else links
-            roots = roots if roots is not None else components(links)
-            continue
-        links = new if links is None else links.union(new)
-        roots = components(links)
-        delete(docs.sparkSession, here, owned, pairs)
-    return classes, roots
+        pairs = _hub_pairs(here, owned, step) if step < ROUNDS else _all_pairs(here, owned)
+        close = written(_close(pairs, sets), "close")
+        need = close.select("u").union(close.select(F.col("v").alias("u"))).distinct()
+        need = written((need if whole is None else need.join(whole, "u", "left_anti"))
+                       .join(sets.select("u", "doc", "tag"), "u"), "need")
+        if not need.isEmpty():
+            more = written(_whole_sets(docs, need), "wholesets")
+            whole = more if whole is None else whole.union(more)
+        if whole is not None and not close.isEmpty():
+            new = written(_linked(close, whole), "links")
+            links = new if links is None else links.union(new)
+            roots = components(links)
+        delete(spark, here, owned, close, need)
+    return classes.select("key", "u"), roots
 
 
 def _hub_pairs(here: DataFrame, owned: DataFrame, step: int) -> DataFrame:
-    """For every group the two hubs it shares most shingles with, as class pairs; and within a
-    group, every member with the smallest. A shingle's hubs: the group with most members, and
-    one by lot."""
+    """For every group the three hubs it shares most shingles with, as class pairs; and within a
+    group, every member with the smallest. A shingle's hubs: the group with most members, the one
+    whose prefix others share most, and one by lot."""
     lot = F.xxhash64("g", "token", F.lit(step))
-    hubs = here.groupBy("token").agg(F.max_by("g", F.struct("members", lot)).alias("big"), F.min_by("g", lot).alias("lot"))
-    tries = here.select("token", "g").join(hubs, "token").select("g", F.explode(F.array(
-        F.struct(F.lit(0).alias("k"), F.col("big").alias("h")), F.struct(F.lit(1).alias("k"), F.col("lot").alias("h")))).alias("x"))
+    kinds = {"big": F.max_by("g", F.struct("members", lot)), "central": F.max_by("g", F.struct("central", "members", "g")),
+             "lot": F.min_by("g", lot)}
+    hubs = here.groupBy("token").agg(*[hub.alias("h_" + k) for k, hub in kinds.items()])
+    tries = here.select("token", "g").join(hubs, "token").select("g", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("k"), F.col("h_" + k).alias("h")) for k in kinds])).alias("x"))
     best = (tries.where("g <> x.h").groupBy("g", "x.k", "x.h").agg(F.count(F.lit(1)).alias("c"))
             .groupBy("g", "k").agg(F.max_by("h", "c").alias("h")).select("g", "h").distinct())
     first = owned.groupBy("g").agg(F.min("u").alias("v"), F.min("comp").alias("low"), F.max("comp").alias("high"))
@@ -213,7 +231,9 @@ def _placed(docs: DataFrame) -> DataFrame:
     """(u, doc, tag, n, least): every row with the smallest (doc, tag, u) of its component."""
     sets = shingle_sets(docs)
     classes, roots = similar_classes(docs, sets)
-    comp = written(classes.join(roots, "u", "left").select("key", F.coalesce("root", "u").alias("comp")), "comps")
+    if roots is not None:
+        classes = classes.join(roots, "u", "left").select("key", F.coalesce("root", "u").alias("u"))
+    comp = written(classes.withColumnRenamed("u", "comp"), "comps")
     rows = written(sets.select("u", "doc", "tag", "n", "key").join(comp, "key", "left"), "rows")
     least = rows.where("comp is not null").groupBy("comp").agg(F.min(F.struct("doc", "tag", "u")).alias("least"))
     return rows.join(least, "comp", "left").select("u", "doc", "tag", "n", F.coalesce("least", F.struct("doc", "tag", "u")).alias("least"))
