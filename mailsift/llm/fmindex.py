@@ -116,7 +116,7 @@ class FmIndex:
         return [out[e - n:e - self.width + 1] for e, n in zip(end, size)]
 
 
-def index(contents, docs, tags, starts, counts):
+def index(grams, contents, docs, tags, starts, counts):
     """First document of every window of a shard's segments, as runs."""
     ids: dict[bytes, int] = {}
     texts = [np.array([ids.setdefault(w, len(ids) + 1) for w in c.split(b" ")]) for c in contents]

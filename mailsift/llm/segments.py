@@ -2,10 +2,11 @@
 
 A window is ``width`` adjacent units (words or bytes) of a document. Each window is assigned the
 gram of ``k`` units with the smallest hash in it (heavy grams last); adjacent windows with the
-same gram position form one segment, so a corpus has about 2 / (width - k) segments per unit,
-and equal windows always lie in segments of the same gram. Then:
+same gram form one segment, so a corpus has about 2 / (width - k) segments per unit, and equal
+windows always lie in segments of the same gram. Then:
 
-1. grams that only one segment has can hold no repeated window: an aggregate by gram, and a join;
+1. a gram that stands in one place only can hold no repeated window: an aggregate by gram, and a
+   join;
 2. the texts of the remaining segments are fetched once per document, equal segments collapse
    (map-side) to their first place, and the distinct ones go to shards by their gram;
 3. a shard's index gives, for every window of every segment, its first place in the corpus;
@@ -29,6 +30,7 @@ from mailsift.llm import units as U
 from mailsift.llm.common import delete, written
 
 SHARD_BYTES = 4 << 20
+RUN = 256                      # most windows of a segment
 NULL_ID = -(1 << 63)
 ID = ["doc", "tag"]
 
@@ -48,7 +50,7 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def find_segments(docs: DataFrame, shape: Shape, heavy: bytes) -> DataFrame:
-    """(gram, doc, tag, start, n): n adjacent windows from unit ``start`` on."""
+    """(gram, doc, tag, start, n, again): n adjacent windows from unit ``start`` on."""
     make, width, k = U.make_units(shape.kind), shape.width, shape.k
     bits = docs.sparkSession.sparkContext.broadcast(heavy)
 
@@ -73,18 +75,25 @@ def find_segments(docs: DataFrame, shape: Shape, heavy: bytes) -> DataFrame:
                     place = np.arange(len(part), dtype="u8")
                     best = U.sliding_min((part & ~np.uint64(0xFFFFFF)) | place, width - k + 1)
                     best = (best & np.uint64(0xFFFFFF)).astype("i8") + at
+                    moved = np.concatenate([[0], np.cumsum(best[1:] != best[:-1])])
+                    best = g[best]
                     d = doc[at:at + m]
                     whole = d == doc[at + width - 1:at + width - 1 + m]
                     first = np.flatnonzero(np.concatenate([[True], (best[1:] != best[:-1]) | (d[1:] != d[:-1]) | (whole[1:] != whole[:-1])]))
                     size = np.diff(np.append(first, m))
                     first, size = first[whole[first]], size[whole[first]]
+                    again = moved[first + size - 1] > moved[first]      # its gram stands in it more than once
+                    parts = -(-size // RUN)                             # long runs (periodic text) in parts
+                    part = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+                    first, size, again = (np.repeat(x, parts) for x in (first, size, again))
+                    first, size = first + RUN * part, np.minimum(size - RUN * part, RUN)
                     owner = d[first]
                     base = np.searchsorted(doc, owner, side="left")     # first unit of the document
                     yield pa.RecordBatch.from_pydict({
-                        "gram": g[best[first]].view("i8"), "doc": ids[i:j][owner], "tag": tags[i:j][owner],
-                        "start": first + at - base, "n": size.astype("i4")})
+                        "gram": best[first].view("i8"), "doc": ids[i:j][owner], "tag": tags[i:j][owner],
+                        "start": first + at - base, "n": size.astype("i4"), "again": again})
 
-    return numbered(docs).mapInArrow(run, "gram long, doc long, tag long, start long, n int")
+    return numbered(docs).mapInArrow(run, "gram long, doc long, tag long, start long, n int, again boolean")
 
 
 def fetch(docs: DataFrame, places: DataFrame, shape: Shape) -> DataFrame:
@@ -111,7 +120,8 @@ def fetch(docs: DataFrame, places: DataFrame, shape: Shape) -> DataFrame:
 
     # A document has at most one segment per unit: the list is never longer than its text.
     lists = places.groupBy(ID).agg(F.collect_list(F.struct("gram", "start", "n")).alias("segments"))
-    return numbered(docs).dropDuplicates(ID).join(lists, ID).mapInArrow(
+    # A repeated row brings its segments twice, which changes no minimum and no interval.
+    return numbered(docs).join(lists, ID).mapInArrow(
         run, "gram long, digest binary, doc long, tag long, start long, n int, content binary")
 
 
@@ -120,8 +130,8 @@ def repeated_intervals(docs: DataFrame, shape: Shape, index: Callable, across: b
     start earlier; ``whole`` marks a copy of an earlier text.
 
     ``across``: only windows of documents with a smaller doc_id count as earlier. ``index`` gets
-    the parallel lists (contents, docs, tags, starts, counts) of one shard and yields runs (segment
-    number, first window, windows, doc, tag, place of the first window there)."""
+    the parallel lists (grams, contents, docs, tags, starts, counts) of one shard and gives runs
+    as arrays (segment number, first window, windows, doc, tag, place of the first window there)."""
     heavy = U.heavy_grams(docs, shape.kind, shape.k)
     segments = written(find_segments(docs, shape, heavy), "segments")
     ids = numbered(docs).select("doc", "tag", F.sha2("raw", 256).alias("sha"))
@@ -129,28 +139,34 @@ def repeated_intervals(docs: DataFrame, shape: Shape, index: Callable, across: b
     ids = written(ids.distinct().join(firsts, "sha").select("doc", "tag", (F.struct("doc", "tag") != F.col("f")).alias("whole")), "firsts")
     copies = ids.where("whole").select("doc", "tag", "whole")
 
-    shared = segments.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.min("doc").alias("a"), F.max("doc").alias("b"))
-    shared = shared.where("a < b" if across else "c > 1").select("gram")
-    places = segments.join(shared, "gram", "left_semi").join(copies.select(ID), ID, "left_anti")
+    shared = segments.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.min("doc").alias("a"), F.max("doc").alias("b"),
+                                             F.max("again").alias("again"))
+    shared = shared.where("a < b" if across else "c > 1 or again").select("gram")
+    # Hashed, not sorted: the live grams are the small side.
+    places = segments.join(shared.hint("shuffle_hash"), "gram", "left_semi").join(copies.select(ID), ID, "left_anti")
     places = written(places, "places")
     delete(docs.sparkSession, segments)
     found = written(fetch(docs, places, shape), "contents")
     delete(docs.sparkSession, places)
 
     distinct = found.groupBy("gram", "digest").agg(
-        F.min(F.struct("doc", "tag", "start")).alias("f"), F.first("n").alias("n"), F.first("content").alias("content"))
-    distinct = written(distinct.select("gram", "digest", "f.doc", "f.tag", "f.start", "n", "content"), "distinct")
+        F.min(F.struct("doc", "tag", "start")).alias("f"), F.first("n").alias("n"), F.first("content").alias("content"),
+        F.count(F.lit(1)).alias("times"))
+    distinct = written(distinct.select("gram", "digest", "f.doc", "f.tag", "f.start", "n", "times", "content"), "distinct")
     size = distinct.agg(F.sum(F.octet_length("content"))).first()[0] or 0
     shards = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // SHARD_BYTES))
 
     def answer(table):
+        import numpy as np
         import pyarrow as pa
-        cols = [table.column(c).to_pylist() for c in ("gram", "digest", "content", "doc", "tag", "start", "n")]
-        seg, off, n, doc, tag, pos = index(*cols[2:])
-        take = pa.array(seg)
+        cols = [table.column(c).to_pylist() for c in ("gram", "content", "doc", "tag", "start", "n")]
+        seg, off, n, doc, tag, pos = (np.asarray(x, "i8") for x in index(*cols))
+        own = (doc == np.array(cols[2], "i8")[seg]) & (across | (tag == np.array(cols[3], "i8")[seg]) & (pos == np.array(cols[4], "i8")[seg] + off))
+        # A run that starts nowhere earlier matters only where the segment stands again later.
+        keep = np.flatnonzero(~own | (table.column("times").to_numpy()[seg] > 1))
+        take = pa.array(seg[keep])
         return pa.table({"gram": table.column("gram").take(take), "digest": table.column("digest").take(take),
-                         "off": pa.array(off, pa.int32()), "len": pa.array(n, pa.int32()), "e_doc": pa.array(doc, pa.int64()),
-                         "e_tag": pa.array(tag, pa.int64()), "e_pos": pa.array(pos, pa.int64())})
+                         "off": off[keep].astype("i4"), "len": n[keep].astype("i4"), "e_doc": doc[keep], "e_tag": tag[keep], "e_pos": pos[keep]})
 
     runs = distinct.withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(shards))).groupBy("shard").applyInArrow(
         answer, "gram long, digest binary, off int, len int, e_doc long, e_tag long, e_pos long")

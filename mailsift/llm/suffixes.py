@@ -19,14 +19,15 @@ SHAPE = S.Shape("byte", WIDTH, GRAM)
 DIGIT = 4
 
 
-def equal_windows(text: np.ndarray, places: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def equal_windows(text: np.ndarray, places: np.ndarray, width: int, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(places, group) of the windows of ``width`` bytes that occur more than once; equal windows
-    have equal groups, and groups are together."""
+    have equal groups, and groups are together. ``group``: numbers that equal windows are known
+    to share, the digit before the first."""
     padded = np.concatenate([text, np.zeros(DIGIT, "u1")]).astype("u8")
     digit = np.zeros(len(text), "u8")
     for i in range(DIGIT):
         digit = digit << np.uint64(8) | padded[i:len(text) + i]
-    group = np.zeros(len(places), "u8")
+    group = np.zeros(len(places), "u8") if group is None else group.astype("u8")
     depth = 0
     while depth < width and len(places):
         step = min(DIGIT, width - depth)
@@ -41,7 +42,7 @@ def equal_windows(text: np.ndarray, places: np.ndarray, width: int) -> tuple[np.
     return places, group
 
 
-def index(contents, docs, tags, starts, counts):
+def index(grams, contents, docs, tags, starts, counts):
     """First place of every window of a shard's segments, as runs."""
     if not contents:
         return [], [], [], [], [], []
@@ -49,7 +50,8 @@ def index(contents, docs, tags, starts, counts):
     text, base = np.frombuffer(b"".join(contents), "u1"), np.cumsum(size) - size
     seg = np.repeat(np.arange(len(counts)), counts)
     off = np.arange(len(seg)) - np.repeat(np.cumsum(counts) - counts, counts)
-    places, group = equal_windows(text, base[seg] + off, WIDTH)
+    gram = np.unique(np.array(grams, "i8"), return_inverse=True)[1]
+    places, group = equal_windows(text, base[seg] + off, WIDTH, gram[seg])
 
     # Rank of each segment's first place; within a segment later windows start later.
     docs, tags, starts = np.array(docs, "i8"), np.array(tags, "i8"), np.array(starts, "i8")
@@ -67,7 +69,7 @@ def index(contents, docs, tags, starts, counts):
     cut = np.flatnonzero(np.concatenate([[True], (np.diff(seg) != 0) | (docs[who][1:] != docs[who][:-1])
                                          | (tags[who][1:] != tags[who][:-1]) | (np.diff(shift) != 0)]))
     n = np.diff(np.append(cut, len(seg)))
-    return (seg[cut].tolist(), off[cut].tolist(), n.tolist(), docs[who[cut]].tolist(), tags[who[cut]].tolist(), where[cut].tolist())
+    return seg[cut], off[cut], n, docs[who[cut]], tags[who[cut]], where[cut]
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
