@@ -9,14 +9,18 @@ largest chunk of the candidates must be the same. Groups where they are not (a c
 divided by the texts themselves.
 
 A group is only ever reduced (min, max, count), so copies combine before they are shuffled and a
-group with a third of all rows needs no task of its own. Null text counts as empty. A row
-repeated with the same doc_id and text is one document and comes back once. A null doc_id is
-smaller than all others.
+group with a third of all rows needs no task of its own. Null text counts as empty. A null
+doc_id is smaller than all others. ``row_groups`` counts and returns every row; in
+``exact_groups`` a row repeated with the same doc_id and text is one document and comes back
+once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailsift.llm.common import written
@@ -77,10 +81,20 @@ def fingerprints(docs: DataFrame, primes: tuple = PRIMES, size: int = CHUNK) ->
 KEY = ["length", "f0", "f1"]
 
 
+def row_groups(docs: DataFrame, primes: tuple = PRIMES, size: int = CHUNK) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id (the largest doc_id with an equal text),
+    group_size (all rows with that text), kept (its doc_id is keep_id), text_sha256."""
+    return _grouped(docs, fingerprints(docs.select("doc_id", "text"), primes, size), size)
+
+
 def exact_groups(docs: DataFrame, primes: tuple = PRIMES, size: int = CHUNK) -> DataFrame:
-    """One row per document: doc_id, keep_id (the largest doc_id with an equal text),
-    group_size, kept, text_sha256."""
-    prints = written(fingerprints(docs.select("doc_id", "text"), primes, size).dropDuplicates(["doc_id", "text_sha256", *KEY]), "prints")
+    """``row_groups`` over documents: rows repeated with one doc_id and text count once."""
+    prints = fingerprints(docs.select("doc_id", "text"), primes, size)
+    return _grouped(docs, prints.dropDuplicates(["doc_id", "text_sha256", *KEY]), size)
+
+
+def _grouped(docs: DataFrame, prints: DataFrame, size: int) -> DataFrame:
+    prints = written(prints, "prints")
     groups = prints.groupBy(KEY).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     groups = written(groups.where("group_size > 1"), "copies")
 
@@ -108,9 +122,26 @@ def exact_groups(docs: DataFrame, primes: tuple = PRIMES, size: int = CHUNK) ->
                       keep.eqNullSafe(F.col("doc_id")).alias("kept"), "text_sha256")
 
 
+def one_each(docs: DataFrame, keys: list[Column], repeated: DataFrame) -> DataFrame:
+    """``docs`` with a single row for every combination of ``keys`` that ``repeated`` lists; rows
+    with other keys all stay."""
+    if repeated.isEmpty():
+        return docs
+    names = [f"__key{i}" for i in range(len(keys))]
+    rows = docs.withColumns(dict(zip(names, keys)))
+    listed = repeated.toDF(*[n + "r" for n in names])
+    same = reduce(and_, [F.col(n).eqNullSafe(F.col(n + "r")) for n in names])
+    single = rows.join(listed, same, "left_semi").dropDuplicates(names)
+    return rows.join(listed, same, "left_anti").union(single).drop(*names)
+
+
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that are not kept, with their columns; a repeated row stays
-    once."""
-    lost = exact_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
+    """``docs`` with exactly one row per equal text, with their columns: one of the rows with the
+    largest doc_id."""
+    groups = row_groups(docs).where("group_size > 1").select("doc_id", "text_sha256", "kept")
+    groups = written(groups, "grouped")
+    lost = groups.where(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
+    repeated = groups.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1").select("doc_id", "text_sha256")
     sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
-    return docs.join(lost, F.col("doc_id").eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), "left_anti")
+    left = docs.join(lost, F.col("doc_id").eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), "left_anti")
+    return one_each(left, [F.col("doc_id"), sha], repeated)

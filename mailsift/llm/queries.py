@@ -58,7 +58,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact.exact_groups(table(spark, sf_dir, "documents"))
+    return exact.row_groups(table(spark, sf_dir, "documents")).withColumn("kept", F.col("doc_id") == F.col("keep_id"))
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,6 +51,33 @@ def test_drop_copies_keeps_one(odd):
         got == sorted([(2, None), (2, LONG + " x"), (3, LONG)], key=repr)
 
 
+def test_drop_copies_leaves_one_row_a_text(odd):
+    more = odd.union(odd.where("doc_id is null"))
+    got = rows(exact.drop_copies(more).select("doc_id", "text"))
+    assert got == sorted([(2, None), (2, LONG + " x"), (3, LONG)], key=repr)
+    nulls = odd.where("doc_id is null").union(odd.where("doc_id is null"))
+    assert rows(exact.drop_copies(nulls).select("doc_id", "text")) == sorted([(None, None), (None, LONG)], key=repr)
+    assert exact.drop_copies(nulls).dtypes == odd.dtypes
+
+
+def test_drop_near_copies_leaves_one_row_a_component(odd):
+    twice = odd.where("doc_id = 2").union(odd.where("doc_id = 2"))
+    assert rows(jaccard.drop_near_copies(twice).select("doc_id", "text")) == sorted([(2, None), (2, LONG + " x")], key=repr)
+
+
+def test_exact_query_equals_sql_on_repeated_rows(spark, odd, tmp_path):
+    """Repeated rows and null ids: one result row per row, every row counted."""
+    import duckdb
+
+    from mailsift.llm import queries
+    odd.union(odd).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    df = queries.queries()["op9_exact_dedup"](spark, str(tmp_path))
+    want = con.sql(queries.oracle_sql()["op9_exact_dedup"]).select(*df.columns).fetchall()
+    assert rows(df) == sorted(want, key=repr)
+
+
 def test_collisions_are_told_apart(spark):
     """With tiny primes nearly every fingerprint of a length collides; the texts decide."""
     texts = [f"text number {i % 40:02d}" for i in range(120)]
