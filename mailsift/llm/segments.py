@@ -9,7 +9,10 @@ windows always lie in segments of the same gram. Then:
    join;
 2. the texts of the remaining segments are fetched once per document, equal segments collapse
    (map-side) to their first place, and the distinct ones go to shards by their gram;
-3. a shard's index gives, for every window of every segment, its first place in the corpus;
+3. a shard's index gives, for every window of every segment, its first place in the corpus; a gram
+   with more than a shard's bytes of distinct segments (a large family of near copies) is divided
+   over several shards by the segments' digests, and the first places its shards give for one
+   window meet in an aggregate by the window's digest;
 4. every segment is joined to its answer; what starts earlier elsewhere is cut from the text.
 
 Copies of a whole text are reduced to the first one before texts are fetched: all windows of the
@@ -156,6 +159,12 @@ def repeated_intervals(docs: DataFrame, shape: Shape, index: Callable, across: b
     size = distinct.agg(F.sum(F.octet_length("content"))).first()[0] or 0
     shards = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // SHARD_BYTES))
 
+    sizes = distinct.groupBy("gram").agg(F.sum(F.octet_length("content")).alias("bytes"))
+    hot = written(sizes.where(F.col("bytes") > SHARD_BYTES).select("gram", F.ceil(F.col("bytes") / SHARD_BYTES).alias("parts")), "hot")
+    split = not hot.isEmpty()
+    part = F.pmod(F.xxhash64("digest"), F.col("parts")) if split else F.lit(None).cast("long")
+    dealt = (distinct.join(hot, "gram", "left") if split else distinct).withColumn("part", part)
+
     def answer(table):
         import numpy as np
         import pyarrow as pa
@@ -163,15 +172,27 @@ def repeated_intervals(docs: DataFrame, shape: Shape, index: Callable, across: b
         seg, off, n, doc, tag, pos = (np.asarray(x, "i8") for x in index(*cols))
         own = (doc == np.array(cols[2], "i8")[seg]) & (across | (tag == np.array(cols[3], "i8")[seg]) & (pos == np.array(cols[4], "i8")[seg] + off))
         # A run that starts nowhere earlier matters only where the segment stands again later.
-        keep = np.flatnonzero(~own | (table.column("times").to_numpy()[seg] > 1))
-        take = pa.array(seg[keep])
-        return pa.table({"gram": table.column("gram").take(take), "digest": table.column("digest").take(take),
-                         "off": off[keep].astype("i4"), "len": n[keep].astype("i4"), "e_doc": doc[keep], "e_tag": tag[keep], "e_pos": pos[keep]})
-
-    runs = distinct.withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(shards))).groupBy("shard").applyInArrow(
-        answer, "gram long, digest binary, off int, len int, e_doc long, e_tag long, e_pos long")
+        divided = table.column("part").is_valid().to_numpy()
+        whole = np.flatnonzero(~divided[seg] & (~own | (table.column("times").to_numpy()[seg] > 1)))
+        # Segments of a divided gram: window by window, as other shards may know an earlier place.
+        open_ = np.flatnonzero(divided[seg])
+        run = np.repeat(open_, n[open_])
+        step = np.arange(len(run)) - np.repeat(np.cumsum(n[open_]) - n[open_], n[open_])
+        windows = _window_digests(cols[1], seg[run], off[run] + step, shape)
+        take = np.concatenate([whole, run])
+        at = pa.array(seg[take])
+        step = np.concatenate([np.zeros(len(whole), "i8"), step])
+        return pa.table({"gram": table.column("gram").take(at), "digest": table.column("digest").take(at),
+                         "off": (off[take] + step).astype("i4"), "len": np.concatenate([n[whole], np.ones(len(run), "i8")]).astype("i4"),
+                         "e_doc": doc[take], "e_tag": tag[take], "e_pos": pos[take] + (0 if across else step),
+                         "window": pa.array([None] * len(whole) + windows, pa.binary())})
+
+    # A null part leaves the hash of the gram.
+    runs = dealt.withColumn("shard", F.pmod(F.xxhash64("gram", "part"), F.lit(shards))).groupBy("shard").applyInArrow(
+        answer, "gram long, digest binary, off int, len int, e_doc long, e_tag long, e_pos long, window binary")
     runs = written(runs, "runs")
     delete(docs.sparkSession, distinct)
+    runs = runs.where("window is null").drop("window").union(_met(runs.where("window is not null"), across)) if split else runs.drop("window")
 
     here = F.struct("doc", "tag", (F.col("start") + F.col("off")).alias("p"))
     there = F.struct(F.col("e_doc").alias("doc"), F.col("e_tag").alias("tag"), F.col("e_pos").alias("p"))
@@ -183,6 +204,47 @@ def repeated_intervals(docs: DataFrame, shape: Shape, index: Callable, across: b
     return copies.join(cuts, ID, "full_outer")
 
 
+def _window_digests(contents: list[bytes], seg, off, shape: Shape) -> list[bytes]:
+    """Digest of the window at unit ``off`` of segment ``seg``; the lists are by segment."""
+    import xxhash
+    out, last = [], -1
+    for s, o in zip(seg.tolist(), off.tolist()):
+        if s != last:
+            last, unit = s, contents[s].split(b" ") if shape.kind == "word" else contents[s]
+        window = unit[o:o + shape.width]
+        out.append(xxhash.xxh3_128_digest(b" ".join(window) if shape.kind == "word" else window))
+    return out
+
+
+def _met(found: DataFrame, across: bool) -> DataFrame:
+    """Runs from the windows of divided grams: the earliest place that any shard gave for a window
+    is its first. A segment has at most RUN windows."""
+    best = found.groupBy("gram", "window").agg(F.min(F.struct("e_doc", "e_tag", "e_pos")).alias("e"))
+    lists = (found.select("gram", "digest", "off", "window").join(best, ["gram", "window"])
+             .groupBy("gram", "digest").agg(F.array_sort(F.collect_list(F.struct("off", "e.e_doc", "e.e_tag", "e.e_pos"))).alias("windows")))
+    names = ["gram", "digest", "off", "len", "e_doc", "e_tag", "e_pos"]
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            rows = []
+            for gram, digest, windows in zip(*(b.column(c).to_pylist() for c in ("gram", "digest", "windows"))):
+                open_ = None
+                for w in windows:
+                    off, doc, tag, pos = w["off"], w["e_doc"], w["e_tag"], w["e_pos"]
+                    key = (doc, tag, pos if across else pos - off)
+                    if open_ is not None and open_ == key and off == rows[-1][2] + rows[-1][3]:
+                        rows[-1][3] += 1
+                    else:
+                        rows.append([gram, digest, off, 1, doc, tag, pos])
+                    open_ = key
+            kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            cols = list(zip(*rows)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+
+    return lists.mapInArrow(run, "gram long, digest binary, off int, len int, e_doc long, e_tag long, e_pos long")
+
+
 def with_cuts(docs: DataFrame, intervals: DataFrame) -> DataFrame:
     """(doc_id, doc, raw, whole, cuts) for every row of ``docs``."""
     return (numbered(docs.select("doc_id", "text")).join(intervals, ID, "left")
