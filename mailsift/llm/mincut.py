@@ -14,18 +14,23 @@ from __future__ import annotations
 
 import html as html_lib
 import re
-from collections import deque
+from collections import Counter, deque
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|object|canvas|title|textarea|select|button|option)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*')*)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S | re.I)
 _ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b")
+# Raw text runs to its own close tag or the end of the page. The others without text of the page
+# are read tag by tag; a phrase may lack its close tag and then ends where a block begins.
+_RAW = {n: re.compile(rf"</{n}(?=[\s/>])[^>]*>", re.I) for n in "script style title textarea iframe noscript".split()}
+_FOREIGN = frozenset(("svg", "math"))
+_PHRASES = {n: re.compile(rf"<(/?){n}(?=[\s/>])", re.I) for n in "select button option".split()}
+_TEXTLESS = frozenset(("template", "object", "canvas", *_FOREIGN, *_PHRASES))
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _MARK = re.compile(r"[.!?…。,;:]")
 
@@ -86,6 +91,11 @@ def read_blocks(page: str) -> list[tuple[str, float, int]]:
     stack: list[tuple[str, float, float, int]] = [("", 0.0, 0.0, 0)]
     held: list[str] = []
     linked, in_link, serial, skip_head = 0, 0, 0, False
+    inline: Counter[str] = Counter()           # open inline elements
+    # a textless element and the open elements in it, and their number by tag
+    textless: list[str] = []
+    within: Counter[str] = Counter()
+    unclosed = False
 
     def flush():
         nonlocal linked
@@ -108,20 +118,61 @@ def read_blocks(page: str) -> list[tuple[str, float, int]]:
     def close(at: int):
         del stack[at:]
 
+    def leaves_textless(tag: str, end: str) -> bool:
+        """Does a tag that is not of the textless element end it?"""
+        if end:
+            return inline[tag] > 0 or any(s[0] == tag for s in stack)
+        if tag == "body":
+            return True
+        if textless[0] in _PHRASES:
+            return unclosed and (tag == textless[0] or tag in _CLOSES_P or tag in _SAME)
+        return textless[0] in _FOREIGN and tag in _CLOSES_P and not within["foreignobject"] and not within["annotation-xml"]
+
     start = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > start:
+    while m := _TOKEN.search(page, start):
+        if m.start() > start and not textless:
             held.append(page[start:m.start()])
             if in_link:
                 linked += m.start() - start
         start = m.end()
-        tag = (m[3] or m[6] or "").lower()
+        tag = (m[2] or m[5] or "").lower()
         if not tag:
-            if m[1]:                           # raw text is no text; it parts words
-                held.append(" ")
             continue
-        end, attrs = m[2] or m[5], m[4] or m[7] or ""
+        end, attrs = m[1] or m[4], m[3] or m[6] or ""
+        if textless:
+            if end and within[tag]:
+                while True:
+                    last = textless.pop()
+                    within[last] -= 1
+                    if last == tag:
+                        break
+                continue
+            if leaves_textless(tag, end):
+                textless.clear()
+                within.clear()
+            elif end or tag in _VOID or attrs.endswith("/") and (tag not in _RAW or textless[0] in _FOREIGN):
+                continue
+            elif tag not in _RAW:
+                textless.append(tag)
+                within[tag] += 1
+                continue
+        if tag in _RAW and not end:
+            m = _RAW[tag].search(page, start)
+            start = m.end() if m else len(page)
+            held.append(" ")                   # raw text is no text; it parts words
+            continue
+        if tag in _TEXTLESS:
+            held.append(" ")
+            if not end and not attrs.endswith("/"):
+                textless.append(tag)
+                within[tag] += 1
+                if tag in _PHRASES:
+                    m = _PHRASES[tag].search(page, start)
+                    unclosed = not (m and m[1])
+            continue
         if tag in _INLINE:
+            if tag not in _VOID:
+                inline[tag] = max(0, inline[tag] + (-1 if end else 1))
             if tag == "a":
                 in_link = 0 if end else 1
             if tag in ("br", "img", "input", "wbr"):
@@ -165,7 +216,7 @@ def read_blocks(page: str) -> list[tuple[str, float, int]]:
         stack.append((tag, max(boiler, -hint), max(content, hint), serial))
         if len(stack) > 2000:                  # hopelessly nested: the innermost element stands for the rest
             del stack[-2]
-    if start < len(page):
+    if start < len(page) and not textless:
         rest = page[start:]
         held.append(rest[:rest.rfind("<")] if re.search(r"<[/!a-zA-Z][^>]*\Z", rest) else rest)
         if in_link:

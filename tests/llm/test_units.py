@@ -107,6 +107,28 @@ def test_page():
                                       "Second — <tag> paragraph of the article, with some more words.")
 
 
+ONE, TWO = "One long paragraph, with words of the article.", "Two, another long paragraph of it, with more."
+
+
+@pytest.mark.parametrize("between", [
+    "<svg-icon name=x></svg-icon>", "<title-bar></title-bar>", "<button-group></button-group>", "<svg width=1 />", "<svg><path d='M0'/></svg>",
+    "<svg><title/><path></svg>", "<svg><g>", "<button>Share", "<button><div>Share</div></button>", "<select><option>a<option>b</select>",
+    "<div><button>Share</div>", "<div><object><b>old</div>", "<span><canvas>old</span>", "<ul><li><option>x</ul>",
+    "<svg><foreignObject><p>drawn</p></foreignObject></svg>", "<template><p>drawn</p></template>", "<script>'</scripts>'</script>", "<button/>"])
+def test_page_goes_on_after_elements_without_text(between):
+    page = f"<body><article><p>{ONE}</p>{between}<p>{TWO}</p></article><footer>end</footer></body>"
+    assert mincut.main_text(page) == f"{ONE}\n{TWO}"
+
+
+def test_raw_text_runs_to_the_end():
+    assert mincut.main_text(f"<article><p>{ONE}</p><script>var x = '<p>{TWO}</p>'") == ONE
+
+
+def test_hostile_textless():
+    for page in ("<svg>" + "<g>" * 3000 + "</x>" * 3000, "<option>" * 5000 + "text", "<button>" * 3000 + "</p>" * 3000, "<div>" * 4000 + "<svg>"):
+        mincut.main_text(page)
+
+
 @pytest.mark.parametrize("page", ["<" * 5000, "<p" * 3000, "<a href='x " * 3000, "<div>" * 4000 + "text", "</p>" * 100, "&", "<p>a<b", "<!--"])
 def test_hostile_pages(page):
     mincut.main_text(page)
