@@ -2,9 +2,9 @@
 
 Three kinds are reported wherever they stand (``assign``, ``access``, ``hex``). Other parts of a
 credential are weak on their own: a key or user identifier, an unlabelled 40-character key or a
-bearer value, a service address. They are joined by interval within their scope, a paragraph:
-an identifier is reported when a secret lies within ``REACH`` characters of it, a weak secret when
-an identifier or an address does, an address when both an identifier and a secret do.
+bearer value, a service address. They are joined by interval with their scope, a paragraph:
+an identifier is reported when a secret stands in its scope, a weak secret when an identifier or
+an address does, an address when both an identifier and a secret do.
 
 Spans are in code points, end exclusive. Null text is empty; rows are scanned where they lie.
 """
@@ -17,7 +17,6 @@ from bisect import bisect_left
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-REACH = 200
 BASE_KINDS = ("assign", "access", "hex")
 WEAK_KINDS = ("ident", "key", "endpoint")
 
@@ -25,7 +24,7 @@ _ASSIGN = re.compile(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")          # runs of [0-9a-f]+ that are long enough
 _IDENT = re.compile(r"(?i:client_?id|access_?key_?id|account_?id|user_?name|user|login)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9_.@-]{3,})", re.A)
-_KEY = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])|(?i:bearer)\x20+([A-Za-z0-9_.~+/-]{16,})", re.A)
+_KEY = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])|(?i:bearer)\x20+([A-Za-z0-9_.~+/-]{16,})", re.A)
 _ENDPOINT = re.compile(r"(?i:https?|ftp|postgres(?:ql)?|mysql|mongodb|redis|amqp|jdbc:[a-z]+)://[^\s\"'<>]+|(?i:host|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9.-]+\.[a-z]{2,}(?::\d+)?)", re.A)
 _SCOPE_END = re.compile(r"\n[ \t\r]*\n")
 _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -43,12 +42,6 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def _near(spans: list[tuple[int, int]], start: int, end: int) -> bool:
-    """Does one of the ascending, disjoint spans lie within REACH of [start, end)?"""
-    at = bisect_left(spans, (start, start))
-    return at < len(spans) and spans[at][0] - end <= REACH or at > 0 and start - spans[at - 1][1] <= REACH
-
-
 def linked_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """The weak parts that have their complement in the same scope, clear of base spans."""
     weak = [(m.start(), m.end(), kind) for kind, pattern in zip(WEAK_KINDS, (_IDENT, _KEY, _ENDPOINT))
@@ -58,16 +51,15 @@ def linked_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int,
     taken = _disjoint(base)
     weak = [w for w in weak if not _overlaps(taken, w[0], w[1])]
     ends = [m.end() for m in _SCOPE_END.finditer(text)]
-    scopes: dict[int, dict[str, list[tuple[int, int]]]] = {}
-    for s, e, kind in sorted(base + weak):
+    scopes: dict[int, set[str]] = {}
+    for s, _, kind in base + weak:
         role = {"access": "id", "ident": "id", "endpoint": "at"}.get(kind, "secret")
-        scopes.setdefault(bisect_left(ends, s + 1), {"id": [], "secret": [], "at": []})[role].append((s, e))
-    merged = {k: {r: _disjoint(v) for r, v in roles.items()} for k, roles in scopes.items()}
+        scopes.setdefault(bisect_left(ends, s + 1), set()).add(role)
     out = []
     for s, e, kind in weak:
-        near = {r: _near(v, s, e) for r, v in merged[bisect_left(ends, s + 1)].items()}
-        if (kind == "ident" and near["secret"] or kind == "key" and (near["id"] or near["at"])
-                or kind == "endpoint" and near["id"] and near["secret"]):
+        roles = scopes[bisect_left(ends, s + 1)]
+        if (kind == "ident" and "secret" in roles or kind == "key" and roles & {"id", "at"}
+                or kind == "endpoint" and {"id", "secret"} <= roles):
             out.append((s, e, kind))
     return out
 
