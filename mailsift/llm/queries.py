@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsift.llm import bpe, exact, fmindex, jaccard, mincut, packing, quality, secrets_scan, suffixes, tokenfile
+from mailsift.llm import bpe, exact, fmindex, importance, jaccard, mincut, packing, quality, secrets_scan, suffixes, tokenfile, trie, warc
 from mailsift.llm.bpe import vocabulary_path
 from mailsift.llm.common import prepare, scratch, table
 
@@ -65,12 +65,28 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path(WORD_VOCABULARY))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    files = warc.write_warc(table(spark, sf_dir, "pages"), path)
+    return warc.read_records(spark, files, path).drop("url")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
-_QUERIES = [op1_quality_rules, op2_substring_dedup, op3_secret_scan, op4_jaccard_join, op5_html_extraction, op6_bpe, op7_token_files, op8_suffix_dedup, op9_exact_dedup, op10_packing, pipeline]
+_QUERIES = [op1_quality_rules, op2_substring_dedup, op3_secret_scan, op4_jaccard_join, op5_html_extraction, op6_bpe, op7_token_files, op8_suffix_dedup, op9_exact_dedup, op10_packing,
+            op11_importance_resampling, op12_prefix_trie, op13_warc, pipeline]
 
 _SQL = {
     "op1_quality_rules": quality.verdict_sql,
@@ -78,6 +94,9 @@ _SQL = {
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+    "op11_importance_resampling": importance.resample_sql,
+    "op12_prefix_trie": trie.trie_sql,
+    "op13_warc": warc.warc_sql,
 }
 
 

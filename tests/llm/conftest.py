@@ -36,6 +36,21 @@ def corpus() -> list[tuple[int, str | None]]:
     return list(enumerate(texts))
 
 
+def turns() -> list[tuple]:
+    """(conv_id, turn, role, text): shared beginnings, gaps, repeated and null turns, a deep conversation."""
+    rng = random.Random(11)
+    out = []
+    for c in [*range(0, 60), 63, 68, 71, 1000003, -3, -5]:
+        for t in range(rng.randint(1, 12)):
+            out.append((c, t, "user" if t % 2 == 0 else "assistant", f"common {t}" if rng.random() < 0.8 else f"own {c} {t}"))
+    out += [(20, t, "user", f"deep {t // 3}") for t in range(300)] + [(21, t, None, "é" * t) for t in range(40)]
+    out += [(5, None, "user", "before"), (5, 0, "user", "again"), (5, 0, "user", "again"), (6, 1, None, None), (6, 1, "", ""), (40, 3, "b", "a"), (40, 3, "a", "b")]
+    return out
+
+
+PAGES = [(1, "http://a", "<article><p>x</article>"), (2, None, None), (3, "u", "")]
+
+
 @pytest.fixture(scope="session")
 def docs():
     return corpus()
@@ -49,7 +64,9 @@ def sf(spark, docs, tmp_path_factory):
     rows = [(d, t, ["en", "de", None][d % 3], f"s{d % 2}", len(t or ""), d, True, "k") for d, t in docs]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n_words long, kept boolean, key string").repartition(5).write.parquet(path + "/documents.parquet")
     spark.createDataFrame([(d, int(d % 7 > 0), 0) for d, _ in docs if d % 2], "doc_id long, quality int, toxic int").write.parquet(path + "/labels.parquet")
-    spark.createDataFrame([(1, "http://a", "<article><p>x</article>"), (2, None, None), (3, "u", "")], "page_id long, url string, html string").write.parquet(path + "/pages.parquet")
+    spark.createDataFrame(PAGES, "page_id long, url string, html string").write.parquet(path + "/pages.parquet")
+    spark.createDataFrame([(0, docs[0][1]), (1, docs[40][1]), (2, docs[6][1])], "item_id long, text string").write.parquet(path + "/benchmark.parquet")
+    spark.createDataFrame([(*r, 7, "x") for r in turns()], "conv_id long, turn long, role string, text string, depth int, low string").repartition(4).write.parquet(path + "/conversations.parquet")
     return path
 
 
@@ -59,4 +76,6 @@ def empty_sf(spark, tmp_path_factory):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(path + "/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(path + "/labels.parquet")
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(path + "/pages.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(path + "/benchmark.parquet")
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(path + "/conversations.parquet")
     return path
