@@ -1,4 +1,5 @@
-"""Text functions as native Spark expressions (JVM-side, whole-stage codegen friendly).
+"""Text functions as native Spark expressions (JVM-side, whole-stage codegen friendly), but for
+HTML to text, which is an Arrow stage.
 
 Every function takes and returns a ``Column``. The regular expressions are Java
 regexes; ``mailsift.oracle`` holds the same recipes for DuckDB (RE2).
@@ -6,9 +7,12 @@ regexes; ``mailsift.oracle`` holds the same recipes for DuckDB (RE2).
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from mailsift.functions.html import page_text
+
 # Python's ``\s`` over the Basic Multilingual Plane, spelled out because
 # Java's ``\s`` is ASCII-only and ``(?U)\s`` misses U+001C..U+001F.
 WS_CLASS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
@@ -17,18 +21,6 @@ LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 # Whitespace that is not a line boundary.
 WS_NO_BREAK = r"[\t\x1f\x20\xa0\u1680\u2000-\u200a\u202f\u205f\u3000]"
 
-# Block-level tags that put a line break before and after their content,
-# and tags whose content is never visible text.
-BLOCK_TAGS = ("p", "br", "div", "li", "tr", "h1", "h2", "h3", "h4", "h5", "h6",
-              "blockquote", "pre", "table", "thead", "tbody")
-SKIP_TAGS = ("head", "script", "style")
-
-# Character references decoded by html_to_text, as (entity, text).
-# The semicolon is optional for these legacy names, as in HTML5 parsing.
-ENTITIES = (("quot", '"'), ("lt", "<"), ("gt", ">"), ("nbsp", "\u00a0"),
-            ("copy", "\u00a9"), ("reg", "\u00ae"), ("middot", "\u00b7"))
-ENTITIES_STRICT = (("apos", "'"), ("#39", "'"), ("#34", '"'))
-
 
 def normalize_ws(c: Column) -> Column:
     """Every run of Unicode whitespace -> one space; case kept, not trimmed."""
@@ -61,48 +53,11 @@ def strip_ws(c: Column) -> Column:
     return F.btrim(c, F.lit(WS_CHARS))
 
 
-def html_steps() -> list[tuple[str, str]]:
-    """The HTML-to-text rewrite chain as (java_regex, java_replacement) pairs, in order."""
-    steps: list[tuple[str, str]] = []
-    for tag in SKIP_TAGS:
-        steps.append((rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", ""))
-    steps.append((r"(?s)<!--.*?-->", ""))
-    # Links: the text, then the target in angle brackets (\x01/\x02 survive tag removal).
-    steps.append((r"""(?is)<a\b[^>]*?\bhref\s*=\s*""()[^>]*>(.*?)</a\s*>""", "$2"))
-    steps.append((r"""(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]+)"[^>]*>(.*?)</a\s*>""", "$2 \x01$1\x02"))
-    steps.append((r"""(?is)<a\b[^>]*?\bhref\s*=\s*'([^']+)'[^>]*>(.*?)</a\s*>""", "$2 \x01$1\x02"))
-    # Self-closing line breaks fire the start rule twice and the end rule once.
-    steps.append((r"(?i)<br\b[^>]*/\s*>", "\n\n\n"))
-    steps.append((r"(?i)<br\b[^>]*>", "\n\n"))
-    block = "|".join(t for t in BLOCK_TAGS if t != "br")
-    steps.append((rf"(?i)<({block})\b[^>]*/\s*>", "\n\n"))
-    steps.append((rf"(?i)</?({block}|br)\b[^>]*>", "\n"))
-    steps.append((r"(?s)<[A-Za-z/!?][^>]*>", ""))
-    for name, text in ENTITIES_STRICT:
-        steps.append((rf"&{name};", text))
-    for name, text in ENTITIES:
-        steps.append((rf"&{name};?", text))
-    steps.append((r"&amp;?", "&"))
-    steps.append(("\x01", "<"))
-    steps.append(("\x02", ">"))
-    steps.append((LINE_BREAK, "\n"))
-    steps.append((WS_NO_BREAK + r"+(\n|\z)", "$1"))
-    steps.append((r"\n{3,}", "\n\n"))
-    steps.append(("^" + WS_CLASS + "+|" + WS_CLASS + r"+\z", ""))
-    return steps
-
-
 def html_to_text(c: Column) -> Column:
-    """Visible text of an HTML fragment with link targets kept as `` <url>``."""
-    s = c
-    steps = html_steps()
-    for pattern, repl in steps[:-1]:
-        s = F.regexp_replace(s, pattern, _java_literal(repl))
-    return strip_ws(s)  # the last step (strip both ends) as a trim
-
-
-def _java_literal(repl: str) -> str:
-    # Java replacement strings treat '\' and '$' specially; keep group refs, escape the rest.
-    if "$" in repl and any(f"${i}" in repl for i in range(1, 10)):
-        return repl
-    return repl.replace("\\", "\\\\").replace("$", "\\$")
+    """Visible text of an HTML fragment with link targets kept as `` <url>`` (functions/html.py);
+    NULL stays NULL. Arrow batches, one pass per page: markup is no regular language, and a chain
+    of rewrites is neither right nor linear on broken pages."""
+    def texts(pages: pd.Series) -> pd.Series:
+        return pages.map(page_text, na_action="ignore")
+
+    return F.pandas_udf(texts, "string")(c)

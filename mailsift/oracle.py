@@ -63,8 +63,36 @@ def sentence_list(flat: str) -> str:
     return f"string_split(regexp_replace({flat}, '([.!?]) ', '\\1' || chr(1), 'g'), chr(1))"
 
 
+# HTML to text as a chain of rewrites, for well-formed pages. The job itself reads the markup in one
+# pass (functions/html.py); nothing here is shared with it.
+BLOCK = "p|div|li|tr|h1|h2|h3|h4|h5|h6|blockquote|pre|table|thead|tbody"
+# The character references of the driver's pages.
+REFERENCES = (("&apos;", "'"), ("&#39;", "'"), ("&#34;", '"'), ("&quot;?", '"'), ("&lt;?", "<"), ("&gt;?", ">"),
+              ("&nbsp;?", "\u00a0"), ("&copy;?", "\u00a9"), ("&reg;?", "\u00ae"), ("&middot;?", "\u00b7"), ("&amp;?", "&"))
+HTML_STEPS = (
+    *((rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "") for tag in ("head", "script", "style")),
+    (r"(?s)<!--.*?-->", ""),
+    # Links: the text, then the target in angle brackets (\x01/\x02 survive tag removal).
+    (r'''(?is)<a\b[^>]*?\bhref\s*=\s*""()[^>]*>(.*?)</a\s*>''', "$2"),
+    (r'''(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]+)"[^>]*>(.*?)</a\s*>''', "$2 \x01$1\x02"),
+    (r"""(?is)<a\b[^>]*?\bhref\s*=\s*'([^']+)'[^>]*>(.*?)</a\s*>""", "$2 \x01$1\x02"),
+    # Self-closing line breaks fire the start rule twice and the end rule once.
+    (r"(?i)<br\b[^>]*/\s*>", "\n\n\n"),
+    (r"(?i)<br\b[^>]*>", "\n\n"),
+    (rf"(?i)<({BLOCK})\b[^>]*/\s*>", "\n\n"),
+    (rf"(?i)</?({BLOCK}|br)\b[^>]*>", "\n"),
+    (r"(?s)<[A-Za-z/!?][^>]*>", ""),
+    *REFERENCES,
+    ("\x01", "<"),
+    ("\x02", ">"),
+    (tx.LINE_BREAK, "\n"),
+    (tx.WS_NO_BREAK + r"+(\n|\z)", "$1"),
+    (r"\n{3,}", "\n\n"),
+    ("^" + tx.WS_CLASS + "+|" + tx.WS_CLASS + r"+\z", ""),
+)
+
+
 def html_to_text(expr: str) -> str:
-    s = expr
-    for pattern, repl in tx.html_steps():
-        s = rx_replace(s, pattern, repl)
-    return s
+    for pattern, repl in HTML_STEPS:
+        expr = rx_replace(expr, pattern, repl)
+    return expr

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import random
 import re
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from mailsift.functions.terms import DEFAULT_TERMS, FIXTURE_TERMS, terms_df
@@ -86,16 +89,57 @@ def test_hits_equal_brute_force_on_corpus(spark):
     assert got == _brute([(r.doc_id, r.text) for r in docs.collect()], FIXTURE_TERMS)
 
 
-def test_large_dictionary_in_several_literals(spark, monkeypatch):
-    """A dictionary beyond one literal gives the same hits."""
+def test_large_dictionary_in_several_parts(spark, monkeypatch):
+    """A dictionary beyond one automaton gives the same hits."""
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
     terms = dict(FIXTURE_TERMS, tiny=["a", "ab"], odd=["line\nbreak"])
     small = S.scan_hits(docs, ["doc_id"], F.col("text"), terms_df(spark, terms), "body").collect()
-    monkeypatch.setattr(S, "LITERAL_TERMS", 3)
+    monkeypatch.setattr(S, "PART_CHARS", 30)
     big = S.scan_hits(docs, ["doc_id"], F.col("text"), terms_df(spark, terms), "body").collect()
     assert sorted(map(tuple, small)) == sorted(map(tuple, big))
 
 
+class _Terms:
+    def __init__(self, *value):
+        self.value = list(value)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_placing_of_hits(seed):
+    """Overlapping terms, terms over sentence ends, texts whose lower case is longer: as a plain
+    search of every sentence."""
+    rng = random.Random(seed)
+    words = ["aa", "a", "b. a", "b.", " a", "i\u0307x", "\u0130", "ss. ", "?"]
+    automaton = S._automaton(f"test{seed}", _Terms(*words))
+    for _ in range(300):
+        flat = "".join(rng.choice(["a", "A", "b", ". ", "! ", ".", " ", "\u0130", "x", "?"]) for _ in range(rng.randint(0, 30)))
+        flat = re.sub(r"\s+", " ", flat)
+        want = {(i, s, w) for i, s in enumerate(re.split(r"(?<=[.!?]) ", flat)) for w in words if w in s.lower()}
+        got = S._sentence_hits(flat, automaton)
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_cost_does_not_grow_with_the_dictionary():
+    """One pass per text: 20,000 terms take about as long as 100."""
+    rng = random.Random(1)
+    text = " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(200_000))
+    times = []
+    for n in (100, 20_000):
+        automaton = S._automaton(f"size{n}", _Terms(*(f"{i:06d} none" for i in range(n))))
+        began = time.perf_counter()
+        assert S._sentence_hits(text, automaton) == []
+        times.append(time.perf_counter() - began)
+    assert times[1] < 5 * times[0] + 0.2
+
+
+def test_blank_terms_match_nothing(spark):
+    docs = spark.createDataFrame([(1, "some text"), (2, None), (3, "")], "doc_id long, text string")
+    terms = spark.createDataFrame([("c", 1, "", 1), ("c", 1, None, 2), ("c", 1, "TEXT", 3), ("d", 2, "text", 1)],
+                                  "category string, category_ord int, term string, term_ord int")
+    got = S.scan_hits(docs, ["doc_id"], F.col("text"), terms, "body").collect()
+    assert sorted((r.doc_id, r.category, r.matched_term) for r in got) == [(1, "c", "text"), (1, "d", "text")]
+
+
 def test_empty_dictionary(spark):
     docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
     none = terms_df(spark, FIXTURE_TERMS).where("false")
