@@ -7,36 +7,30 @@ lower-cased. A MAP would lose repeated headers such as Delivered-To.
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mailsift.functions import addresses
 from mailsift.functions.text import strip_ws
 
 # Participant headers of the address match, and of the domain match.
 PARTICIPANT_HEADERS = ("from", "to", "cc", "bcc", "reply-to", "sender", "delivered-to")
 DOMAIN_HEADERS = ("from", "reply-to", "to", "cc")
 
-# One mailbox of an address list: "quoted name" <addr> | name <addr> |
-# bare addr@dom (comment name) | bare addr@dom.
-# Possessive: a quoted name of any length is matched without recursion per character.
-MAILBOX_RE = (r'(?:"([^"\\]*+(?:\\.[^"\\]*+)*+)"\s*|([^",<>;:]*?)\s*)<([^<>]*)>'
-              r'|([^\s",<>;:()]+@[^\s",<>;:()]+)\s*\(([^()]*)\)'
-              r'|([^\s",<>;:]+@[^\s",<>;:]+)')
-
-
 def message_text(raw: Column) -> Column:
     """The header block of a record (between its separator line and the first blank line), as
     text. It is cut out of the bytes first, so a body is never decoded; bytes outside ASCII
     become U+FFFD, one each, as the standard library's header reading has it."""
-    s = raw.cast("string")                       # the bytes as they are; nothing is checked
-    rest = s.substr(F.instr(s, "\n") + 1, F.lit(2147483647))
+    bytes_ = F.decode(raw, "ISO-8859-1")         # one character a byte: no sequence is cut in two
+    rest = bytes_.substr(F.instr(bytes_, "\n") + 1, F.lit(2147483647))
     ends = [F.instr(rest, e) for e in ("\n\n", "\n\r\n")]
     end = F.array_min(F.array(*[F.nullif(e, F.lit(0)) for e in ends]))
     # A record that starts with a blank line has no headers.
     block = F.when(rest.startswith("\n") | rest.startswith("\r\n"), F.lit("")) \
         .when(end.isNull(), rest).otherwise(rest.substr(F.lit(1), end))
-    return F.regexp_replace(F.decode(block.cast("binary"), "ISO-8859-1"), r"[\x80-\xff]", "\ufffd")
+    return F.regexp_replace(block, r"[\x80-\xff]", "\ufffd")
 
 
 def header_block(msg: Column) -> Column:
@@ -65,9 +59,13 @@ def header_values(headers: Column, name: str) -> Column:
     return F.array_join(F.transform(vals, lambda h: one_line(h["value"])), " ")
 
 
+def _first(headers: Column, name: str) -> Column:
+    return F.get(F.filter(headers, lambda h: h["name"] == F.lit(name.lower())), 0)
+
+
 def header_first(headers: Column, name: str) -> Column:
     """The raw value of the first occurrence, or NULL."""
-    return F.get(F.filter(headers, lambda h: h["name"] == F.lit(name.lower())), 0)["value"]
+    return _first(headers, name)["value"]
 
 
 _ANY_WORD = r"=\?([^?]+)\?([bBqQ])\?([^?]*)\?="
@@ -80,7 +78,7 @@ def _decode_word(word: Column) -> Column:
     quoted = F.aggregate(
         F.slice(parts, 2, F.size(parts)), F.get(parts, 0).cast("binary"),
         lambda done, p: F.concat(done, F.coalesce(F.unhex(p.substr(1, 2)), F.lit("").cast("binary")),
-                                 p.substr(3, 1000000).cast("binary")))
+                                 p.substr(F.lit(3), F.length(p)).cast("binary")))
     raw = F.when(F.lower(kind) == "b", F.coalesce(F.try_to_binary(body, F.lit("base64")), F.lit("").cast("binary"))) \
         .otherwise(quoted)
     charset = F.lower(charset)
@@ -99,43 +97,48 @@ def decode_words(value: Column) -> Column:
     return F.when(F.instr(value, "=?") > 0, whole).otherwise(value)
 
 
-def mailboxes(value: Column) -> Column:
-    """ARRAY<STRUCT<display, addr>> parsed from an address-list string: one pass finds the
-    mailboxes, each is then taken apart on its own."""
-    found = F.regexp_extract_all(value, F.lit(MAILBOX_RE), F.lit(0))
+_BOX = T.StructType([T.StructField("display", T.StringType()), T.StructField("addr", T.StringType())])
 
-    def box(m):
-        g = {k: F.regexp_extract(m, MAILBOX_RE, k) for k in (1, 2, 3, 4, 5, 6)}
-        quoted = F.regexp_replace(g[1], r"\\(.)", "$1")       # a quoted pair stands for its character
-        return F.struct(
-            decode_words(F.coalesce(F.nullif(quoted, F.lit("")), F.nullif(strip_ws(g[2]), F.lit("")),
-                       strip_ws(g[5]), F.lit(""))).alias("display"),
-            strip_ws(F.coalesce(F.nullif(g[3], F.lit("")), F.nullif(g[4], F.lit("")),
-                                g[6], F.lit(""))).alias("addr"))
 
-    return F.filter(F.transform(found, box), lambda b: b["addr"] != F.lit(""))
+@F.arrow_udf(T.ArrayType(T.ArrayType(_BOX)))
+def _address_lists(values: pa.Array) -> pa.Array:
+    """The mailboxes of each address list of a row (functions/addresses.py), in Arrow batches."""
+    kind = pa.list_(pa.list_(pa.struct([("display", pa.string()), ("addr", pa.string())])))
+    return pa.array([None if row is None else [[{"display": d, "addr": a} for d, a in addresses.mailboxes(v or "")] for v in row]
+                     for row in values.to_pylist()], kind)
+
+
+def _decoded(boxes: Column) -> Column:
+    return F.transform(boxes, lambda b: F.struct(decode_words(b["display"]).alias("display"), b["addr"].alias("addr")))
+
+
+def mailboxes(value: Column) -> Column:
+    """ARRAY<STRUCT<display, addr>> of an address-list string; encoded words in a name are decoded
+    once the list is taken apart. Empty for NULL and for a malformed list."""
+    return _decoded(F.get(_address_lists(F.array(value)), 0))
 
 
 def header_mailboxes(headers: Column, names, first_only: bool = False) -> Column:
     """Mailboxes of the given headers, grouped header by header in the order of ``names``
     (occurrence order inside a header), each with its header name.
 
-    One pass over the selected headers: every value is unfolded once and parsed once; a
-    stable sort on the header's rank restores the per-header grouping."""
+    One pass over the selected headers: every value is unfolded once, all values of a message are
+    parsed in one call, each by itself (a malformed one takes no other with it); a stable sort on the
+    header's rank restores the per-header grouping."""
     names = [n.lower() for n in names]
     name_arr = F.array(*[F.lit(n) for n in names])
-    sel = F.filter(headers, lambda h: F.array_contains(name_arr, h["name"]))
     if first_only:
-        sel = F.filter(sel, lambda h, i: ~F.exists(
-            F.slice(sel, 1, F.greatest(i, F.lit(1))),
-            lambda g: (g["name"] == h["name"]) & (i > 0)))
+        firsts = F.filter(F.array(*[_first(headers, n) for n in names]), lambda h: h.isNotNull())
+        sel = F.when(headers.isNotNull(), firsts)          # no headers at all stay unknown
+    else:
+        sel = F.filter(headers, lambda h: F.array_contains(name_arr, h["name"]))
     lines = F.transform(sel, lambda h: F.struct(
         h["name"].alias("header"), one_line(h["value"]).alias("v"),
         F.array_position(name_arr, h["name"]).cast("int").alias("r")))
-    boxes = F.flatten(F.transform(lines, lambda x: F.transform(
-        mailboxes(x["v"]), lambda b: F.struct(x["header"].alias("header"),
-                                              b["display"].alias("display"),
-                                              b["addr"].alias("addr"), x["r"].alias("r")))))
+    lists = _address_lists(F.transform(lines, lambda x: x["v"]))
+    boxes = F.flatten(F.zip_with(lines, lists, lambda x, l: F.transform(
+        _decoded(l), lambda b: F.struct(x["header"].alias("header"), b["display"].alias("display"),
+                                        b["addr"].alias("addr"), x["r"].alias("r")))))
     if len(names) > 1:
         boxes = F.array_sort(boxes, lambda a, b: a["r"] - b["r"])
     return F.transform(boxes, lambda b: F.struct(b["header"].alias("header"),

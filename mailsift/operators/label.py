@@ -31,9 +31,11 @@ def domains_dim(spark, value: str) -> DataFrame:
 
 
 def with_domains(snapshot: DataFrame) -> DataFrame:
-    """snapshot(uid, headers) -> uid, fetched, headers, domains (C4)."""
-    return snapshot.select("uid", F.col("headers").isNotNull().alias("fetched"), "headers") \
-        .withColumn("domains", H.message_domains(F.col("headers")))
+    """snapshot(uid, headers) -> uid, fetched, headers, domains (C4). What the snapshot has already
+    (``fetched``, or ``domains`` as ingest stores them) is taken as it is."""
+    s = snapshot if "fetched" in snapshot.columns else snapshot.withColumn("fetched", F.col("headers").isNotNull())
+    s = s if "domains" in s.columns else s.withColumn("domains", H.message_domains(F.col("headers")))
+    return s.select("uid", "fetched", "headers", "domains")
 
 
 def match_domains(msgs: DataFrame, domains: list[str]) -> DataFrame:

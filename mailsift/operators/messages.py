@@ -38,4 +38,5 @@ def messages(mail: DataFrame) -> DataFrame:
         H.header_values(hd, "to").alias("to"),
         H.header_values(hd, "cc").alias("cc"),
         H.participants(hd).alias("participants"),
+        H.message_domains(hd).alias("domains"),
     )

@@ -17,11 +17,12 @@ DOMAINS = " @Partner.TEST , example.com ,src3.example.net,"
 
 
 def snapshot(spark, sf_dir):
-    """The mailbox as fetched: (uid, headers); headers NULL when the fetch failed."""
+    """The mailbox as fetched: (uid, fetched, headers, domains); NULL headers and domains when the
+    fetch failed."""
     m = messages_table(spark, sf_dir)
-    return m.select((F.col("byte_offset") + 1).alias("uid"),
-                    F.when(F.col("byte_offset") % 31 == 0, F.lit(None))
-                    .otherwise(F.col("headers")).alias("headers"))
+    fetched = F.col("byte_offset") % 31 != 0
+    return m.select((F.col("byte_offset") + 1).alias("uid"), fetched.alias("fetched"),
+                    *[F.when(fetched, F.col(c)).alias(c) for c in ("headers", "domains")])
 
 
 def snapshot_raw(spark, sf_dir):
@@ -67,7 +68,7 @@ def q_label_resume(spark, sf_dir):
 
 def q_label_unfetched(spark, sf_dir):
     """The first 20 UIDs that could not be fetched, in numeric order."""
-    s = snapshot(spark, sf_dir).where(F.col("headers").isNull()).select("uid")
+    s = snapshot(spark, sf_dir).where("NOT fetched").select("uid")
     return s.orderBy("uid").limit(20)
 
 

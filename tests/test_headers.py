@@ -7,9 +7,12 @@ from email.header import decode_header, make_header
 from email.parser import BytesParser
 from email.utils import getaddresses, parsedate_to_datetime
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from mailsift.functions import addresses
 from mailsift.functions import dates as D
 from mailsift.functions import headers as H
 from tests.conftest import mail_frame, plain
@@ -108,6 +111,8 @@ def test_date_iso_equals_parsedate(spark, value):
     b"From a@x Mon\nSubject: no body\nTo: b@x.test",
     b"From a@x Mon\n\nSubject: in the body\n",
     b"From a@x Mon\nSubject: one\nTo: c@x.test\n\n\xfe\n\nTo: d@x.test\n\n",
+    b"From x\xe9\nSubject: hi\n\nb",
+    b"From x\xf0\nSubject: \xe9\nTo: e@x.test\xe9\n\n\xf0",
 ])
 def test_headers_of_any_bytes_equal_stdlib(spark, raw):
     """Bytes that are not UTF-8, in headers or body, never fail a job; each header byte outside
@@ -138,3 +143,56 @@ def test_encoded_display_names_are_decoded(spark):
     df = mail_frame(spark, [raw]).select(H.parse_headers(H.message_text(F.col("raw"))).alias("h"))
     row = df.select(H.display_list(F.col("h"), "From").alias("f"), H.display_list(F.col("h"), "To").alias("t")).first()
     assert (row.f, row.t) == ("J\u00f6rg <j@x.test>", "And\u00e9 <a@y.test>, b@z.test")
+
+
+# Hostile address lists, each held against the standard library.
+HOSTILE = [
+    "root, bob@x.test", "O'Neil, Tim <t@x.test>", '"quoted local"@x.test', "a@x b@y", "a@x.test (c (d) e)", "(c) a@x", "<@r1,@r2:a@x>",
+    "a @ x . y", '"a" "b" <c@d>', "a <b@c> d", "<a@b", "a@b>", '"unclosed <a@b>', "a.b c <d@e>", "=?utf-8?q?x,y?= <a@b>", "a@[1.2.3.4]",
+    "a\\,b <c@d>", "(unclosed a@b", "a@b,,c@d", ", a@b", "a@b, ", "a@b,", "", "   ", "<>", "a b", "a;b@c", "x <y> z <w>", "a@b@c",
+    "Tim (x) <t@x> (y)", "<a@x.test> Tim", "a@x (b)(c)", "Dr. Who <w@t>", "a@b;c@d", '"a"b <c@d>', 'a"b"@c', "a<b@c>", "\u00e4 <\u00e9@x>",
+    "[a@b] <c@d>", "a:b:c@d;", "a@b\tc", "G: a@x, b@y; c@z", "undisclosed:;", "G:;, a@b", "G: a@x", ",, a", "a, , b",
+    "a@", "@b", "@", "<@>", "a@b)", "a)b@c", '"a, b" <c@d>, e@f', '"a\\"b" <c@d>', '"a\\\\" <c@d>', '"',  '""', '"" <a@b>', '""@x', "(a, b) <c@d>",
+    "(\\)) a@b", "a.b.c@d.e.f", "a . b @ c", ".a@b", "a.@b", "a..b@c", "Mr. T. <t@x>, Mrs. T. <u@x>", "a@b, (only a comment)", "<a@b><c@d>",
+    "a <b@c>, d <e@f>, g", "x@y.z (J. R. \"Bob\" Dobbs)", "undisclosed recipients", "a b c@d", '"x y" z@w', "'single' <a@b>", "a=b@c", "a+tag@b-c.d",
+    "user%host@relay", "user!bang@x", "#!$%&*/=?^_`{|}~@x", "a@b.", "a@.b", "<a b@c>", "<a@b c>", "A <a@b>;", "A: B <a@b>;", "A: B <a@b>, C <c@d>;",
+    "; a@b", ":", ";", ",", "<", ">", "(", ")", "[", "]", "\\", "a@b (c", "a@b c)", 'a@b "c"', "\u65e5\u672c <a@b>", "a\u00a0b <c@d>", "a\x0bb@c", "a@b\r\n c@d",
+    "very long " * 300 + "<a@b>", "a@b, " * 500 + "c@d", "(" * 50 + ")" * 50 + "a@b",
+]
+
+
+def test_hostile_address_lists_equal_getaddresses(spark):
+    df = spark.createDataFrame(list(enumerate(HOSTILE)), "i int, v string").select("i", H.mailboxes(F.col("v")).alias("m"))
+    got = {r.i: [(b.display, b.addr) for b in r.m] for r in df.collect()}
+    for i, v in enumerate(HOSTILE):
+        assert got[i] == [(str(make_header(decode_header(n))) if "=?" in n else n, a) for n, a in getaddresses([v]) if a], v
+
+
+def test_address_lists_that_differ_from_the_library():
+    """What the library salvages from stray group marks or an unclosed address is left out; a
+    comment at the start of a group still names its mailbox; any depth of brackets is read."""
+    assert addresses.mailboxes("G: (c) a@x, B <b@y>;") == [("c", "a@x"), ("B", "b@y")]
+    assert addresses.mailboxes("(" * 5000 + "c" + ")" * 5000 + "a@b") == [("c", "a@b")]
+    assert addresses.mailboxes("; , Tim") == [] and addresses.mailboxes("<G: Tim") == []
+
+
+def test_malformed_header_takes_no_other_with_it(spark):
+    raw = plain(frm="a@x b@y", to="c@x.test, D <d@y.test>")
+    df = mail_frame(spark, [raw]).select(H.parse_headers(H.message_text(F.col("raw"))).alias("h"))
+    row = df.select(H.participants(F.col("h")).alias("p"), H.display_list(F.col("h"), "From").alias("f"), H.message_domains(F.col("h")).alias("d")).first()
+    assert [b.addr for b in row.p] == ["c@x.test", "d@y.test"] and row.f == "a@x b@y" and row.d == ["x.test", "y.test"]
+
+
+@pytest.mark.parametrize("value", ["(" * 100_000, "()" * 100_000, '"' * 100_001, "<" * 100_000, "a@" * 100_000, ", " * 100_000, "[" * 100_000, "G:" * 50_000 + ";" * 50_000,
+                                   "a " * 200_000, '"a" ' * 100_000 + "<a@b>", "\\" * 200_000, ". " * 100_000 + "@b"])
+def test_address_lists_are_linear(value):
+    began = time.perf_counter()
+    addresses.mailboxes(value)
+    assert time.perf_counter() - began < 2
+
+
+def test_long_quoted_word_in_q_encoding(spark):
+    """An encoded word of more than a million characters keeps them all."""
+    value = "=?utf-8?q?=41" + "b" * 1_200_000 + "?= <a@x.test>"
+    df = spark.createDataFrame([(value,)], "v string")
+    assert df.select(F.length(F.get(H.mailboxes(F.col("v")), 0)["display"])).first()[0] == 1_200_001
