@@ -17,16 +17,20 @@ KEYS = ["source_ord", "source_mbox", "byte_offset"]
 
 
 def messages(mail: DataFrame) -> DataFrame:
-    """mail(source_ord, source_mbox, byte_offset, raw) -> + parsed header columns."""
-    m = mail.withColumn("headers", H.parse_headers(H.message_text(F.col("raw"))))
+    """mail(source_ord, source_mbox, byte_offset, raw) -> + parsed header columns. Of a record in
+    chunks the first one has the headers (they are NULL on the others), and size and hash are NULL."""
+    raw, whole = F.col("raw"), F.lit(True)
+    if "chunk_ord" in mail.columns:
+        raw, whole = F.when(F.col("chunk_ord") == 0, raw), (F.col("chunk_ord") == 0) & F.col("last")
+    m = mail.withColumn("headers", H.parse_headers(H.message_text(raw)))
     hd = F.col("headers")
     m = m.withColumn("_date_raw", H.header_values(hd, "date")) \
         .withColumn("_date", D.parse_parts(F.col("_date_raw")))
     date_raw = F.col("_date_raw")
     return m.select(
         *mail.columns,
-        F.octet_length("raw").cast("long").alias("raw_size"),
-        F.sha2(F.col("raw"), 256).alias("raw_sha256"),
+        F.when(whole, F.octet_length("raw")).cast("long").alias("raw_size"),
+        F.when(whole, F.sha2(F.col("raw"), 256)).alias("raw_sha256"),
         "headers",
         strip_ws(F.coalesce(H.header_first(hd, "message-id"), F.lit(""))).alias("message_id"),
         date_raw.alias("date_raw"),

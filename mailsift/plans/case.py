@@ -36,30 +36,42 @@ def _stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _in_order(chunks: DataFrame) -> DataFrame:
+    """Chunk rows in archive order, those of a record in one partition."""
+    return chunks.select(*KEYS, "chunk_ord", "last", "raw").repartitionByRange(*KEYS) \
+        .sortWithinPartitions(*KEYS, "chunk_ord")
+
+
 def run_case(spark: SparkSession, archives: list[str], address: str, out_dir: str,
-             terms: dict | None = None, title: str = "case", skip: tuple = ()) -> dict:
-    """Run extract -> strip -> scan -> clean -> render; returns the output paths."""
+             terms: dict | None = None, title: str = "case", skip: tuple = (),
+             chunk_bytes: int | None = None) -> dict:
+    """Run extract -> strip -> scan -> clean -> render; returns the output paths. ``chunk_bytes``:
+    see the ``mbox`` source; records above it are in every output like the others."""
     out = {}
-    # 01 extract: address match + first-wins dedup across archives in argument order.
+    # 01 extract: address match + first-wins dedup across archives in argument order. Headers
+    # decide; the bytes of a record follow its keys, whatever number of rows they take.
     d1 = f"{out_dir}/01_extract"
-    src = read_mbox(spark, archives).select(*KEYS, "raw")
-    cols = X.INDEX_COLUMNS[:5] + ["subject_raw", "message_id", "source_mbox", "byte_offset",
-                                  "source_ord", "raw"]
-    ex = _stage(X.extract(messages(src), address, cols), f"{d1}/_table")
-    write_mbox(ex.orderBy(*KEYS).select("raw"), f"{d1}/extract.mbox", overwrite=True)
-    X.extract_index(ex.orderBy(*KEYS)).write.mode("overwrite") \
+    src = read_mbox(spark, archives, chunk_bytes=chunk_bytes).select(*KEYS, "chunk_ord", "last", "raw")
+    cols = X.INDEX_COLUMNS[:5] + ["subject_raw", "message_id"]
+    parsed = messages(src)
+    hit = (F.col("chunk_ord") > 0) | X.address_matches(F.col("participants"), address)
+    matched = _stage(parsed.where(hit).select(*KEYS, "chunk_ord", "last", "raw", *cols), f"{d1}/_matched")
+    index = _stage(X.first_wins(matched.where("chunk_ord = 0").select(*KEYS, *cols)), f"{d1}/_index")
+    extracted = _stage(matched.select(*KEYS, "chunk_ord", "last", "raw").join(index.select(*KEYS), KEYS, "left_semi"),
+                       f"{d1}/_table")
+    write_mbox(_in_order(extracted), f"{d1}/extract.mbox", overwrite=True)
+    X.extract_index(index.orderBy(*KEYS)).write.mode("overwrite") \
         .options(**CSV).csv(f"{d1}/index.csv")
     out.update(extract_mbox=f"{d1}/extract.mbox", index=f"{d1}/index.csv")
-    extracted = ex.select(*KEYS, "raw")
 
     # 02 strip: attachment-free copy + inventory, both from one MIME parse.
     scan_source = extracted
     if "strip" not in skip:
         d2 = f"{out_dir}/02_stripped"
         m2 = _stage(mime_of(extracted, keep_raw=True), f"{d2}/_table")
-        stripped = _stage(P.strip_records(m2, KEYS).withColumnRenamed("stripped", "raw"),
+        stripped = _stage(P.strip_records(m2, KEYS, extracted).withColumnRenamed("stripped", "raw"),
                           f"{d2}/_stripped")
-        write_mbox(stripped.orderBy(*KEYS).select("raw"), f"{d2}/stripped.mbox", overwrite=True)
+        write_mbox(_in_order(stripped), f"{d2}/stripped.mbox", overwrite=True)
         hd = F.col("headers")
         from mailsift.functions import headers as H
         m2.select(*KEYS, H.header_first(hd, "message-id").alias("Message-ID"),
@@ -68,18 +80,17 @@ def run_case(spark: SparkSession, archives: list[str], address: str, out_dir: st
                   F.posexplode(P.strip_removed(F.col("parts"))).alias("i", "p")) \
             .orderBy(*KEYS, "i").select(
                 "Message-ID", "Date", "From", "To", F.col("p.filename").alias("Filename"),
-                F.octet_length(F.coalesce("p.payload", F.lit(b"").cast("binary"))).alias("Size"),
-                F.sha2(F.coalesce("p.payload", F.lit(b"").cast("binary")), 256).alias("SHA256")) \
+                P.stored_size(F.col("p")).alias("Size"), P.stored_sha256(F.col("p")).alias("SHA256")) \
             .write.mode("overwrite").options(**CSV).csv(f"{d2}/attachments_inventory.csv")
         out.update(stripped_mbox=f"{d2}/stripped.mbox",
                    inventory=f"{d2}/attachments_inventory.csv")
-        scan_source = stripped.select(*KEYS, "raw")
+        scan_source = stripped
 
     # 03 scan + clean.
     d3 = f"{out_dir}/03_scan"
     hits = _stage(hits_of(scan_frame(mime_of(scan_source)), terms_df(spark, terms or DEFAULT_TERMS),
                           order_columns=True), f"{d3}/_table")
-    ordered = hits.orderBy("source_mbox", "byte_offset", F.col("location").desc(), "category_ord", "term_ord",
+    ordered = hits.orderBy("source_ord", "byte_offset", F.col("location").desc(), "category_ord", "term_ord",
                            "sentence_ord")
     hit_cols = ["date", "from", "to", "subject", "category", "matched_term", "exact_text",
                 "location"]

@@ -22,8 +22,7 @@ def q_parts_explode(spark, sf_dir):
     return mime(spark, sf_dir).select(*K, F.explode("parts").alias("p")).select(
         *K, F.col("p.ord").cast("long").alias("ord"), F.col("p.content_type").alias("content_type"),
         F.col("p.filename").alias("filename"),
-        F.octet_length("p.payload").cast("long").alias("size"),
-        F.sha2(F.col("p.payload"), 256).alias("sha256"))
+        F.col("p.size").alias("size"), F.col("p.sha256").alias("sha256"))
 
 
 def q_scan_body(spark, sf_dir):
@@ -53,9 +52,7 @@ def inventory(spark, sf_dir):
         H.header_first(hd, "to").alias("To"),
         F.explode(P.strip_removed(F.col("parts"))).alias("p")).select(
         "Message-ID", "Date", "From", "To", F.col("p.filename").alias("Filename"),
-        F.octet_length(F.coalesce("p.payload", F.lit(b"").cast("binary"))).cast("long")
-        .alias("Size"),
-        F.sha2(F.coalesce("p.payload", F.lit(b"").cast("binary")), 256).alias("SHA256"))
+        P.stored_size(F.col("p")).alias("Size"), P.stored_sha256(F.col("p")).alias("SHA256"))
 
 
 def q_attachment_inventory(spark, sf_dir):

@@ -25,18 +25,21 @@ CASE_NEEDLE = "@partner.test"
 def scan_frame(with_parts_df, body: str = "scan_body"):
     """Per message: the four prefix fields of a hit row (C7: ISO date, else the raw first
     Date header) and the scan body."""
+    ordinal = ["source_ord"] if "source_ord" in with_parts_df.columns else []
     return with_parts_df.select(
-        *K, F.col("scan_date").alias("date"), F.col("from_first").alias("from"),
+        *ordinal, *K, F.col("scan_date").alias("date"), F.col("from_first").alias("from"),
         F.col("to_first").alias("to"), "subject", F.col(body).alias("body"))
 
 
 def hits_of(frame, terms, order_columns: bool = False):
     """K2: subject hits (quoted whole) and body hits (per sentence), from one pass.
-    ``order_columns`` keeps category_ord and term_ord for sorting at a sink (I3)."""
-    keys = K + ["date", "from", "to", "subject"]
+    ``order_columns`` keeps source_ord, category_ord and term_ord for sorting at a sink (I3): two
+    archives may have one name."""
+    extra = ["source_ord"] if order_columns else []
+    keys = extra + K + ["date", "from", "to", "subject"]
     hits = scan_locations(frame, keys, [("subject", F.col("subject"), False),
                                         ("body", F.col("body"), True)], terms)
-    return hits.select(*HIT_OUT, *(["category_ord", "term_ord"] if order_columns else []))
+    return hits.select(*HIT_OUT, *extra, *(["category_ord", "term_ord"] if order_columns else []))
 
 
 def q_scan_hits(spark, sf_dir):

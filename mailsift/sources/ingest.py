@@ -29,14 +29,13 @@ RENDER_HEADERS = ("From", "To", "Cc", "Bcc", "Reply-To", "Sender", "Delivered-To
 
 
 def mime_of(m: DataFrame, keep_raw: bool = False) -> DataFrame:
-    """(keys..., raw) -> keys + raw_sha256, raw_size, headers, the decoded subject, the
+    """(keys..., raw), or chunk rows of it -> one row a record: keys + raw_sha256, raw_size, headers, the decoded subject, the
     render fields (dates, Message-ID, display lists, thread headers), parts, parse_error
     and the render attachment list."""
-    hd = H.parse_headers(H.message_text(F.col("raw")))
-    m = m.select("source_ord", "source_mbox", "byte_offset",
-                 F.sha2(F.col("raw"), 256).alias("raw_sha256"),
-                 F.octet_length("raw").cast("long").alias("raw_size"),
-                 hd.alias("headers"), "raw")
+    marks = [c for c in ("chunk_ord", "last") if c in m.columns]
+    first = F.when(F.col("chunk_ord") == 0, F.col("raw")) if marks else F.col("raw")
+    m = m.select("source_ord", "source_mbox", "byte_offset", *marks,
+                 H.parse_headers(H.message_text(first)).alias("headers"), "raw")
     h = F.col("headers")
     date_raw = H.header_values(h, "date")
     m = m.select(
@@ -53,9 +52,10 @@ def mime_of(m: DataFrame, keep_raw: bool = False) -> DataFrame:
     iso = D.date_iso(F.col("date_first"))
     m = m.withColumn("scan_date", F.when(iso != "", iso)
                      .otherwise(F.coalesce(F.col("date_first"), F.lit(""))))
-    keys = [c for c in m.columns if c != "raw"]
+    keys = [c for c in m.columns if c not in ("raw", *marks)]
     parts = F.col("parts")
-    return P.with_parts(m, keys=keys, keep_raw=keep_raw).select(
+    parsed = P.with_parts(m, keys=keys, keep_raw=keep_raw)
+    return parsed.withColumnsRenamed({"record_size": "raw_size", "record_sha256": "raw_sha256"}).select(
         "*", P.render_attachments(parts).alias("attachments"),
         P.render_body(parts).alias("render"), P.scan_body(parts).alias("scan_body"),
         P.scan_body(P.strip_keep(parts)).alias("scan_body_stripped"))

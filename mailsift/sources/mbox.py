@@ -5,23 +5,27 @@ Reader options:
               stands for its files in name order; a missing path is skipped and reported
               by ``missing_paths``, not an error
   splitBytes  bytes per input partition (default 64 MiB)
-  maxMessageBytes  larger records come back with raw NULL (a parse error, not a lost row;
-              default: what a Spark cell can hold, just under 2 GiB)
+  chunkBytes  bytes of a record in one row (default 64 MiB). A longer record comes as several
+              consecutive rows: ``chunk_ord`` counts them from 0, ``last`` marks the end, and the
+              last row has the size and SHA-256 of the whole record. The first row always holds
+              the whole header block.
 
 Record rule: a record starts at a line beginning ``From `` followed by a non-space byte
 (``^From [^\\s]``); bytes before the first separator are dropped; the last record ends at
 EOF; ``byte_offset`` is the position of the separator line (in a folder, of its files put one
 after the other, so it is unique in the archive). A partition owns the records
 whose separator starts inside its byte range, and reads past its end only to finish its
-last record, so any split of a file yields every record exactly once.
+last record, so any split of a file yields every record exactly once. A record is streamed:
+neither reader nor writer holds more of it than a chunk.
 
-The writer appends each record as given, finished with a newline and a blank line, one
-file per task named by job and partition, written under a temporary name and renamed when
+The writer appends each record as given (all its chunks, which must follow each other in one
+partition), finished with a newline and a blank line, one file per task named by job and partition, written under a temporary name and renamed when
 the task completes (a retried attempt replaces it); the driver commit writes a marker.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import uuid
@@ -31,12 +35,15 @@ from pyarrow import fs as pafs
 from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWriter,
                                     InputPartition, WriterCommitMessage)
 
-SCHEMA = "source_ord INT, source_path STRING, source_mbox STRING, byte_offset BIGINT, raw BINARY"
+SCHEMA = ("source_ord INT, source_path STRING, source_mbox STRING, byte_offset BIGINT, raw BINARY, "
+          "chunk_ord INT, last BOOLEAN, record_size BIGINT, record_sha256 STRING")
 SEPARATOR = re.compile(rb"(?:^|(?<=\n))From [^\s]")
 _LOOKAHEAD = 6          # len(b"From x")
 _CHUNK = 4 * 1024 * 1024
 _BATCH_BYTES = 32 * 1024 * 1024
-MAX_CELL_BYTES = (1 << 31) - (1 << 16)
+CHUNK_BYTES = 64 * 1024 * 1024
+MAX_CELL_BYTES = (1 << 31) - (1 << 16)         # what a Spark cell can hold
+_HEADER_END = re.compile(rb"\n\r?\n")
 
 
 def filesystem(path: str):
@@ -83,11 +90,46 @@ def _archive_name(path: str, given: str) -> str:
     return given.rstrip("/").rsplit("/", 1)[-1] if path != given else path.rsplit("/", 1)[-1]
 
 
-def read_range(path: str, start: int, end: int, max_bytes: int | None = None):
-    """Yield (offset, raw) for records whose separator starts in [start, end).
+def _pieces(f, head: bytes):
+    """The bytes of the record that begins with ``head``, as they are read, up to the next
+    separator. Only what is new, and a seam before it, is searched."""
+    held = head
+    while True:
+        m = SEPARATOR.search(held, 1)
+        if m:
+            yield held[:m.start()]
+            return
+        yield held[:-_LOOKAHEAD - 1]
+        held = held[-_LOOKAHEAD - 1:]          # a separator may begin in here
+        more = f.read(_CHUNK)
+        if not more:
+            yield held
+            return
+        held += more
+
+
+def _cut(pieces, chunk_bytes: int):
+    """(chunk_ord, last, bytes) of a record from its pieces; the header block is never cut."""
+    held, ord_ = bytearray(), 0
+    for piece in pieces:
+        held += piece
+        while len(held) > chunk_bytes:
+            size = chunk_bytes
+            if ord_ == 0:
+                m = _HEADER_END.search(held)
+                if not m and len(held) < MAX_CELL_BYTES:
+                    break
+                size = max(size, m.end()) if m else MAX_CELL_BYTES
+                if size >= len(held):
+                    break
+            yield ord_, False, bytes(held[:size])
+            del held[:size]
+            ord_ += 1
+    yield ord_, True, bytes(held)
+
 
-    A record longer than ``max_bytes`` is yielded with raw None (it is reported as a parse
-    error downstream, never dropped); it is scanned for its end, not buffered whole."""
+def read_range(path: str, start: int, end: int, chunk_bytes: int = CHUNK_BYTES):
+    """Yield (offset, chunk_ord, last, bytes) for records whose separator starts in [start, end)."""
     fs, inner = filesystem(path)
     with fs.open_input_file(inner) as f:
         lead = 1 if start > 0 else 0
@@ -98,39 +140,20 @@ def read_range(path: str, start: int, end: int, max_bytes: int | None = None):
         if lead and seps and seps[0] == start and window[:1] != b"\n":
             seps = seps[1:]
         base = start - lead
-        for i, s in enumerate(seps):
-            if i + 1 < len(seps):
-                nxt = seps[i + 1]
-                yield s, None if max_bytes is not None and nxt - s > max_bytes else window[s - base:nxt - base]
-                continue
-            # Last record of the range: read on until the next separator or EOF. Only what is
-            # new (and a seam before it) is searched, and an oversize record is not kept.
-            kept, size = [window[s - base:]], len(window) - (s - base)
-            m = SEPARATOR.search(kept[0], 1)
-            end_at = m.start() if m else None
-            seam = kept[0][-_LOOKAHEAD:]
+        for s, e in zip(seps, seps[1:]):
+            for chunk in _cut([window[s - base:e - base]], chunk_bytes):
+                yield s, *chunk
+        if seps:
             f.seek(base + len(window))
-            while end_at is None:
-                chunk = f.read(_CHUNK)
-                if not chunk:
-                    end_at = size
-                    break
-                m = SEPARATOR.search(seam + chunk, 1)
-                if m:
-                    end_at = size - len(seam) + m.start()
-                size += len(chunk)
-                if max_bytes is None or size - len(chunk) <= max_bytes:
-                    kept.append(chunk)
-                seam = (seam + chunk)[-_LOOKAHEAD:]
-            too_big = max_bytes is not None and end_at > max_bytes
-            yield s, None if too_big else b"".join(kept)[:end_at]
+            for chunk in _cut(_pieces(f, window[seps[-1] - base:]), chunk_bytes):
+                yield seps[-1], *chunk
 
 
 class MboxReader(DataSourceReader):
     def __init__(self, options):
         self.paths = [p for p in options.get("paths", "").split("\n") if p]
         self.split = int(options.get("splitBytes", str(64 * 1024 * 1024)))
-        self.max_bytes = int(options.get("maxMessageBytes", str(MAX_CELL_BYTES)))
+        self.chunk = int(options.get("chunkBytes", str(CHUNK_BYTES)))
 
     def partitions(self):
         files, _missing = expand_paths(self.paths)
@@ -144,28 +167,30 @@ class MboxReader(DataSourceReader):
         return parts
 
     def read(self, partition: _Range):
-        """Arrow record batches of at most ``_BATCH_BYTES`` of message bytes."""
+        """Arrow record batches of at most ``_BATCH_BYTES`` of message bytes and a chunk."""
         import pyarrow as pa
-        offsets, raws, size = [], [], 0
+        rows, size = [], 0
 
         def batch():
-            n = len(offsets)
+            offsets, ords, lasts, raws, sizes, shas = zip(*rows)
+            n = len(rows)
             return pa.RecordBatch.from_arrays(
-                [pa.array([partition.ord] * n, pa.int32()),
-                 pa.array([partition.path] * n, pa.string()),
-                 pa.array([partition.archive] * n, pa.string()),
-                 pa.array(offsets, pa.int64()), pa.array(raws, pa.binary())],
-                names=["source_ord", "source_path", "source_mbox", "byte_offset", "raw"])
-
-        for offset, raw in read_range(partition.path, partition.start, partition.end,
-                                      self.max_bytes):
-            offsets.append(partition.base + offset)
-            raws.append(raw)
-            size += len(raw or b"")
+                [pa.array([partition.ord] * n, pa.int32()), pa.array([partition.path] * n, pa.string()),
+                 pa.array([partition.archive] * n, pa.string()), pa.array(offsets, pa.int64()), pa.array(raws, pa.binary()),
+                 pa.array(ords, pa.int32()), pa.array(lasts, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(shas, pa.string())],
+                names=[c.split()[0] for c in SCHEMA.split(", ")])
+
+        for offset, ord_, last, raw in read_range(partition.path, partition.start, partition.end, self.chunk):
+            if ord_ == 0:
+                digest, total = hashlib.sha256(), 0
+            digest.update(raw)
+            total += len(raw)
+            rows.append((partition.base + offset, ord_, last, raw, total if last else None, digest.hexdigest() if last else None))
+            size += len(raw)
             if size >= _BATCH_BYTES:
                 yield batch()
-                offsets, raws, size = [], [], 0
-        if offsets:
+                rows, size = [], 0
+        if rows:
             yield batch()
 
 
@@ -174,10 +199,15 @@ class _Written(WriterCommitMessage):
         self.path = path
 
 
+def record_end(tail: bytes) -> bytes:
+    """B1: what a record that ends in ``tail`` lacks of a newline and then a blank line."""
+    if tail.endswith(b"\n\n"):
+        return b""
+    return b"\n" if tail.endswith(b"\n") else b"\n\n"
+
+
 def finish_record(raw: bytes) -> bytes:
-    """B1: a record always ends with a newline and then a blank line."""
-    tail = raw[-2:]
-    return raw.ljust(len(raw) + 2 - tail.count(b"\n", len(tail.rstrip(b"\n"))), b"\n")
+    return raw + record_end(raw)
 
 
 class MboxWriter(DataSourceWriter):
@@ -197,8 +227,14 @@ class MboxWriter(DataSourceWriter):
         final = _join(folder, f"part-{self.job}-{pid:05d}.mbox")
         tmp = _join(folder, f"_tmp-{uuid.uuid4().hex}")
         with fs.open_output_stream(tmp) as out:
-            for row in rows:
-                out.write(finish_record(bytes(row["raw"])))
+            tail = b""
+            for row in rows:                      # the chunks of a record follow each other
+                raw = bytes(row["raw"])
+                out.write(raw)
+                tail = (tail + raw)[-2:] if len(raw) < 2 else raw[-2:]
+                if row["last"]:
+                    out.write(record_end(tail))
+                    tail = b""
         fs.move(tmp, final)
         return _Written(final)
 
@@ -237,21 +273,22 @@ def register(spark) -> None:
     spark.dataSource.register(MboxDataSource)
 
 
-def read_mbox(spark, paths: list[str], split_bytes: int | None = None,
-              max_message_bytes: int | None = None):
-    """Archives as (source_ord, source_path, source_mbox, byte_offset, raw)."""
+def read_mbox(spark, paths: list[str], split_bytes: int | None = None, chunk_bytes: int | None = None):
+    """Archives as the rows of SCHEMA: one row a record, several for a record above a chunk."""
     register(spark)
     r = spark.read.format("mbox").option("paths", "\n".join(paths))
     if split_bytes:
         r = r.option("splitBytes", str(split_bytes))
-    if max_message_bytes:
-        r = r.option("maxMessageBytes", str(max_message_bytes))
+    if chunk_bytes:
+        r = r.option("chunkBytes", str(chunk_bytes))
     return r.load()
 
 
 def write_mbox(df, folder: str, overwrite: bool = False) -> None:
     """Write ``raw`` records (in the frame's partition order) as mbox files under folder, beside
-    what is there or, with ``overwrite``, in its place."""
+    what is there or, with ``overwrite``, in its place. With a column ``last`` the rows are chunks."""
+    from pyspark.sql import functions as F
     register(df.sparkSession)
-    df.select("raw").write.format("mbox").mode("overwrite" if overwrite else "append") \
+    last = F.col("last") if "last" in df.columns else F.lit(True)
+    df.select("raw", last.alias("last")).write.format("mbox").mode("overwrite" if overwrite else "append") \
         .option("path", folder).save()

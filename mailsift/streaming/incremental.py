@@ -99,9 +99,7 @@ def run_strip_incremental(spark: SparkSession, source: str, out: str, checkpoint
             H.header_first(hd, "to").alias("To"),
             F.explode(P.strip_removed(F.col("parts"))).alias("p")).select(
             "Message-ID", "Date", "From", "To", F.col("p.filename").alias("Filename"),
-            F.octet_length(F.coalesce("p.payload", F.lit(b"").cast("binary"))).cast("long")
-            .alias("Size"),
-            F.sha2(F.coalesce("p.payload", F.lit(b"").cast("binary")), 256).alias("SHA256"))
+            P.stored_size(F.col("p")).alias("Size"), P.stored_sha256(F.col("p")).alias("SHA256"))
         kept = m.select("source_ord", "source_mbox", "byte_offset",
                         F.explode(P.strip_keep(F.col("parts"))).alias("p")) \
             .select("source_ord", "source_mbox", "byte_offset", F.col("p.ord").alias("ord"),

@@ -64,3 +64,18 @@ def test_case_over_many_part_files_and_run_twice(spark, tmp_path):
             assert _outputs(spark, many) == want
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_records_above_a_chunk_are_in_every_output(spark, tmp_path):
+    """With a chunk of 700 bytes most records come in several rows; every output is that of
+    whole records: archive, index, inventory, hits, messages, attachments, manifest."""
+    archives = FL.archives(spark, SF_SMALL)
+    whole = run_case(spark, archives, "@example", str(tmp_path / "whole"), terms=FIXTURE_TERMS)
+    parts = run_case(spark, archives, "@example", str(tmp_path / "parts"), terms=FIXTURE_TERMS, chunk_bytes=700)
+    many = spark.read.parquet(str(tmp_path / "parts" / "01_extract" / "_table"))
+    assert many.where("chunk_ord > 0").select("byte_offset").distinct().count() > 20
+    assert _outputs(spark, parts) == _outputs(spark, whole)
+    stripped = [sorted(bytes(r.raw) for r in spark.read.format("mbox").option("paths", o["stripped_mbox"]).load().select("raw").collect()) for o in (parts, whole)]
+    assert stripped[0] == stripped[1]
+    assert spark.read.json(parts["manifest"]).first() == spark.read.json(whole["manifest"]).first()
+    assert spark.read.json(parts["manifest"]).first().parse_errors == 0

@@ -37,7 +37,7 @@ def test_any_split_yields_every_record_once(archive_path, split):
     got = []
     for start in range(0, len(ARCHIVE), split):
         got += list(read_range(archive_path, start, min(start + split, len(ARCHIVE))))
-    assert got == whole_file_records(ARCHIVE)
+    assert got == [(o, 0, True, r) for o, r in whole_file_records(ARCHIVE)]
     assert len(got) == 3 and got[0][0] == len(b"junk before the first separator\n")
 
 
@@ -68,16 +68,36 @@ def test_write_then_read_round_trip(spark):
 
 
 @pytest.mark.parametrize("split", [7, 64, 1000])
-@pytest.mark.parametrize("chunk", [3, 5, 4096])
-def test_oversize_record_reported_not_dropped(archive_path, split, chunk, monkeypatch):
-    """A record above maxMessageBytes keeps its row (raw None); the others are intact,
-    whatever the read chunk (small chunks exercise skipping past the limit)."""
+@pytest.mark.parametrize("read", [3, 5, 4096])
+@pytest.mark.parametrize("chunk", [1, 10, 60, 5000])
+def test_records_in_chunks(archive_path, split, read, chunk, monkeypatch):
+    """A record above a chunk comes in several, in order, whatever is read at a time; the first
+    has the whole header block and no chunk is needlessly long."""
     import mailsift.sources.mbox as M
-    monkeypatch.setattr(M, "_CHUNK", chunk)
-    whole = whole_file_records(ARCHIVE)
-    limit = max(len(r) for _, r in whole) - 1
+    monkeypatch.setattr(M, "_CHUNK", read)
     got = []
     for start in range(0, len(ARCHIVE), split):
-        got += list(read_range(archive_path, start, min(start + split, len(ARCHIVE)), limit))
-    assert [o for o, _ in got] == [o for o, _ in whole]
-    assert [r if len(r) <= limit else None for _, r in whole] == [r for _, r in got]
+        got += list(read_range(archive_path, start, min(start + split, len(ARCHIVE)), chunk))
+    records = {}
+    for offset, ord_, last, raw in got:
+        records.setdefault(offset, []).append((ord_, last, raw))
+    assert [(o, b"".join(r for _, _, r in c)) for o, c in records.items()] == whole_file_records(ARCHIVE)
+    for offset, chunks in records.items():
+        assert [(o, last) for o, last, _ in chunks] == [(i, i == len(chunks) - 1) for i in range(len(chunks))]
+        head = re.search(rb"\n\r?\n", b"".join(r for _, _, r in chunks)).end()
+        assert len(chunks[0][2]) >= min(head, len(ARCHIVE))
+        assert all(len(r) <= max(chunk, head if o == 0 else 0) for o, _, r in chunks)
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 50, 100_000])
+def test_chunks_round_trip_through_sink(spark, archive_path, tmp_path, chunk):
+    """Written from chunk rows, an archive is the same as from whole records; the last row of a
+    record has its size and hash."""
+    import hashlib
+    df = read_mbox(spark, [archive_path], split_bytes=64, chunk_bytes=chunk).persist()
+    write_mbox(df.repartitionByRange("byte_offset").sortWithinPartitions("byte_offset", "chunk_ord"), str(tmp_path / "x.mbox"))
+    back = read_mbox(spark, [str(tmp_path / "x.mbox")]).collect()
+    records = [r for _, r in whole_file_records(ARCHIVE)]
+    assert sorted(bytes(r.raw) for r in back) == sorted(map(finish_record, records))
+    ends = sorted((r.record_size, r.record_sha256) for r in df.where("last").collect())
+    assert ends == sorted((len(r), hashlib.sha256(r).hexdigest()) for r in records)
