@@ -17,6 +17,7 @@ heap, since scanning would take quadratic time there.
 Texts are cut where white space ends a piece in any case. The stretches between are hashed for a
 whole block of texts at once (two independent 64-bit hashes), and a worker remembers the ids of
 the stretches it has met (a bounded memo), so a word is merged once and not each time it occurs.
+Null and empty texts have no ids. A text of any length is worked on in slices.
 
 Ids become text again as the library does it: the tokens joined by one space for the word file,
 which has no decoder, and the bytes themselves for the byte file.
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 
 from pyspark.sql import Column, DataFrame
@@ -35,7 +37,9 @@ from mailsift.llm import units
 
 SHORT = 48
 MEMO_ENTRIES = 500_000         # a worker's memo is emptied beyond this; bounds its memory
-STEP_BYTES = 1 << 20           # texts are encoded together up to this size
+STEP_BYTES = 1 << 20           # texts are encoded together up to this size, longer ones in slices
+STEP_TOKENS = 1 << 17          # tokens are decoded together up to this number
+TRIP_ROWS = 512                # rows that a round trip holds as text, ids and text at once
 NO_RANK = 1 << 30
 
 # White space as Unicode defines it (Python's own class has four separators more).
@@ -114,6 +118,16 @@ class Bpe:
             self.merged.append(vocab[a + b])
         self.merged = np.array(self.merged)
         self.ranks = PairRanks(self.pairs)
+        # Where a text can be cut: before ASCII white space, or before a space and a visible character.
+        self.safe_cut = re.compile(rb"[ \t\n\x0b\x0c\r]" if self.words else rb" (?=[!-\x7e\xc3-\xdf])").search
+        # The bytes of every token, one after the other, each with a blank behind it.
+        special = set(self.special.values())
+        raw = [b""] * (max(self.token) + 1)
+        for i, t in self.token.items():
+            raw[i] = t.encode() if self.words or i in special else bytes(map(self.byte.__getitem__, t))
+        self.token_size = np.array([len(r) for r in raw])
+        self.token_place = np.cumsum(self.token_size + 1) - self.token_size - 1
+        self.token_bytes = np.frombuffer(b" ".join([*raw, b""]), "u1")
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else None
         contractions = "'s|'t|'re|'ve|'m|'ll|'d"
         self.split_pieces = regex.compile(
@@ -234,16 +248,35 @@ class Bpe:
         self.pool, self.used, self.numbers = np.zeros(1 << 16, "<u4"), 0, 0
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text (None: empty) as little-endian unsigned 32-bit bytes."""
-        out: list[bytes] = []
-        raws = [(t or "").encode() for t in texts]
-        start, size = 0, 0
-        for i, raw in enumerate(raws):
-            size += len(raw)
-            if size > STEP_BYTES:
-                out += self._encode(raws[start:i + 1])
-                start, size = i + 1, 0
-        return out + self._encode(raws[start:])
+        """The ids of each text (None: empty) as little-endian unsigned 32-bit bytes. A longer text
+        than STEP_BYTES is encoded in slices, cut where white space ends a piece in any case, so
+        the memory it takes beside itself and its ids does not grow with it."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        held, owner, size = [], [], 0
+
+        def flush():
+            for i, ids in zip(owner, self._encode(held)):
+                out[i].append(ids)
+            held.clear()
+            owner.clear()
+
+        for i, t in enumerate(texts):
+            for piece in self._slices((t or "").encode()):
+                held.append(piece)
+                owner.append(i)
+                size += len(piece)
+                if size > STEP_BYTES:
+                    flush()
+                    size = 0
+        flush()
+        return [x[0] if len(x) == 1 else b"".join(x) for x in out]
+
+    def _slices(self, raw: bytes):
+        start = 0
+        while len(raw) - start > STEP_BYTES and (m := self.safe_cut(raw, start + STEP_BYTES)):
+            yield raw[start:m.start()]
+            start = m.start()
+        yield raw[start:] if start else raw
 
     def _encode(self, raws: list[bytes]) -> list[bytes]:
         import numpy as np
@@ -293,12 +326,33 @@ class Bpe:
         number[order] = np.arange(start, self.numbers)
         return number
 
+    def token_text(self, ids, blank) -> bytes:
+        """The bytes of tokens; ``blank``: which of them are followed by a blank."""
+        import numpy as np
+        out = []
+        for i in range(0, len(ids), STEP_TOKENS):
+            some = ids[i:i + STEP_TOKENS]
+            size = self.token_size[some] + blank[i:i + STEP_TOKENS]
+            ends = np.cumsum(size)
+            out.append(self.token_bytes[np.repeat(self.token_place[some] - (ends - size), size) + np.arange(ends[-1])].tobytes())
+        return b"".join(out)
+
+    def decode_all(self, ids, ends):
+        """The texts of consecutive documents, an Arrow array: ``ids`` of all, ``ends`` where each
+        document begins and, at last, ends."""
+        import numpy as np
+        import pyarrow as pa
+        blank = np.full(len(ids), self.words)
+        blank[ends[1:][ends[1:] > ends[:-1]] - 1] = False
+        data = self.token_text(ids, blank)
+        at = np.concatenate([[0], np.cumsum(self.token_size[ids] + blank)])[ends]
+        if self.words:                              # tokens are whole characters
+            return pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype("<i4").tobytes()), pa.py_buffer(data))
+        return pa.array([data[i:j].decode("utf-8", "replace") for i, j in zip(at[:-1].tolist(), at[1:].tolist())], pa.string())
+
     def decode(self, ids: list[int]) -> str:
-        if self.words:
-            return " ".join(map(self.token.__getitem__, ids))
-        special = set(self.special.values())
-        return b"".join(self.token[i].encode() if i in special else bytes(map(self.byte.__getitem__, self.token[i]))
-                        for i in ids).decode("utf-8", "replace")
+        import numpy as np
+        return self.decode_all(np.array(ids, "i8"), np.array([0, len(ids)]))[0].as_py()
 
 
 def _grown(x, n: int):
@@ -317,18 +371,28 @@ def coder(path: str) -> Bpe:
     return _CODERS[path]
 
 
+def _ids_array(bpe: Bpe, texts):
+    """The ids of a column of texts, an Arrow array of lists."""
+    import numpy as np
+    import pyarrow as pa
+    parts = bpe.encode_all(texts.to_pylist())
+    ends = np.cumsum([0, *[len(p) // 4 for p in parts]]).astype("i4")
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), "<i4")))
+
+
+def _texts_array(bpe: Bpe, ids):
+    offsets = ids.offsets.to_numpy()
+    return bpe.decode_all(ids.flatten().to_numpy(zero_copy_only=False), offsets - offsets[0])
+
+
 def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     """(doc_id, ids array<int>) of every row of ``docs`` (doc_id, text; null text: no ids).
     Map-only: rows stay in their partition, repeated doc_ids stay separate rows."""
     def run(batches):
-        import numpy as np
         import pyarrow as pa
         bpe = coder(vocabulary)
         for b in batches:
-            parts = bpe.encode_all(b.column("text").to_pylist())
-            ends = np.cumsum([0, *[len(p) // 4 for p in parts]]).astype("i4")
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), "<i4")))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), _ids_array(bpe, b.column("text"))], ["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
@@ -340,17 +404,29 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
         import pyarrow as pa
         bpe = coder(vocabulary)
         for b in batches:
-            ids = b.column("ids")
-            flat = ids.flatten().to_numpy(zero_copy_only=False).tolist()
-            ends = (ids.offsets.to_numpy() - ids.offsets[0].as_py()).tolist()
-            texts = [bpe.decode(flat[i:j]) for i, j in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids, pa.array(texts, pa.string())],
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), _texts_array(bpe, b.column("ids"))],
                                              ["doc_id", "ids", "decoded"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
 
 
+def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """(doc_id, ids, decoded): ``decode(encode(docs))`` in one worker and with one coder; the text
+    comes from the ids alone."""
+    def run(batches):
+        import pyarrow as pa
+        bpe = coder(vocabulary)
+        for b in batches:
+            for i in range(0, b.num_rows, TRIP_ROWS):
+                some = b.slice(i, TRIP_ROWS)
+                ids = _ids_array(bpe, some.column("text"))
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), ids, _texts_array(bpe, ids)], ["doc_id", "ids", "decoded"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+
+
 def ids_text(ids: Column) -> Column:
     """Decimal ids joined by one space."""
     return F.array_join(ids.cast("array<string>"), " ")

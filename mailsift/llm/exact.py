@@ -99,15 +99,14 @@ def _grouped(docs: DataFrame, prints: DataFrame, size: int) -> DataFrame:
     groups = written(groups.where("group_size > 1"), "copies")
 
     # Stream the candidates' chunks past each other. Only documents in a group are read again.
-    members = prints.join(groups, KEY, "left_semi").select("doc_id", *KEY).distinct()
+    # By id and SHA-256: rows that share an id, or have none, each meet their own member only.
+    members = prints.join(groups, KEY, "left_semi").select("doc_id", "text_sha256", *KEY).distinct()
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    texts = docs.select(F.col("doc_id").alias("__id"), raw.alias("raw")).join(
-        members, F.col("__id").eqNullSafe(F.col("doc_id")))
+    texts = docs.select(F.col("doc_id").alias("__id"), raw.alias("raw"), F.sha2(raw, 256).alias("__sha")).join(
+        members, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__sha") == F.col("text_sha256")))
     cut = F.transform(F.sequence(F.lit(0), F.greatest(F.octet_length("raw") - 1, F.lit(0)), F.lit(size)),
                       lambda o: F.substring(F.col("raw"), o + 1, F.lit(size)))
-    # The rows of a shared doc_id can bring in other texts than the candidate: keep equal lengths only.
-    chunks = (texts.where(F.octet_length("raw") == F.col("length"))
-              .select(*KEY, F.posexplode(cut).alias("chunk_no", "chunk")))
+    chunks = texts.select(*KEY, F.posexplode(cut).alias("chunk_no", "chunk"))
     odd = (chunks.groupBy(*KEY, "chunk_no").agg(F.min("chunk").alias("a"), F.max("chunk").alias("b"))
            .where("a <> b").select(KEY).distinct())
     odd = written(odd, "collisions")

@@ -149,9 +149,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 spans = [(0, len(words))] if whole and len(words) >= WIDTH else S.merged(cuts)
                 total.append(len(words))
                 removed.append(sum(e - s for s, e in spans))
-                for s, e in reversed(spans):
-                    del words[s:e]
-                kept.append(b" ".join(words))
+                left, at = [], 0
+                for s, e in spans:
+                    left += words[at:s]
+                    at = e
+                kept.append(b" ".join(left + words[at:]))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
                 ["doc_id", "n_words", "n_removed", "kept"])

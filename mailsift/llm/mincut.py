@@ -52,11 +52,23 @@ BOILER_NAMES = frozenset(
     "comment comments reply replies respond disqus discussion copyright legal disclaimer skip search form".split())
 SOFT_BOILER_NAMES = frozenset("header head top meta tags tag byline".split())
 CONTENT_NAMES = frozenset("article content post entry story main body text".split())
+# Words that go with a boilerplate word without changing what it says.
+FILLER_NAMES = frozenset(
+    "area bar block box button buttons col column container content cta group holder inner outer item items label left right link links list "
+    "main mobile desktop module panel post posts article articles row section site page primary secondary slot small large text title top bottom "
+    "unit wrap wrapper footer header js global local story stories news sticky fixed icon icons count inline policy message body entry".split())
 
 HARD, INSIDE, NAMED = 12.0, 4.0, 2.0          # evidence of an ancestor
 NEAR, SIBLING = 0.6, 0.4                      # smoothness
 
 
+def _is_boiler(name: str) -> bool:
+    """Is a whole class or id name about boilerplate: a word for it, and no word but such, fillers
+    of names and numbers beside it? ``related-links`` is, ``related-work`` is not."""
+    words = [w.lower() for w in _NAME.findall(name)]
+    return any(w in BOILER_NAMES for w in words) and all(w in BOILER_NAMES or w in FILLER_NAMES or w in SOFT_BOILER_NAMES or len(w) < 3 for w in words)
+
+
 def _hint(tag: str, attrs: str, inside: bool) -> float:
     """Evidence an element gives for the text in it."""
     if tag in BOILER_TAGS or tag == "header" and not inside:
@@ -76,7 +88,9 @@ def _hint(tag: str, attrs: str, inside: bool) -> float:
         elif key in ("class", "id") and tag not in ("body", "html"):
             names = {n.lower() for n in _NAME.findall(value)}
             if names & BOILER_NAMES and tag not in CONTENT_TAGS:
-                return -HARD
+                if any(_is_boiler(c) for c in value.split()):
+                    return -HARD
+                hint -= NAMED                  # one word of a name: a sign, no proof
             if names & CONTENT_NAMES:
                 hint = max(hint, NAMED)
             elif names & SOFT_BOILER_NAMES and not inside:
@@ -96,6 +110,7 @@ def read_blocks(page: str) -> list[tuple[str, float, int]]:
     textless: list[str] = []
     within: Counter[str] = Counter()
     unclosed = False
+    opened: Counter[str] = Counter()           # the elements of the stack, by tag
 
     def flush():
         nonlocal linked
@@ -116,25 +131,29 @@ def read_blocks(page: str) -> list[tuple[str, float, int]]:
         linked = 0
 
     def close(at: int):
+        for s in stack[at:]:
+            opened[s[0]] -= 1
         del stack[at:]
 
     def leaves_textless(tag: str, end: str) -> bool:
         """Does a tag that is not of the textless element end it?"""
         if end:
-            return inline[tag] > 0 or any(s[0] == tag for s in stack)
+            return inline[tag] > 0 or opened[tag] > 0
         if tag == "body":
             return True
         if textless[0] in _PHRASES:
             return unclosed and (tag == textless[0] or tag in _CLOSES_P or tag in _SAME)
         return textless[0] in _FOREIGN and tag in _CLOSES_P and not within["foreignobject"] and not within["annotation-xml"]
 
-    start = 0
-    while m := _TOKEN.search(page, start):
+    start, last_end = 0, page.rfind(">") + 1   # no tag ends after that
+    while m := _TOKEN.search(page, start, last_end):
         if m.start() > start and not textless:
             held.append(page[start:m.start()])
             if in_link:
                 linked += m.start() - start
         start = m.end()
+        if m.group().startswith("<!--") and not m.group().endswith("-->"):
+            start = len(page)                  # a comment without an end
         tag = (m[2] or m[5] or "").lower()
         if not tag:
             continue
@@ -183,9 +202,9 @@ def read_blocks(page: str) -> list[tuple[str, float, int]]:
                     flush()
                     close(len(stack) - 1)
                 continue
-            hint = _hint(tag, attrs, any(s[2] >= INSIDE for s in stack))
-            if hint != -HARD:
-                continue                       # only an inline element that is boilerplate matters
+            hint = _hint(tag, attrs, stack[-1][2] >= INSIDE)
+            if hint != -HARD or any(not h.isspace() for h in held[-2:]):
+                continue                       # only an inline element that is boilerplate matters, not a word in a sentence
         flush()
         in_link = 0 if tag != "a" else in_link
         if tag == "head":
@@ -194,16 +213,17 @@ def read_blocks(page: str) -> list[tuple[str, float, int]]:
         if tag == "body":
             skip_head = False
         if end:
-            for at in range(len(stack) - 1, 0, -1):
-                if stack[at][0] == tag:
-                    close(at)
-                    break
+            if opened[tag]:
+                at = len(stack) - 1
+                while stack[at][0] != tag:
+                    at -= 1
+                close(at)
             continue
         if tag in _VOID:
             continue
         if tag in _CLOSES_P and stack[-1][0] == "p":
             close(len(stack) - 1)
-        if tag in _SAME:
+        if any(opened[t] for t in _SAME.get(tag, ())):
             for at in range(len(stack) - 1, 0, -1):
                 if stack[at][0] in _SAME[tag]:
                     close(at)
@@ -214,11 +234,11 @@ def read_blocks(page: str) -> list[tuple[str, float, int]]:
         _, boiler, content, _ = stack[-1]
         hint = _hint(tag, attrs, content >= INSIDE)
         stack.append((tag, max(boiler, -hint), max(content, hint), serial))
-        if len(stack) > 2000:                  # hopelessly nested: the innermost element stands for the rest
-            del stack[-2]
+        opened[tag] += 1
     if start < len(page) and not textless:
         rest = page[start:]
-        held.append(rest[:rest.rfind("<")] if re.search(r"<[/!a-zA-Z][^>]*\Z", rest) else rest)
+        m = re.search(r"<[/!a-zA-Z]", rest[max(0, last_end - start):])
+        held.append(rest[:max(0, last_end - start) + m.start()] if m else rest)
         if in_link:
             linked += len(held[-1])
     flush()

@@ -39,8 +39,7 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary_path(WORD_VOCABULARY)
-    done = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    done = bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path(WORD_VOCABULARY))
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(bpe.ids_text(F.col("ids")), 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

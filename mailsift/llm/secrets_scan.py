@@ -119,8 +119,11 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         for b in batches:
             texts = b.column("text").to_pylist()
             for i, t in enumerate(texts):
-                for s, e in reversed(_disjoint(find_spans(t))):
-                    texts[i] = texts[i][:s] + mark + texts[i][e:]
+                parts, at = [], 0
+                for s, e in _disjoint(find_spans(t)):
+                    parts += [t[at:s], mark]
+                    at = e
+                texts[i] = "".join([*parts, t[at:]]) if parts else t
             at = b.schema.get_field_index("text")
             yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
 
