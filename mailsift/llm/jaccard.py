@@ -159,15 +159,15 @@ def similar_classes(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFr
 
     wide = sets.select(F.col("u").alias("g"), "n", "prefix").join(groups.select("g"), "g")
     entries = written(wide.select("g", "n", F.posexplode("prefix").alias("pos", "token")), "prefixes")
-    shared = entries.groupBy("token").agg(F.min("g").alias("a"), F.max("g").alias("b")).where("a < b").select("token")
+    # A group has a shingle once; a shingle that only seems to be repeated does no harm.
+    shared = entries.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
     # Hashed, not sorted: the shared shingles are the small side.
-    kept = entries.join(shared.hint("shuffle_hash"), "token", "left_semi")
+    kept = written(entries.join(shared.hint("shuffle_hash"), "token", "left_semi"), "shared")
+    delete(spark, entries)
     # How much of a group's prefix others share: the text that copies were made from leads.
-    kept = written(kept, "shared")
     central = kept.groupBy("g").agg((F.count(F.lit(1)) / F.max(F.col("n") - F.ceil(0.8 * F.col("n")) + 1)).alias("central"))
-    kept = written(kept.join(groups.join(central, "g"), "g"), "entries")
-    delete(spark, entries)
-    entries = kept
+    entries = written(kept.join(groups.join(central, "g"), "g"), "entries")
+    delete(spark, kept)
     # Groups that share a shingle with another, or hold several classes.
     live = entries.select("g").union(groups.where("members > 1").select("g")).distinct()
     live = written(member.join(live, "g", "left_semi").select("u", "g"), "live")
@@ -177,9 +177,13 @@ def similar_classes(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFr
         owned = live.withColumn("comp", F.col("u")) if roots is None else \
             live.join(roots, "u", "left").select("u", "g", F.coalesce("root", "u").alias("comp"))
         owned = written(owned, "owned")
+        # Components only grow: a shingle of one component now is of one in every later round, and
+        # its entries are left behind.
         here = entries.join(owned.select("g", "comp").distinct(), "g")
         mixed = here.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("token")
         here = written(here.join(mixed, "token", "left_semi"), "mixed")
+        delete(spark, entries)
+        entries = here.drop("comp")
         pairs = _hub_pairs(here, owned, step) if step < ROUNDS else _all_pairs(here, owned)
         close = written(_close(pairs, sets), "close")
         need = close.select("u").union(close.select(F.col("v").alias("u"))).distinct()
@@ -192,7 +196,8 @@ def similar_classes(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFr
             new = written(_linked(close, whole), "links")
             links = new if links is None else links.union(new)
             roots = components(links)
-        delete(spark, here, owned, close, need)
+        delete(spark, owned, close, need)
+    delete(spark, entries)
     return classes.select("key", "u"), roots
 
 
