@@ -33,6 +33,7 @@ from mailsift.llm.graph import components
 
 SHINGLE = 5
 SKETCH = 1024                  # bits of the smallest sketch
+SMALL = 512                    # bits of the sketch that every tried pair is sieved by first
 ROUNDS = 2
 BROADCAST_IDS = 400_000        # 10 MB
 
@@ -54,7 +55,7 @@ def _shingles(raws: list[bytes]):
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(u, doc_id, doc, tag, n, key, prefix_key, prefix, sketch) of every row, written: ``u`` numbers
+    """(u, doc, tag, n, key, prefix_key, prefix, small, sketch) of every row, written: ``u`` numbers
     the rows, ``key`` and ``prefix_key`` are 128-bit digests."""
     bits = docs.sparkSession.sparkContext.broadcast(U.heavy_grams(docs, "lower", SHINGLE))
 
@@ -66,7 +67,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
         low = np.uint64((1 << U.SKETCH_BITS) - 1)
         for b in batches:
             raws = b.column("raw").to_pylist()
-            out = {k: [None] * len(raws) for k in ("key", "prefix_key", "prefix", "sketch")}
+            out = {k: [None] * len(raws) for k in ("key", "prefix_key", "prefix", "small", "sketch")}
             n = [0] * len(raws)
             for i, s in _shingles(raws):
                 late = heavy[(s & low).astype("i8")]
@@ -75,14 +76,15 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 out["key"][i], out["prefix_key"][i] = xxhash.xxh3_128_digest(s.tobytes()), xxhash.xxh3_128_digest(prefix.tobytes())
                 out["prefix"][i] = (prefix >> np.uint64(24)).view("i8")      # 40 bits are enough to meet
                 width = max(SKETCH, 1 << (2 * len(s) - 1).bit_length())
-                parity = np.bincount((s >> np.uint64(20)).astype("i8") & (width - 1), minlength=width) & 1
-                out["sketch"][i] = np.packbits(parity.astype(bool)).view("i8")
+                for name, bits_ in (("small", SMALL), ("sketch", width)):
+                    parity = np.bincount((s >> np.uint64(20)).astype("i8") & (bits_ - 1), minlength=bits_) & 1
+                    out[name][i] = np.packbits(parity.astype(bool)).view("i8")
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc"), b.column("tag"), pa.array(n, pa.int32()), pa.array(out["key"], pa.binary()),
-                 pa.array(out["prefix_key"], pa.binary()), pa.array(out["prefix"], pa.list_(pa.int64())), pa.array(out["sketch"], pa.list_(pa.int64()))],
-                ["doc", "tag", "n", "key", "prefix_key", "prefix", "sketch"])
+                 pa.array(out["prefix_key"], pa.binary()), *(pa.array(out[k], pa.list_(pa.int64())) for k in ("prefix", "small", "sketch"))],
+                ["doc", "tag", "n", "key", "prefix_key", "prefix", "small", "sketch"])
 
-    sets = S.numbered(docs).mapInArrow(run, "doc long, tag long, n int, key binary, prefix_key binary, prefix array<long>, sketch array<long>")
+    sets = S.numbered(docs).mapInArrow(run, "doc long, tag long, n int, key binary, prefix_key binary, prefix array<long>, small array<long>, sketch array<long>")
     return written(sets.withColumn("u", F.monotonically_increasing_id()), "sets")
 
 
@@ -102,10 +104,14 @@ def _places_fit(x: str, y: str) -> Column:
 
 
 def _close(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (u, v) of ``pairs`` that sizes and sketches (narrow) leave possible."""
+    """The (u, v) of ``pairs`` that sizes and sketches leave possible: the small sketch first, the
+    whole one for what is left."""
+    return _sieved(_sieved(pairs, sets, "small"), sets, "sketch")
+
+
+def _sieved(pairs: DataFrame, sets: DataFrame, sketch: str) -> DataFrame:
     for x in ("u", "v"):
-        side = sets.select(F.col("u").alias(x), F.col("n").alias("n_" + x), F.col("sketch").alias("s_" + x))
-        pairs = pairs.join(side, x)
+        pairs = pairs.join(sets.select(F.col("u").alias(x), F.col("n").alias("n_" + x), F.col(sketch).alias("s_" + x)), x)
     n, m = F.col("n_u"), F.col("n_v")
     pairs = pairs.where(_sizes_fit(n, m))
 
@@ -165,11 +171,11 @@ def similar_classes(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFr
     kept = written(entries.join(shared.hint("shuffle_hash"), "token", "left_semi"), "shared")
     delete(spark, entries)
     # How much of a group's prefix others share: the text that copies were made from leads.
-    central = kept.groupBy("g").agg((F.count(F.lit(1)) / F.max(F.col("n") - F.ceil(0.8 * F.col("n")) + 1)).alias("central"))
-    entries = written(kept.join(groups.join(central, "g"), "g"), "entries")
-    delete(spark, kept)
+    central = kept.groupBy("g").agg(F.max("n").alias("n"), (F.count(F.lit(1)) / F.max(F.col("n") - F.ceil(0.8 * F.col("n")) + 1)).alias("central"))
+    facts = written(groups.join(central, "g"), "facts")
+    entries = kept.select("token", "g", "pos")
     # Groups that share a shingle with another, or hold several classes.
-    live = entries.select("g").union(groups.where("members > 1").select("g")).distinct()
+    live = facts.select("g").union(groups.where("members > 1").select("g")).distinct()
     live = written(member.join(live, "g", "left_semi").select("u", "g"), "live")
 
     links = roots = whole = None
@@ -179,12 +185,15 @@ def similar_classes(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFr
         owned = written(owned, "owned")
         # Components only grow: a shingle of one component now is of one in every later round, and
         # its entries are left behind.
-        here = entries.join(owned.select("g", "comp").distinct(), "g")
+        low = owned.groupBy("g").agg(F.min("comp").alias("low")).join(facts, "g")
+        parts = owned.select("g", "comp").distinct().join(low, "g")
+        here = entries.join(parts.select("*", (F.col("comp") == F.col("low")).alias("lead")).drop("low"), "g")
         mixed = here.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("token")
-        here = written(here.join(mixed, "token", "left_semi"), "mixed")
+        here = here.join(mixed, "token", "left_semi")
+        here = written(_with_hubs(here, step) if step < ROUNDS else here, "mixed")
         delete(spark, entries)
-        entries = here.drop("comp")
-        pairs = _hub_pairs(here, owned, step) if step < ROUNDS else _all_pairs(here, owned)
+        entries = here.where("lead").select("token", "g", "pos")       # one of a group's components
+        pairs = _hub_pairs(here, owned) if step < ROUNDS else _all_pairs(here, owned)
         close = written(_close(pairs, sets), "close")
         need = close.select("u").union(close.select(F.col("v").alias("u"))).distinct()
         need = written((need if whole is None else need.join(whole, "u", "left_anti"))
@@ -197,20 +206,25 @@ def similar_classes(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFr
             links = new if links is None else links.union(new)
             roots = components(links)
         delete(spark, owned, close, need)
-    delete(spark, entries)
+    delete(spark, entries, facts)
     return classes.select("key", "u"), roots
 
 
-def _hub_pairs(here: DataFrame, owned: DataFrame, step: int) -> DataFrame:
-    """For every group the three hubs it shares most shingles with, as class pairs; and within a
-    group, every member with the smallest. A shingle's hubs: the group with most members, the one
-    whose prefix others share most, and one by lot."""
+def _with_hubs(here: DataFrame, step: int) -> DataFrame:
+    """``here`` (dealt by token already) with the hubs of each shingle: the group with most members,
+    the one whose prefix others share most, and one by lot. The aggregate names every column, so
+    that it and the join read the same exchanges."""
     lot = F.xxhash64("g", "token", F.lit(step))
-    kinds = {"big": F.max_by("g", F.struct("members", lot)), "central": F.max_by("g", F.struct("central", "members", "g")),
-             "lot": F.min_by("g", lot)}
-    hubs = here.groupBy("token").agg(*[hub.alias("h_" + k) for k, hub in kinds.items()])
-    tries = here.select("token", "g").join(hubs, "token").select("g", F.explode(F.array(*[
-        F.struct(F.lit(k).alias("k"), F.col("h_" + k).alias("h")) for k in kinds])).alias("x"))
+    hubs = here.groupBy("token").agg(
+        F.max_by("g", F.struct("members", lot, "central", "comp", "pos", "n", "lead")).alias("big"), F.max_by("g", F.struct("central", "members", "g")).alias("most"),
+        F.min_by("g", lot).alias("lot"))
+    return here.join(hubs, "token")
+
+
+def _hub_pairs(here: DataFrame, owned: DataFrame) -> DataFrame:
+    """For every group the three hubs it shares most shingles with, as class pairs; and within a
+    group, every member with the smallest."""
+    tries = here.select("g", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(k).alias("h")) for k in ("big", "most", "lot")])).alias("x"))
     best = (tries.where("g <> x.h").groupBy("g", "x.k", "x.h").agg(F.count(F.lit(1)).alias("c"))
             .groupBy("g", "k").agg(F.max_by("h", "c").alias("h")).select("g", "h").distinct())
     first = owned.groupBy("g").agg(F.min("u").alias("v"), F.min("comp").alias("low"), F.max("comp").alias("high"))
