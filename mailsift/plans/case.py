@@ -14,7 +14,7 @@ into the same folder replaces the earlier one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mailsift.functions.terms import DEFAULT_TERMS, terms_df
@@ -45,18 +45,23 @@ def _in_order(chunks: DataFrame) -> DataFrame:
 def run_case(spark: SparkSession, archives: list[str], address: str, out_dir: str,
              terms: dict | None = None, title: str = "case", skip: tuple = (),
              chunk_bytes: int | None = None) -> dict:
-    """Run extract -> strip -> scan -> clean -> render; returns the output paths. ``chunk_bytes``:
+    """Run extract -> strip -> scan -> clean -> render; returns the output paths, and ``counters``:
+    messages scanned, matched and extracted, hit rows cleaned. ``chunk_bytes``:
     see the ``mbox`` source; records above it are in every output like the others."""
     out = {}
+    # counted in the passes that write, without a scan of their own.
+    seen, kept, cleaned = Observation("extract"), Observation("dedup"), Observation("clean")
+    rows = F.count(F.lit(1))
     # 01 extract: address match + first-wins dedup across archives in argument order. Headers
     # decide; the bytes of a record follow its keys, whatever number of rows they take.
     d1 = f"{out_dir}/01_extract"
     src = read_mbox(spark, archives, chunk_bytes=chunk_bytes).select(*KEYS, "chunk_ord", "last", "raw")
     cols = X.INDEX_COLUMNS[:5] + ["subject_raw", "message_id"]
-    parsed = messages(src)
-    hit = (F.col("chunk_ord") > 0) | X.address_matches(F.col("participants"), address)
-    matched = _stage(parsed.where(hit).select(*KEYS, "chunk_ord", "last", "raw", *cols), f"{d1}/_matched")
-    index = _stage(X.first_wins(matched.where("chunk_ord = 0").select(*KEYS, *cols)), f"{d1}/_index")
+    first = F.col("chunk_ord") == 0
+    parsed = messages(src).withColumn("hit", X.address_matches(F.col("participants"), address))
+    parsed = parsed.observe(seen, F.count_if(first).alias("scanned"), F.count_if(first & F.col("hit")).alias("matched"))
+    matched = _stage(parsed.where(~first | F.col("hit")).select(*KEYS, "chunk_ord", "last", "raw", *cols), f"{d1}/_matched")
+    index = _stage(X.first_wins(matched.where("chunk_ord = 0").select(*KEYS, *cols)).observe(kept, rows.alias("extracted")), f"{d1}/_index")
     extracted = _stage(matched.select(*KEYS, "chunk_ord", "last", "raw").join(index.select(*KEYS), KEYS, "left_semi"),
                        f"{d1}/_table")
     write_mbox(_in_order(extracted), f"{d1}/extract.mbox", overwrite=True)
@@ -96,7 +101,7 @@ def run_case(spark: SparkSession, archives: list[str], address: str, out_dir: st
                 "location"]
     ordered.select(*hit_cols).write.mode("overwrite").options(**CSV).csv(f"{d3}/hits.csv")
     ordered.select(*hit_cols).withColumn("exact_text", clean_text(F.col("exact_text"))) \
-        .write.mode("overwrite").options(**CSV).csv(f"{d3}/hits_clean.csv")
+        .observe(cleaned, rows.alias("rows_cleaned")).write.mode("overwrite").options(**CSV).csv(f"{d3}/hits_clean.csv")
     out.update(hits=f"{d3}/hits.csv", hits_clean=f"{d3}/hits_clean.csv")
 
     # 04 render: reads the extract, never the stripped copy.
@@ -114,5 +119,6 @@ def run_case(spark: SparkSession, archives: list[str], address: str, out_dir: st
                    f"{d4}/_attachments")
     saved.orderBy(F.col("n").startswith("U"), F.length("n"), "n", "k").write.mode("overwrite").options(**CSV).csv(f"{d4}/attachments.csv")
     out.update(messages=f"{d4}/messages.csv", document=f"{d4}/document",
-               manifest=f"{d4}/manifest.json", attachments=f"{d4}/attachments")
+               manifest=f"{d4}/manifest.json", attachments=f"{d4}/attachments",
+               counters={**seen.get, **kept.get, **cleaned.get})
     return out

@@ -13,9 +13,10 @@ Rules (i = doc_id):
   Cc if i % 5 = 0; Reply-To if i % 7 = 0; Delivered-To if i % 11 = 0 (twice if i % 22 = 0)
   Date: 2024-01-01 00:00 + 7*i minutes, zone cycling +0000 -0500 +0530 GMT EST;
         'not a date at all' if i % 23 = 0; no Date header if i % 29 = 0
-  Subject: first line of text, first 60 characters, trimmed; RFC 2047 base64 word when
-        i % 13 = 0 or non-ASCII
-  Body: text/plain 8bit; with an HTML page: multipart/alternative (HTML only if i % 3 = 0)
+  Subject: the whole first line of text, trimmed; RFC 2047 base64 word when i % 13 = 0 or
+        non-ASCII
+  Body: text/plain 8bit; with an HTML page: multipart/alternative. If i % 3 = 0 it is HTML only,
+        and the document's text stands in the HTML part, after the page
   Attachment doc_<i>.txt (text bytes, base64) if i % 11 = 0; nameless inline image if
         i % 19 = 0; both wrap the body in multipart/mixed
   In-body lines starting with 'From ' are escaped to '>From '.
@@ -69,9 +70,11 @@ def source_sql(d: dict, docs: str, pages: str) -> str:
     zone = _case("doc_id % 5", [_q(z) for z in ZONES])
     zmin = _case("doc_id % 5", ZONE_MINUTES)
     ziso = _case("doc_id % 5", [_q(z) for z in ZONE_ISO])
-    first = "trim(substr(split_part(text, chr(10), 1), 1, 60))"
+    first = "trim(split_part(text, chr(10), 1))"
+    as_html = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
     return f"""
-SELECT doc_id, text, source, html,
+SELECT doc_id, text, source,
+  CASE WHEN doc_id % 3 = 0 THEN html || '<pre>' || {as_html} || '</pre>' ELSE html END AS html,
   CAST(doc_id % 2 AS INT) AS source_ord,
   CASE WHEN doc_id % 2 = 0 THEN 'all_mail.mbox' ELSE 'sent.mbox' END AS source_mbox,
   doc_id AS byte_offset,

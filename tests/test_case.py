@@ -27,6 +27,9 @@ def test_case_outputs_agree_with_the_jobs(spark, tmp_path):
     assert inv.count() > 0
     manifest = spark.read.json(out["manifest"]).first()
     assert manifest.messages_total == n and manifest.title == "case"
+    scanned = spark.read.format("mbox").option("paths", "\n".join(FL.archives(spark, SF_SMALL))).load().count()
+    matched = spark.read.parquet(str(tmp_path / "01_extract" / "_matched")).count()
+    assert out["counters"] == {"scanned": scanned, "matched": matched, "extracted": n, "rows_cleaned": clean.count()}
     stripped = spark.read.format("mbox").option("paths", out["stripped_mbox"]).load()
     assert stripped.count() == n
 
