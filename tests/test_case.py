@@ -11,6 +11,8 @@ from mailsift.plans import scan as PS
 from mailsift.plans.case import CSV, run_case
 from tests.conftest import SF_SMALL
 
+CSV = CSV | {"multiLine": "true"}        # a folded subject has line breaks
+
 
 def test_case_outputs_agree_with_the_jobs(spark, tmp_path):
     """Index rows = extracted messages; cleaned hits = the composite job; render numbers
