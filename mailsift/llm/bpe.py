@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailsift.llm import units
+from mailsift.llm.common import trimmed
 
 SHORT = 48
 MEMO_ENTRIES = 500_000         # a worker's memo is emptied beyond this; bounds its memory
@@ -395,7 +396,7 @@ def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), _ids_array(bpe, b.column("text"))], ["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
@@ -408,7 +409,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
                                              ["doc_id", "ids", "decoded"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+    return encoded.select("doc_id", "ids").mapInArrow(trimmed(run), f"doc_id {kind}, ids array<int>, decoded string")
 
 
 def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -424,7 +425,7 @@ def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([some.column("doc_id"), ids, _texts_array(bpe, ids)], ["doc_id", "ids", "decoded"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), f"doc_id {kind}, ids array<int>, decoded string")
 
 
 def ids_text(ids: Column) -> Column:

@@ -69,6 +69,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def trimmed(stage):
+    """A Python stage that at its end gives freed memory back to the system: a worker stays alive,
+    idle, beside the workers of the next stage, and the allocator would keep what arrays took."""
+    def run(batches):
+        import ctypes
+        yield from stage(batches)
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+        if trim:
+            trim(0)
+    return run
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished steps: it does so once their plans are
     collected, which a driver with room to spare would put off."""

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from mailsift.llm import segments as S
 from mailsift.llm import units as U
-from mailsift.llm.common import delete, written
+from mailsift.llm.common import delete, trimmed, written
 from mailsift.llm.exact import one_each
 from mailsift.llm.graph import components
 
@@ -84,7 +84,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                  pa.array(out["prefix_key"], pa.binary()), *(pa.array(out[k], pa.list_(pa.int64())) for k in ("prefix", "small", "sketch"))],
                 ["doc", "tag", "n", "key", "prefix_key", "prefix", "small", "sketch"])
 
-    sets = S.numbered(docs).mapInArrow(run, "doc long, tag long, n int, key binary, prefix_key binary, prefix array<long>, small array<long>, sketch array<long>")
+    sets = S.numbered(docs).mapInArrow(trimmed(run), "doc long, tag long, n int, key binary, prefix_key binary, prefix array<long>, small array<long>, sketch array<long>")
     return written(sets.withColumn("u", F.monotonically_increasing_id()), "sets")
 
 
@@ -140,7 +140,7 @@ def _whole_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    return S.numbered(docs).join(ids, S.ID).mapInArrow(run, "u long, set array<long>")
+    return S.numbered(docs).join(ids, S.ID).mapInArrow(trimmed(run), "u long, set array<long>")
 
 
 def _linked(close: DataFrame, whole: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailsift.llm import bpe
-from mailsift.llm.common import written
+from mailsift.llm.common import trimmed, written
 
 CAPACITY = 2048
 
@@ -55,7 +55,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = CA
                  ("ids_crc32", pa.int64()), ("part", pa.int32()), ("rank", pa.int64())]))
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long")
+        trimmed(run), "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long")
 
 
 def sweep(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:

@@ -17,6 +17,8 @@ from bisect import bisect_left
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mailsift.llm.common import trimmed
+
 BASE_KINDS = ("assign", "access", "hex")
 WEAK_KINDS = ("ident", "key", "endpoint")
 
@@ -99,7 +101,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, spans array<struct<kind: string, start: bigint, end: bigint>>")
+        trimmed(run), f"doc_id {kind}, spans array<struct<kind: string, start: bigint, end: bigint>>")
 
 
 def span_text(spans: Column) -> Column:
@@ -127,7 +129,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
             at = b.schema.get_field_index("text")
             yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = docs.mapInArrow(trimmed(run), docs.schema)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))

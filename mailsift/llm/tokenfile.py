@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mailsift.llm import bpe
-from mailsift.llm.common import written
+from mailsift.llm.common import trimmed, written
 
 FRAME_BYTES = 1 << 18
 LEVEL = 1
@@ -165,7 +165,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
                                           "n_tokens": [int(np.sum(out.counts))]})
 
     ranged = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    files = ranged.mapInArrow(write, "part long, file string, n_docs long, n_tokens long")
+    files = ranged.mapInArrow(trimmed(write), "part long, file string, n_docs long, n_tokens long")
     return written(files, "tokenfiles")
 
 

@@ -9,7 +9,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailsift.llm.common import written
+from mailsift.llm.common import trimmed, written
 
 BLOCK_BYTES = 1 << 19          # documents are hashed together up to this size
 SKETCH_BITS = 20               # counters of the gram sketch, whatever the corpus holds
@@ -253,7 +253,7 @@ def heavy_grams(docs: DataFrame, kind: str, k: int) -> bytes:
 
     schema = "row int, n long, counts binary"
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    parts = docs.select(raw.alias("raw")).mapInArrow(count, schema)
+    parts = docs.select(raw.alias("raw")).mapInArrow(trimmed(count), schema)
     # Two rounds of adding, so that no task meets the counters of more than a part of the tasks.
     salted = parts.repartition(SKETCH_ROWS * 4, "row", (F.rand(7) * 16).cast("int")).mapInArrow(add, schema)
     sums = written(salted.repartition(SKETCH_ROWS, "row").mapInArrow(add, schema), "sketch")
