@@ -8,6 +8,7 @@ from mailsift import oracle as O
 from mailsift.plans import corpus
 from mailsift.session import shared_dir
 from mailsift.sources.binding import duck_mail_cte, mail
+from mailsift.sources.csvrecords import read_records
 from mailsift.sources.mbox import read_mbox, write_mbox
 from mailsift.sources.tables import _fingerprint, path_exists, table, touch
 
@@ -71,10 +72,7 @@ def q_hits_csv_roundtrip(spark, sf_dir):
     path = shared_dir(spark, f"csv/hits-{_fingerprint(spark, sf_dir)}")
     if not path_exists(spark, path + "/_SUCCESS"):
         corpus.q_hits(spark, sf_dir).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
-    back = spark.read.options(**CSV_OPTIONS).schema(HIT_DDL).csv(path)
-    if "exact_text" not in back.columns:
-        raise ValueError(f"{path} has no 'exact_text' column (found: {', '.join(back.columns)})")
-    return back
+    return read_records(spark, path, required="exact_text", types=HIT_DDL)
 
 
 SQL = {

@@ -66,11 +66,11 @@ def q_extract_incremental(spark, sf_dir):
 
 
 def q_stream_dedup(spark, sf_dir):
-    """L2: distinct non-blank Message-IDs through streaming state."""
+    """L2: first-wins by Message-ID through keyed streaming state; equals the batch result."""
     src = stream_input(spark, sf_dir)
     out, ckpt = _run_dirs(spark, sf_dir, "dedup")
     INC.run_stream_dedup(spark, src, out, ckpt, FILES_PER_BATCH)
-    return spark.read.parquet(out).select("message_id")
+    return INC.first_copies(spark, out)
 
 
 def q_strip_incremental(spark, sf_dir):
@@ -94,7 +94,12 @@ def q_label_incremental(spark, sf_dir):
 SQL = {
     "extract_incremental": EXP.SQL["extract_dedup"],
     "label_incremental": LABEL.SQL["label_matches"],
-    "stream_dedup": f"WITH {duck_mail_cte()}\nSELECT DISTINCT message_id FROM ms WHERE message_id <> ''",
+    "stream_dedup": f"""WITH {duck_mail_cte()}
+SELECT source_ord, source_mbox, byte_offset, message_id FROM ms
+WHERE message_id = '' OR (source_ord, byte_offset) IN (
+  SELECT (f.source_ord, f.byte_offset) FROM (
+    SELECT min(struct_pack(source_ord := source_ord, byte_offset := byte_offset)) AS f
+    FROM ms WHERE message_id <> '' GROUP BY message_id))""",
     "strip_incremental": MIME.SQL["attachment_inventory"],
 }
 

@@ -68,21 +68,45 @@ def run_extract_incremental(spark: SparkSession, source: str, out: str, checkpoi
     q.awaitTermination()
 
 
+def _rocksdb(spark: SparkSession) -> None:
+    """All ids ever seen are state: on disk, not on the executors' heaps."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def run_stream_dedup(spark: SparkSession, source: str, out: str, checkpoint: str,
                      files_per_batch: int = 1) -> None:
-    """L2: state-store de-duplication of non-blank Message-IDs (unbounded key state)."""
+    """L2: first-wins by Message-ID, in whatever order the files arrive. The state keeps the
+    smallest (source_ord, byte_offset) of each id, a blank id by its own position; a batch writes
+    the ids it met with their winner as of then. A key's state and update depend on that key alone:
+    a batch reads no history. ``first_copies`` reads the result."""
     check_fingerprint(spark, checkpoint, {"job": "stream_dedup", "source": source})
-    # All ids ever seen are state: on disk, not on the executors' heaps.
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    m = messages(mail_stream(spark, source, files_per_batch)).where(F.col("message_id") != "") \
-        .select("message_id").dropDuplicates(["message_id"])
-    q = m.writeStream.format("parquet").option("path", out) \
-        .option("checkpointLocation", checkpoint).outputMode("append") \
-        .trigger(availableNow=True).start()
+    _rocksdb(spark)
+    place = F.struct("source_ord", "byte_offset", "source_mbox")
+    blank = F.concat(F.lit("\u0000"), F.col("source_ord").cast("string"), F.lit(":"), F.col("byte_offset").cast("string"))
+    first = messages(mail_stream(spark, source, files_per_batch)) \
+        .groupBy(F.when(F.col("message_id") == "", blank).otherwise(F.col("message_id")).alias("key")) \
+        .agg(F.min(place).alias("first"))
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    q = first.writeStream.outputMode("update").foreachBatch(batch) \
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 
 
+def first_copies(spark: SparkSession, out: str) -> DataFrame:
+    """The first copy of every Message-ID that ``run_stream_dedup`` has met so far: (source_ord,
+    source_mbox, byte_offset, message_id). Winners only move forward, so the least update is the
+    last one; one aggregate that combines before its shuffle."""
+    won = spark.read.schema("key string, first struct<source_ord int, byte_offset bigint, source_mbox string>") \
+        .parquet(out).groupBy("key").agg(F.min("first").alias("first"))
+    blank = F.col("key").startswith("\u0000")
+    return won.select("first.source_ord", "first.source_mbox", "first.byte_offset",
+                      F.when(blank, F.lit("")).otherwise(F.col("key")).alias("message_id"))
+
+
 def run_strip_incremental(spark: SparkSession, source: str, out: str, checkpoint: str,
                           files_per_batch: int = 1) -> None:
     """L4: the stripped records, their kept parts and the inventory rows of a batch are
@@ -120,26 +144,45 @@ SNAPSHOT_SCHEMA = "uid BIGINT, raw BINARY"
 
 def run_label_incremental(spark: SparkSession, source: str, out: str, checkpoint: str,
                           domains: list[str], files_per_batch: int = 1) -> None:
-    """At-least-once labelling. Each batch skips UIDs already in ``processed``,
-    writes its matches, then records the UIDs it examined; a UID that could not be fetched
-    is not recorded, so the next run tries it again."""
+    """At-least-once labelling. Each batch skips UIDs already in ``processed``, writes its
+    matches, then records the UIDs it examined; a UID that could not be fetched goes to ``pending``
+    instead. The file source gives a file once, so after the new files every run asks the snapshot
+    again for the UIDs that are pending: those readable by now (the snapshot was fetched anew, in the
+    same files or in others) are labelled under a negative batch id."""
     from mailsift.functions import headers as H
     from mailsift.operators import label as L
     check_fingerprint(spark, checkpoint, {"job": "label", "source": source, "domains": domains})
 
-    def batch(df: DataFrame, batch_id: int) -> None:
-        snap = df.select("uid", H.parse_headers(H.message_text(F.col("raw"))).alias("headers"))
-        done = _committed(df.sparkSession, f"{out}/processed", batch_id)
-        if done is not None:
-            snap = snap.join(done.select("uid"), "uid", "left_anti")
+    def label(snap: DataFrame, batch_id: int) -> None:
+        snap = snap.select("uid", H.parse_headers(H.message_text(F.col("raw"))).alias("headers"))
         scanned = L.match_domains(L.with_domains(snap), domains).persist()
         scanned.where("fetched AND matched").select("uid", "domain") \
             .write.mode("overwrite").parquet(f"{out}/matches/batch_id={batch_id}")
+        if batch_id >= 0:
+            scanned.where("NOT fetched").select("uid") \
+                .write.mode("overwrite").parquet(f"{out}/pending/batch_id={batch_id}")
         scanned.where("fetched").select("uid") \
             .write.mode("overwrite").parquet(f"{out}/processed/batch_id={batch_id}")
         scanned.unpersist()
 
+    def batch(df: DataFrame, batch_id: int) -> None:
+        done = _committed(df.sparkSession, f"{out}/processed", batch_id)
+        label(df if done is None else df.join(done.select("uid"), "uid", "left_anti"), batch_id)
+
     q = spark.readStream.schema(SNAPSHOT_SCHEMA).option("maxFilesPerTrigger", files_per_batch) \
         .parquet(source).writeStream.foreachBatch(batch) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
+
+    if not path_exists(spark, f"{out}/pending"):
+        return
+    done = spark.read.parquet(f"{out}/processed")
+    # The number of the attempt is taken from what is recorded: one that broke off before it
+    # recorded its UIDs is done again under the same number and replaces its own matches.
+    last = done.agg(F.min("batch_id")).first()[0]
+    pending = spark.read.parquet(f"{out}/pending").select("uid").distinct() \
+        .join(done.select("uid"), "uid", "left_anti")
+    readable = spark.read.schema(SNAPSHOT_SCHEMA).parquet(source).where("raw IS NOT NULL") \
+        .join(pending, "uid", "left_semi").dropDuplicates(["uid"])
+    if not readable.isEmpty():
+        label(readable, min(last, -1) - 1)

@@ -65,6 +65,53 @@ def test_label_resume_skips_processed_and_retries_unfetched(spark):
     assert matches == [3] and done == [1, 3, 4]
 
 
+def test_unfetched_uid_is_labelled_once_it_can_be_read(spark, tmp_path):
+    """Unfetched in run 1, readable in run 2 in the file that the stream has read already: labelled
+    then, once, and no longer pending; what stays unreadable stays pending and is asked again."""
+    src, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    raw = {i: plain(frm=f"a{i}@target.test").encode() for i in (1, 2, 3)}
+    files = src + "/*/*.parquet"
+
+    def fetch(*uids):
+        rows = [(i, raw[i] if i in uids else None) for i in raw]
+        spark.createDataFrame(rows, "uid bigint, raw binary").coalesce(1).write.parquet(str(tmp_path / f"new{len(uids)}"))
+        new = [f for f in os.listdir(tmp_path / f"new{len(uids)}") if f.endswith(".parquet")][0]
+        os.makedirs(src + "/chunk=0", exist_ok=True)
+        shutil.copyfile(tmp_path / f"new{len(uids)}" / new, src + "/chunk=0/snapshot.parquet")
+
+    def labelled():
+        return sorted(r.uid for r in spark.read.parquet(out + "/matches").collect())
+    for uids, want in (((1,), [1]), ((1, 2), [1, 2]), ((1, 2, 3), [1, 2, 3])):
+        fetch(*uids)
+        for _ in range(2):                  # a second run over the same files changes nothing
+            INC.run_label_incremental(spark, files, out, ckpt, ["target.test"])
+            assert labelled() == want
+    assert sorted(r.uid for r in spark.read.parquet(out + "/processed").collect()) == [1, 2, 3]
+
+
+def test_stream_first_wins_with_late_earlier_copies(spark, tmp_path):
+    """Files that arrive in reverse archive order: the same first copies as the batch job, blank ids
+    (never copies of each other) included."""
+    blank = plain(mid="x").replace("Message-ID: <x@example.com>\n", "")
+    chunks = [[plain(mid="a"), blank, plain(mid="b")], [plain(mid="a"), blank, plain(mid="c")],
+              [plain(mid="c"), plain(mid="b"), plain(mid="d")]]
+    src, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    os.makedirs(src)
+    _write_chunks(spark, src, chunks)
+    for i in range(3):                      # the source takes the oldest file first
+        os.utime(f"{src}/chunk-{i:03d}.parquet", (1_700_000_000 - i * 100,) * 2)
+    INC.run_stream_dedup(spark, src, out, ckpt)
+    cols = ["source_ord", "source_mbox", "byte_offset", "message_id"]
+    def rows(df):
+        return sorted(map(tuple, df.select(*cols).collect()))
+    want = rows(X.first_wins(messages(spark.read.parquet(src)).select(*cols)))
+    assert rows(INC.first_copies(spark, out)) == want
+    assert [r[2:] for r in want if r[3] == ""] == [(1, ""), (101, "")]
+    assert spark.read.parquet(out).count() > len(want)      # an earlier winner was replaced
+    INC.run_stream_dedup(spark, src, out, ckpt)
+    assert rows(INC.first_copies(spark, out)) == want
+
+
 def test_fingerprint_lies_in_the_file_system_of_the_path(spark, tmp_path):
     """A checkpoint URI with a scheme holds its own marker; another job is refused."""
     path = f"file://{tmp_path}/ckpt"
