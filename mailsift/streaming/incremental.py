@@ -48,30 +48,57 @@ def _committed(spark: SparkSession, out: str, batch_id: int) -> DataFrame | None
     return done.where(F.col("batch_id") < batch_id)
 
 
+def _rocksdb(spark: SparkSession) -> None:
+    """All ids ever seen are state: on disk, not on the executors' heaps."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+EXTRACT_COLUMNS = ["source_ord", "source_mbox", "byte_offset", "message_id", "date_iso", "date_raw",
+                   "from", "to", "cc", "subject_raw", "raw"]
+
+
+def _first_unseen(_key, frames, state):
+    """The first of this batch's copies of an id that no earlier batch had; one row is held. A blank
+    id is keyed by its position and leaves no state."""
+    if state.exists:
+        return
+    best = None
+    for frame in frames:
+        # The id's rows come in pieces of an Arrow batch, so its number of copies does not matter.
+        row = frame.sort_values(["source_ord", "byte_offset"]).iloc[:1]
+        place = (row["source_ord"].iat[0], row["byte_offset"].iat[0])
+        if best is None or place < best[0]:
+            best = (place, row)
+    if best[1]["message_id"].iat[0]:
+        state.update((True,))
+    yield best[1][EXTRACT_COLUMNS]
+
+
 def run_extract_incremental(spark: SparkSession, source: str, out: str, checkpoint: str,
                             address: str, files_per_batch: int = 1) -> None:
-    """L1/L2/E5: first-wins extract across micro-batches; batch order = archive order."""
+    """L1/L2/E5: first-wins extract across micro-batches; batch order = archive order. The ids seen
+    are keyed state (RocksDB, hashed over the state partitions): a batch looks up its own ids and
+    reads no earlier output."""
     check_fingerprint(spark, checkpoint, {"job": "extract", "source": source, "address": address})
+    _rocksdb(spark)
+    m = messages(mail_stream(spark, source, files_per_batch))
+    matched = m.where(X.address_matches(F.col("participants"), address)).select(*EXTRACT_COLUMNS)
+    new = matched.withColumn("_key", _id_or_place()).groupBy("_key").applyInPandasWithState(
+        _first_unseen, matched.schema, "seen boolean", "append", "NoTimeout")
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        cols = ["source_ord", "source_mbox", "byte_offset", "message_id", "date_iso",
-                "date_raw", "from", "to", "cc", "subject_raw", "raw"]
-        ex = X.extract(messages(df).select(*cols, "participants"), address, cols).select(*cols)
-        done = _committed(df.sparkSession, out, batch_id)
-        if done is not None:
-            ids = done.where(F.col("message_id") != "").select("message_id")
-            ex = ex.join(ids, "message_id", "left_anti")
-        ex.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    q = mail_stream(spark, source, files_per_batch).writeStream.foreachBatch(batch) \
+    q = new.writeStream.foreachBatch(batch) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 
 
-def _rocksdb(spark: SparkSession) -> None:
-    """All ids ever seen are state: on disk, not on the executors' heaps."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+def _id_or_place():
+    """The Message-ID, or for a blank one the row's own position."""
+    place = F.concat(F.lit("\u0000"), F.col("source_ord").cast("string"), F.lit(":"), F.col("byte_offset").cast("string"))
+    return F.when(F.col("message_id") == "", place).otherwise(F.col("message_id"))
 
 
 def run_stream_dedup(spark: SparkSession, source: str, out: str, checkpoint: str,
@@ -83,9 +110,8 @@ def run_stream_dedup(spark: SparkSession, source: str, out: str, checkpoint: str
     check_fingerprint(spark, checkpoint, {"job": "stream_dedup", "source": source})
     _rocksdb(spark)
     place = F.struct("source_ord", "byte_offset", "source_mbox")
-    blank = F.concat(F.lit("\u0000"), F.col("source_ord").cast("string"), F.lit(":"), F.col("byte_offset").cast("string"))
     first = messages(mail_stream(spark, source, files_per_batch)) \
-        .groupBy(F.when(F.col("message_id") == "", blank).otherwise(F.col("message_id")).alias("key")) \
+        .groupBy(_id_or_place().alias("key")) \
         .agg(F.min(place).alias("first"))
 
     def batch(df: DataFrame, batch_id: int) -> None:

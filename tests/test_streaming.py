@@ -48,6 +48,26 @@ def test_resume_equals_uninterrupted_and_rerun_is_noop(spark):
         INC.run_extract_incremental(spark, src, out, ckpt, "@other.test")
 
 
+def test_extract_batches_read_no_history(spark, tmp_path):
+    """Copies inside a batch, over batches and blank ids as in the batch job, and no batch opens the
+    output of an earlier one: the output is gone before the last batch runs, and nothing changes."""
+    blank = plain(mid="x", to="t@x.test").replace("Message-ID: <x@example.com>\n", "")
+    chunks = [[plain(mid="a", to="t@x.test"), blank, plain(mid="a", to="t@x.test", body="again")],
+              [plain(mid="a", to="t@x.test"), blank, plain(mid="b", to="t@x.test")]]
+    src, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    os.makedirs(src)
+    _write_chunks(spark, src, chunks[:1])
+    INC.run_extract_incremental(spark, src, out, ckpt, "@x.test")
+    first = spark.read.parquet(out).select("message_id", "byte_offset").collect()
+    os.rename(out, str(tmp_path / "kept"))
+    _write_chunks(spark, src, chunks)
+    INC.run_extract_incremental(spark, src, out, ckpt, "@x.test")
+    second = spark.read.parquet(out).select("message_id", "byte_offset").collect()
+    want = X.extract(messages(spark.read.parquet(src)), "@x.test").select("message_id", "byte_offset").collect()
+    assert sorted(map(tuple, first + second)) == sorted(map(tuple, want))
+    assert sorted(map(tuple, second)) == [("", 101), ("<b@example.com>", 102)]
+
+
 def test_label_resume_skips_processed_and_retries_unfetched(spark):
     """UIDs already processed are skipped; an unfetched UID is not recorded as processed,
     so it is tried again next run."""
