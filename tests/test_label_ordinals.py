@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -44,6 +46,28 @@ def test_large_domain_set_and_unfetched(spark):
     assert a == b == [(1, True, "target.test"), (2, True, "other.test"), (3, None, None)]
 
 
+def test_prefix_lookup_equals_plain_search():
+    """The bisection over sorted domains finds what a search for every domain finds."""
+    rnd = random.Random(3)
+    word = lambda n: "".join(rnd.choice("ab.") for _ in range(rnd.randrange(1, n)))
+    for _ in range(300):
+        names = sorted({word(6) for _ in range(rnd.randrange(0, 9))})
+        chain = L.prefix_chain(names)
+        for text in (word(9) for _ in range(20)):
+            assert L.starts_with_any(text, names, chain) == any(text.startswith(n) for n in names)
+
+
+def test_candidates_of_a_large_set_are_re_checked(spark):
+    """Fast mode with 100,000 domains: the set is not in the plan; a candidate by a longer domain or
+    by a display name fails the re-check; a domain over two headers is no candidate."""
+    raws = [plain(frm="a@target.test"), plain(frm="a@target.test.evil"), plain(frm='"x@target.test" <b@else.test>'),
+            plain(frm="a@sub.target.test"), plain(extra={"Cc": "Boss <b@TARGET.test>"}), plain(frm="a@tar", to="get.test")]
+    s = L.match_domains(L.with_domains(_snapshot(spark, raws)), many := ["target.test"] + [f"d{i}.test" for i in range(100_000)])
+    fast = s.where(L.fast_candidates(s, many)).select("uid", "matched")
+    assert "d77777.test" not in fast._jdf.queryExecution().toString()
+    assert sorted(map(tuple, fast.collect())) == [(1, True), (2, False), (3, False), (5, True)]
+
+
 def test_number_rows_equals_row_number(spark):
     """Range-partitioned numbering equals a single global row_number."""
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5003).alias("k"), "id") \
