@@ -14,6 +14,8 @@ into the same folder replaces the earlier one.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from mailsift.operators import parts as P
 from mailsift.operators.messages import messages
 from mailsift.plans import render as R
 from mailsift.plans.scan import hits_of, scan_frame
+from mailsift.sources.filehash import CHUNK_BYTES, set_hashes
 from mailsift.sources.ingest import mime_of
 from mailsift.sources.mbox import read_mbox, write_mbox
 
@@ -111,8 +114,16 @@ def run_case(spark: SparkSession, archives: list[str], address: str, out_dir: st
     R.message_index(spark, None, mime_df=m4).join(num.select("n", "n_all"), "n") \
         .orderBy("n_all").drop("n_all").write.mode("overwrite").options(**CSV) \
         .csv(f"{d4}/messages.csv")
-    R.write_document(spark, None, f"{d4}/document", title=title, mime_df=m4)
-    R.manifest(spark, None, mime_df=m4).withColumn("title", F.lit(title)) \
+    rendered = datetime.now(timezone.utc).isoformat()
+    [(size, sha)] = set_hashes(spark, [out["extract_mbox"]])
+    R.write_document(spark, None, f"{d4}/document", title=title, mime_df=m4,
+                     source={"path": out["extract_mbox"], "size": size, "sha256": sha, "rendered": rendered})
+    (_, md_sha), (_, csv_sha) = set_hashes(spark, [f"{d4}/document", f"{d4}/messages.csv"])
+    # Paths and roots of the files beside the figures of the messages.
+    facts = {"rendered_utc": rendered, "title": title, "input_mbox": out["extract_mbox"], "input_mbox_sha256": sha,
+             "input_mbox_size": size, "output_md": f"{d4}/document", "output_md_sha256": md_sha,
+             "output_csv": f"{d4}/messages.csv", "output_csv_sha256": csv_sha, "sha256_chunk_bytes": CHUNK_BYTES}
+    R.manifest(spark, None, mime_df=m4).select(*[F.lit(v).alias(k) for k, v in facts.items()], "*") \
         .coalesce(1).write.mode("overwrite").json(f"{d4}/manifest.json")
     # The writer's rows are kept first and sorted then: nothing may run the writer twice.
     saved = _stage(R.attachment_writes(spark, None, folder=f"{d4}/attachments", mime_df=m4),

@@ -319,11 +319,15 @@ SQL["document_blocks"] = _document_sql()
 QUERIES["document_blocks"] = document_blocks
 
 
-def provenance_lines(spark, sf_dir, title: str, mime_df=None):
-    """The document head: title and provenance figures from the manifest (one row)."""
+def provenance_lines(spark, sf_dir, title: str, mime_df=None, source: dict | None = None):
+    """The document head: title, the source (path, size, sha256, time rendered) where it is given, and
+    provenance figures from the manifest (one row)."""
     m = manifest(spark, sf_dir, mime_df)
+    lines = "" if source is None else (
+        f"- Source mbox: `{source['path']}`\n- Source size: {source['size']:,} bytes\n"
+        f"- Source SHA-256: `{source['sha256']}`\n- Rendered: {source['rendered']}\n")
     return m.select(F.concat(
-        F.lit(f"# {title}\n\n## Provenance\n\n"),
+        F.lit(f"# {title}\n\n## Provenance\n\n{lines}"),
         F.format_string("- Total messages: %d\n", "messages_total"),
         F.format_string("- Dated (in chronological section): %d\n", "messages_dated"),
         F.format_string("- Undated (appended at end): %d\n", "messages_undated"),
@@ -336,22 +340,33 @@ def provenance_lines(spark, sf_dir, title: str, mime_df=None):
               "## Messages (chronological)\n\n")).alias("value"))
 
 
-def write_document(spark, sf_dir, path: str, title: str = "mail", mime_df=None) -> None:
+def write_document(spark, sf_dir, path: str, title: str = "mail", mime_df=None,
+                   source: dict | None = None) -> None:
     """B7 sink: the whole document as ordered text parts under ``path``.
 
-    Row 0 is the head, then each message block at its document number with the undated
-    section heading before the first undated block. The rows are range-partitioned and
-    sorted on that number, so concatenating the part files in name order gives the
-    document; no task ever holds more than its range."""
+    The head comes first, then each message block at its document number with the undated
+    section heading before the first undated block, then the records that could not be parsed
+    in archive order under a heading of their own, if there are any. The rows are
+    range-partitioned and sorted on (section, archive, place), so concatenating the part files in
+    name order gives the document; no task ever holds more than its range."""
+    order = ["section", "a", "b"]
+
+    def at(section: int, a, b, value):
+        return [F.lit(section).alias("section"), a.cast("int").alias("a"), b.cast("long").alias("b"), value.alias("value")]
+    zero = F.lit(0)
     blocks = document_blocks(spark, sf_dir, mime_df)
-    first_undated = F.col("section") == 2
     undated_head = "\n---\n\n## Messages (undated)\n\n"
-    rows = blocks.select(
-        F.col("n_all").alias("pos"),
-        F.concat(F.when(first_undated & (F.col("n") == "U0001"), F.lit(undated_head))
-                 .otherwise(F.lit("")), F.col("block")).alias("value"))
-    head = provenance_lines(spark, sf_dir, title, mime_df).select(F.lit(0).cast("long").alias("pos"), "value")
+    rows = blocks.select(*at(1, zero, F.col("n_all"), F.concat(
+        F.when((F.col("section") == 2) & (F.col("n") == "U0001"), F.lit(undated_head)).otherwise(F.lit("")), F.col("block"))))
+    head = provenance_lines(spark, sf_dir, title, mime_df, source).select(*at(0, zero, zero, F.col("value")))
+    errors_head = ("\n---\n\n## Parse errors\n\n"
+                   "These message regions could not be parsed and were skipped.\n\n")
+    errors = manifest(spark, sf_dir, mime_df).where("parse_errors > 0").select(*at(2, zero, zero, F.lit(errors_head)))
+    listed = parsed(spark, sf_dir, mime_df).where(F.col("parse_error").isNotNull()).select(*at(
+        3, F.col("source_ord"), F.col("byte_offset"),
+        F.concat(F.lit("- byte offset "), F.format_number("byte_offset", 0), F.lit(": `"), F.col("parse_error"), F.lit("`\n"))))
     # Every value ends with a newline; the text sink adds it back as the line separator.
-    head.unionByName(rows).repartitionByRange("pos").sortWithinPartitions("pos") \
+    head.unionByName(rows).unionByName(errors).unionByName(listed) \
+        .repartitionByRange(*order).sortWithinPartitions(*order) \
         .select(F.expr("substr(value, 1, length(value) - 1)").alias("value")) \
         .write.mode("overwrite").text(path)

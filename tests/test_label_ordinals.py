@@ -92,3 +92,21 @@ def test_document_parts_concatenate_in_order(spark, tmp_path):
     undated = [n for n in ns if n.startswith("U")]
     assert ns == dated + undated and dated == sorted(dated) and undated == sorted(undated)
     assert len(ns) == 200 and "## Messages (undated)" in text
+
+
+def test_document_lists_parse_errors_last(spark, tmp_path):
+    """Records that could not be parsed come last, in archive order, under their heading; without any
+    there is no heading."""
+    import glob
+    from mailsift.plans.render import write_document
+    from mailsift.sources.ingest import mime_of
+    mime_of(mail_frame(spark, [plain(mid=str(i)) for i in range(1200)])).write.parquet(str(tmp_path / "mime"))
+    m = spark.read.parquet(str(tmp_path / "mime"))
+    broken = m.withColumn("parse_error", F.when(F.col("byte_offset").isin(3, 1100), F.lit("ValueError('x')")))
+    texts = []
+    for name, df in (("ok", m), ("bad", broken)):
+        write_document(spark, None, str(tmp_path / name), mime_df=df)
+        texts.append("".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(str(tmp_path / name) + "/part-*"))))
+    assert "## Parse errors" not in texts[0] and "- Parse errors: 2\n" in texts[1]
+    assert texts[1].endswith("\n---\n\n## Parse errors\n\nThese message regions could not be parsed and were skipped.\n\n"
+                             "- byte offset 3: `ValueError('x')`\n- byte offset 1,100: `ValueError('x')`\n")
