@@ -11,7 +11,7 @@ import pytest
 from mailsift.operators import extract as X
 from mailsift.operators.messages import messages
 from mailsift.streaming import incremental as INC
-from tests.conftest import mail_frame, plain
+from tests.conftest import leaf, mail_frame, multipart, plain
 
 
 def _write_chunks(spark, folder, chunks):
@@ -140,3 +140,58 @@ def test_fingerprint_lies_in_the_file_system_of_the_path(spark, tmp_path):
     assert (tmp_path / "ckpt" / "_job.json").exists()
     with pytest.raises(ValueError):
         INC.check_fingerprint(spark, path, {"job": "b"})
+
+
+def _split_mail(spark, tmp_path, splits=4):
+    """Two archives as a table of ``splits`` files, one split each; the second third of the first
+    archive's offsets is empty."""
+    offsets = [(0, i) for i in range(10)] + [(0, i) for i in range(20, 30)] + [(1, i) for i in range(30)]
+    rows = [(s, f"arch{s}.mbox", i, plain(mid=str(i % 7), frm=f"a{i}@target.test").encode()) for s, i in offsets]
+    spark.createDataFrame(rows, "source_ord int, source_mbox string, byte_offset bigint, raw binary") \
+        .repartition(splits).write.parquet(str(tmp_path / "mail"))
+    return spark.read.parquet(str(tmp_path / "mail"))
+
+
+@pytest.fixture()
+def one_split_a_file(spark):
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
+    yield
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def _files(chunk):
+    return [f for f in os.listdir(chunk) if f.endswith(".parquet")]
+
+
+def test_stream_input_is_written_by_every_split(spark, tmp_path, monkeypatch, one_split_a_file):
+    """No task writes a chunk alone; chunks have equally many files, one without rows too, so that a
+    trigger still takes one whole archive, the first one first."""
+    from mailsift.plans import streams as ST
+    m = _split_mail(spark, tmp_path)
+    monkeypatch.setattr(ST, "mail", lambda *_: m)
+    monkeypatch.setattr(ST, "_fingerprint", lambda *_: "x")
+    monkeypatch.setattr(ST, "shared_dir", lambda _spark, name: str(tmp_path / name))
+    src = ST.stream_input(spark, "any")
+    chunks = [str(tmp_path / f"stream/x/in/chunk={k:04d}") for k in range(6)]
+    assert [len(_files(c)) for c in chunks] == [4] * 6
+    assert [spark.read.parquet(c).count() for c in chunks] == [10, 0, 10, 10, 10, 10]
+    assert spark.read.parquet(src).count() == m.count()
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    INC.run_strip_incremental(spark, src, out, ckpt, ST.files_per_archive(spark, src))
+    batches = spark.read.parquet(out + "/stripped").select("batch_id", "source_ord").distinct().collect()
+    assert sorted(map(tuple, batches)) == [(0, 0), (1, 1)]
+
+
+def test_snapshot_input_is_written_by_every_split(spark, tmp_path, monkeypatch, one_split_a_file):
+    """As the mail table; a trigger takes one chunk of 11 UIDs."""
+    from mailsift.plans import label, streams as ST
+    m = _split_mail(spark, tmp_path).where("source_ord = 1").selectExpr("byte_offset + 1 AS uid", "raw")
+    monkeypatch.setattr(label, "snapshot_raw", lambda *_: m)
+    monkeypatch.setattr(ST, "_fingerprint", lambda *_: "x")
+    monkeypatch.setattr(ST, "shared_dir", lambda _spark, name: str(tmp_path / name))
+    src = ST.snapshot_input(spark, "any")
+    assert [len(_files(tmp_path / f"stream/x/snap/chunk={k:04d}")) for k in range(3)] == [4] * 3
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    INC.run_label_incremental(spark, src, out, ckpt, ["target.test"], ST.files_per_chunk(spark, src))
+    got = spark.read.parquet(out + "/processed").collect()
+    assert sorted((r.batch_id, r.uid) for r in got) == [(i // 11, i + 1) for i in range(30)]
