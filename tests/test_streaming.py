@@ -195,3 +195,23 @@ def test_snapshot_input_is_written_by_every_split(spark, tmp_path, monkeypatch,
     INC.run_label_incremental(spark, src, out, ckpt, ["target.test"], ST.files_per_chunk(spark, src))
     got = spark.read.parquet(out + "/processed").collect()
     assert sorted((r.batch_id, r.uid) for r in got) == [(i // 11, i + 1) for i in range(30)]
+
+
+def test_strip_keeps_no_part_contents(spark, tmp_path, monkeypatch):
+    """What a batch holds for its three outputs is the record and its parts without their contents."""
+    from mailsift.operators import parts as P
+    held = []
+    real = P.strip_records
+    monkeypatch.setattr(P, "strip_records", lambda m, keys: held.append(m) or real(m, keys))
+    src, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    os.makedirs(src)
+    body = multipart("m", "mixed", [leaf("text/plain", "hi"), leaf("application/pdf", b"data", "attachment", "a.pdf", b64=True)])
+    _write_chunks(spark, src, [[body, plain(mid="a")]])
+    INC.run_strip_incremental(spark, src, out, ckpt)
+    assert not {"scan_body", "render", "attachments"} & set(held[0].columns)
+    assert not {"payload", "text", "visible"} & set(held[0].schema["parts"].dataType.elementType.names)
+    row, = spark.read.parquet(out + "/inventory").collect()
+    assert (row["Message-ID"], row.Filename, row.Size) == ("<m@example.com>", "a.pdf", 4)
+    assert spark.read.parquet(out + "/stripped").count() == 2
+    kept = spark.read.parquet(out + "/stripped_parts").collect()
+    assert sorted(r.content_type for r in kept) == ["multipart/mixed", "text/plain", "text/plain"]
