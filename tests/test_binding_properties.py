@@ -40,3 +40,23 @@ def test_normalize_and_split_equal_python(spark, texts):
         want_flat = re.sub(r"\s+", " ", texts[r.i])
         assert r.f == want_flat
         assert r.s == re.split(r"(?<=[.!?])\s+", want_flat)
+
+
+def test_texts_and_pages_are_shuffled_once(spark, tmp_path):
+    """One exchange a table, whichever join is taken, and the same messages: a join that outgrows a
+    broadcast moves no text a second time."""
+    spark.createDataFrame([(i, f"text {i}", "src1") for i in range(40)], "doc_id long, text string, source string") \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, f"<p>{i}</p>") for i in range(0, 40, 4)], "page_id long, html string") \
+        .write.parquet(str(tmp_path / "pages.parquet"))
+    got = []
+    for limit in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            mail = B.mail_sources(spark, str(tmp_path))
+            plan = mail._jdf.queryExecution().executedPlan().toString()
+            assert len(re.findall(r"(?<!Broadcast)Exchange ", plan)) == 2 and "RoundRobin" not in plan
+            got.append(sorted(r.raw_text for r in mail.select("raw_text").collect()))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got[0] == got[1] and len(got[0]) == 40

@@ -154,3 +154,18 @@ def test_clean_removes_link_targets(spark):
     row = df.select(html_to_text(F.col("h")).alias("t")).select(
         "t", clean_text(F.col("t")).alias("c")).first()
     assert row.t == "See here <https://example.test>" and row.c == "See here"
+
+
+def test_stored_mime_table_holds_no_body_twice(spark, monkeypatch):
+    """Bodies and attachment lists are read off the stored parts; the table gives the same columns
+    and rows as a parse."""
+    from mailsift.sources import ingest
+    raws = [plain(mid="a"), multipart("m", "mixed", [leaf("text/html", "<p>hi</p>"), leaf("text/plain", "x", "attachment", "a.txt")])]
+    stored = []
+    monkeypatch.setattr(ingest, "mail", lambda *_: mail_frame(spark, raws))
+    monkeypatch.setattr(ingest, "materialized", lambda _s, _n, _d, build: stored.append(build()) or stored[0])
+    table = ingest.mime_table(spark, "any")
+    assert not {"attachments", "render", "scan_body", "scan_body_stripped"} & set(stored[0].columns)
+    whole = mime_of(mail_frame(spark, raws))
+    assert table.columns == whole.columns
+    assert sorted(map(str, table.collect())) == sorted(map(str, whole.collect()))
