@@ -9,7 +9,8 @@ largest chunk of the candidates must be the same. Groups where they are not (a c
 divided by the texts themselves.
 
 A group is only ever reduced (min, max, count), so copies combine before they are shuffled and a
-group with a third of all rows needs no task of its own. Null text counts as empty. A null
+group with a third of all rows needs no task of its own. Rows are sieved by a bitmap of the ids
+looked for before a join on ids, so at any size few other texts are shuffled. Null text counts as empty. A null
 doc_id is smaller than all others. ``row_groups`` counts and returns every row; in
 ``exact_groups`` a row repeated with the same doc_id and text is one document and comes back
 once.
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from mailsift.llm.common import written
 
 CHUNK = 1 << 16
+SIEVE_BITS = 1 << 25           # 4 MB
 # Two primes below 2^31 and a base for each.
 PRIMES, BASES = (2147483647, 2147483629), (1000003, 69069)
 
@@ -93,6 +95,31 @@ def exact_groups(docs: DataFrame, primes: tuple = PRIMES, size: int = CHUNK) ->
     return _grouped(docs, prints.dropDuplicates(["doc_id", "text_sha256", *KEY]), size)
 
 
+def _slot(keys: list[Column]) -> Column:
+    return F.xxhash64(*keys).bitwiseAND(F.lit(SIEVE_BITS - 1))
+
+
+def _sieved(rows: DataFrame, keys: list[Column], wanted: DataFrame) -> DataFrame:
+    """``rows`` + ``__maybe``: false where the keys are certainly no row of ``wanted``. A bit for the hash
+    of each wanted row, in pieces of 4 KB, is broadcast: SIEVE_BITS in all, however many there are."""
+    bits = (wanted.select(_slot([F.col(c) for c in wanted.columns]).alias("s"))
+            .groupBy(F.bitmap_bucket_number("s").alias("__bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("__bits")))
+    rows = rows.withColumn("__slot", _slot(keys))
+    at = F.bitmap_bit_position("__slot")
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = rows.join(F.broadcast(bits), F.bitmap_bucket_number("__slot") == F.col("__bucket"), "left")
+    return found.withColumn("__maybe", F.coalesce(F.getbit(byte, at % 8) == 1, F.lit(False))).drop("__slot", "__bucket", "__bits")
+
+
+def without(docs: DataFrame, keys: list[Column], lost: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose ``keys`` are a row of ``lost`` (a null is equal to a null)."""
+    listed = lost.toDF(*[f"__lost{i}" for i in range(len(keys))])
+    same = reduce(and_, [k.eqNullSafe(F.col(c)) for k, c in zip(keys, listed.columns)])
+    rows = _sieved(docs, keys, lost)
+    return rows.where(~F.col("__maybe")).union(rows.where("__maybe").join(listed, same, "left_anti")).drop("__maybe")
+
+
 def _grouped(docs: DataFrame, prints: DataFrame, size: int) -> DataFrame:
     prints = written(prints, "prints")
     groups = prints.groupBy(KEY).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
@@ -100,9 +127,10 @@ def _grouped(docs: DataFrame, prints: DataFrame, size: int) -> DataFrame:
 
     # Stream the candidates' chunks past each other. Only documents in a group are read again.
     # By id and SHA-256: rows that share an id, or have none, each meet their own member only.
-    members = prints.join(groups, KEY, "left_semi").select("doc_id", "text_sha256", *KEY).distinct()
+    members = written(prints.join(groups, KEY, "left_semi").select("doc_id", "text_sha256", *KEY).distinct(), "members")
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    texts = docs.select(F.col("doc_id").alias("__id"), raw.alias("raw"), F.sha2(raw, 256).alias("__sha")).join(
+    texts = docs.select(F.col("doc_id").alias("__id"), raw.alias("raw"), F.sha2(raw, 256).alias("__sha"))
+    texts = _sieved(texts, [F.col("__id"), F.col("__sha")], members.select("doc_id", "text_sha256")).where("__maybe").join(
         members, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__sha") == F.col("text_sha256")))
     cut = F.transform(F.sequence(F.lit(0), F.greatest(F.octet_length("raw") - 1, F.lit(0)), F.lit(size)),
                       lambda o: F.substring(F.col("raw"), o + 1, F.lit(size)))
@@ -139,8 +167,8 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     largest doc_id."""
     groups = row_groups(docs).where("group_size > 1").select("doc_id", "text_sha256", "kept")
     groups = written(groups, "grouped")
-    lost = groups.where(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
+    lost = groups.where(~F.col("kept")).select("doc_id", "text_sha256")
     repeated = groups.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1").select("doc_id", "text_sha256")
     sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
-    left = docs.join(lost, F.col("doc_id").eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), "left_anti")
+    left = without(docs, [F.col("doc_id"), sha], lost)
     return one_each(left, [F.col("doc_id"), sha], repeated)

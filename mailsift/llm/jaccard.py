@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from mailsift.llm import segments as S
 from mailsift.llm import units as U
 from mailsift.llm.common import delete, trimmed, written
-from mailsift.llm.exact import one_each
+from mailsift.llm.exact import one_each, without
 from mailsift.llm.graph import components
 
 SHINGLE = 5
@@ -273,9 +273,9 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with only the first document of each component, as one row, all columns kept."""
     placed = written(_placed(docs.select("doc_id", "text")).select(
         "doc", "tag", ((F.col("doc") == F.col("least.doc")) & (F.col("tag") == F.col("least.tag"))).alias("first")), "placed")
-    lost = placed.where("not first").select(F.col("doc").alias("__doc"), F.col("tag").alias("__tag")).distinct()
+    lost = placed.where("not first").select("doc", "tag").distinct()
     repeated = placed.where("first").groupBy("doc", "tag").count().where("count > 1").select("doc", "tag")
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(S.NULL_ID))
     tag = F.xxhash64(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    left = docs.join(lost, (doc == F.col("__doc")) & (tag == F.col("__tag")), "left_anti")
+    left = without(docs, [doc, tag], lost)
     return one_each(left, [doc, tag], repeated)
